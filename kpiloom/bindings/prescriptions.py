@@ -15,6 +15,7 @@ from kpiloom.functions.text import booking_name
 from kpiloom.operators.rows import first_rows, quality
 from kpiloom.plans import closures as K
 from kpiloom.plans import prescriptions as R
+from kpiloom.sources.config import config_table
 
 AS_OF = date(2024, 1, 29)
 FIRST, LAST = date(2024, 1, 1), date(2024, 1, 30)
@@ -86,7 +87,7 @@ def report(spark, folder):
 
 
 def weekday_pivot_plan(spark, folder):
-    plan = spark.createDataFrame(list(CLOSING_PLAN.items()), "unit STRING, plan BIGINT")
+    plan = config_table(spark, CLOSING_PLAN, "unit STRING, plan BIGINT")
     return K.weekday_closures(report(spark, folder), plan, org_id=ORG, main_site=MAIN_SITE, first=FIRST, last=LAST)
 
 

@@ -11,6 +11,7 @@ from kpiloom.functions.dates import period_columns, reporting_period, workdays
 from kpiloom.functions.numbers import gap_score
 from kpiloom.operators.history import freeze_history, wide_history
 from kpiloom.plans import progress as P
+from kpiloom.sources.config import config_table
 
 AS_OF = date(2001, 7, 26)  # a Thursday
 PERIOD = reporting_period(AS_OF)
@@ -41,7 +42,7 @@ def cards(spark, folder):
 
 
 def weights(spark):
-    return spark.createDataFrame(list(WEIGHTS.items()), "unit STRING, weight DOUBLE")
+    return config_table(spark, WEIGHTS, "unit STRING, weight DOUBLE")
 
 
 def plan_progress_ytd(spark, folder):

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from kpiloom import fixed_values as fv
 from kpiloom.functions.dates import date_list
 from kpiloom.functions.text import Rules, first_match
-from kpiloom.operators.aggregates import counts_by, gap_filled, with_total
-from kpiloom.sinks.tables import labelled_totals
+from kpiloom.operators.aggregates import counts_by, gap_filled, labelled_totals, with_total
 
 
 def line_calls(calls: DataFrame, *, line: int, agents: Rules) -> DataFrame:
@@ -63,16 +62,39 @@ def missed_by_day(calls: DataFrame, *, as_of: date, days: int = 10) -> DataFrame
 def call_board(
     calls: DataFrame, *, as_of: date, days: int = 10, total_label: str = "TOTAL", missed_label: str = "MISSED"
 ) -> DataFrame:
-    """The answered table with a row of missed calls under it, over one calendar."""
+    """The answered table with a row of missed calls under it, over one calendar and in one pass."""
     dates = [day.isoformat() for day in date_list(as_of - timedelta(days=days), as_of)]
-    missed = (
-        missed_by_day(calls, as_of=as_of, days=days)
-        .withColumns({"agent": F.lit(missed_label), "call_date": F.date_format("call_date", "yyyy-MM-dd")})
-        .groupBy("agent")
+    answered = (F.col("status") == fv.CALL_ANSWERED) & F.col("agent").isNotNull()
+    missed = F.col("status") == fv.CALL_MISSED
+    counted = (
+        _recent(calls, as_of, days)
+        .where(answered | missed)
+        .select(
+            missed.alias("is_missed"),
+            F.when(missed, missed_label).otherwise(F.col("agent")).alias("agent"),
+            F.date_format("call_date", "yyyy-MM-dd").alias("call_date"),
+            "call_time",
+        )
+        .groupBy("is_missed", "agent")
         .pivot("call_date", dates)
-        .agg(F.sum("missed"))
+        .agg(F.count("call_time"))
+        .fillna(0)
+    )
+    no_misses = calls.sparkSession.range(1).select(
+        F.lit(True).alias("is_missed"), F.lit(missed_label).alias("agent"), *[F.lit(0).cast("long").alias(d) for d in dates]
+    )
+    level = F.grouping_id()  # 0: one agent or the missed calls, 1: subtotal of either kind
+    board = (
+        counted.unionByName(no_misses)
+        .rollup("is_missed", "agent")
+        .agg(
+            F.when(level == 0, F.col("agent")).otherwise(total_label).alias("label"),
+            *[F.sum(F.col(day)).alias(day) for day in dates],
+            level.alias("level"),
+        )
+        .where((F.col("level") == 0) | ((F.col("level") == 1) & ~F.col("is_missed")))
     )
-    return answered_by_day(calls, as_of=as_of, days=days, total_label=total_label).unionByName(missed)
+    return board.select(F.col("label").alias("agent"), *dates)
 
 
 def recent_totals(calls: DataFrame, *, as_of: date, days: int = 10) -> DataFrame:

@@ -12,6 +12,7 @@ from kpiloom.functions.numbers import half_even, percent
 from kpiloom.functions.text import any_of, site_suffix, yes_no
 from kpiloom.operators.joins import null_safe_join
 from kpiloom.operators.rows import differs, holds, present
+from kpiloom.sources.config import config_table
 
 CHECKS = ("exam_done", "referral_done", "time_correct")
 
@@ -106,7 +107,7 @@ def completeness(
 
 
 def _labelled(df: DataFrame, labels: Mapping[str, str]) -> DataFrame:
-    table = df.sparkSession.createDataFrame(list(labels.items()), "admission_unit STRING, unit_label STRING")
+    table = config_table(df.sparkSession, labels, "admission_unit STRING, unit_label STRING")
     return df.join(table, "admission_unit", "left")
 
 

@@ -66,9 +66,3 @@ def append_history(new: DataFrame, path: str, schema: str, keys: Sequence[str],
     history = stored_history(new.sparkSession, path, schema)
     new_periods(conform(new, schema), history, keys).write.mode("append").parquet(path)
     return True
-
-
-def labelled_totals(totals: DataFrame, labels: dict[str, str]) -> DataFrame:
-    """One row per column of a one-row frame: label, value."""
-    pairs = [F.struct(F.lit(label).alias("label"), F.col(name).alias("value")) for name, label in labels.items()]
-    return totals.select(F.inline(F.array(*pairs)))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kpiloom.operators.lineage import cut_lineage
+from kpiloom.sources.config import config_table
 
 
 def report_scan(
@@ -79,7 +80,7 @@ def with_sequence(report: DataFrame) -> DataFrame:
 def tag_by_file(report: DataFrame, units: Mapping[str, str], column: str = "department") -> DataFrame:
     """The unit a report file belongs to, by file name; null for an unknown file."""
     name = F.substring_index("source_file", "/", -1)
-    table = report.sparkSession.createDataFrame(list(units.items()), f"_file STRING, {column} STRING")
+    table = config_table(report.sparkSession, units, f"_file STRING, {column} STRING")
     return report.withColumn("_file", F.url_decode(name)).join(table, "_file", "left").drop("_file")
 
 

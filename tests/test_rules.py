@@ -1,0 +1,104 @@
+"""Null, order and rounding rules that differ from plain Spark."""
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from kpiloom.operators import aggregates, calendar, history, joins, rows
+
+
+def as_set(df):
+    return {tuple(row) for row in df.collect()}
+
+
+def test_null_keys_are_not_counted(frame):
+    df = frame("k STRING, v INT", ("a", 1), ("a", None), (None, 3))
+    assert as_set(aggregates.counts_by(df, ["k"], "v", "n")) == {("a", 1)}
+
+
+def test_join_matches_null_with_null(frame):
+    left = frame("k STRING, a INT", (None, 1), ("x", 2), ("y", 3))
+    right = frame("code STRING, b INT", (None, 10), (None, 11), ("x", 12))
+    assert as_set(joins.null_safe_join(left, right, {"k": "code"})) == {
+        (None, 1, 10), (None, 1, 11), ("x", 2, 12), ("y", 3, None),
+    }
+
+
+def test_rows_without_is_null_safe(frame):
+    left = frame("k STRING", (None,), ("x",), ("y",))
+    assert as_set(joins.rows_without(left, frame("k STRING", ("x",)), ["k"])) == {(None,), ("y",)}
+    assert as_set(joins.rows_without(left, frame("k STRING", (None,), ("x",)), ["k"])) == {("y",)}
+
+
+def test_predicates_on_null(frame):
+    df = frame("v STRING", ("a",), ("b",), (None,))
+    assert as_set(df.where(rows.differs(F.col("v"), "a"))) == {("b",), (None,)}
+    assert as_set(df.where(~rows.is_in(F.col("v"), ["a"]))) == {("b",), (None,)}
+    assert as_set(df.where(~rows.holds(F.col("v") == "a"))) == {("b",), (None,)}
+
+
+def test_first_rows_and_null_keys(frame):
+    df = frame("k STRING, seq INT, v STRING", ("a", 2, "late"), ("a", 1, "early"), (None, 1, "n1"), (None, 2, "n2"))
+    assert as_set(rows.first_rows(df, ["k"], ["seq"])) == {("a", 1, "early")}
+    assert as_set(rows.first_rows(df, ["k"], ["seq"], null_keys=True)) == {("a", 1, "early"), (None, 1, "n1")}
+
+
+def test_total_row_is_not_a_unit_of_its_name(frame):
+    df = frame("unit STRING, n BIGINT, r DOUBLE", ("TOTAL", 1, 0.1), ("b", 2, 0.2))
+    total = aggregates.with_total(df, "unit", ["n"], "TOTAL", keep=["r"])
+    assert as_set(total.select("unit", "n", "r", "is_total")) == {
+        ("TOTAL", 1, 0.1, False), ("b", 2, 0.2, False), ("TOTAL", 3, None, True),
+    }
+
+
+def test_row_total_skips_nulls(frame):
+    df = frame("a BIGINT, b BIGINT", (1, None), (None, None))
+    assert [row[0] for row in df.select(aggregates.row_total(["a", "b"])).collect()] == [1, 0]
+
+
+def test_gap_filled(spark, frame):
+    counts = frame("day DATE, n BIGINT", (date(2024, 1, 2), 5))
+    filled = aggregates.gap_filled(counts, "day", "n", date(2024, 1, 1), 3)
+    assert as_set(filled) == {(date(2024, 1, 1), 0), (date(2024, 1, 2), 5), (date(2024, 1, 3), 0)}
+
+
+def test_missing_dates_over_several_masks(frame):
+    first = date(2024, 1, 1)
+    present = [date(2024, 1, 1), date(2024, 3, 2), date(2024, 3, 3), date(2024, 3, 4), date(2024, 5, 29)]
+    df = frame("ts DATE", *[(day,) for day in present], (date(2023, 12, 31),), (date(2024, 5, 30),))
+    days = 150
+    masks = calendar.date_masks(F.col("ts"), first, days)
+    grouped = df.groupBy(F.lit(1).alias("k")).agg(*[mask.alias(f"m{n}") for n, mask in enumerate(masks)])
+    missing = grouped.select(calendar.missing_dates([F.col(f"m{n}") for n in range(len(masks))], first, days)).first()[0]
+    horizon = [date.fromordinal(first.toordinal() + n) for n in range(days)]
+    assert missing == [day for day in horizon if day not in present]
+
+
+def test_history_never_changes(frame):
+    stored = frame("unit STRING, week INT, n INT", ("a", 1, 5), (None, 1, 7))
+    new = frame("unit STRING, week INT, n INT", ("a", 1, 6), ("a", 2, 3), (None, 1, 0), ("b", 1, 9))
+    frozen = history.freeze_history(new, stored, ["unit", "week"])
+    assert as_set(frozen) == {("a", 1, 5), (None, 1, 7), ("a", 2, 3), ("b", 1, 9)}
+    wide = history.wide_history(frozen, "unit", "week", "n", [1, 2])
+    assert wide.columns == ["unit", "2", "1"]
+    assert as_set(wide) == {("a", 3, 5), ("b", None, 9), (None, None, 7)}
+
+
+def test_layout_helpers(frame):
+    df = frame("a STRING, b STRING", ("1", "x"))
+    assert rows.keep_existing(df, ["b", "missing"]).columns == ["b"]
+    shaped = rows.conform(df, "n INT, t STRING", {"n": "a", "t": "b"})
+    assert shaped.dtypes == [("n", "int"), ("t", "string")]
+    tagged = joins.tagged_union({"one": df, "two": df}, "unit")
+    assert as_set(tagged) == {("one", "1", "x"), ("two", "1", "x")}
+
+
+def test_sort_puts_nulls_last(frame):
+    df = frame("a STRING, b INT", (None, 1), ("b", 2), ("a", 3))
+    assert [row["b"] for row in rows.sorted_report(df, "a").collect()] == [3, 2, 1]
+    assert [row["b"] for row in rows.sorted_report(df, "a", descending=True).collect()] == [2, 3, 1]
+
+
+def test_quality(frame):
+    df = frame("a STRING", ("x",), (None,), (None,))
+    assert tuple(rows.quality(df, {"missing": F.col("a").isNull(), "x": F.col("a") == "x"}).first()) == (3, 2, 1)
