@@ -6,10 +6,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+_LAYOUTS: dict[str, T.StructType] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A driver table; its layout is read from the file once per process."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _LAYOUTS:
+        _LAYOUTS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_LAYOUTS[path]).parquet(path)
 
 
 def choice(number: Column, options: Sequence) -> Column:

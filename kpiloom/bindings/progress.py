@@ -98,7 +98,7 @@ def history_freeze(spark, folder):
 
 
 def history_wide(spark, folder):
-    wide = wide_history(history_freeze(spark, folder), "unit", "period_start", "fact", SHOWN_WEEKS)
+    wide = wide_history(history_freeze(spark, folder), "unit", "period_start", ["fact"], SHOWN_WEEKS)
     return wide.select("unit", *[F.col(f"`{week}`").alias(f"week_{week}") for week in reversed(SHOWN_WEEKS)])
 
 

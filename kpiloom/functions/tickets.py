@@ -17,8 +17,8 @@ def unify_spelling(text: Column) -> Column:
 
 
 def ticket_digits(text: Column) -> Column:
-    """Digits of the ticket number, null where there is none."""
-    return F.nullif(F.regexp_extract(text, fv.TICKET_NUMBER, 1), F.lit(""))
+    """Digits of the ticket number, empty where there is none."""
+    return F.regexp_extract(text, fv.TICKET_NUMBER, 1)
 
 
 def _tags(text: Column, rules: Rules) -> Column:

@@ -20,7 +20,12 @@ def freeze_history(new: DataFrame, history: DataFrame, keys: Sequence[str]) -> D
     return history.unionByName(new_periods(new, history, keys))
 
 
-def wide_history(history: DataFrame, unit: str, period: str, value: str, periods: Sequence) -> DataFrame:
-    """One row per unit, one column per listed period, latest first."""
+def wide_history(
+    history: DataFrame, unit: str, period: str, values: Sequence[str], periods: Sequence
+) -> DataFrame:
+    """One row per unit, the listed periods side by side, latest first.
+
+    A column is named after its period, and after the value too if there are several.
+    """
     latest_first = sorted(periods, reverse=True)
-    return history.groupBy(unit).pivot(period, latest_first).agg(F.max(value))
+    return history.groupBy(unit).pivot(period, latest_first).agg(*[F.max(value).alias(value) for value in values])

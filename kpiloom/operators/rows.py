@@ -9,6 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """A column whose expression runs once per row, also when later filters use it.
+
+    A filter on an ordinary derived column is moved below it with a copy of the
+    expression, so a costly one (text parsing) runs several times.  A generated
+    column is not copied.
+    """
+    kept = [column for column in df.columns if column != name]
+    return df.select(*kept, F.explode(F.array(value)).alias(name))
+
+
 def present(names: Sequence[str]) -> Column:
     """No column in ``names`` is null."""
     condition = F.lit(True)

@@ -12,6 +12,7 @@ from kpiloom.functions.dates import parse_date, weekday_label
 from kpiloom.functions.numbers import share_percent
 from kpiloom.functions.text import site_prefix
 from kpiloom.operators.aggregates import row_total, with_total
+from kpiloom.operators.rows import computed_once
 
 CLOSED_AT = "dd.MM.yyyy HH:mm:ss"
 
@@ -23,15 +24,17 @@ def weekday_closures(
 
     ``plan`` (unit, plan) is matched by unit name.
     """
-    closed = parse_date(F.col("closed_at"), CLOSED_AT)
+    closed = F.col("closed_on")
     wanted = (
         report.where((F.col("org_id") == org_id) & (F.col("close_reason") == fv.CLOSURE_DONE))
         .where(F.col("exam_type").isin(list(fv.CLOSURE_EXAMS)))
-        .where(closed.between(F.lit(first), F.lit(last)))
         .where(F.col("unit").isNotNull())
+        .select("unit", "closed_at")
     )
+    dated = computed_once(wanted, "closed_on", parse_date(F.col("closed_at"), CLOSED_AT))
     by_day = (
-        wanted.select(site_prefix(F.col("unit"), main_site).alias("unit"), weekday_label(closed).alias("weekday"))
+        dated.where(closed.between(F.lit(first), F.lit(last)))
+        .select(site_prefix(F.col("unit"), main_site).alias("unit"), weekday_label(closed).alias("weekday"))
         .groupBy("unit")
         .pivot("weekday", list(fv.WEEKDAYS))
         .agg(F.count(F.lit(1)))

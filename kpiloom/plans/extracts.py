@@ -1,8 +1,10 @@
 """Extract views over the base tables: schedule cells, visits, check-up cards.
 
-Dimensions of a dimension are joined to it first.  The fact table then meets one
-flat dimension per key: it is shuffled at most once for each, and not at all
-where Spark's size check lets the flat dimension be broadcast.
+The fact table is filtered first and then meets one plain dimension after the
+other.  Spark compares each dimension's own size with its broadcast limit, so
+small ones are looked up without moving the fact table, and a large one costs
+one shuffle on its key.  (Joining dimensions with each other first would make
+Spark multiply their sizes and shuffle the fact table for a tiny result.)
 """
 
 from __future__ import annotations
@@ -19,20 +21,24 @@ from kpiloom.functions.text import full_name
 Tables = Mapping[str, DataFrame]
 
 
-def _named(dimension: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    return dimension.select(key, F.col(value).alias(name))
+def _look_up(df: DataFrame, tables: Tables, dimension: str, key: str, columns: Mapping[str, str]) -> DataFrame:
+    """Columns of a dimension (new name: dimension's name) by its key, null without a match."""
+    wanted = tables[dimension].select(key, *[F.col(theirs).alias(ours) for ours, theirs in columns.items()])
+    return df.join(wanted, key, "left")
 
 
-def _units(tables: Tables) -> DataFrame:
-    """Departments with the name of their subdivision."""
-    subdivisions = _named(tables["subdivisions"], "subdivision_id", "name", "subdivision_name")
-    departments = tables["departments"].select("department_id", F.col("name").alias("department_name"), "subdivision_id")
-    return departments.join(subdivisions, "subdivision_id", "left").drop("subdivision_id")
+def _with_unit(df: DataFrame, tables: Tables) -> DataFrame:
+    """Names of the department and its subdivision."""
+    named = _look_up(
+        df, tables, "departments", "department_id", {"department_name": "name", "subdivision_id": "subdivision_id"}
+    )
+    return _look_up(named, tables, "subdivisions", "subdivision_id", {"subdivision_name": "name"})
 
 
-def _doctors(tables: Tables) -> DataFrame:
+def _with_doctor(df: DataFrame, tables: Tables) -> DataFrame:
     name = full_name(F.col("last_name"), F.col("first_name"), F.col("middle_name"))
-    return tables["doctors"].select("doctor_id", name.alias("doctor_full_name"))
+    doctors = tables["doctors"].select("doctor_id", name.alias("doctor_full_name"))
+    return df.join(doctors, "doctor_id", "left")
 
 
 def schedule_view(tables: Tables, *, as_of: date) -> DataFrame:
@@ -41,47 +47,29 @@ def schedule_view(tables: Tables, *, as_of: date) -> DataFrame:
     A cell without a resource fails the resource condition, so that join is an
     inner one.
     """
-    equipment = (
-        tables["equipment"]
-        .select("equipment_id", F.col("name").alias("equipment_name"), "equipment_type_id")
-        .join(_named(tables["equipment_types"], "equipment_type_id", "name", "equipment_type"), "equipment_type_id", "left")
-        .drop("equipment_type_id")
-    )
-    specialties = _named(tables["specialties"], "specialty_id", "name", "specialty_name").withColumn(
-        "found_specialty", F.col("specialty_id")
+    shown = tables["resources"].where(F.col("in_time") == 1).drop("in_time")
+    found_id = F.col("specialty_id").alias("found_specialty_id")
+    specialties = tables["specialties"].select("specialty_id", found_id, F.col("name").alias("specialty_name"))
+    cells = tables["cells"].where(F.col("date") >= F.lit(as_of)).drop("date").join(shown, "resource_id")
+    cells = _look_up(cells, tables, "busy_types", "busy_type_id", {"cell_type": "name"})
+    cells = _look_up(cells, tables, "resource_types", "resource_type_id", {"resource_type": "name"})
+    cells = _look_up(
+        cells, tables, "equipment", "equipment_id",
+        {"equipment_name": "name", "equipment_type_id": "equipment_type_id"},
     )
-    resources = (
-        tables["resources"]
-        .where(F.col("in_time") == 1)
-        .join(_named(tables["resource_types"], "resource_type_id", "name", "resource_type"), "resource_type_id", "left")
-        .join(equipment, "equipment_id", "left")
-        .join(_named(tables["rooms"], "room_id", "number", "cabinet_number"), "room_id", "left")
-        .join(specialties, "specialty_id", "left")
-        .join(_units(tables), "department_id", "left")
-        .select(
-            "resource_id", "resource_type", "equipment_name", "equipment_type", "cabinet_number",
-            F.col("found_specialty").alias("specialty_id"), "specialty_name", "department_name", "subdivision_name",
-        )
-    )
-    code = F.col("access_code")
-    return (
-        tables["cells"]
-        .where(F.col("date") >= F.lit(as_of))
-        .join(resources, "resource_id")
-        .join(_named(tables["busy_types"], "busy_type_id", "name", "cell_type"), "busy_type_id", "left")
-        .join(_doctors(tables), "doctor_id", "left")
-        .select(
-            "resource_id", "begin_time", "end_time", "resource_type", "doctor_full_name", "equipment_name",
-            "equipment_type", "cabinet_number", "cell_type", "access_code", "is_used", "is_out_schedule",
-            "specialty_id", "specialty_name", "department_name", "subdivision_name",
-            *[flag.alias(name) for name, flag in access_flags(code).items()],
-        )
+    cells = _look_up(cells, tables, "equipment_types", "equipment_type_id", {"equipment_type": "name"})
+    cells = _look_up(cells, tables, "rooms", "room_id", {"cabinet_number": "number"})
+    cells = _with_unit(cells.join(specialties, "specialty_id", "left"), tables)
+    return _with_doctor(cells, tables).select(
+        "resource_id", "begin_time", "end_time", "resource_type", "doctor_full_name", "equipment_name",
+        "equipment_type", "cabinet_number", "cell_type", "access_code", "is_used", "is_out_schedule",
+        F.col("found_specialty_id").alias("specialty_id"), "specialty_name", "department_name", "subdivision_name",
+        *[flag.alias(name) for name, flag in access_flags(F.col("access_code")).items()],
     )
 
 
 def visits_view(tables: Tables, *, since: date) -> DataFrame:
     """Closed visits since a date, with the patient's name parts and the unit."""
-    places = tables["resources"].select("resource_id", "department_id").join(_units(tables), "department_id", "left")
     people = tables["patients"].select(
         "patient_id",
         F.col("card_number").alias("mkab_number"),
@@ -90,15 +78,13 @@ def visits_view(tables: Tables, *, since: date) -> DataFrame:
         F.left("middle_name", F.lit(1)).alias("middle_name"),
         F.date_format("birth_date", "yyyy").alias("birth_year"),
     )
-    return (
-        tables["visits"]
-        .where((F.col("visited_at") >= F.lit(since).cast("timestamp_ntz")) & (F.col("is_closed") == 1))
-        .join(people, "patient_id", "left")
-        .join(places.drop("department_id"), "resource_id", "left")
-        .select(
-            "tap_number", F.col("visited_at").cast("date").alias("tap_date"), "mkab_number", "last_name",
-            "first_name", "middle_name", "birth_year", "department_name", "subdivision_name",
-        )
+    closed = tables["visits"].where(
+        (F.col("visited_at") >= F.lit(since).cast("timestamp_ntz")) & (F.col("is_closed") == 1)
+    )
+    placed = _look_up(closed, tables, "resources", "resource_id", {"department_id": "department_id"})
+    return _with_unit(placed, tables).join(people, "patient_id", "left").select(
+        "tap_number", F.col("visited_at").cast("date").alias("tap_date"), "mkab_number", "last_name",
+        "first_name", "middle_name", "birth_year", "department_name", "subdivision_name",
     )
 
 
@@ -109,21 +95,17 @@ def cards_view(
 
     ``until`` stands for its midnight, which is included.
     """
-    doctors = _doctors(tables)
-    places = (
-        tables["resources"]
-        .select("resource_id", "doctor_id", "department_id")
-        .join(doctors, "doctor_id", "left")
-        .join(_units(tables), "department_id", "left")
-        .select("resource_id", "doctor_full_name", "subdivision_name")
-    )
     closed = F.col("date_close")
-    return (
+    cards = (
         tables["cards"]
         .where((closed >= F.lit(since).cast("timestamp_ntz")) & (closed <= F.lit(until).cast("timestamp_ntz")))
         .where(F.col("is_closed") == 1)
         .where(F.upper("close_reason_guid") == reason.upper())
         .where(F.upper("card_type_guid").isin([kind.upper() for kind in card_types]))
-        .join(places, "resource_id", "left")
-        .select("date_open", "date_close", "card_number", "subdivision_name", "doctor_full_name")
+    )
+    placed = _look_up(
+        cards, tables, "resources", "resource_id", {"doctor_id": "doctor_id", "department_id": "department_id"}
+    )
+    return _with_doctor(_with_unit(placed, tables), tables).select(
+        "date_open", "date_close", "card_number", "subdivision_name", "doctor_full_name"
     )

@@ -13,7 +13,7 @@ from kpiloom.functions.numbers import percent, share_percent
 from kpiloom.functions.text import booking_name, department
 from kpiloom.operators.aggregates import with_total
 from kpiloom.operators.joins import rows_without
-from kpiloom.operators.rows import first_rows, holds
+from kpiloom.operators.rows import computed_once, first_rows, holds
 
 ISSUED_ON = "dd.MM.yyyy"
 
@@ -21,12 +21,8 @@ ISSUED_ON = "dd.MM.yyyy"
 def first_bookings(bookings: DataFrame) -> DataFrame:
     """Bookings with normalised names, without summary lines, the first per person and day."""
     summary = F.col("subdivision").rlike("(?iu)" + "|".join(fv.SUMMARY_WORDS))
-    named = bookings.where(~holds(summary)).withColumns(
-        {
-            "patient_name": booking_name(F.col("patient_name")),
-            "booked_date": F.col("booked_at").cast("date"),
-        }
-    )
+    body = bookings.where(~holds(summary)).withColumn("booked_date", F.col("booked_at").cast("date"))
+    named = computed_once(body, "patient_name", booking_name(F.col("patient_name")))
     return first_rows(named, ["patient_name", "booked_date"], ["seq"])
 
 

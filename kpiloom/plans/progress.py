@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from kpiloom.functions.dates import workdays_between
 from kpiloom.functions.numbers import percent
 from kpiloom.operators.aggregates import with_total
+from kpiloom.operators.history import wide_history
 from kpiloom.operators.rows import is_in, present
 
 
@@ -151,6 +152,24 @@ def plan_progress_combined(
     )
 
 
+def week_history(week: DataFrame, start: date, end: date) -> DataFrame:
+    """The rows of a weekly table in the layout of the stored history."""
+    return week.select(
+        "unit",
+        F.lit(start).alias("period_start"),
+        F.lit(end).alias("period_end"),
+        "target",
+        F.col("done").alias("fact"),
+        "efficiency",
+    )
+
+
+def published_progress(cumulative: DataFrame, history: DataFrame, weeks: Sequence[date]) -> DataFrame:
+    """The cumulative table with the stored weeks beside it, latest week first."""
+    wide = wide_history(history, "unit", "period_start", ["target", "fact", "efficiency"], weeks)
+    return cumulative.join(wide, "unit", "left")
+
+
 def cumulative_vs_period(
     cards: DataFrame, keys: Sequence[str], *, cutoff: date, start: date, end: date
 ) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kpiloom import fixed_values as fv
 from kpiloom.functions import tickets as T
 from kpiloom.operators.aggregates import counts_by
+from kpiloom.operators.rows import computed_once
 
 
 def tickets(messages: DataFrame, *, link_base: str, rich_text: bool = True) -> DataFrame:
@@ -18,9 +19,9 @@ def tickets(messages: DataFrame, *, link_base: str, rich_text: bool = True) -> D
     """
     content = T.plain_text(F.col("text")) if rich_text else F.replace("text", F.lit("\n"), F.lit(" "))
     spoken = messages.where((F.col("pos") >= fv.TICKET_INTRO_RECORDS) & F.col("author").isNotNull())
-    texts = spoken.select("id", "author", T.unify_spelling(content).alias("text"))
-    numbered = texts.withColumn("digits", T.ticket_digits(F.col("text"))).where(F.col("digits").isNotNull())
-    return numbered.select(
+    texts = computed_once(spoken.select("id", "author", "text"), "text", T.unify_spelling(content))
+    numbered = computed_once(texts, "digits", T.ticket_digits(F.col("text")))
+    return numbered.where(F.col("digits") != "").select(
         F.col("digits").try_cast("long").alias("number"),
         F.concat(F.lit(link_base), F.col("id").cast("string")).alias("url"),
         "author",

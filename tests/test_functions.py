@@ -177,7 +177,7 @@ def test_ticket_tags(frame):
     ]
     assert values(frame, "STRING", ["#Проект #ЕМИАС", "-"], lambda c: K.listed(K.themes(c))) == ["ЕМИАС, Проект", ""]
     assert values(frame, "STRING", ["#Решено", "#закрыто"], K.status) == ["Решено", "Открыто"]
-    assert values(frame, "STRING", ["Заявка №12 x", "нет"], K.ticket_digits) == ["12", None]
+    assert values(frame, "STRING", ["Заявка №12 x", "нет"], K.ticket_digits) == ["12", ""]
 
 
 def test_plain_text(frame):

@@ -1,0 +1,141 @@
+"""Whole jobs from landed files to written tables, in temporary folders."""
+
+import json
+import os
+from datetime import date, datetime
+
+from kpiloom import jobs, schemas
+from kpiloom.plans.progress import Plan
+
+
+def write(path, lines):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("\n".join(lines) + "\n", encoding="utf-8")
+    return str(path)
+
+
+def read_csv(spark, *parts):
+    return spark.read.option("header", True).csv(os.path.join(*map(str, parts)))
+
+
+def as_set(df):
+    return {tuple(row) for row in df.collect()}
+
+
+def test_admission_job(spark, tmp_path):
+    clinical = write(
+        tmp_path / "in" / "list.csv",
+        ["Отчет", "шапка", "подшапка"]
+        + [
+            "77,1,P1,Приемное общее,D1,01.01,10:00,dx,Удовлет,2024-01-01T10:00:00,50,x,,",
+            "77,2,P2,Приемное ОСП 2,D2,01.01,10:00,dx,Тяжелое,,50,,,",
+            "78,1,P3,Приемное общее,D1,01.01,10:00,dx,Удовлет,2024-01-01T10:00:00,50,x,,",
+        ],
+    )
+    times = write(
+        tmp_path / "in" / "times.csv",
+        ["x"] * 11 + ["шапка", "подшапка", "1,Терапия,,90,100", "2,,,80,120", "Итого,,,170,220"],
+    )
+    out = str(tmp_path / "out")
+    jobs.admission_job(spark, clinical, times, out, org_id=77, main_site="М", unit_labels={"Приемное ОСП 2": "ОСП 2"})
+    assert as_set(read_csv(spark, out, "completeness_main")) == {("D1", "1", "100", "100", "100")}
+    assert as_set(read_csv(spark, out, "completeness_other_sites")) == {("D2", "ОСП 2", "1", "0", "0", "0")}
+    assert as_set(read_csv(spark, out, "mean_stay_main")) == {("Приемное общее", "100")}
+    violations = read_csv(spark, out, "violations").select("card_number", "exam_done", "admission_unit")
+    assert as_set(violations) == {("2", "Нет", "Приемное ОСП 2")}
+
+
+def test_closures_job(spark, tmp_path):
+    path = write(
+        tmp_path / "in.csv",
+        ["Отчет", "шапка"]
+        + [
+            "77,ОСП 1 каб,08.01.2024 10:00:00,Обследование пройдено,404н Диспансеризация,P",
+            "77,ОСП 1 каб,15.01.2024 10:00:00,Обследование пройдено,404н Диспансеризация,P",
+            "77,ОСП 1 каб,16.01.2024 10:00:00,Обследование пройдено,404н Диспансеризация,P",
+        ],
+    )
+    out = str(tmp_path / "out")
+    jobs.closures_job(
+        spark, path, out, org_id=77, main_site="М", weekly_plan={"ОСП 1": 8}, as_of=date(2024, 1, 15), total_label="ALL"
+    )
+    assert as_set(read_csv(spark, out, "closures").select("unit", "Понедельник", "total", "plan")) == {("ОСП 1", "2", "2", "8")}
+    assert as_set(read_csv(spark, out, "closure_rates")) == {("ОСП 1", "25"), ("ALL", "25")}
+
+
+def test_prescriptions_job(spark, tmp_path):
+    head = ["серия,дата"] + ["x"] * 11
+    foot = ["f"] * 18
+
+    def rx(name, day):
+        return f"s-{name},{day},D,i,{name} б в,c,a,drug,1"
+
+    write(tmp_path / "rx" / "one.csv", head + [rx("Алла", "09.01.2024"), rx("Борис", "09.01.2024"), rx("Алла", "09.01.2024")] + foot)
+    write(tmp_path / "rx" / "two.csv", head + [rx("Вера", "10.01.2024")] + foot)
+    bookings = ["h", "x", "x", 'ОСП 1,1,"№1 Алла Б В, 1990",2024-01-09T09:00:00,Явка', 'ОСП 1,1,"№1 Борис Б В, 1990",2024-01-09T00:00:00,Неявка']
+    write(tmp_path / "bk" / "b.csv", bookings + ["f"] * 4)
+    out, stage = str(tmp_path / "out"), str(tmp_path / "stage")
+    for _ in range(2):  # the second run reads the stage tables
+        jobs.prescriptions_job(
+            spark, str(tmp_path / "rx"), str(tmp_path / "bk"), stage, out,
+            units_by_file={"one.csv": "ОСП 1 терапия", "two.csv": "ЦАОП"}, as_of=date(2024, 1, 10), now=datetime(2024, 1, 10, 9),
+            total_label="ALL",
+        )
+    assert as_set(read_csv(spark, out, "compliance")) == {("ОСП 1 терапия", "2", "1", "50")}
+    assert as_set(read_csv(spark, out, "compliance_rollup")) == {("ОСП 1", "2", "1", "50"), ("ALL", "2", "1", "50")}
+    assert as_set(read_csv(spark, out, "noshow_fulfilled").select("patient_name", "booked_at")) == {("БОРИС Б В", "2024-01-09 вне расписания")}
+    assert as_set(read_csv(spark, out, "missing_booking").select("patient_name", "subdivision")) == {("ВЕРА Б В", "ЦАОП")}
+
+
+def test_progress_job(spark, frame, tmp_path):
+    out, history = str(tmp_path / "out"), str(tmp_path / "history")
+    plan = Plan(annual=100, year_days=10, total_label="ALL")
+
+    def run(as_of, *rows):
+        cards = frame(schemas.CHECKUP_CARDS, *[(None, day, str(number), unit, "Д") for number, (day, unit) in enumerate(rows)])
+        jobs.progress_job(cards, history, out, weights={"ОСП 1": 0.6, "ОСП 2": 0.4}, plan=plan, as_of=as_of)
+
+    first = (date(2024, 1, 9), "ОСП 1 каб"), (date(2024, 1, 3), "ОСП 2"), (date(2024, 1, 9), "Другое")
+    run(date(2024, 1, 17), *first)  # a Wednesday: only the daily table
+    assert as_set(spark.read.parquet(f"{out}/daily").select("unit", "done")) == {("ОСП 1", 1), ("ОСП 2", 1), ("ALL", 2)}
+    assert not os.path.exists(f"{out}/weekly") and not os.path.exists(history)
+    run(date(2024, 1, 18), *first)
+    # A week later a card of the first week was added: its stored figures stay.
+    run(date(2024, 1, 25), *first, (date(2024, 1, 10), "ОСП 1 каб"), (date(2024, 1, 16), "ОСП 2"))
+    weekly = spark.read.parquet(f"{out}/weekly")
+    assert weekly.columns.index("2024-01-15_fact") < weekly.columns.index("2024-01-08_fact")
+    assert as_set(weekly.select("unit", "done", "`2024-01-15_fact`", "`2024-01-08_fact`")) == {
+        ("ОСП 1", 2, None, 1), ("ОСП 2", 2, 1, None), ("ALL", 4, 1, 1),
+    }
+    assert as_set(spark.read.parquet(f"{out}/outside").select("unit", "card_number")) == {("Другое", "2")}
+    assert as_set(spark.read.parquet(f"{out}/departments")) == {("ОСП 1 каб", 2, 0), ("ОСП 2", 2, 1)}
+
+
+def test_calls_job(spark, tmp_path):
+    path = write(tmp_path / "calls.csv", ["h", "1,SIP/ext1,успешный,in,2024-01-10,10:00", "1,,пропущенный,in,2024-01-09,10:00"])
+    out = str(tmp_path / "out")
+    jobs.calls_job(
+        spark, path, out, line=1, agents=(("ext1", "A"),), as_of=date(2024, 1, 10), total_label="ALL", missed_label="MISSED"
+    )
+    assert as_set(spark.read.parquet(f"{out}/by_status")) == {("успешный", 1), ("пропущенный", 1)}
+    assert as_set(spark.read.parquet(f"{out}/board").select("agent", "`2024-01-09`", "`2024-01-10`")) == {
+        ("A", 0, 1), ("ALL", 0, 1), ("MISSED", 1, 0),
+    }
+
+
+def test_tickets_job(spark, tmp_path):
+    intro = [{"id": n, "author": "a", "text": "-"} for n in range(3)]
+    path = tmp_path / "chat.json"
+    path.write_text(json.dumps({"messages": intro + [{"id": 9, "author": "a", "text": "Заявка №4 #ОСП_1"}]}), encoding="utf-8")
+    out = str(tmp_path / "out")
+    jobs.tickets_job(spark, str(path), out, link_base="u/")
+    assert as_set(spark.read.parquet(f"{out}/open_by_group")) == {("ОСП_1", 1)}
+
+
+def test_recency_job(spark, frame, tmp_path):
+    path = write(tmp_path / "in.csv", ["Отчет", "шапка", "77,ОСП 2 отд,A,И,П,1950,74,", "77,ОСП 2 отд,B,И,П,1950,74,"])
+    visits = frame(schemas.VISITS, ("1", date(2024, 1, 1), "m", "A", "И", "П", 1950, "d", "s"))
+    out = str(tmp_path / "out")
+    jobs.recency_job(spark, path, visits, out, org_id=77, as_of=date(2024, 3, 1))
+    found = read_csv(spark, out).select("last_name", "mkab_number", "band", "subdivision")
+    assert as_set(found) == {("A", "m", "red", "ОСП 2"), ("B", None, None, "ОСП 2")}

@@ -79,7 +79,7 @@ def test_history_never_changes(frame):
     new = frame("unit STRING, week INT, n INT", ("a", 1, 6), ("a", 2, 3), (None, 1, 0), ("b", 1, 9))
     frozen = history.freeze_history(new, stored, ["unit", "week"])
     assert as_set(frozen) == {("a", 1, 5), (None, 1, 7), ("a", 2, 3), ("b", 1, 9)}
-    wide = history.wide_history(frozen, "unit", "week", "n", [1, 2])
+    wide = history.wide_history(frozen, "unit", "week", ["n"], [1, 2])
     assert wide.columns == ["unit", "2", "1"]
     assert as_set(wide) == {("a", 3, 5), ("b", None, 9), (None, None, 7)}
 
