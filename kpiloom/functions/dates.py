@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -116,17 +116,24 @@ def days_until(moment: Column, as_of: Column) -> Column:
     return F.datediff(moment.cast("date"), as_of.cast("date"))
 
 
-def _micros(moment: Column) -> Column:
-    return F.unix_micros(moment.cast("timestamp"))
+def moment_literal(moment: datetime) -> Column:
+    """A moment without time zone (a bare datetime literal would be read in the machine's zone)."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def micros_between(begin: Column, end: Column) -> Column:
-    """Microseconds between two moments, as a long (sums stay exact in any order)."""
-    return _micros(end) - _micros(begin)
+def interval_minutes(interval: Column) -> Column:
+    """Minutes of a difference of two moments, or of a sum of such differences.
+
+    Differences are exact, so sum them first and turn the sum into minutes.
+    """
+    part = {name: F.extract(F.lit(name), interval) for name in ("DAY", "HOUR", "MINUTE", "SECOND")}
+    whole = (part["DAY"] * 24 + part["HOUR"]) * 60 + part["MINUTE"]
+    micros = whole.cast("long") * 60_000_000 + (part["SECOND"] * 1_000_000).cast("long")
+    return micros / F.lit(60_000_000)
 
 
 def minutes_between(begin: Column, end: Column) -> Column:
-    return micros_between(begin, end) / F.lit(60_000_000)
+    return interval_minutes(end - begin)
 
 
 def minute_label(moment: Column) -> Column:

@@ -50,7 +50,8 @@ def admission_job(
     """Completeness by doctor, violations per unit and mean stay, for the main and the other sites."""
     clinical = report_scan(spark, clinical_path, schemas.ADMISSIONS, skip_rows=clinical_skip).where(F.col("org_id") == org_id)
     times = report_scan(spark, times_path, schemas.ADMISSION_TIMES, skip_rows=times_skip, skip_footer=times_footer)
-    clinical, times = (df.drop("source_file", "block", "place") for df in (clinical, times))
+    # Five reports read the two frames: they are parsed once.
+    clinical, times = (cut_lineage(df.drop("source_file", "block", "place")) for df in (clinical, times))
     for name, main in (("main", True), ("other_sites", False)):
         rates = A.completeness(clinical, times, main_site=main_site, main=main, unit_labels=unit_labels)
         write_csv(rates, f"{out}/completeness_{name}")

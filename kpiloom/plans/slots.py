@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom import fixed_values as fv
-from kpiloom.functions.dates import days_until, micros_between
+from kpiloom.functions.dates import days_until, interval_minutes, moment_literal
 from kpiloom.functions.text import any_of
 from kpiloom.operators.calendar import date_masks, missing_dates
 from kpiloom.operators.rows import differs, is_in
@@ -62,7 +62,7 @@ def nearest_slots(
     means no such cell.  One grouped pass serves all flags: the earliest cell of
     each flag is kept per task before the shuffle.
     """
-    moment = F.lit(now).cast("timestamp_ntz")
+    moment = moment_literal(now)
     order = F.struct("begin_time", "end_time", *tie_break)
     free = cells.where(
         (F.col("is_used") == 0) & (F.col("end_time") > moment) & (F.col("resource_type") == resource_type)
@@ -130,9 +130,9 @@ def open_minutes(cells: DataFrame, *, day: date, closed_code: int = fv.ACCESS_NO
     inside = (begin > F.lit(day).cast("timestamp_ntz")) & (
         begin < F.lit(day + timedelta(days=1)).cast("timestamp_ntz")
     )
-    micros = F.sum(micros_between(begin, F.col("end_time")))
+    length = F.sum(F.col("end_time") - begin)
     return (
         cells.where(inside & differs(F.col("access_code"), closed_code))
         .groupBy("resource_id")
-        .agg((micros / F.lit(60_000_000)).alias("open_minutes"))
+        .agg(interval_minutes(length).alias("open_minutes"))
     )

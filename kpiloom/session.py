@@ -14,6 +14,15 @@ SETTINGS = {
 }
 
 
+def shuffle_settings(shuffled_bytes: int, cores: int, target_bytes: int = 200 * 2**20) -> dict[str, str]:
+    """Shuffle partitions for the bytes the largest shuffle moves.
+
+    Partitions of about ``target_bytes`` fit an executor's memory; adaptive
+    execution joins small ones and splits skewed ones at run time.
+    """
+    return {"spark.sql.shuffle.partitions": str(max(2 * cores, -(-shuffled_bytes // target_bytes)))}
+
+
 def build_session(name: str = "kpiloom", master: str | None = None, **extra: str) -> SparkSession:
     """A session with `SETTINGS`; cluster sizes are left to the submit command."""
     builder = SparkSession.builder.appName(name)

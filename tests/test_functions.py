@@ -10,6 +10,7 @@ from kpiloom.functions import dates as D
 from kpiloom.functions import numbers as N
 from kpiloom.functions import text as X
 from kpiloom.functions import tickets as K
+from kpiloom.session import shuffle_settings
 
 
 def values(frame, schema, items, build):
@@ -183,3 +184,8 @@ def test_ticket_tags(frame):
 def test_plain_text(frame):
     contents = ['"a\\nb"', '["a", {"type":"bold","text":"b\\nc"}, "d"]', '""', "[]"]
     assert values(frame, "STRING", contents, lambda c: K.plain_text(F.parse_json(c))) == ["a b", "ab cd", "", ""]
+
+
+def test_shuffle_settings():
+    assert shuffle_settings(10, 8) == {"spark.sql.shuffle.partitions": "16"}
+    assert shuffle_settings(200 * 2**20 * 1000 + 1, 8) == {"spark.sql.shuffle.partitions": "1001"}

@@ -9,7 +9,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 
-FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
+FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 TABLES = [name[: -len(".parquet")] for name in sorted(os.listdir(FOLDER))]
 NAMES = sorted(queries())
 

@@ -60,6 +60,18 @@ def test_date_limits_reach_the_scan(spark, name, pushed):
     assert pushed in formatted(queries()[name](spark, FOLDER))
 
 
+@pytest.mark.parametrize("name", ["nearest_slot_gp", "open_minutes_today", "booking_status_clean", "calls_pivot_10d", "weekday_pivot_plan"])
+def test_results_do_not_depend_on_the_session_zone(spark, name):
+    results = []
+    for zone in ("UTC", "America/Los_Angeles"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            results.append(Counter(tuple(row) for row in queries()[name](spark, FOLDER).collect()))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert results[0] == results[1]
+
+
 def test_first_row_is_limited_before_the_shuffle(spark):
     plan = physical(queries()["first_per_key"](spark, FOLDER))
     exchange = plan.index("Exchange")
