@@ -32,7 +32,6 @@ def messages(spark, folder):
         )
     )
     return table(spark, folder, "documents").select(
-        key.alias("pos"),
         key.alias("id"),
         F.when(F.col("source") != "src0", F.col("source")).alias("author"),
         F.when(key % 2 == 0, plain).otherwise(parts).alias("text"),
@@ -74,7 +73,7 @@ def _tags_sql(pairs) -> str:
     return "[" + ", ".join(f"CASE WHEN contains(t, '{tag}') THEN '{label}' END" for tag, label in pairs) + "]"
 
 
-_TICKETS_SQL = f"""m AS (SELECT doc_id, source, {_TEXT_SQL} AS t FROM documents WHERE doc_id >= 3 AND source <> 'src0'),
+_TICKETS_SQL = f"""m AS (SELECT doc_id, source, {_TEXT_SQL} AS t FROM documents WHERE source <> 'src0'),
   tickets AS (
     SELECT CAST(nullif(regexp_extract(t, 'Заявка №([0-9]+)', 1), '') AS BIGINT) AS number, '{LINK}' || doc_id AS url, source AS author,
            CASE WHEN contains(t, '#Решено') THEN 'Решено' ELSE 'Открыто' END AS status,

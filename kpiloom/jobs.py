@@ -28,7 +28,7 @@ from kpiloom.plans import recency as V
 from kpiloom.plans import slots as S
 from kpiloom.plans import tickets as T
 from kpiloom.sinks.tables import append_history, is_publish_day, replace_table, stored_history, write_by_unit, write_csv
-from kpiloom.sources.chat import chat_messages
+from kpiloom.sources.chat import chat_messages, indented_chat_messages
 from kpiloom.sources.config import config_table
 from kpiloom.sources.files import staged
 from kpiloom.sources.reports import report_scan, tag_by_file, with_sequence
@@ -208,9 +208,10 @@ def calls_job(
     replace_table(C.recent_totals(calls, as_of=as_of), f"{out}/totals")
 
 
-def tickets_job(spark: SparkSession, path: str, out: str, *, link_base: str) -> None:
+def tickets_job(spark: SparkSession, path: str, out: str, *, link_base: str, indented: bool = True) -> None:
     """All tickets of a chat export, counts by status, open ones by group."""
-    replace_table(T.tickets(chat_messages(spark, path), link_base=link_base), f"{out}/tickets")
+    messages = indented_chat_messages(spark, path) if indented else chat_messages(spark, path)
+    replace_table(T.tickets(messages, link_base=link_base), f"{out}/tickets")
     found = spark.read.parquet(f"{out}/tickets")
     replace_table(T.ticket_status_counts(found), f"{out}/by_status")
     replace_table(T.open_by_group(found), f"{out}/open_by_group")

@@ -12,13 +12,13 @@ from kpiloom.operators.rows import computed_once
 
 
 def tickets(messages: DataFrame, *, link_base: str, rich_text: bool = True) -> DataFrame:
-    """Tickets of an export: messages after the introduction, with author and ticket number.
+    """Tickets: messages with an author and a ticket number in their text.
 
-    ``messages`` has pos, id, author and text, the text as variant or, with
+    ``messages`` has id, author and text, the text as variant or, with
     ``rich_text`` off, as plain string.
     """
     content = T.plain_text(F.col("text")) if rich_text else F.replace("text", F.lit("\n"), F.lit(" "))
-    spoken = messages.where((F.col("pos") >= fv.TICKET_INTRO_RECORDS) & F.col("author").isNotNull())
+    spoken = messages.where(F.col("author").isNotNull())
     texts = computed_once(spoken.select("id", "author", "text"), "text", T.unify_spelling(content))
     numbered = computed_once(texts, "digits", T.ticket_digits(F.col("text")))
     return numbered.where(F.col("digits") != "").select(

@@ -40,7 +40,8 @@ FOLLOWUP_PATIENTS = (
 CALLS = (
     "incoming_line BIGINT, first_answerer STRING, status STRING, type STRING, call_date STRING, call_time STRING"
 )
-CHAT_EXPORT = ("messages ARRAY<STRUCT<id: BIGINT, author: STRING, text: VARIANT>>")
+CHAT_MESSAGE = "id BIGINT, author STRING, text VARIANT"
+CHAT_EXPORT = f"messages ARRAY<STRUCT<{CHAT_MESSAGE}>>"
 HISTORY = (
     "unit STRING, period_start DATE, period_end DATE, target BIGINT, fact BIGINT, efficiency DOUBLE"
 )

@@ -1,3 +1,3 @@
-from kpiloom.sources import chat, config, database, files, reports
+from kpiloom.sources import chat, config, database, files, lines, reports
 
-__all__ = ["chat", "config", "database", "files", "reports"]
+__all__ = ["chat", "config", "database", "files", "lines", "reports"]

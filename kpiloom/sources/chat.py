@@ -5,14 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.schemas import CHAT_EXPORT
+from kpiloom import fixed_values as fv
+from kpiloom.schemas import CHAT_EXPORT, CHAT_MESSAGE
+from kpiloom.sources.lines import placed_lines, without_ends
 
 
-def chat_messages(spark: SparkSession, path: str) -> DataFrame:
-    """Messages with their place in the document: pos, id, author, text (variant).
+def chat_messages(spark: SparkSession, path: str, *, intro: int = fv.TICKET_INTRO_RECORDS) -> DataFrame:
+    """Messages after the introductory records of each document: id, author, text (variant).
 
-    A JSON document cannot be split, so a file is one task; fields outside the
-    schema are skipped while parsing, and many exports are read in parallel.
+    A document of any layout is parsed by one task; fields outside the schema
+    are skipped while parsing.  For large exports see `indented_chat_messages`.
     """
     documents = spark.read.schema(CHAT_EXPORT).option("multiLine", True).json(path)
-    return documents.select(F.posexplode("messages").alias("pos", "message")).select("pos", "message.*")
+    messages = documents.select(F.posexplode("messages").alias("pos", "message"))
+    return messages.where(F.col("pos") >= intro).select("message.*")
+
+
+def indented_chat_messages(
+    spark: SparkSession, path: str, *, indent: int = 2, intro: int = fv.TICKET_INTRO_RECORDS
+) -> DataFrame:
+    """The same for exports written with one indented block per message, read in parallel.
+
+    A message starts with a line of ``indent`` spaces and an opening brace and
+    ends with the closing brace at the same depth; neither can occur inside a
+    JSON string, where line breaks are escaped.  The file is split at those
+    lines, so its size does not matter.
+    """
+    margin = "\n" + " " * indent
+    blocks = placed_lines(spark, path, line_end=margin + "{\n")
+    # The first block is what precedes the first message.
+    messages = without_ends(blocks, top=range(intro + 1))
+    body = F.substring_index("value", margin + "}", 1)
+    message = F.from_json(F.concat(F.lit("{"), body, F.lit("}")), CHAT_MESSAGE)
+    return messages.select(message.alias("message")).select("message.*")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.operators.lineage import cut_lineage
 from kpiloom.sources.config import config_table
+from kpiloom.sources.lines import placed_lines, without_ends
 
 
 def report_scan(
@@ -22,50 +22,15 @@ def report_scan(
     name_part: str = "",
     separator: str = ",",
 ) -> DataFrame:
-    """Body rows of every report file, with the file's path in ``source_file``.
+    """Body rows of every report file, with the file's path and the line's place in it.
 
     ``skip_rows`` are line numbers from 0; the first line left is the header and
     is dropped as well, as are the last ``skip_footer`` lines.  A field must not
     contain a line break.
-
-    Files are read as splittable text.  A line is placed by the start of its
-    block and its order inside the task; the boundary lines of each file are
-    found with a per-task limit, so no file passes through one task.  The
-    indexed lines are written to the checkpoint folder because the body and its
-    boundaries both read them and must see the same numbering.
     """
     header = next(number for number in range(len(skip_rows) + 1) if number not in skip_rows)
-    dropped = sorted({header, *skip_rows})
-
-    lines = cut_lineage(
-        spark.read.option("pathGlobFilter", f"*{name_part}*")
-        .text(paths)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("source_file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("place"),
-        )
-    )
-    per_file = Window.partitionBy("source_file")
-    from_top = F.row_number().over(per_file.orderBy("block", "place"))
-    boundary = (
-        lines.select("source_file", "block", "place")
-        .withColumn("line", from_top)
-        .where(F.col("line") <= dropped[-1] + 1)
-        .where((F.col("line") - 1).isin(dropped))
-        .select("source_file", "place")
-    )
-    if skip_footer:
-        from_end = F.row_number().over(per_file.orderBy(F.desc("block"), F.desc("place")))
-        footer = (
-            lines.select("source_file", "block", "place")
-            .withColumn("line", from_end)
-            .where(F.col("line") <= skip_footer)
-            .select("source_file", "place")
-        )
-        boundary = boundary.unionByName(footer)
-    body = lines.join(boundary, ["source_file", "place"], "left_anti")
+    lines = placed_lines(spark, paths, name_part=name_part)
+    body = without_ends(lines, top={header, *skip_rows}, footer=skip_footer)
     parsed = F.from_csv("value", schema, {"sep": separator})
     rows = body.select("source_file", "block", "place", parsed.alias("row"))
     wanted = [f"row.{name}" for name in columns] if columns else ["row.*"]

@@ -363,10 +363,9 @@ def test_board_has_a_missed_row_without_misses(frame):
 def test_tickets(frame):
     parts = '["Заявка № 12 ", {"type":"hashtag","text":"#ОСП 3"}, "\\n#ЕМИАС"]'
     messages = frame(
-        "pos INT, id BIGINT, author STRING, text STRING",
-        (0, 1, "a", '"Заявка №1"'), (2, 3, "a", '"Заявка №1"'), (3, 4, None, '"Заявка №1"'), (4, 5, "a", '"без номера"'),
-        (5, 6, "a", parts), (6, 7, "b", '"Заявка N7 #Закрыта #Кирова"'), (7, 8, "b", '"Заявка №8 #ОСП_1 #ОСП_2"'),
-        (8, 9, "b", '"Заявка №9 #ОСП №3 #закрыта"'),
+        "id BIGINT, author STRING, text STRING",
+        (4, None, '"Заявка №1"'), (5, "a", '"без номера"'), (6, "a", parts), (7, "b", '"Заявка N7 #Закрыта #Кирова"'),
+        (8, "b", '"Заявка №8 #ОСП_1 #ОСП_2"'), (9, "b", '"Заявка №9 #ОСП №3 #закрыта"'),
     ).withColumn("text", F.parse_json("text"))
     found = tickets.tickets(messages, link_base="u/")
     assert as_set(found) == {

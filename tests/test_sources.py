@@ -80,21 +80,39 @@ def test_csv_scan(spark, tmp_path):
     assert [tuple(row) for row in reports.csv_scan(spark, path, "a INT, b STRING").collect()] == [(1, "x"), (2, None)]
 
 
-def test_chat_export(spark, tmp_path):
+@pytest.mark.parametrize("read", [chat.chat_messages, chat.indented_chat_messages])
+def test_chat_export(spark, tmp_path, read):
     intro = [{"id": n, "author": "a", "text": "Заявка №1"} for n in range(3)]
     messages = intro + [
         {"id": 3, "type": "service", "text": "Заявка №2"},
-        {"id": 4, "author": "b", "text": ["Заявка № 5 ", {"type": "hashtag", "text": "#ОСП 2"}, "\n#Решена"], "extra": [1]},
+        {"id": 4, "author": "b", "text": ["Заявка № 5 ", {"type": "hashtag", "text": "#ОСП 2"}, "\n  }\n  {\n#Решена"], "extra": [{"x": 1}]},
         {"id": 5, "author": "c", "text": "Заявка №6"},
     ]
     path = tmp_path / "chat.json"
-    path.write_text(json.dumps({"name": "x", "messages": messages}, ensure_ascii=False, indent=1), encoding="utf-8")
-    found = tickets(chat.chat_messages(spark, str(path)), link_base="")
+    path.write_text(json.dumps({"name": "x", "messages": messages, "more": {}}, ensure_ascii=False, indent=1), encoding="utf-8")
+    found = tickets(read(spark, str(path)), link_base="")
     assert {tuple(row) for row in found.select("number", "url", "status", "group", "text").collect()} == {
-        (5, "4", "Решено", "ОСП_2", "Заявка №5 #ОСП_2 #Решено"), (6, "5", "Открыто", "", "Заявка №6"),
+        (5, "4", "Решено", "ОСП_2", "Заявка №5 #ОСП_2   }   { #Решено"), (6, "5", "Открыто", "", "Заявка №6"),
     }
 
 
+def test_indented_export_is_read_in_parallel(spark, tmp_path):
+    messages = [{"id": n, "author": "a", "text": ["Заявка №", {"type": "bold", "text": f"{n} " + "слово " * (n % 50)}]} for n in range(2000)]
+    path = tmp_path / "chat.json"
+    path.write_text(json.dumps({"messages": messages}, ensure_ascii=False, indent=1), encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        split = chat.indented_chat_messages(spark, str(path))
+        whole = chat.chat_messages(spark, str(path))
+        assert {row["id"] for row in split.select("id").collect()} == set(range(3, 2000))
+        found = [{tuple(row) for row in tickets(read, link_base="").collect()} for read in (split, whole)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert found[0] == found[1] and len(found[0]) == 1997
+
+
 def test_choosing_files(spark, tmp_path):
     now = datetime(2024, 1, 10, 12)
     for name, hours, size in (("report old.csv", 13, 50), ("report new.csv", 11, 50), ("report last.csv", 1, 5), ("other.csv", 0, 50)):
