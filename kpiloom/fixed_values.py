@@ -91,6 +91,7 @@ TICKET_SPELLINGS = (
     ("#ОСП ", "#ОСП_"),
     ("#ОСП №", "#ОСП_"),
 )
+TICKET_WORD = "Заявка"
 TICKET_NUMBER = r"Заявка №(\d+)"
 TICKET_SITE_TAG = r"#(ОСП_\d)"
 TICKET_GROUP_TAGS = (

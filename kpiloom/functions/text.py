@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,7 +78,3 @@ def repair_strings(df: DataFrame) -> DataFrame:
     """`repair_cp1251` on every string column."""
     names = [field.name for field in df.schema.fields if isinstance(field.dataType, T.StringType)]
     return df.withColumns({name: repair_cp1251(F.col(name)) for name in names})
-
-
-def any_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda left, right: left | right, conditions)

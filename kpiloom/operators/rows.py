@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,7 +18,9 @@ def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     column is not copied.
     """
     kept = [column for column in df.columns if column != name]
-    return df.select(*kept, F.explode(F.array(value)).alias(name))
+    # In its own projection first, where Spark shares the parts that repeat inside the expression.
+    derived = df.select(*kept, value.alias("_derived"))
+    return derived.select(*kept, F.explode(F.array("_derived")).alias(name))
 
 
 def present(names: Sequence[str]) -> Column:
@@ -42,6 +45,10 @@ def first_rows(
     return source.withColumn("_place", place).where("_place = 1").drop("_place")
 
 
+def any_of(conditions: Sequence[Column]) -> Column:
+    return reduce(lambda left, right: left | right, conditions)
+
+
 def is_in(value: Column, items: Sequence) -> Column:
     """IN list that is false, never null, for a null value."""
     return F.coalesce(value.isin(list(items)), F.lit(False))

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from kpiloom import fixed_values as fv
 from kpiloom.functions.numbers import half_even, percent
-from kpiloom.functions.text import any_of, site_suffix, yes_no
+from kpiloom.functions.text import site_suffix, yes_no
 from kpiloom.operators.joins import null_safe_join
-from kpiloom.operators.rows import differs, holds, present
+from kpiloom.operators.rows import any_of, differs, holds, present
 from kpiloom.sources.config import config_table
 
 CHECKS = ("exam_done", "referral_done", "time_correct")

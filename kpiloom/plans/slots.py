@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from kpiloom import fixed_values as fv
 from kpiloom.functions.dates import days_until, interval_minutes, moment_literal
-from kpiloom.functions.text import any_of
 from kpiloom.operators.calendar import date_masks, missing_dates
-from kpiloom.operators.rows import differs, is_in
+from kpiloom.operators.rows import any_of, differs, is_in
 
 DOCTOR_COLUMNS = ("subdivision_name", "department_name", "doctor_full_name", "specialty_name", "specialty_id")
 EQUIPMENT_COLUMNS = ("subdivision_name", "department_name", "equipment_name", "cabinet_number", "equipment_type")

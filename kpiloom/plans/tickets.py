@@ -18,8 +18,10 @@ def tickets(messages: DataFrame, *, link_base: str, rich_text: bool = True) -> D
     ``rich_text`` off, as plain string.
     """
     content = T.plain_text(F.col("text")) if rich_text else F.replace("text", F.lit("\n"), F.lit(" "))
-    spoken = messages.where(F.col("author").isNotNull())
-    texts = computed_once(spoken.select("id", "author", "text"), "text", T.unify_spelling(content))
+    spoken = messages.where(F.col("author").isNotNull()).select("id", "author", "text")
+    # No spelling rule brings the word in, so messages without it are dropped before the rules run.
+    named = computed_once(spoken, "text", content).where(F.col("text").contains(fv.TICKET_WORD))
+    texts = computed_once(named, "text", T.unify_spelling(F.col("text")))
     numbered = computed_once(texts, "digits", T.ticket_digits(F.col("text")))
     return numbered.where(F.col("digits") != "").select(
         F.col("digits").try_cast("long").alias("number"),
