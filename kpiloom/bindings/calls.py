@@ -6,13 +6,13 @@ from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
-from kpiloom.bindings.inputs import table
+from kpiloom.bindings.inputs import EVENT_NUMBER_SQL, event_number, table
 from kpiloom.functions.dates import date_list
 from kpiloom.plans import calls as C
 
 AS_OF = date(2024, 1, 30)
 LINE = 7001
-AGENTS = (("ext30", "Agent A (30)"), ("ext31", "Agent B (31)"), ("ext32", "Agent C (32)"), ("ext33", "Agent D (33)"))
+AGENTS = tuple((f"ext{digit}", f"Agent {name}") for digit, name in zip(range(7), "ABCDEFG"))
 DAYS = [day.isoformat() for day in date_list(AS_OF - timedelta(days=10), AS_OF)]
 
 
@@ -20,7 +20,7 @@ def calls(spark, folder):
     kind = F.col("event_type")
     raw = table(spark, folder, "events").select(
         F.when(kind == "view", 7000).otherwise(LINE).cast("long").alias("incoming_line"),
-        F.concat(F.lit("SIP/ext"), (F.col("user_id") % 6 + 30).cast("string"), F.lit("-0a")).alias("first_answerer"),
+        F.concat(F.lit("SIP/ext"), F.lpad(event_number().cast("string"), 2, "0"), F.lit("-0a")).alias("first_answerer"),
         F.when(kind.isin("click", "signup"), "успешный").when(kind == "error", "пропущенный").otherwise("занято").alias("status"),
         F.when(F.col("value") >= 0.1, "входящий").alias("type"),
         F.date_format("ts", "yyyy-MM-dd").alias("call_date"),
@@ -63,7 +63,7 @@ QUERIES = {
 }
 
 _CALLS_SQL = f"""calls AS (
-    SELECT CASE user_id % 6 {" ".join(f"WHEN {n} THEN '{label}'" for n, (_, label) in enumerate(AGENTS))} END AS agent,
+    SELECT CASE {EVENT_NUMBER_SQL} // 10 {" ".join(f"WHEN {n} THEN '{label}'" for n, (_, label) in enumerate(AGENTS))} END AS agent,
            CASE WHEN event_type IN ('click', 'signup') THEN 'успешный' WHEN event_type = 'error' THEN 'пропущенный' ELSE 'занято' END AS status,
            CASE WHEN value >= 0.1 THEN 'входящий' END AS type, CAST(ts AS DATE) AS call_date
     FROM events WHERE event_type <> 'view'),

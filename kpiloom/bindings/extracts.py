@@ -62,11 +62,11 @@ def star_schedule(spark, folder):
         "doctors": _doctors(spark, folder),
         "resources": part.select(
             F.col("p_partkey").alias("resource_id"),
-            (F.col("p_size") % 6).alias("resource_type_id"),
+            F.floor(F.col("p_size") / 10).cast("int").alias("resource_type_id"),
             F.col("p_size").alias("equipment_id"),
-            (F.col("p_size") % 30).alias("room_id"),
+            F.floor(F.col("p_size") / 2).cast("int").alias("room_id"),
             F.col("p_size").alias("specialty_id"),
-            (F.col("p_size") % 25).alias("department_id"),
+            F.floor(F.col("p_size") / 2).cast("int").alias("department_id"),
             (F.col("p_size") > 5).cast("int").alias("in_time"),
         ),
         "resource_types": region.select(F.col("r_regionkey").alias("resource_type_id"), F.col("r_name").alias("name")),
@@ -100,7 +100,7 @@ def _visit_tables(spark, folder):
             F.col("c_name").alias("last_name"),
             F.col("c_mktsegment").alias("first_name"),
             F.when(F.col("c_nationkey") != 7, F.lit("Петрович")).alias("middle_name"),
-            F.make_date((F.lit(1930) + F.col("c_custkey") % 60).cast("int"), F.lit(3), F.lit(1)).alias("birth_date"),
+            F.make_date(F.lit(1930) + F.col("c_nationkey") * 2, F.lit(3), F.lit(1)).alias("birth_date"),
         ),
         "resources": customer.select(F.col("c_custkey").alias("resource_id"), F.col("c_nationkey").alias("department_id")),
         **_units(spark, folder),
@@ -144,12 +144,12 @@ def recency_bands(spark, folder):
     """Customers as followed-up patients; their visits come through the visits view."""
     patients = table(spark, folder, "customer").select(
         F.lit(77).cast("long").alias("org_id"),
-        F.concat(F.lit("Поликлиника ОСП "), (F.col("c_nationkey") % 8).cast("string")).alias("unit"),
+        F.concat(F.lit("Поликлиника ОСП "), F.col("c_nationkey").cast("string")).alias("unit"),
         F.upper("c_name").alias("last_name"),
         F.left("c_mktsegment", F.lit(1)).alias("first_name"),
         F.when(F.col("c_nationkey") != 7, F.lit("П")).alias("middle_name"),
-        (F.lit(1930) + F.col("c_custkey") % 60).cast("int").alias("birth_year"),
-        (F.lit(71) - F.col("c_custkey") % 60).cast("int").alias("age"),
+        (F.lit(1930) + F.col("c_nationkey") * 2).alias("birth_year"),
+        (F.lit(71) - F.col("c_nationkey") * 2).alias("age"),
     )
     return V.recency(patients, star_visits(spark, folder), org_id=77, as_of=AS_OF)
 
@@ -168,7 +168,7 @@ _DOCTOR_SQL = "upper(s_name || ' ' || 'n' || s_nationkey || ' ' || CASE WHEN s_a
 _VISITS_SQL = f"""visits AS (
     SELECT CAST(o_orderkey AS VARCHAR) AS tap_number, CAST(o_orderdate AS DATE) AS tap_date, 'M' || c_custkey AS mkab_number,
            upper(c_name) AS last_name, left(c_mktsegment, 1) AS first_name, CASE WHEN c_nationkey <> 7 THEN 'П' END AS middle_name,
-           CAST(1930 + c_custkey % 60 AS VARCHAR) AS birth_year, n_name AS department_name, r_name AS subdivision_name
+           CAST(1930 + c_nationkey * 2 AS VARCHAR) AS birth_year, n_name AS department_name, r_name AS subdivision_name
     FROM orders LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey
     LEFT JOIN region ON r_regionkey = n_regionkey
     WHERE o_orderdate >= TIMESTAMP '{FLOOR} 00:00:00' AND o_orderstatus <> 'P')"""
@@ -181,10 +181,10 @@ ORACLES = {
         sp.n_nationkey AS specialty_id, sp.n_name AS specialty_name, dep.n_name AS department_name, sub.r_name AS subdivision_name,
         {", ".join(f"CASE WHEN {_CODE_SQL} & {bit} > 0 THEN 1 ELSE 0 END AS {name}" for name, bit in _BITS.items())}
         FROM lineitem LEFT JOIN region bt ON bt.r_regionkey = l_linenumber LEFT JOIN supplier ON s_suppkey = l_suppkey
-        LEFT JOIN part ON p_partkey = l_partkey LEFT JOIN region rt ON rt.r_regionkey = p_size % 6
+        LEFT JOIN part ON p_partkey = l_partkey LEFT JOIN region rt ON rt.r_regionkey = p_size // 10
         LEFT JOIN nation eq ON eq.n_nationkey = p_size LEFT JOIN region et ON et.r_regionkey = eq.n_regionkey
-        LEFT JOIN nation rm ON rm.n_nationkey = p_size % 30 LEFT JOIN nation sp ON sp.n_nationkey = p_size
-        LEFT JOIN nation dep ON dep.n_nationkey = p_size % 25 LEFT JOIN region sub ON sub.r_regionkey = dep.n_regionkey
+        LEFT JOIN nation rm ON rm.n_nationkey = p_size // 2 LEFT JOIN nation sp ON sp.n_nationkey = p_size
+        LEFT JOIN nation dep ON dep.n_nationkey = p_size // 2 LEFT JOIN region sub ON sub.r_regionkey = dep.n_regionkey
         WHERE CAST(l_shipdate AS DATE) >= DATE '{FLOOR}' AND p_size > 5""",
     "star_visits": f"WITH {_VISITS_SQL} SELECT * FROM visits",
     "star_cards": f"""SELECT CAST(l_shipdate AS DATE) - 10 AS date_open, l_shipdate AS date_close, CAST(l_orderkey AS VARCHAR) AS card_number,
@@ -199,9 +199,9 @@ ORACLES = {
     "recency_bands": f"""WITH {_VISITS_SQL},
         latest AS (SELECT * FROM visits QUALIFY row_number() OVER (
             PARTITION BY last_name, first_name, middle_name, birth_year ORDER BY tap_date DESC, tap_number DESC) = 1),
-        people AS (SELECT 'Поликлиника ОСП ' || (c_nationkey % 8) AS department, 'ОСП ' || (c_nationkey % 8) AS subdivision,
+        people AS (SELECT 'Поликлиника ОСП ' || c_nationkey AS department, left('ОСП ' || c_nationkey, 5) AS subdivision,
             upper(c_name) AS last_name, left(c_mktsegment, 1) AS first_name, CASE WHEN c_nationkey <> 7 THEN 'П' END AS middle_name,
-            CAST(1930 + c_custkey % 60 AS INTEGER) AS birth_year, CAST(71 - c_custkey % 60 AS INTEGER) AS age FROM customer)
+            CAST(1930 + c_nationkey * 2 AS INTEGER) AS birth_year, CAST(71 - c_nationkey * 2 AS INTEGER) AS age FROM customer)
         SELECT p.subdivision, p.department, l.mkab_number, p.last_name, p.first_name, p.middle_name, p.birth_year, p.age, l.tap_date,
                CASE WHEN date_diff('day', l.tap_date, DATE '{AS_OF}') >= 30 THEN 'red'
                     WHEN date_diff('day', l.tap_date, DATE '{AS_OF}') >= 20 THEN 'yellow' ELSE '' END AS band

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,19 +20,41 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(_LAYOUTS[path]).parquet(path)
 
 
-def choice(number: Column, options: Sequence) -> Column:
-    """Option at ``number`` modulo their count; an option may be None."""
-    place = number % len(options)
+def steps(value: Column, limits: Sequence[tuple], last=None) -> Column:
+    """The option of the first limit above ``value``, else ``last``; an option may be None."""
     chain = None
-    for index, option in enumerate(options):
-        chain = F.when(place == index, F.lit(option)) if chain is None else chain.when(place == index, F.lit(option))
-    return chain
-
-
-def choice_sql(number: str, options: Sequence) -> str:
-    """The same choice as SQL text."""
-    whens = " ".join(
-        f"WHEN {index} THEN " + ("NULL" if option is None else str(option) if isinstance(option, int) else f"'{option}'")
-        for index, option in enumerate(options)
-    )
-    return f"CASE {number} % {len(options)} {whens} END"
+    for limit, option in limits:
+        chain = F.when(value < limit, F.lit(option)) if chain is None else chain.when(value < limit, F.lit(option))
+    return chain.otherwise(F.lit(last))
+
+
+def _literal(option) -> str:
+    return "NULL" if option is None else str(option) if isinstance(option, int) else f"'{option}'"
+
+
+def steps_sql(value: str, limits: Sequence[tuple], last=None) -> str:
+    """The same as SQL text."""
+    whens = " ".join(f"WHEN {value} < {limit} THEN {_literal(option)}" for limit, option in limits)
+    return f"CASE {whens} ELSE {_literal(last)} END"
+
+
+def labels(value: Column, options: Mapping, last=None) -> Column:
+    """The option stored for ``value``, else ``last``."""
+    chain = None
+    for key, option in options.items():
+        chain = F.when(value == key, F.lit(option)) if chain is None else chain.when(value == key, F.lit(option))
+    return chain.otherwise(F.lit(last))
+
+
+def labels_sql(value: str, options: Mapping, last=None) -> str:
+    """The same as SQL text."""
+    whens = " ".join(f"WHEN {_literal(key)} THEN {_literal(option)}" for key, option in options.items())
+    return f"CASE {value} {whens} ELSE {_literal(last)} END"
+
+
+def event_number() -> Column:
+    """The number in an event's ``props``, 0 to 99."""
+    return F.get_json_object("props", "$.k").cast("int")
+
+
+EVENT_NUMBER_SQL = "CAST(json_extract_string(props, '$.k') AS INTEGER)"

@@ -10,7 +10,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from kpiloom.bindings.inputs import choice, choice_sql, table
+from kpiloom.bindings.inputs import EVENT_NUMBER_SQL, event_number, steps, steps_sql, table
 from kpiloom.functions.text import booking_name
 from kpiloom.operators.rows import first_rows, quality
 from kpiloom.plans import closures as K
@@ -22,9 +22,10 @@ FIRST, LAST = date(2024, 1, 1), date(2024, 1, 30)
 ORG = 77
 MAIN_SITE = "Главный корпус"
 DEPARTMENTS = (
-    "ОСП 1 терапия", "ОСП 1 хирургия", "Поликлиника ОСП №3 каб. 1", "ЦАОП 2 этаж", "Ленинградская п-ка", None, "Иное отделение",
+    (15, "ОСП 1 терапия"), (30, "ОСП 1 хирургия"), (45, "Поликлиника ОСП №3 каб. 1"), (60, "ЦАОП 2 этаж"), (75, "Ленинградская п-ка"),
+    (85, None), (100, "Иное отделение"),
 )
-CLOSING_UNITS = ("ОСП 1 каб. 4", "ОСП 2 поликлиника", "Поликлиника ОСП 3", "Женская консультация")
+CLOSING_UNITS = ((25, "ОСП 1 каб. 4"), (50, "ОСП 2 поликлиника"), (75, "Поликлиника ОСП 3"), (100, "Женская консультация"))
 CLOSING_PLAN = {"ОСП 1": 1200, "ОСП 2": 300, MAIN_SITE: 600}
 MARKS = {"error": "Неявка", "view": "Запись отменена", "click": "Явка"}
 
@@ -43,14 +44,14 @@ def _event_choice(values: dict):
 
 def bookings(spark, folder):
     subdivision = F.when((F.col("event_type") == "signup") & (F.col("value") > 40), "ИТОГО по кабинету").otherwise(
-        choice(F.col("user_id"), DEPARTMENTS)
+        steps(event_number(), DEPARTMENTS)
     )
     name = F.when(F.col("value") < 1, F.concat(F.lit("№1 Юз"), F.col("user_id").cast("string"))).otherwise(
         F.concat(F.lit("№"), F.col("event_id").cast("string"), F.lit(" "), _person(), F.lit(", 1.1.1990"))
     )
     return table(spark, folder, "events").where("event_type <> 'purchase'").select(
         subdivision.alias("subdivision"),
-        F.concat(F.lit("к"), (F.col("user_id") % 9).cast("string")).alias("room"),
+        F.concat(F.lit("к"), event_number().cast("string")).alias("room"),
         name.alias("patient_name"),
         F.when(F.col("value") > 20, F.date_trunc("day", "ts").cast("timestamp_ntz")).otherwise(F.col("ts")).alias("booked_at"),
         _event_choice(MARKS).alias("mark"),
@@ -60,10 +61,10 @@ def bookings(spark, folder):
 
 def prescriptions(spark, folder):
     return table(spark, folder, "events").where("event_type = 'purchase'").select(
-        choice(F.col("user_id"), DEPARTMENTS).alias("department"),
+        steps(event_number(), DEPARTMENTS).alias("department"),
         F.concat(F.lit("S"), F.col("event_id").cast("string")).alias("series_number"),
         F.date_format("ts", "dd.MM.yyyy").alias("issue_date"),
-        F.concat(F.lit("D"), (F.col("user_id") % 11).cast("string")).alias("doctor_name"),
+        F.concat(F.lit("D"), F.col("user_id").cast("string")).alias("doctor_name"),
         F.col("user_id").cast("string").alias("insurance_no"),
         _person().alias("patient_name"),
         F.get_json_object("props", "$.k").alias("category_code"),
@@ -77,7 +78,7 @@ def prescriptions(spark, folder):
 def report(spark, folder):
     return table(spark, folder, "events").select(
         F.when(F.col("event_type") == "error", 78).otherwise(ORG).cast("long").alias("org_id"),
-        choice(F.col("user_id"), CLOSING_UNITS).alias("unit"),
+        steps(event_number(), CLOSING_UNITS).alias("unit"),
         F.date_format("ts", "dd.MM.yyyy HH:mm:ss").alias("closed_at"),
         F.when(F.col("event_type") == "view", "Отказ").otherwise("Обследование пройдено").alias("close_reason"),
         _event_choice(
@@ -166,7 +167,7 @@ QUERIES = {
 _WEEKDAYS = ("Понедельник", "Вторник", "Среда", "Четверг", "Пятница", "Суббота", "Воскресенье")
 _CLOSURES_SQL = f"""c AS (
     SELECT CASE WHEN regexp_matches(u, '^ОСП [0-9]') THEN regexp_extract(u, 'ОСП [0-9]', 0) ELSE '{MAIN_SITE}' END AS unit, isodow(ts) AS wd
-    FROM (SELECT {choice_sql("user_id", CLOSING_UNITS)} AS u, ts, event_type FROM events)
+    FROM (SELECT {steps_sql(EVENT_NUMBER_SQL, CLOSING_UNITS)} AS u, ts, event_type FROM events)
     WHERE event_type IN ('signup', 'click') AND CAST(ts AS DATE) BETWEEN DATE '{FIRST}' AND DATE '{LAST}'),
   closures AS (
     SELECT unit, {", ".join(f'nullif(count(*) FILTER (WHERE wd = {n + 1}), 0) AS "{name}"' for n, name in enumerate(_WEEKDAYS))},
@@ -175,7 +176,7 @@ _CLOSURES_SQL = f"""c AS (
     FROM c GROUP BY unit)"""
 
 _PERSON_SQL = "'Юз' || user_id || ' Час' || hour(ts) || ' Петрович'"
-_DEPARTMENT_SQL = choice_sql("user_id", DEPARTMENTS)
+_DEPARTMENT_SQL = steps_sql(EVENT_NUMBER_SQL, DEPARTMENTS)
 
 
 def _department_rule(column: str) -> str:
@@ -187,7 +188,7 @@ def _department_rule(column: str) -> str:
 _RECONCILE_SQL = f"""b AS (
     SELECT * FROM (SELECT event_id AS seq,
         CASE WHEN event_type = 'signup' AND value > 40 THEN 'ИТОГО по кабинету' ELSE {_DEPARTMENT_SQL} END AS subdivision,
-        'к' || (user_id % 9) AS room, CASE WHEN value >= 1 THEN upper({_PERSON_SQL}) END AS patient_name,
+        'к' || {EVENT_NUMBER_SQL} AS room, CASE WHEN value >= 1 THEN upper({_PERSON_SQL}) END AS patient_name,
         CASE WHEN value > 20 THEN date_trunc('day', ts) ELSE ts END AS booked_at, CAST(ts AS DATE) AS booked_date,
         CASE event_type WHEN 'error' THEN 'Неявка' WHEN 'view' THEN 'Запись отменена' WHEN 'click' THEN 'Явка' END AS mark
       FROM events WHERE event_type <> 'purchase')
@@ -199,7 +200,7 @@ _RECONCILE_SQL = f"""b AS (
       AND mark IS NOT NULL AND mark NOT IN ('Запись отменена', 'Запись перенесена')),
   rx AS (
     SELECT {_DEPARTMENT_SQL} AS department, 'S' || event_id AS series_number, CAST(ts AS DATE) AS issue_date,
-           'D' || (user_id % 11) AS doctor_name, CAST(user_id AS VARCHAR) AS insurance_no, upper({_PERSON_SQL}) AS patient_name,
+           'D' || user_id AS doctor_name, CAST(user_id AS VARCHAR) AS insurance_no, upper({_PERSON_SQL}) AS patient_name,
            json_extract_string(props, '$.k') AS category_code, 'ул. Новая' AS address, 'препарат' AS drug, value AS quantity,
            {_department_rule(f"({_DEPARTMENT_SQL})")} AS subdivision
     FROM events WHERE event_type = 'purchase'

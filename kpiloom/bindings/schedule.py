@@ -1,4 +1,4 @@
-"""Schedule cells on ``events``: a user is a resource, an event a cell of 15 minutes."""
+"""Schedule cells on ``events`` and ``customer``: a user is a resource, an event a cell of 15 minutes."""
 
 from __future__ import annotations
 
@@ -6,40 +6,44 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from kpiloom.bindings.inputs import choice, choice_sql, table
+from kpiloom.bindings.inputs import labels, labels_sql, steps, steps_sql, table
 from kpiloom.functions.numbers import access_flags
 from kpiloom.plans import slots as S
 
 NOW = datetime(2024, 1, 27, 12, 0)
 FIRST = date(2024, 1, 5)
-SPECIALTIES = (1815, 2001, 1857, 2002, None, 1895, 2003)
-TYPES = ("Врач", "Врач", "Оборудование", "Кабинет")
-EQUIPMENT = ("Рентген", "Магнитно-резонансный томограф", "Компьютерный томограф", "Компьютерные томографы", "УЗИ")
-ROOMS = ("101", "Стационар 2", None, "204", "305")
+TYPES = {"BUILDING": "Врач", "HOUSEHOLD": "Врач", "MACHINERY": "Оборудование", "AUTOMOBILE": "Оборудование", "FURNITURE": "Кабинет"}
+SPECIALTIES = ((6, 1815), (10, 1895), (16, 2001), (21, 2002))
+EQUIPMENT = ((4, "Рентген"), (12, "Магнитно-резонансный томограф"), (17, "Компьютерный томограф"), (22, "Компьютерные томографы"))
+ROOMS = ((8, "101"), (12, "Стационар 2"), (14, None), (20, "204"))
 
 
 def cells(spark, folder):
-    user = F.col("user_id")
-    code = F.when(F.col("value") < 50, (F.col("event_id") % 128).cast("int"))
-    name = user.cast("string")
-    return table(spark, folder, "events").select(
-        user.alias("resource_id"),
+    """Events with the attributes of their resource, which come from ``customer``."""
+    nation = F.col("c_nationkey")
+    resources = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("resource_id"),
+        labels(F.col("c_mktsegment"), TYPES).alias("resource_type"),
+        F.concat(F.lit("ВРАЧ "), "c_name").alias("doctor_full_name"),
+        F.concat(F.lit("аппарат "), "c_name").alias("equipment_name"),
+        steps(nation, EQUIPMENT, "УЗИ").alias("equipment_type"),
+        steps(nation, ROOMS, "305").alias("cabinet_number"),
+        steps(nation, SPECIALTIES).alias("specialty_id"),
+        F.concat(F.lit("спец "), nation.cast("string")).alias("specialty_name"),
+        F.concat(F.lit("ОСП "), nation.cast("string")).alias("subdivision_name"),
+    )
+    code = F.when(F.col("value") < 128, F.floor("value").cast("int"))
+    events = table(spark, folder, "events").select(
+        F.col("user_id").alias("resource_id"),
         F.col("ts").alias("begin_time"),
         (F.col("ts") + F.expr("INTERVAL 15 MINUTES")).alias("end_time"),
-        choice(user, TYPES).alias("resource_type"),
-        F.concat(F.lit("ВРАЧ "), name).alias("doctor_full_name"),
-        F.concat(F.lit("аппарат "), name).alias("equipment_name"),
-        choice(user, EQUIPMENT).alias("equipment_type"),
-        choice(user, ROOMS).alias("cabinet_number"),
         code.alias("access_code"),
         F.col("event_type").isin("purchase", "error").cast("int").alias("is_used"),
-        choice(user, SPECIALTIES).alias("specialty_id"),
-        F.concat(F.lit("спец "), choice(user, SPECIALTIES).cast("string")).alias("specialty_name"),
         F.col("event_type").alias("department_name"),
-        F.concat(F.lit("ОСП "), (user % 7).cast("string")).alias("subdivision_name"),
-        F.col("event_id"),
+        "event_id",
         *[flag.alias(right) for right, flag in access_flags(code).items()],
     )
+    return events.join(resources, "resource_id", "left")
 
 
 def calendar_gaps(spark, folder):
@@ -76,13 +80,12 @@ QUERIES = {
 
 _CELLS_SQL = f"""cells AS (
     SELECT user_id AS resource_id, event_id, ts AS begin_time, ts + INTERVAL 15 MINUTE AS end_time,
-           {choice_sql("user_id", TYPES)} AS resource_type, 'ВРАЧ ' || user_id AS doctor_full_name,
-           'аппарат ' || user_id AS equipment_name, {choice_sql("user_id", EQUIPMENT)} AS equipment_type,
-           {choice_sql("user_id", ROOMS)} AS cabinet_number, CASE WHEN value < 50 THEN CAST(event_id % 128 AS INTEGER) END AS access_code,
-           event_type IN ('purchase', 'error') AS is_used, {choice_sql("user_id", SPECIALTIES)} AS specialty_id,
-           'спец ' || ({choice_sql("user_id", SPECIALTIES)}) AS specialty_name, event_type AS department_name,
-           'ОСП ' || (user_id % 7) AS subdivision_name
-    FROM events)"""
+           {labels_sql("c_mktsegment", TYPES)} AS resource_type, 'ВРАЧ ' || c_name AS doctor_full_name,
+           'аппарат ' || c_name AS equipment_name, {steps_sql("c_nationkey", EQUIPMENT, "УЗИ")} AS equipment_type,
+           {steps_sql("c_nationkey", ROOMS, "305")} AS cabinet_number, CASE WHEN value < 128 THEN CAST(floor(value) AS INTEGER) END AS access_code,
+           event_type IN ('purchase', 'error') AS is_used, {steps_sql("c_nationkey", SPECIALTIES)} AS specialty_id,
+           'спец ' || c_nationkey AS specialty_name, event_type AS department_name, 'ОСП ' || c_nationkey AS subdivision_name
+    FROM events LEFT JOIN customer ON c_custkey = user_id)"""
 
 
 def _nearest_sql(kind: str, columns: str, flags: dict) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kpiloom.bindings.inputs import choice, choice_sql, table
+from kpiloom.bindings.inputs import labels, labels_sql, table
 from kpiloom.functions import text as X
 from kpiloom.operators.joins import tagged_union
 from kpiloom.operators.rows import sorted_report
@@ -21,9 +21,14 @@ GARBLED = ("Ïðèâåò ", "Îòäåëåíèå ¹", "plain ", "¸æ ")
 REPAIRED = ("Привет ", "Отделение №", "plain ", "ёж ")
 
 
+def _by_nation(options):
+    """The options in turn for the 25 nation keys."""
+    return {nation: options[nation % len(options)] for nation in range(25)}
+
+
 def _customers(spark, folder, options, name):
-    key = F.col("c_custkey")
-    value = F.concat(choice(key, options), F.col("c_nationkey").cast("string"))
+    nation = F.col("c_nationkey")
+    value = F.concat(labels(nation, _by_nation(options)), nation.cast("string"))
     return table(spark, folder, "customer").select("c_custkey", value.alias(name))
 
 
@@ -45,8 +50,7 @@ def legacy_unit_map(spark, folder):
 
 
 def name_normalize(spark, folder):
-    key = F.col("c_custkey")
-    written = F.replace(choice(key, NAMES), F.lit("{}"), key.cast("string"))
+    written = F.replace(labels(F.col("c_nationkey"), _by_nation(NAMES)), F.lit("{}"), F.col("c_custkey").cast("string"))
     return table(spark, folder, "customer").select("c_custkey", X.booking_name(written).alias("patient_name"))
 
 
@@ -84,7 +88,7 @@ QUERIES = {
 
 
 def _derived(options, name):
-    return f"(SELECT c_custkey, ({choice_sql('c_custkey', options)}) || c_nationkey AS {name} FROM customer)"
+    return f"(SELECT c_custkey, ({labels_sql('c_nationkey', _by_nation(options))}) || c_nationkey AS {name} FROM customer)"
 
 
 ORACLES = {
@@ -97,7 +101,7 @@ ORACLES = {
         FROM {_derived(UNITS, "unit")}""",
     "legacy_unit_map": f"""SELECT *, CASE WHEN contains(unit, 'Старая больница') THEN 'ОСП 6' WHEN contains(unit, 'ГБ №2') THEN 'ОСП 5'
         WHEN contains(unit, 'больница') THEN 'ОСП 4' ELSE unit END AS current FROM {_derived(LEGACY_NAMES, "unit")}""",
-    "name_normalize": """SELECT c_custkey, CASE WHEN c_custkey % 5 IN (0, 1, 4) THEN 'АЛЬФА БЕТА ГАММА' END AS patient_name FROM customer""",
+    "name_normalize": """SELECT c_custkey, CASE WHEN c_nationkey % 5 IN (0, 1, 4) THEN 'АЛЬФА БЕТА ГАММА' END AS patient_name FROM customer""",
     "encoding_repair": f"SELECT * FROM {_derived(REPAIRED, 'note')}",
     "source_union_tagged": """SELECT 'customer' AS unit, c_name AS name, c_nationkey AS nation, c_acctbal AS balance FROM customer
         UNION ALL SELECT 'supplier', s_name, s_nationkey, s_acctbal FROM supplier""",

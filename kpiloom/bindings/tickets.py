@@ -1,28 +1,32 @@
-"""Support tickets on ``documents``: a document is a message, tags are put before its whole text."""
+"""Support tickets on ``documents``: a document is a message, tags are put before its whole text.
+
+Tags go by the length of the text; Spanish documents are comments without a number.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kpiloom.bindings.inputs import choice, table
+from kpiloom.bindings.inputs import steps, steps_sql, table
 from kpiloom.plans import tickets as T
 
 LINK = "https://chat.example/c/1/"
+COMMENT = "Уточнение {} без номера "
 HEADS = (
-    "Заявка № {} #ОСП 3 #ЕМИАС #Открыта\n",
-    "Заявка  №{} #ОСП_1 #ОСП_2 #Оснащение #Решена ",
-    "Заявка N{} #Кирова #Проект #решено ",
-    "Заявка N {} #Общая #ОСП_4 #ЦАОП #Закрыта\n",
-    "Уточнение {} без номера ",
-    "Заявка №{} #ОСП №3 #Списание ",
-    "Заявка №{} #Ленинград #ЕМИАС #Проект #закрыта ",
+    (600, "Заявка № {} #ОСП 3 #ЕМИАС #Открыта\n"),
+    (900, "Заявка  №{} #ОСП_1 #ОСП_2 #Оснащение #Решена "),
+    (1300, "Заявка N{} #Кирова #Проект #решено "),
+    (1800, "Заявка N {} #Общая #ОСП_4 #ЦАОП #Закрыта\n"),
+    (2500, "Заявка №{} #ОСП №3 #Списание "),
 )
+LONG_HEAD = "Заявка №{} #Ленинград #ЕМИАС #Проект #закрыта "
 
 
 def messages(spark, folder):
-    """Even documents are plain strings, odd ones lists of text parts."""
-    key = F.col("doc_id")
-    head = F.replace(choice(key, HEADS), F.lit("{}"), key.cast("string"))
+    """English documents are plain strings, the others lists of text parts."""
+    key, lang = F.col("doc_id"), F.col("lang")
+    tags = F.when(lang == "es", COMMENT).otherwise(steps(F.col("n_chars"), HEADS, LONG_HEAD))
+    head = F.replace(tags, F.lit("{}"), key.cast("string"))
     body = F.col("text")
     plain = F.concat(head, body).cast("variant")
     parts = F.to_variant_object(
@@ -34,7 +38,7 @@ def messages(spark, folder):
     return table(spark, folder, "documents").select(
         key.alias("id"),
         F.when(F.col("source") != "src0", F.col("source")).alias("author"),
-        F.when(key % 2 == 0, plain).otherwise(parts).alias("text"),
+        F.when(lang == "en", plain).otherwise(parts).alias("text"),
     )
 
 
@@ -56,9 +60,7 @@ QUERIES = {
     "ticket_open_by_group": ticket_open_by_group,
 }
 
-_HEAD_SQL = "CASE doc_id % {} {} END".format(
-    len(HEADS), " ".join(f"WHEN {n} THEN '{head}'" for n, head in enumerate(HEADS))
-)
+_HEAD_SQL = f"CASE WHEN lang = 'es' THEN '{COMMENT}' ELSE {steps_sql('n_chars', HEADS, LONG_HEAD)} END"
 _SPELLINGS = (
     ("Заявка № ", "Заявка №"), ("Заявка  №", "Заявка №"), ("Заявка N ", "Заявка №"), ("Заявка N", "Заявка №"),
     ("#Открыта", "#Открыто"), ("#Решена", "#Решено"), ("#решено", "#Решено"), ("#Закрыта", "#Решено"),
