@@ -68,8 +68,12 @@ def schedule_view(tables: Tables, *, as_of: date) -> DataFrame:
     )
 
 
-def visits_view(tables: Tables, *, since: date) -> DataFrame:
-    """Closed visits since a date, with the patient's name parts and the unit."""
+def visits_view(tables: Tables, *, since: date, with_time: bool = False) -> DataFrame:
+    """Closed visits since a date, with the patient's name parts and the unit.
+
+    ``with_time`` keeps the moment of the visit too, which orders the visits of one day.
+    """
+    moment = ["visited_at"] if with_time else []
     people = tables["patients"].select(
         "patient_id",
         F.col("card_number").alias("mkab_number"),
@@ -84,7 +88,7 @@ def visits_view(tables: Tables, *, since: date) -> DataFrame:
     placed = _look_up(closed, tables, "resources", "resource_id", {"department_id": "department_id"})
     return _with_unit(placed, tables).join(people, "patient_id", "left").select(
         "tap_number", F.col("visited_at").cast("date").alias("tap_date"), "mkab_number", "last_name",
-        "first_name", "middle_name", "birth_year", "department_name", "subdivision_name",
+        "first_name", "middle_name", "birth_year", "department_name", "subdivision_name", *moment,
     )
 
 

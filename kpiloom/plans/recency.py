@@ -16,9 +16,13 @@ PERSON = ("last_name", "first_name", "middle_name", "birth_year")
 
 
 def latest_visits(visits: DataFrame) -> DataFrame:
-    """The latest visit per person; a missing name part is a value of its own."""
+    """The latest visit per person; a missing name part is a value of its own.
+
+    Visits of one day are ordered by ``visited_at`` where the frame has it.
+    """
     numbered = visits.withColumn("birth_year", F.col("birth_year").try_cast("int"))
-    order = [F.desc_nulls_last("tap_date"), F.desc("tap_number")]
+    latest = [name for name in ("tap_date", "visited_at") if name in visits.columns]
+    order = [*[F.desc_nulls_last(name) for name in latest], F.desc("tap_number")]
     return first_rows(numbered, PERSON, order, null_keys=True)
 
 

@@ -6,6 +6,7 @@ from datetime import date, datetime
 
 from kpiloom import jobs, schemas
 from kpiloom.plans.progress import Plan
+from test_reports import schedule_tables
 
 
 def write(path, lines):
@@ -111,6 +112,15 @@ def test_progress_job(spark, frame, tmp_path):
     assert as_set(spark.read.parquet(f"{out}/departments")) == {("ОСП 1 каб", 2, 0), ("ОСП 2", 2, 1)}
 
 
+def test_schedule_job(spark, frame, tmp_path):
+    out = str(tmp_path / "out")
+    jobs.schedule_job(schedule_tables(frame), out, now=datetime(2024, 1, 10, 8))
+    gaps = read_csv(spark, out, "gaps").collect()
+    assert [(row["resource_id"], len(row["missing_dates"].split(", "))) for row in gaps] == [("1", 21)]
+    assert as_set(read_csv(spark, out, "specialists").select("resource_id")) == set()
+    assert as_set(read_csv(spark, out, "open_minutes")) == set()  # access code 111 only
+
+
 def test_calls_job(spark, tmp_path):
     path = write(tmp_path / "calls.csv", ["h", "1,SIP/ext1,успешный,in,2024-01-10,10:00", "1,,пропущенный,in,2024-01-09,10:00"])
     out = str(tmp_path / "out")

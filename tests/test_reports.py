@@ -405,15 +405,26 @@ def test_recency(frame):
     }
 
 
+def test_visits_of_one_day_are_ordered_by_time(frame):
+    visits = frame(
+        "tap_number STRING, tap_date DATE, visited_at TIMESTAMP_NTZ, last_name STRING, first_name STRING, middle_name STRING, birth_year STRING",
+        ("9", date(2024, 1, 1), datetime(2024, 1, 1, 9), "A", "И", None, "1950"),
+        ("1", date(2024, 1, 1), datetime(2024, 1, 1, 12), "A", "И", None, "1950"),
+    )
+    assert as_set(recency.latest_visits(visits).select("tap_number")) == {("1",)}
+    assert as_set(recency.latest_visits(visits.drop("visited_at")).select("tap_number")) == {("9",)}
+
+
 # --- extracts ----------------------------------------------------------------
 
-def test_schedule_view(frame):
-    begin, end = datetime(2024, 1, 10, 9), datetime(2024, 1, 10, 9, 15)
+BEGIN, END = datetime(2024, 1, 10, 9), datetime(2024, 1, 10, 9, 15)
 
+
+def schedule_tables(frame):
     def a_cell(day, resource, doctor=1, busy=1):
-        return day, begin, end, busy, doctor, resource, 111, 0, 0
+        return day, BEGIN, END, busy, doctor, resource, 111, 0, 0
 
-    tables = {
+    return {
         "cells": frame(
             "date TIMESTAMP_NTZ, begin_time TIMESTAMP_NTZ, end_time TIMESTAMP_NTZ, busy_type_id INT, doctor_id INT, resource_id BIGINT, "
             "access_code INT, is_used INT, is_out_schedule INT",
@@ -434,10 +445,13 @@ def test_schedule_view(frame):
         "departments": frame("department_id INT, name STRING, subdivision_id INT", (1, "dep", 1), (2, "dep2", None)),
         "subdivisions": frame("subdivision_id INT, name STRING", (1, "sub")),
     }
-    view = extracts.schedule_view(tables, as_of=date(2024, 1, 10))
+
+
+def test_schedule_view(frame):
+    view = extracts.schedule_view(schedule_tables(frame), as_of=date(2024, 1, 10))
     assert as_set(view) == {
-        (1, begin, end, "Врач", "АА Б В", "eq", "type", "101", "прием", 111, 0, 0, 5, "spec", "dep", "sub", 1, 1, 1, 1, 1, 1),
-        (3, begin, end, None, None, "eq2", None, None, None, 111, 0, 0, None, None, "dep2", None, 1, 1, 1, 1, 1, 1),
+        (1, BEGIN, END, "Врач", "АА Б В", "eq", "type", "101", "прием", 111, 0, 0, 5, "spec", "dep", "sub", 1, 1, 1, 1, 1, 1),
+        (3, BEGIN, END, None, None, "eq2", None, None, None, 111, 0, 0, None, None, "dep2", None, 1, 1, 1, 1, 1, 1),
     }
     names = [part.split()[0] for part in schemas.SCHEDULE_CELLS.split(", ")]
     assert view.columns == names
@@ -463,8 +477,12 @@ def test_visits_and_cards_views(frame):
             **units,
         },
         since=date(2024, 1, 1),
+        with_time=True,
     )
-    assert as_set(visits) == {
+    assert {row["tap_number"]: row["visited_at"] for row in visits.collect()} == {
+        "1": datetime(2024, 1, 1), "4": datetime(2024, 1, 2, 5),
+    }
+    assert as_set(visits.drop("visited_at")) == {
         ("1", date(2024, 1, 1), "m1", "АА", "Б", None, "1950", "dep", "sub"),
         ("4", date(2024, 1, 2), None, None, None, None, None, None, None),
     }

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from __spark_entry__ import queries
 from kpiloom.functions.dates import workdays, workdays_between
 from kpiloom.operators.history import freeze_history
+from kpiloom.operators.joins import null_safe_join
 from kpiloom.operators.rows import first_rows
 from kpiloom.plans import completeness, progress, slots
 
@@ -141,6 +142,63 @@ def test_hot_resource(spark):
     assert ours == expected
 
 
+@pytest.fixture
+def small_skew(spark):
+    """Adaptive thresholds scaled down to test data, broadcasts off."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+def final_plan(df):
+    rows = df.collect()
+    return rows, df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_grouping_after_a_join_splits_a_hot_key(spark, small_skew):
+    """Two thirds of the cells belong to one resource, resources are too large to broadcast."""
+    n = 200_000
+    resource = F.when(F.col("id") % 3 != 0, 1).otherwise(F.col("id") % 5000)
+    cells = spark.range(0, n, 1, 16).select(
+        resource.alias("resource_id"), (F.lit("2024-01-10 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("id").cast("int") % 9000)).alias("begin_time"),
+        F.lit(0).alias("is_used"), F.lit(1).alias("ac_doctor"), (F.col("id") % 2).cast("int").alias("ac_internet"),
+        F.lit("dep").alias("department_name"), F.col("id").alias("seq"),
+    ).withColumn("end_time", F.col("begin_time") + F.expr("INTERVAL 15 MINUTES"))
+    resources = spark.range(5000).select(
+        F.col("id").alias("resource_id"), F.lit("Врач").alias("resource_type"), F.lit(1815).alias("specialty_id"),
+        *[F.lit("x").alias(name) for name in ("subdivision_name", "doctor_full_name", "specialty_name")],
+    )
+    joined = cells.join(resources, "resource_id", "left")
+    now = datetime(2024, 1, 12, 12)
+    rows, plan = final_plan(slots.doctor_slots(joined, now=now, tie_break=["seq"]))
+    assert "SortMergeJoin(skew=true)" in plan
+    assert len({row["resource_id"] for row in rows}) == len(rows)
+    hot = next(row for row in rows if row["resource_id"] == 1)
+    assert (hot["wait_days"], hot["self_booking_wait_days"]) == (0, 0)
+    minutes = {r["resource_id"]: r["open_minutes"] for r in slots.open_minutes(joined.withColumn("access_code", F.lit(1)), day=date(2024, 1, 11)).collect()}
+    inside = [i for i in range(n) if 1440 < i % 9000 < 2880]
+    assert minutes[1] == 15.0 * sum(1 for i in inside if i % 3 != 0 or i % 5000 == 1)
+
+
+def test_row_level_join_splits_a_hot_key(spark, small_skew):
+    left = spark.range(0, 120_000, 1, 16).select(F.when(F.col("id") % 3 == 0, F.col("id")).alias("k"), F.col("id").alias("n"))
+    right = spark.range(0, 120_000, 1, 16).select(F.col("id").alias("k"), F.lit("x" * 5).alias("v")).where("k % 3 = 0")
+    right = right.unionByName(spark.createDataFrame([(None, "missing")], "k BIGINT, v STRING"))
+    joined = null_safe_join(left, right, ["k"])
+    rows, plan = final_plan(joined.groupBy("v").agg(F.count(F.lit(1)).alias("n")))
+    assert "SortMergeJoin(skew=true)" in plan
+    assert {row["v"]: row["n"] for row in rows} == {"xxxxx": 40_000, "missing": 80_000}
+
+
 def test_first_rows_against_a_loop(spark):
     rng = random.Random(7)
     data = [("hot" if n % 3 == 0 else f"k{rng.randrange(50)}", rng.randrange(10**6), n) for n in range(5000)]
