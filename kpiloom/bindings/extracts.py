@@ -141,7 +141,8 @@ def access_flag_sums(spark, folder):
 
 
 def recency_bands(spark, folder):
-    """Customers as followed-up patients; their visits come through the visits view."""
+    """Customers as followed-up patients with the visits of the visits view."""
+    visits = X.patient_visits(_visit_tables(spark, folder), since=FLOOR)
     patients = table(spark, folder, "customer").select(
         F.lit(77).cast("long").alias("org_id"),
         F.concat(F.lit("Поликлиника ОСП "), F.col("c_nationkey").cast("string")).alias("unit"),
@@ -151,7 +152,7 @@ def recency_bands(spark, folder):
         (F.lit(1930) + F.col("c_nationkey") * 2).alias("birth_year"),
         (F.lit(71) - F.col("c_nationkey") * 2).alias("age"),
     )
-    return V.recency(patients, star_visits(spark, folder), org_id=77, as_of=AS_OF)
+    return V.recency(patients, visits, org_id=77, as_of=AS_OF)
 
 
 QUERIES = {

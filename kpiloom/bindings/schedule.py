@@ -19,7 +19,22 @@ ROOMS = ((8, "101"), (12, "Стационар 2"), (14, None), (20, "204"))
 
 
 def cells(spark, folder):
-    """Events with the attributes of their resource, which come from ``customer``."""
+    """Events as cells; what a cell tells about its resource is its event type as department."""
+    code = F.when(F.col("value") < 128, F.floor("value").cast("int"))
+    return table(spark, folder, "events").select(
+        F.col("user_id").alias("resource_id"),
+        F.col("ts").alias("begin_time"),
+        (F.col("ts") + F.expr("INTERVAL 15 MINUTES")).alias("end_time"),
+        code.alias("access_code"),
+        F.col("event_type").isin("purchase", "error").cast("int").alias("is_used"),
+        F.col("event_type").alias("department_name"),
+        "event_id",
+        *[flag.alias(right) for right, flag in access_flags(code).items()],
+    )
+
+
+def named(spark, folder, found):
+    """One row per resource with the resource's own attributes, from ``customer``."""
     nation = F.col("c_nationkey")
     resources = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("resource_id"),
@@ -32,38 +47,28 @@ def cells(spark, folder):
         F.concat(F.lit("спец "), nation.cast("string")).alias("specialty_name"),
         F.concat(F.lit("ОСП "), nation.cast("string")).alias("subdivision_name"),
     )
-    code = F.when(F.col("value") < 128, F.floor("value").cast("int"))
-    events = table(spark, folder, "events").select(
-        F.col("user_id").alias("resource_id"),
-        F.col("ts").alias("begin_time"),
-        (F.col("ts") + F.expr("INTERVAL 15 MINUTES")).alias("end_time"),
-        code.alias("access_code"),
-        F.col("event_type").isin("purchase", "error").cast("int").alias("is_used"),
-        F.col("event_type").alias("department_name"),
-        "event_id",
-        *[flag.alias(right) for right, flag in access_flags(code).items()],
-    )
-    return events.join(resources, "resource_id", "left")
+    return found.join(resources, "resource_id")
 
 
 def calendar_gaps(spark, folder):
-    return S.schedule_gaps(cells(spark, folder), first=FIRST, tie_break=["event_id"])
+    gaps = S.date_gaps(cells(spark, folder), first=FIRST, tie_break=["event_id"])
+    return S.doctor_gaps(named(spark, folder, gaps))
 
 
-def _slots(spark, folder):
-    return S.doctor_slots(cells(spark, folder), now=NOW, tie_break=["event_id"])
+def _found(spark, folder):
+    return named(spark, folder, S.first_free_cells(cells(spark, folder), now=NOW, tie_break=["event_id"]))
 
 
 def nearest_slot_gp(spark, folder):
-    return S.general_practice_waits(_slots(spark, folder))
+    return S.general_practice_waits(_found(spark, folder))
 
 
 def nearest_slot_specialist(spark, folder):
-    return S.specialist_waits(_slots(spark, folder))
+    return S.specialist_waits(_found(spark, folder))
 
 
 def nearest_slot_equipment(spark, folder):
-    return S.equipment_waits(cells(spark, folder), now=NOW, tie_break=["event_id"])
+    return S.equipment_waits(_found(spark, folder))
 
 
 def open_minutes_today(spark, folder):

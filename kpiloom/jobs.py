@@ -185,14 +185,19 @@ def progress_job(
 
 def schedule_job(tables: X.Tables, out: str, *, now: datetime, repair: bool = False) -> None:
     """Schedule gaps, waits for doctors and scanners and open minutes, from the base tables."""
-    cells = X.schedule_view(tables, as_of=now.date())
-    cells = repair_strings(cells) if repair else cells
-    write_csv(sorted_report(S.schedule_gaps(cells, first=now.date()), "subdivision_name"), f"{out}/gaps")
-    doctors = S.doctor_slots(cells, now=now)
+    cells = X.schedule_cells(tables, as_of=now.date())
+
+    def named(found: DataFrame) -> DataFrame:
+        rows = cut_lineage(X.name_resources(found, tables))  # one row per resource, read by several reports
+        return repair_strings(rows) if repair else rows
+
+    gaps = named(S.date_gaps(cells, first=now.date(), columns=["doctor_id"]))
+    write_csv(sorted_report(S.doctor_gaps(gaps), "subdivision_name"), f"{out}/gaps")
+    found = named(S.first_free_cells(cells, now=now, columns=["doctor_id"]))
     order = ("subdivision_name", "specialty_name")
-    write_csv(sorted_report(S.general_practice_waits(doctors), *order), f"{out}/general_practice")
-    write_csv(sorted_report(S.specialist_waits(doctors), *order), f"{out}/specialists")
-    write_csv(sorted_report(S.equipment_waits(cells, now=now), "subdivision_name"), f"{out}/scanners")
+    write_csv(sorted_report(S.general_practice_waits(found), *order), f"{out}/general_practice")
+    write_csv(sorted_report(S.specialist_waits(found), *order), f"{out}/specialists")
+    write_csv(sorted_report(S.equipment_waits(found), "subdivision_name"), f"{out}/scanners")
     write_csv(S.open_minutes(cells, day=now.date()), f"{out}/open_minutes")
 
 
@@ -227,7 +232,10 @@ def recency_job(
     as_of: date,
     skip_rows: Sequence[int] = (0,),
 ) -> None:
-    """Followed-up patients with their latest visit, one folder per subdivision, oldest visit first."""
+    """Followed-up patients with their latest visit, one folder per subdivision, oldest visit first.
+
+    ``visits`` is the visits view or, with the time of day, `extracts.patient_visits`.
+    """
     patients = report_scan(spark, patients_path, schemas.FOLLOWUP_PATIENTS, skip_rows=skip_rows)
     found = V.recency(patients, visits, org_id=org_id, as_of=as_of)
     write_by_unit(found, out, "subdivision", order=["tap_date"])

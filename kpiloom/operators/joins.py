@@ -27,13 +27,17 @@ def null_safe_join(
     return left.join(other, condition, how).drop(*[f"_right_{ours}" for ours in pairs])
 
 
-def rows_without(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def rows_without(left: DataFrame, right: DataFrame, keys: Sequence[str], *, null_keys: bool = True) -> DataFrame:
     """Rows of ``left`` whose key does not occur in ``right``.
 
-    The right side is cut to its distinct keys first: copies of a hot key are
-    dropped in each task before the shuffle, and the join reuses that shuffle.
+    The right side is cut to its distinct keys first, so copies of a hot key are
+    dropped in each task before the shuffle.  Where no key can be null, say so
+    with ``null_keys`` off: a plain equi-join reuses that shuffle.
     """
-    return null_safe_join(left, right.select(*keys).distinct(), keys, "left_anti")
+    others = right.select(*keys).distinct()
+    if null_keys:
+        return null_safe_join(left, others, keys, "left_anti")
+    return left.join(others, list(keys), "left_anti")
 
 
 def tagged_union(frames: Mapping[str, DataFrame], column: str) -> DataFrame:

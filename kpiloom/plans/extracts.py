@@ -15,6 +15,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kpiloom import fixed_values as fv
 from kpiloom.functions.numbers import access_flags
 from kpiloom.functions.text import full_name
 
@@ -41,39 +42,50 @@ def _with_doctor(df: DataFrame, tables: Tables) -> DataFrame:
     return df.join(doctors, "doctor_id", "left")
 
 
-def schedule_view(tables: Tables, *, as_of: date) -> DataFrame:
-    """Cells from ``as_of`` on of resources shown in the schedule, with all their names.
+def schedule_cells(tables: Tables, *, as_of: date) -> DataFrame:
+    """Cells from ``as_of`` on with one column per access right, without any names."""
+    cells = tables["cells"].where(F.col("date") >= F.lit(as_of)).drop("date")
+    return cells.withColumns(access_flags(F.col("access_code")))
+
 
-    A cell without a resource fails the resource condition, so that join is an
-    inner one.
+def _with_resource(df: DataFrame, tables: Tables) -> DataFrame:
+    """Names that depend on the resource; rows of resources not shown in the schedule are dropped.
+
+    A row without a resource fails that condition too, so the join is an inner one.
     """
     shown = tables["resources"].where(F.col("in_time") == 1).drop("in_time")
-    found_id = F.col("specialty_id").alias("found_specialty_id")
-    specialties = tables["specialties"].select("specialty_id", found_id, F.col("name").alias("specialty_name"))
-    cells = tables["cells"].where(F.col("date") >= F.lit(as_of)).drop("date").join(shown, "resource_id")
-    cells = _look_up(cells, tables, "busy_types", "busy_type_id", {"cell_type": "name"})
-    cells = _look_up(cells, tables, "resource_types", "resource_type_id", {"resource_type": "name"})
-    cells = _look_up(
-        cells, tables, "equipment", "equipment_id",
+    named = df.join(shown, "resource_id")
+    named = _look_up(named, tables, "resource_types", "resource_type_id", {"resource_type": "name"})
+    named = _look_up(
+        named, tables, "equipment", "equipment_id",
         {"equipment_name": "name", "equipment_type_id": "equipment_type_id"},
     )
-    cells = _look_up(cells, tables, "equipment_types", "equipment_type_id", {"equipment_type": "name"})
-    cells = _look_up(cells, tables, "rooms", "room_id", {"cabinet_number": "number"})
-    cells = _with_unit(cells.join(specialties, "specialty_id", "left"), tables)
-    return _with_doctor(cells, tables).select(
+    named = _look_up(named, tables, "equipment_types", "equipment_type_id", {"equipment_type": "name"})
+    named = _look_up(named, tables, "rooms", "room_id", {"cabinet_number": "number"})
+    known = tables["specialties"].select(
+        F.col("specialty_id").alias("_specialty"), "specialty_id", F.col("name").alias("specialty_name")
+    )
+    named = named.withColumnRenamed("specialty_id", "_specialty").join(known, "_specialty", "left")
+    return _with_unit(named, tables)
+
+
+def name_resources(found: DataFrame, tables: Tables) -> DataFrame:
+    """Names for a frame with one row per resource and the doctor of its first cell."""
+    return _with_doctor(_with_resource(found, tables), tables)
+
+
+def schedule_view(tables: Tables, *, as_of: date) -> DataFrame:
+    """Every cell from ``as_of`` on of resources shown in the schedule, with all names."""
+    named = name_resources(schedule_cells(tables, as_of=as_of), tables)
+    return _look_up(named, tables, "busy_types", "busy_type_id", {"cell_type": "name"}).select(
         "resource_id", "begin_time", "end_time", "resource_type", "doctor_full_name", "equipment_name",
         "equipment_type", "cabinet_number", "cell_type", "access_code", "is_used", "is_out_schedule",
-        F.col("found_specialty_id").alias("specialty_id"), "specialty_name", "department_name", "subdivision_name",
-        *[flag.alias(name) for name, flag in access_flags(F.col("access_code")).items()],
+        "specialty_id", "specialty_name", "department_name", "subdivision_name", *fv.ACCESS_BITS,
     )
 
 
-def visits_view(tables: Tables, *, since: date, with_time: bool = False) -> DataFrame:
-    """Closed visits since a date, with the patient's name parts and the unit.
-
-    ``with_time`` keeps the moment of the visit too, which orders the visits of one day.
-    """
-    moment = ["visited_at"] if with_time else []
+def patient_visits(tables: Tables, *, since: date) -> DataFrame:
+    """Closed visits since a date, with the patient's name parts, without the unit."""
     people = tables["patients"].select(
         "patient_id",
         F.col("card_number").alias("mkab_number"),
@@ -85,10 +97,16 @@ def visits_view(tables: Tables, *, since: date, with_time: bool = False) -> Data
     closed = tables["visits"].where(
         (F.col("visited_at") >= F.lit(since).cast("timestamp_ntz")) & (F.col("is_closed") == 1)
     )
-    placed = _look_up(closed, tables, "resources", "resource_id", {"department_id": "department_id"})
-    return _with_unit(placed, tables).join(people, "patient_id", "left").select(
-        "tap_number", F.col("visited_at").cast("date").alias("tap_date"), "mkab_number", "last_name",
-        "first_name", "middle_name", "birth_year", "department_name", "subdivision_name", *moment,
+    return closed.withColumn("tap_date", F.col("visited_at").cast("date")).join(people, "patient_id", "left")
+
+
+def visits_view(tables: Tables, *, since: date) -> DataFrame:
+    """Closed visits since a date, with the patient's name parts and the unit."""
+    visits = patient_visits(tables, since=since)
+    placed = _look_up(visits, tables, "resources", "resource_id", {"department_id": "department_id"})
+    return _with_unit(placed, tables).select(
+        "tap_number", "tap_date", "mkab_number", "last_name", "first_name", "middle_name", "birth_year",
+        "department_name", "subdivision_name",
     )
 
 

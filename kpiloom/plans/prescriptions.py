@@ -54,8 +54,8 @@ def first_prescriptions(prescriptions: DataFrame) -> DataFrame:
 
 
 def missing_booking(issued: DataFrame, kept: DataFrame, *, as_of: date) -> DataFrame:
-    """Prescriptions from ``as_of`` on for people without any standing booking."""
-    return rows_without(issued.where(F.col("issue_date") >= F.lit(as_of)), kept, ["patient_name"])
+    """Prescriptions from ``as_of`` on for people without any standing booking (no name is null here)."""
+    return rows_without(issued.where(F.col("issue_date") >= F.lit(as_of)), kept, ["patient_name"], null_keys=False)
 
 
 def noshow_fulfilled(noshow: DataFrame, issued: DataFrame) -> DataFrame:

@@ -1,4 +1,10 @@
-"""Schedule of doctors and equipment: gaps, nearest free cells, open minutes."""
+"""Schedule of doctors and equipment: gaps, nearest free cells, open minutes.
+
+Cells are grouped by resource first and combine in each task, whatever the size
+of a resource.  Names may already be columns of the cells, or be looked up for
+the one row per resource that is left (`kpiloom.plans.extracts.name_resources`),
+which spares the joins on the cells themselves.
+"""
 
 from __future__ import annotations
 
@@ -13,113 +19,92 @@ from kpiloom.functions.dates import days_until, interval_minutes, moment_literal
 from kpiloom.operators.calendar import date_masks, missing_dates
 from kpiloom.operators.rows import any_of, differs, is_in
 
-DOCTOR_COLUMNS = ("subdivision_name", "department_name", "doctor_full_name", "specialty_name", "specialty_id")
-EQUIPMENT_COLUMNS = ("subdivision_name", "department_name", "equipment_name", "cabinet_number", "equipment_type")
+RESOURCE_COLUMNS = (
+    "resource_type", "subdivision_name", "department_name", "doctor_full_name", "specialty_id", "specialty_name",
+    "equipment_name", "equipment_type", "cabinet_number",
+)
+WAITS = {"wait_days": "ac_doctor", "self_booking_wait_days": "ac_internet"}
 
 
-def _first_of(columns: Sequence[str], tie_break: Sequence[str]) -> Column:
-    """The columns of the earliest row of a group, as a struct."""
-    return F.min_by(F.struct(*columns), F.struct("begin_time", "end_time", *tie_break))
+def _first_of(cells: DataFrame, columns: Sequence[str] | None, order: Column) -> Column:
+    """The columns (default: the known ones the cells have) of the earliest row of a group, as a struct."""
+    if columns is None:
+        columns = [name for name in RESOURCE_COLUMNS if name in cells.columns]
+    return F.min_by(F.struct(*columns), order).alias("first")
 
 
-def schedule_gaps(
-    cells: DataFrame, *, first: date, days: int = 22, tie_break: Sequence[str] = ()
+def date_gaps(
+    cells: DataFrame, *, first: date, days: int = 22, columns: Sequence[str] | None = None, tie_break: Sequence[str] = ()
 ) -> DataFrame:
-    """Doctors with dates of the horizon on which they have no cell at all, dates as one text."""
-    wanted = ["resource_type", "subdivision_name", "department_name", "doctor_full_name"]
+    """Resources with dates of the horizon on which they have no cell at all.
+
+    Columns of the resource's earliest cell, and the array ``missing``.
+    """
     masks = date_masks(F.col("begin_time"), first, days)
     names = [f"_mask{number}" for number in range(len(masks))]
-    by_resource = cells.groupBy("resource_id").agg(
-        _first_of(wanted, tie_break).alias("first"), *[mask.alias(name) for mask, name in zip(masks, names)]
-    )
+    earliest = _first_of(cells, columns, F.struct("begin_time", "end_time", *tie_break))
+    by_resource = cells.groupBy("resource_id").agg(earliest, *[mask.alias(name) for mask, name in zip(masks, names)])
     missing = missing_dates([F.col(name) for name in names], first, days)
-    return (
-        by_resource.select("resource_id", "first.*", missing.alias("missing"))
-        .where((F.size("missing") > 0) & (F.col("resource_type") == fv.RESOURCE_DOCTOR))
-        .select(
-            "resource_id",
-            *wanted,
-            F.array_join(F.transform("missing", lambda day: F.date_format(day, "yyyy-MM-dd")), ", ").alias(
-                "missing_dates"
-            ),
-        )
+    return by_resource.select("resource_id", "first.*", missing.alias("missing")).where(F.size("missing") > 0)
+
+
+def doctor_gaps(gaps: DataFrame) -> DataFrame:
+    """Doctors among the resources of `date_gaps`, with the dates as one text."""
+    days = F.transform("missing", lambda day: F.date_format(day, "yyyy-MM-dd"))
+    return gaps.where(F.col("resource_type") == fv.RESOURCE_DOCTOR).select(
+        "resource_id", "resource_type", "subdivision_name", "department_name", "doctor_full_name",
+        F.array_join(days, ", ").alias("missing_dates"),
     )
 
 
-def nearest_slots(
+def first_free_cells(
     cells: DataFrame,
     *,
     now: datetime,
-    resource_type: str,
-    columns: Sequence[str],
-    waits: Mapping[str, str],
+    columns: Sequence[str] | None = None,
+    waits: Mapping[str, str] = WAITS,
     tie_break: Sequence[str] = (),
 ) -> DataFrame:
-    """Per resource with a free cell: the columns of its first free cell and days of waiting.
+    """Per resource with a free cell: columns of its first one and days of waiting.
 
     ``waits`` maps an output column to the access flag a cell must have; 9999
-    means no such cell.  One grouped pass serves all flags: the earliest cell of
-    each flag is kept per task before the shuffle.
+    means no such cell.  One grouped pass serves all flags.
     """
     moment = moment_literal(now)
     order = F.struct("begin_time", "end_time", *tie_break)
-    free = cells.where(
-        (F.col("is_used") == 0) & (F.col("end_time") > moment) & (F.col("resource_type") == resource_type)
-    )
+    free = cells.where((F.col("is_used") == 0) & (F.col("end_time") > moment))
     ends = [F.min_by("end_time", F.when(F.col(flag) == 1, order)).alias(f"_end_{out}") for out, flag in waits.items()]
-    nearest = free.groupBy("resource_id").agg(_first_of(columns, tie_break).alias("first"), *ends)
-    return nearest.select(
-        "resource_id",
-        "first.*",
-        *[
-            F.coalesce(days_until(F.col(f"_end_{out}"), moment), F.lit(fv.NO_SLOT)).alias(out)
-            for out in waits
-        ],
-    )
+    nearest = free.groupBy("resource_id").agg(_first_of(cells, columns, order), *ends)
+    days = [F.coalesce(days_until(F.col(f"_end_{out}"), moment), F.lit(fv.NO_SLOT)).alias(out) for out in waits]
+    return nearest.select("resource_id", "first.*", *days)
 
 
-def doctor_slots(cells: DataFrame, *, now: datetime, tie_break: Sequence[str] = ()) -> DataFrame:
-    """Days until a cell for staff and until a cell for self-booking, per doctor."""
-    waits = {"wait_days": "ac_doctor", "self_booking_wait_days": "ac_internet"}
-    return nearest_slots(
-        cells, now=now, resource_type=fv.RESOURCE_DOCTOR, columns=DOCTOR_COLUMNS, waits=waits, tie_break=tie_break
+def _doctors_waiting(found: DataFrame, days: int) -> DataFrame:
+    too_long = any_of([F.col(name) > days for name in WAITS])
+    return found.where((F.col("resource_type") == fv.RESOURCE_DOCTOR) & too_long).select(
+        "resource_id", "subdivision_name", "department_name", "doctor_full_name", "specialty_name", *WAITS
     )
 
 
-def _waiting_longer(slots: DataFrame, days: int) -> DataFrame:
-    waits = ("wait_days", "self_booking_wait_days")
-    return slots.where(any_of([F.col(name) > days for name in waits])).drop("specialty_id")
-
-
 def general_practice_waits(
-    slots: DataFrame, *, specialties: Sequence[int] = fv.GENERAL_SPECIALTIES, threshold: int = 1
+    found: DataFrame, *, specialties: Sequence[int] = fv.GENERAL_SPECIALTIES, threshold: int = 1
 ) -> DataFrame:
-    """General practitioners with a wait over the threshold, from `doctor_slots`."""
-    return _waiting_longer(slots.where(F.col("specialty_id").isin(list(specialties))), threshold)
+    """General practitioners with a wait over the threshold, from `first_free_cells`."""
+    return _doctors_waiting(found.where(F.col("specialty_id").isin(list(specialties))), threshold)
 
 
 def specialist_waits(
-    slots: DataFrame, *, general: Sequence[int] = fv.GENERAL_SPECIALTIES, threshold: int = 10
+    found: DataFrame, *, general: Sequence[int] = fv.GENERAL_SPECIALTIES, threshold: int = 10
 ) -> DataFrame:
     """All other doctors, one without a specialty included."""
-    return _waiting_longer(slots.where(~is_in(F.col("specialty_id"), general)), threshold)
+    return _doctors_waiting(found.where(~is_in(F.col("specialty_id"), general)), threshold)
 
 
-def equipment_waits(
-    cells: DataFrame, *, now: datetime, types: Sequence[str] = fv.SCANNER_TYPES, tie_break: Sequence[str] = ()
-) -> DataFrame:
+def equipment_waits(found: DataFrame, *, types: Sequence[str] = fv.SCANNER_TYPES) -> DataFrame:
     """Scanners outside in-patient rooms; a scanner without a room is left out."""
-    slots = nearest_slots(
-        cells,
-        now=now,
-        resource_type=fv.RESOURCE_EQUIPMENT,
-        columns=EQUIPMENT_COLUMNS,
-        waits={"wait_days": "ac_doctor"},
-        tie_break=tie_break,
-    )
-    room = F.col("cabinet_number")
-    return slots.where(F.col("equipment_type").isin(list(types)) & ~room.contains(fv.ROOM_INPATIENT)).drop(
-        "equipment_type"
+    scanner = (F.col("resource_type") == fv.RESOURCE_EQUIPMENT) & F.col("equipment_type").isin(list(types))
+    return found.where(scanner & ~F.col("cabinet_number").contains(fv.ROOM_INPATIENT)).select(
+        "resource_id", "subdivision_name", "department_name", "equipment_name", "cabinet_number", "wait_days"
     )
 
 

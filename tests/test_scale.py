@@ -37,7 +37,7 @@ def test_no_python_and_no_cross_product(spark, name):
         assert node not in plan
 
 
-@pytest.mark.parametrize("name", ["missing_booking", "violation_list", "completeness_by_doctor", "recency_bands", "history_freeze"])
+@pytest.mark.parametrize("name", ["violation_list", "completeness_by_doctor", "recency_bands", "history_freeze"])
 def test_null_safe_joins_stay_equi_joins_without_broadcast(spark, name):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -128,7 +128,7 @@ def test_hot_resource(spark):
         "department_name STRING, ac_doctor INT, ac_internet INT, seq INT",
     ).withColumns({name: F.lit("x") for name in ("subdivision_name", "doctor_full_name", "specialty_name")})
     now = datetime(2024, 1, 20, 12)
-    found = slots.doctor_slots(cells, now=now, tie_break=["seq"])
+    found = slots.first_free_cells(cells, now=now, tie_break=["seq"])
     free = defaultdict(list)
     for row in sorted(data, key=lambda r: (r[1], r[2], r[9])):
         if row[4] == 0 and row[2] > now:
@@ -179,7 +179,7 @@ def test_grouping_after_a_join_splits_a_hot_key(spark, small_skew):
     )
     joined = cells.join(resources, "resource_id", "left")
     now = datetime(2024, 1, 12, 12)
-    rows, plan = final_plan(slots.doctor_slots(joined, now=now, tie_break=["seq"]))
+    rows, plan = final_plan(slots.first_free_cells(joined, now=now, tie_break=["seq"]))
     assert "SortMergeJoin(skew=true)" in plan
     assert len({row["resource_id"] for row in rows}) == len(rows)
     hot = next(row for row in rows if row["resource_id"] == 1)
