@@ -6,7 +6,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
-from kpiloom.bindings.inputs import EVENT_NUMBER_SQL, event_number, table
+from kpiloom.bindings.inputs import EVENT_NUMBER_SQL, numbered_events, table
 from kpiloom.functions.dates import date_list
 from kpiloom.plans import calls as C
 
@@ -18,9 +18,9 @@ DAYS = [day.isoformat() for day in date_list(AS_OF - timedelta(days=10), AS_OF)]
 
 def calls(spark, folder):
     kind = F.col("event_type")
-    raw = table(spark, folder, "events").select(
+    raw = numbered_events(table(spark, folder, "events")).select(
         F.when(kind == "view", 7000).otherwise(LINE).cast("long").alias("incoming_line"),
-        F.concat(F.lit("SIP/ext"), F.lpad(event_number().cast("string"), 2, "0"), F.lit("-0a")).alias("first_answerer"),
+        F.concat(F.lit("SIP/ext"), F.lpad(F.col("k").cast("string"), 2, "0"), F.lit("-0a")).alias("first_answerer"),
         F.when(kind.isin("click", "signup"), "успешный").when(kind == "error", "пропущенный").otherwise("занято").alias("status"),
         F.when(F.col("value") >= 0.1, "входящий").alias("type"),
         F.date_format("ts", "yyyy-MM-dd").alias("call_date"),

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kpiloom.operators.rows import computed_once
+
 
 _LAYOUTS: dict[str, T.StructType] = {}
 
@@ -52,9 +54,9 @@ def labels_sql(value: str, options: Mapping, last=None) -> str:
     return f"CASE {value} {whens} ELSE {_literal(last)} END"
 
 
-def event_number() -> Column:
-    """The number in an event's ``props``, 0 to 99."""
-    return F.get_json_object("props", "$.k").cast("int")
+def numbered_events(events: DataFrame) -> DataFrame:
+    """Events with the number in their ``props``, 0 to 99, as column ``k``."""
+    return computed_once(events, "k", F.get_json_object("props", "$.k").cast("int"))
 
 
 EVENT_NUMBER_SQL = "CAST(json_extract_string(props, '$.k') AS INTEGER)"

@@ -10,7 +10,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from kpiloom.bindings.inputs import EVENT_NUMBER_SQL, event_number, steps, steps_sql, table
+from kpiloom.bindings.inputs import EVENT_NUMBER_SQL, labels, numbered_events, steps, steps_sql, table
 from kpiloom.functions.text import booking_name
 from kpiloom.operators.rows import first_rows, quality
 from kpiloom.plans import closures as K
@@ -27,6 +27,7 @@ DEPARTMENTS = (
 )
 CLOSING_UNITS = ((25, "ОСП 1 каб. 4"), (50, "ОСП 2 поликлиника"), (75, "Поликлиника ОСП 3"), (100, "Женская консультация"))
 CLOSING_PLAN = {"ОСП 1": 1200, "ОСП 2": 300, MAIN_SITE: 600}
+EXAMS = {"signup": "404н Диспансеризация", "click": "404н Профилактические медицинские осмотры", "purchase": "Углубленная"}
 MARKS = {"error": "Неявка", "view": "Запись отменена", "click": "Явка"}
 
 
@@ -34,40 +35,32 @@ def _person():
     return F.concat(F.lit("Юз"), F.col("user_id").cast("string"), F.lit(" Час"), F.hour("ts").cast("string"), F.lit(" Петрович"))
 
 
-def _event_choice(values: dict):
-    kind = F.col("event_type")
-    chain = F.lit(None).cast("string")
-    for name, value in values.items():
-        chain = F.when(kind == name, value).otherwise(chain)
-    return chain
-
-
 def bookings(spark, folder):
     subdivision = F.when((F.col("event_type") == "signup") & (F.col("value") > 40), "ИТОГО по кабинету").otherwise(
-        steps(event_number(), DEPARTMENTS)
+        steps(F.col("k"), DEPARTMENTS)
     )
     name = F.when(F.col("value") < 1, F.concat(F.lit("№1 Юз"), F.col("user_id").cast("string"))).otherwise(
         F.concat(F.lit("№"), F.col("event_id").cast("string"), F.lit(" "), _person(), F.lit(", 1.1.1990"))
     )
-    return table(spark, folder, "events").where("event_type <> 'purchase'").select(
+    return numbered_events(table(spark, folder, "events").where("event_type <> 'purchase'")).select(
         subdivision.alias("subdivision"),
-        F.concat(F.lit("к"), event_number().cast("string")).alias("room"),
+        F.concat(F.lit("к"), F.col("k").cast("string")).alias("room"),
         name.alias("patient_name"),
         F.when(F.col("value") > 20, F.date_trunc("day", "ts").cast("timestamp_ntz")).otherwise(F.col("ts")).alias("booked_at"),
-        _event_choice(MARKS).alias("mark"),
+        labels(F.col("event_type"), MARKS).alias("mark"),
         F.col("event_id").alias("seq"),
     )
 
 
 def prescriptions(spark, folder):
-    return table(spark, folder, "events").where("event_type = 'purchase'").select(
-        steps(event_number(), DEPARTMENTS).alias("department"),
+    return numbered_events(table(spark, folder, "events").where("event_type = 'purchase'")).select(
+        steps(F.col("k"), DEPARTMENTS).alias("department"),
         F.concat(F.lit("S"), F.col("event_id").cast("string")).alias("series_number"),
         F.date_format("ts", "dd.MM.yyyy").alias("issue_date"),
         F.concat(F.lit("D"), F.col("user_id").cast("string")).alias("doctor_name"),
         F.col("user_id").cast("string").alias("insurance_no"),
         _person().alias("patient_name"),
-        F.get_json_object("props", "$.k").alias("category_code"),
+        F.col("k").cast("string").alias("category_code"),
         F.lit("ул. Новая").alias("address"),
         F.lit("препарат").alias("drug"),
         F.col("value").alias("quantity"),
@@ -76,14 +69,12 @@ def prescriptions(spark, folder):
 
 
 def report(spark, folder):
-    return table(spark, folder, "events").select(
+    return numbered_events(table(spark, folder, "events")).select(
         F.when(F.col("event_type") == "error", 78).otherwise(ORG).cast("long").alias("org_id"),
-        steps(event_number(), CLOSING_UNITS).alias("unit"),
+        steps(F.col("k"), CLOSING_UNITS).alias("unit"),
         F.date_format("ts", "dd.MM.yyyy HH:mm:ss").alias("closed_at"),
         F.when(F.col("event_type") == "view", "Отказ").otherwise("Обследование пройдено").alias("close_reason"),
-        _event_choice(
-            {"signup": "404н Диспансеризация", "click": "404н Профилактические медицинские осмотры", "purchase": "Углубленная"}
-        ).alias("exam_type"),
+        labels(F.col("event_type"), EXAMS).alias("exam_type"),
     )
 
 
