@@ -141,8 +141,8 @@ def access_flag_sums(spark, folder):
 
 
 def recency_bands(spark, folder):
-    """Customers as followed-up patients with the visits of the visits view."""
-    visits = X.patient_visits(_visit_tables(spark, folder), since=FLOOR)
+    """Customers as followed-up patients with their latest closed visits."""
+    visits = X.patient_visits(_visit_tables(spark, folder), since=FLOOR, latest_only=True)
     patients = table(spark, folder, "customer").select(
         F.lit(77).cast("long").alias("org_id"),
         F.concat(F.lit("Поликлиника ОСП "), F.col("c_nationkey").cast("string")).alias("unit"),

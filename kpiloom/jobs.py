@@ -234,7 +234,7 @@ def recency_job(
 ) -> None:
     """Followed-up patients with their latest visit, one folder per subdivision, oldest visit first.
 
-    ``visits`` is the visits view or, with the time of day, `extracts.patient_visits`.
+    ``visits`` is the visits view or `extracts.patient_visits`, of which the latest ones suffice.
     """
     patients = report_scan(spark, patients_path, schemas.FOLLOWUP_PATIENTS, skip_rows=skip_rows)
     found = V.recency(patients, visits, org_id=org_id, as_of=as_of)

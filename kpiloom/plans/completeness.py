@@ -33,13 +33,21 @@ def _time_correct() -> Column:
 
 
 def flag_admissions(admissions: DataFrame, times: DataFrame, *, main_site: str) -> DataFrame:
-    """Every admission with its time-report rows, the site and the three checks."""
-    joined = null_safe_join(admissions, times, ["card_number"])
+    """Every admission with its time-report rows, the site and the three checks.
+
+    Equal rows of the time report are joined once; ``copies`` is their number.
+    """
+    joined = null_safe_join(admissions, _counted_times(times), ["card_number"])
+    joined = joined.withColumn("copies", F.coalesce("copies", F.lit(1)))
     return joined.where(differs(F.col("profile_unit"), fv.PROFILE_EXCLUDED)).withColumns(
         {**_recorded(), "time_correct": _time_correct(), "site": site_suffix(F.col("admission_unit"), main_site)}
     )
 
 
+def _counted_times(times: DataFrame) -> DataFrame:
+    return times.groupBy("card_number", "profile_unit", "stay_minutes").agg(F.count(F.lit(1)).alias("copies"))
+
+
 def _weighted(admissions: DataFrame, times: DataFrame) -> DataFrame:
     """The joined admissions with equal rows counted instead of repeated.
 
@@ -63,12 +71,11 @@ def _weighted(admissions: DataFrame, times: DataFrame) -> DataFrame:
         )
         .agg(F.count(F.lit(1)).alias("left_copies"))
     )
-    right = times.groupBy("card_number", "profile_unit", "stay_minutes").agg(F.count(F.lit(1)).alias("right_copies"))
-    joined = null_safe_join(left, right, ["card_number"])
+    joined = null_safe_join(left, _counted_times(times), ["card_number"])
     return joined.where(differs(F.col("profile_unit"), fv.PROFILE_EXCLUDED)).withColumns(
         {
             "time_correct": _time_correct(),
-            "copies": F.col("left_copies") * F.coalesce("right_copies", F.lit(1)),
+            "copies": F.col("left_copies") * F.coalesce("copies", F.lit(1)),
         }
     )
 
@@ -114,7 +121,9 @@ def _labelled(df: DataFrame, labels: Mapping[str, str]) -> DataFrame:
 def violations(flagged: DataFrame) -> DataFrame:
     """Admissions failing any check, with the checks in words.
 
-    Written one folder per ``admission_unit`` and ordered by doctor by the sink.
+    A row stands for ``copies`` equal rows, so a card number on very many rows
+    of both sources does not produce all its pairs.  Written one folder per
+    ``admission_unit`` and ordered by doctor by the sink.
     """
     return flagged.where(any_of([~F.col(name) for name in CHECKS])).select(
         "admission_unit",
@@ -126,6 +135,7 @@ def violations(flagged: DataFrame) -> DataFrame:
         "profile_unit",
         "site",
         *[yes_no(F.col(name)).alias(name) for name in CHECKS],
+        "copies",
     )
 
 

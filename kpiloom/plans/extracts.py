@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from kpiloom import fixed_values as fv
 from kpiloom.functions.numbers import access_flags
 from kpiloom.functions.text import full_name
+from kpiloom.operators.rows import first_rows
 
 Tables = Mapping[str, DataFrame]
 
@@ -84,8 +85,12 @@ def schedule_view(tables: Tables, *, as_of: date) -> DataFrame:
     )
 
 
-def patient_visits(tables: Tables, *, since: date) -> DataFrame:
-    """Closed visits since a date, with the patient's name parts, without the unit."""
+def patient_visits(tables: Tables, *, since: date, latest_only: bool = False) -> DataFrame:
+    """Closed visits since a date, with the patient's name parts, without the unit.
+
+    ``latest_only`` keeps the latest visit of each patient and looks up names
+    for those alone, which is all that visit recency needs.
+    """
     people = tables["patients"].select(
         "patient_id",
         F.col("card_number").alias("mkab_number"),
@@ -97,6 +102,9 @@ def patient_visits(tables: Tables, *, since: date) -> DataFrame:
     closed = tables["visits"].where(
         (F.col("visited_at") >= F.lit(since).cast("timestamp_ntz")) & (F.col("is_closed") == 1)
     )
+    if latest_only:
+        order = [F.desc_nulls_last("visited_at"), F.desc("tap_number")]
+        closed = first_rows(closed, ["patient_id"], order, null_keys=True)
     return closed.withColumn("tap_date", F.col("visited_at").cast("date")).join(people, "patient_id", "left")
 
 

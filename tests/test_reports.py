@@ -110,6 +110,12 @@ def test_violations_and_clean_rows_are_all_rows(frame):
     }
     clean = flagged.where("exam_done AND referral_done AND time_correct").count()
     assert clean + listed.count() == flagged.count()
+    assert as_set(listed.where("card_number IS NULL").select("time_correct", "copies")) == {("Нет", 1)}
+    twice = completeness.flag_admissions(admissions, times.unionByName(times), main_site="М")
+    assert twice.count() == flagged.count()
+    assert as_set(twice.groupBy("card_number").agg(F.sum("copies"))) == {
+        ("1", 2), ("2", 2), ("3", 2), ("4", 2), (None, 4), ("7", 1),
+    }
 
 
 def test_mean_stay(frame):
@@ -122,8 +128,8 @@ def test_rates_count_copies_like_a_plain_join(frame):
     admissions, times = admission_frames(frame)
     admissions = admissions.unionByName(admissions.where("card_number IS NULL"))
     times = times.unionByName(times.where("card_number IS NULL OR card_number = '2'"))
-    flagged = completeness.flag_admissions(admissions, times, main_site="М").where("doctor_name IS NOT NULL")
-    plain = flagged.groupBy("admission_unit").agg(
+    joined = admissions.join(times, admissions.card_number.eqNullSafe(times.card_number), "left").where("doctor_name IS NOT NULL")
+    plain = joined.where("NOT (profile_unit <=> 'А и Реан')").groupBy("admission_unit").agg(
         F.count("patient_name").alias("n"), F.rint(F.avg("stay_minutes")).cast("long").alias("stay")
     )
     expected = {row["admission_unit"]: (row["n"], row["stay"]) for row in plain.collect()}
@@ -406,6 +412,28 @@ def test_recency(frame):
     }
 
 
+def test_recency_from_latest_visits_only(frame):
+    tables = {
+        "visits": frame(
+            "tap_number STRING, visited_at TIMESTAMP_NTZ, is_closed INT, patient_id INT",
+            ("1", datetime(2024, 1, 1), 1, 1), ("2", datetime(2024, 2, 20), 1, 1), ("3", datetime(2024, 2, 25), 0, 1),
+            ("4", datetime(2024, 2, 10), 1, 2), ("5", datetime(2024, 2, 9), 1, 3), ("6", datetime(2024, 2, 28), 1, None),
+        ),
+        # Patients 2 and 3 are the same person twice.
+        "patients": frame(
+            "patient_id INT, card_number STRING, last_name STRING, first_name STRING, middle_name STRING, birth_date DATE",
+            (1, "m1", "A", "Иван", "П", date(1950, 1, 1)), (2, "m2", "B", "Иван", None, date(1950, 1, 1)),
+            (3, "m3", "B", "Игорь", None, date(1950, 5, 5)),
+        ),
+    }
+    patients = frame(schemas.FOLLOWUP_PATIENTS, (77, "ОСП 2", "A", "И", "П", 1950, 74, None), (77, "ОСП 2", "B", "И", None, 1950, 74, None))
+    expected = {("A", "m1", date(2024, 2, 20), ""), ("B", "m2", date(2024, 2, 10), "yellow")}
+    for latest_only in (True, False):
+        visits = extracts.patient_visits(tables, since=date(2024, 1, 1), latest_only=latest_only)
+        bands = recency.recency(patients, visits, org_id=77, as_of=date(2024, 3, 1))
+        assert as_set(bands.select("last_name", "mkab_number", "tap_date", "band")) == expected
+
+
 def test_visits_of_one_day_are_ordered_by_time(frame):
     visits = frame(
         "tap_number STRING, tap_date DATE, visited_at TIMESTAMP_NTZ, last_name STRING, first_name STRING, middle_name STRING, birth_year STRING",
