@@ -141,7 +141,7 @@ def progress_job(
 ) -> None:
     """Plan monitoring over the check-up cards view.
 
-    The daily table is replaced on every run; the weekly ones, the list of cards
+    All figures come from one pass over the cards.  The daily table is replaced on every run; the weekly ones, the list of cards
     outside the units and the history are written on the publishing day only.
     """
     spark = cards.sparkSession
@@ -155,13 +155,15 @@ def progress_job(
     )
     table = config_table(spark, weights, "unit STRING, weight DOUBLE")
     due = plan.due(date(period.past_sunday.year, 1, 1), period.past_sunday)
-    yesterday = P.plan_progress(named, table, plan, P.Span(end=period.yesterday, due=due))
+    until_yesterday = named.where(F.col("date_close") <= F.lit(period.yesterday))
+    daily = cut_lineage(P.daily_counts(until_yesterday, ["unit", "department", "doctor_name"]))
+    yesterday = P.plan_progress(daily, table, plan, P.Span(end=period.yesterday, due=due))
     replace_table(yesterday, f"{out}/daily")
     if not is_publish_day(as_of):
         return
     start, end = period.past_monday, period.past_sunday
     cumulative, week = P.Span(end=end, due=due), P.Span(start=start, end=end, due=plan.due(start, end))
-    combined = cut_lineage(P.plan_progress_combined(named, table, plan, cumulative, week))
+    combined = cut_lineage(P.plan_progress_combined(daily, table, plan, cumulative, week))
     weekly = combined.where(F.col("done_week").isNotNull()).select(
         "unit",
         F.col("target_week").alias("target"),
@@ -175,7 +177,7 @@ def progress_job(
     weeks = [day for day in date_list(date(end.year, 1, 1), start) if day.weekday() == 0]
     total = combined.select("unit", "annual_plan", "target", "done", "efficiency")
     replace_table(P.published_progress(total, history, weeks), f"{out}/weekly")
-    scoped = P.in_scope(named, list(weights))
+    scoped = P.in_scope(daily, list(weights))
     for name, keys in (("departments", ["department"]), ("doctors", ["department", "doctor_name"])):
         counts = P.cumulative_vs_period(scoped, keys, cutoff=end, start=start, end=end)
         replace_table(sorted_report(counts, *keys), f"{out}/{name}")
@@ -198,7 +200,8 @@ def schedule_job(tables: X.Tables, out: str, *, now: datetime, repair: bool = Fa
     write_csv(sorted_report(S.general_practice_waits(found), *order), f"{out}/general_practice")
     write_csv(sorted_report(S.specialist_waits(found), *order), f"{out}/specialists")
     write_csv(sorted_report(S.equipment_waits(found), "subdivision_name"), f"{out}/scanners")
-    write_csv(S.open_minutes(cells, day=now.date()), f"{out}/open_minutes")
+    minutes = S.open_minutes(cells, day=now.date())
+    write_csv(X.only_shown(minutes, tables), f"{out}/open_minutes")
 
 
 def calls_job(

@@ -49,13 +49,21 @@ def schedule_cells(tables: Tables, *, as_of: date) -> DataFrame:
     return cells.withColumns(access_flags(F.col("access_code")))
 
 
+def _shown(tables: Tables) -> DataFrame:
+    return tables["resources"].where(F.col("in_time") == 1).drop("in_time")
+
+
+def only_shown(found: DataFrame, tables: Tables) -> DataFrame:
+    """Rows of the resources that are shown in the schedule."""
+    return found.join(_shown(tables).select("resource_id"), "resource_id", "left_semi")
+
+
 def _with_resource(df: DataFrame, tables: Tables) -> DataFrame:
     """Names that depend on the resource; rows of resources not shown in the schedule are dropped.
 
     A row without a resource fails that condition too, so the join is an inner one.
     """
-    shown = tables["resources"].where(F.col("in_time") == 1).drop("in_time")
-    named = df.join(shown, "resource_id")
+    named = df.join(_shown(tables), "resource_id")
     named = _look_up(named, tables, "resource_types", "resource_type_id", {"resource_type": "name"})
     named = _look_up(
         named, tables, "equipment", "equipment_id",

@@ -41,7 +41,7 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", NAMES)
 def test_matches_sql(spark, duck, name):
     ours = as_duck(queries()[name](spark, FOLDER).toArrow())
-    theirs = as_duck(duck.execute(oracle_sql()[name]).to_arrow_table())
+    theirs = as_duck(duck.sql(oracle_sql()[name]).to_arrow_table())
     assert {f.name: f.type for f in ours.schema} == {f.name: f.type for f in theirs.schema}
     assert rows_of(ours) == rows_of(theirs)
     assert ours.num_rows > 0

@@ -52,6 +52,13 @@ def test_plan_progress_combined(frame):
     assert tuple(rows["ALL"]) == ("ALL", 100, 100, 5, 5.0, 37, 1, 2.7)
 
 
+def test_daily_counts_stand_for_the_cards(frame):
+    spans = {"year": progress.Span(end=SUNDAY, due=0), "week": progress.Span(start=MONDAY, end=SUNDAY, due=0)}
+    daily = progress.daily_counts(cards(frame), ["unit", "doctor_name"])
+    for keys in (["unit"], ["unit", "doctor_name"]):
+        assert as_set(progress.period_counts(daily, keys, spans)) == as_set(progress.period_counts(cards(frame), keys, spans))
+
+
 def test_cumulative_vs_period_and_scope(frame):
     scoped = progress.in_scope(cards(frame), ["A", "B"])
     by_doctor = progress.cumulative_vs_period(scoped, ["unit", "doctor_name"], cutoff=SUNDAY, start=MONDAY, end=SUNDAY)
@@ -482,6 +489,8 @@ def test_schedule_view(frame):
         (1, BEGIN, END, "Врач", "АА Б В", "eq", "type", "101", "прием", 111, 0, 0, 5, "spec", "dep", "sub", 1, 1, 1, 1, 1, 1),
         (3, BEGIN, END, None, None, "eq2", None, None, None, 111, 0, 0, None, None, "dep2", None, 1, 1, 1, 1, 1, 1),
     }
+    shown = extracts.only_shown(frame("resource_id BIGINT", (1,), (2,), (None,)), schedule_tables(frame))
+    assert as_set(shown) == {(1,)}
     names = [part.split()[0] for part in schemas.SCHEDULE_CELLS.split(", ")]
     assert view.columns == names
 
