@@ -10,9 +10,10 @@ texts need only a round or two, however long they are.
 Texts with the same set of shingles form a class, and only its first text goes
 on.  Coordinates are cut into bands; classes that share a band are compared on
 their full sets of shingles: first each with the smallest class that it shares a
-band with, then with all others of its bands that are in other components by
-then.  A large group of copies is so linked by one comparison each, and no
-candidate is given up.
+band with.  Those of a band that are in different components by then are
+searched for the pairs that can still be similar enough by exact bounds on
+their sizes and rare shingles.  A large group of copies is so linked by one
+comparison each, and no candidate is given up.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.llm.common import mixed, staged, utf8
@@ -214,25 +215,66 @@ def components(edges: DataFrame) -> DataFrame:
         before = after
 
 
-def _apart(placed: DataFrame, share: int, of: int) -> DataFrame:
-    """Pairs ``(a, b)`` of one bucket that are in different components.
+def _tokens(members: DataFrame, docs: DataFrame, shingle: int, broadcast_rows: int) -> DataFrame:
+    """``rep, component, n, token``, one row per shingle of the texts of ``members(rep, component)``."""
+    known = members.select(F.col("rep").alias("doc_id"), "component")
+    known = F.broadcast(known) if known.count() <= broadcast_rows else known
 
-    One side leaves out the bucket's largest component, so that a large group
-    of copies that are linked already is not paired with itself.
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, at = utf8(batch.column(2))
+            sets = [shingle_set(data[a:b], shingle).view(np.int64) for a, b in zip(at[:-1], at[1:])]
+            sizes = np.array([len(s) for s in sets], np.int64)
+            row = pa.array(np.repeat(np.arange(len(sets)), sizes))
+            columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(np.repeat(sizes, sizes))]
+            token = pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([*columns, token], ["rep", "component", "n", "token"])
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    texts = docs.select("doc_id", "text").join(known, "doc_id").select("doc_id", "component", "text")
+    return texts.mapInArrow(cut, f"rep {id_type}, component {id_type}, n long, token long").distinct()
+
+
+def pairs_apart(
+    members: DataFrame, docs: DataFrame, shingle: int, share: int, of: int, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Pairs ``(a, b)`` of different components that can be similar enough, among ``members(rep, component)``.
+
+    The shingles of each text are put in one order for all texts: first those
+    of one component only, which no such pair shares, then rare before
+    frequent.  A pair of sizes ``n_a`` and ``n_b`` needs an overlap of
+    ``share * (n_a + n_b) / (of + share)``, so that its first common shingle
+    has at least as many behind it in both texts.  Pairs are only made at
+    shingles for which this holds.  Texts that share a passage, or are copies
+    of one original with many changes of their own, make none.
     """
-    sizes = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("parts"))
-    largest = largest.where("parts > 1").select("key", F.col("top.component").alias("largest"))
-    mixed_up = placed.join(largest, "key")
-    a = mixed_up.where("component <> largest").select(
-        "key", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a")
+    tokens = staged(_tokens(members, docs, shingle, broadcast_rows), "tokens")
+    shared = tokens.groupBy("token").agg(
+        F.count("*").alias("texts"), F.min("component").alias("least"), F.max("component").alias("most")
     )
-    b = mixed_up.select(
-        "key", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"), "largest"
+    common = tokens.join(shared.where("least <> most").select("token", "texts"), "token")
+    of_text = Window.partitionBy("rep")
+    behind = F.count("*").over(of_text) - F.row_number().over(of_text.orderBy("texts", "token")) + 1
+    early = common.withColumn("behind", behind).where(of * F.col("behind") >= share * F.col("n"))
+    early = staged(early.select("token", "rep", "component", "n", "behind"), "early")
+    sizes = early.groupBy("token", "component").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("token").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("parts"))
+    largest = largest.where("parts > 1").select("token", F.col("top.component").alias("largest"))
+    mixed_up = staged(early.join(largest, "token"), "mixed")
+    names = ("rep", "component", "n", "behind")
+    a = mixed_up.where("component <> largest").select("token", *(F.col(c).alias(f"a_{c}") for c in names))
+    b = mixed_up.select("token", "largest", *(F.col(c).alias(f"b_{c}") for c in names))
+    needed = share * (F.col("a_n") + F.col("b_n"))
+    pairs = a.join(
+        b,
+        (a.token == b.token)
+        & (F.col("a_component") != F.col("b_component"))
+        & ((F.col("b_component") == F.col("largest")) | (F.col("a_rep") < F.col("b_rep")))
+        & ((of + share) * F.col("a_behind") >= needed)
+        & ((of + share) * F.col("b_behind") >= needed)
+        & (of * F.least("a_n", "b_n") >= share * F.greatest("a_n", "b_n")),
     )
-    pairs = a.join(b, "key").where("c_a <> c_b AND (c_b = largest OR a < b)")
-    pairs = pairs.where((of * F.least("n_a", "n_b")) >= (share * F.greatest("n_a", "n_b")))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b")).distinct()
 
 
 def near_groups(
@@ -270,9 +312,12 @@ def near_groups(
 
     found = components(links)
     placed = bucketed.join(found, bucketed.rep == found.node, "left").select(
-        "key", "rep", "n", F.coalesce("component", "rep").alias("component")
+        "key", "rep", F.coalesce("component", "rep").alias("component")
     )
-    more = _apart(staged(placed, "placed"), share, of)
+    placed = staged(placed, "placed")
+    apart = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    apart = placed.join(apart.where("least <> most").select("key"), "key").select("rep", "component").distinct()
+    more = pairs_apart(staged(apart, "apart"), docs, shingle, share, of, broadcast_rows)
     more = staged(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
     if not more.isEmpty():
         links = links.unionAll(staged(verified(more, docs, shingle, share, of, broadcast_rows), "links"))
