@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +19,15 @@ BATCH_BYTES = 16 * 2**20
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """The session with Arrow batches bounded in rows and bytes."""
+    """The session with Arrow batches bounded in rows and bytes, and workers that find this package.
+
+    Where executors do not share the package's folder, it is shipped with the job.
+    """
+    environment = spark.sparkContext.environment
+    paths = [path for path in environment.get("PYTHONPATH", "").split(os.pathsep) if path]
+    root = str(Path(__file__).resolve().parents[2])
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
