@@ -31,7 +31,7 @@ from kpiloom.llm.common import texts
 SAMPLE_TOXIC, SAMPLE_CLEAN = 4000, 8000
 FEATURES = 4000
 BEGINNINGS = (4, 5, 6)
-LEAST_TEXTS, LEAST_SHARE, LEAST_ODDS = 5, 0.002, 20.0
+LEAST_TEXTS, LEAST_SHARE, LEAST_ODDS = 3, 0.002, 20.0
 PENALTY, STEPS = 0.0005, 400
 BEAM = 24
 PIECE = 64
