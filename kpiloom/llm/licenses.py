@@ -21,21 +21,21 @@ from kpiloom.llm.common import texts
 # (lower case, signs as one space; dots only inside numbers), and their identifiers.
 _UNDER = r"(?:.* )?(?:licen[sc]ed|released|distributed|available|provided|published|covered|redistributed)(?: \w+){0,4} under(?: the)?(?: terms of)?(?: the| a)?"
 SENTENCES = (
-    ("MIT-GRANT", r"(?:.* )?permission is hereby granted free of charge to any person obtaining a copy of this software .*"),
+    ("MIT-GRANT", r"(?:.* )?permission is hereby granted free of charge to any person obtaining a copy of this software(?: .*)?"),
     ("MIT-NOTICE", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
-    ("AS-IS-SOFTWARE", r"the software is provided as is without warranty of any kind .*"),
-    ("ISC-GRANT", r"(?:.* )?permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted .*"),
-    ("BSD-REDIST", r"(?:.* )?redistribution and use in source and binary forms with or without modification are permitted .*"),
-    ("BSD-SOURCE", r"(?:.* )?redistributions of source code must retain the above copyright notice .*"),
-    ("BSD-BINARY", r"(?:.* )?redistributions in binary form must reproduce the above copyright notice .*"),
-    ("BSD-NAME", r"(?:.* )?neither the name .* may be used to endorse or promote products .*"),
-    ("BSD-AS-IS", r"this software is provided by .* as is and any express or implied warranties .*"),
+    ("AS-IS-SOFTWARE", r"the software is provided as is without warranty of any kind(?: .*)?"),
+    ("ISC-GRANT", r"(?:.* )?permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted(?: .*)?"),
+    ("BSD-REDIST", r"(?:.* )?redistribution and use in source and binary forms with or without modification are permitted(?: .*)?"),
+    ("BSD-SOURCE", r"(?:.* )?redistributions of source code must retain the above copyright notice(?: .*)?"),
+    ("BSD-BINARY", r"(?:.* )?redistributions in binary form must reproduce the above copyright notice(?: .*)?"),
+    ("BSD-NAME", r"(?:.* )?neither the name .* may be used to endorse or promote products(?: .*)?"),
+    ("BSD-AS-IS", r"this software is provided by .* as is and any express or implied warranties(?: .*)?"),
     ("APACHE-2-FILE", r"you may not use this file except in compliance with the license"),
-    ("APACHE-2-AS-IS", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis .*"),
-    ("GPL-FREE", r"(?:.* )?is free software you can redistribute it and or modify it under the terms of the gnu general public license .*"),
-    ("LGPL-FREE", r"(?:.* )?is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license .*"),
-    ("AGPL-FREE", r"(?:.* )?is free software you can redistribute it and or modify it under the terms of the gnu affero general public license .*"),
-    ("GNU-HOPE", r"(?:.* )?is distributed in the hope that it will be useful but without any warranty .*"),
+    ("APACHE-2-AS-IS", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis(?: .*)?"),
+    ("GPL-FREE", r"(?:.* )?is free software you can redistribute it and or modify it under the terms of the gnu general public license(?: .*)?"),
+    ("LGPL-FREE", r"(?:.* )?is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license(?: .*)?"),
+    ("AGPL-FREE", r"(?:.* )?is free software you can redistribute it and or modify it under the terms of the gnu affero general public license(?: .*)?"),
+    ("GNU-HOPE", r"(?:.* )?is distributed in the hope that it will be useful but without any warranty(?: .*)?"),
     ("MPL-2-FORM", r"this source code form is subject to the terms of the mozilla public license v(?:ersion)? ?2\.0"),
     ("UNLICENSE", r"this is free and unencumbered software released into the public domain"),
     ("REF-MIT", _UNDER + r" (?:mit|expat) licen[sc]e"),
