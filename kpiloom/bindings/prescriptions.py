@@ -26,7 +26,7 @@ DEPARTMENTS = (
     (85, None), (100, "Иное отделение"),
 )
 CLOSING_UNITS = ((25, "ОСП 1 каб. 4"), (50, "ОСП 2 поликлиника"), (75, "Поликлиника ОСП 3"), (100, "Женская консультация"))
-CLOSING_PLAN = {"ОСП 1": 1200, "ОСП 2": 300, MAIN_SITE: 600}
+CLOSING_PLAN = {"ОСП 1": 910, "ОСП 2": 275, MAIN_SITE: 430}
 EXAMS = {"signup": "404н Диспансеризация", "click": "404н Профилактические медицинские осмотры", "purchase": "Углубленная"}
 MARKS = {"error": "Неявка", "view": "Запись отменена", "click": "Явка"}
 

@@ -7,9 +7,9 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from kpiloom.bindings.inputs import table
-from kpiloom.functions.dates import period_columns, reporting_period, workdays
+from kpiloom.functions.dates import date_list, period_columns, reporting_period, workdays
 from kpiloom.functions.numbers import gap_score
-from kpiloom.operators.history import freeze_history, wide_history
+from kpiloom.operators.history import freeze_history, stored_periods, wide_history
 from kpiloom.plans import progress as P
 from kpiloom.sources.config import config_table
 
@@ -17,11 +17,12 @@ AS_OF = date(2001, 7, 26)  # a Thursday
 PERIOD = reporting_period(AS_OF)
 FLOOR = date(1995, 1, 1)
 HOLIDAYS = tuple(date(year, month, day) for year in range(1995, 2002) for month, day in ((1, 1), (1, 2), (5, 1), (11, 4)))
-PLAN = P.Plan(annual=2431, year_days=248, holidays=HOLIDAYS, total_label="TOTAL")
-WEIGHTS = {"1-URGENT": 0.304, "2-HIGH": 0.165, "3-MEDIUM": 0.148, "4-NOT SPECIFIED": 0.139, "5-LOW": 0.244}
+PLAN = P.Plan(annual=2600, year_days=250, holidays=HOLIDAYS, total_label="TOTAL")
+WEIGHTS = {"1-URGENT": 0.25, "2-HIGH": 0.2, "3-MEDIUM": 0.225, "4-NOT SPECIFIED": 0.125, "5-LOW": 0.2}
 ALLOWED = ("1-URGENT", "3-MEDIUM", "5-LOW")
 STORED_UNTIL = date(2000, 12, 31)
-SHOWN_WEEKS = [date(2000, 12, 4), date(2000, 12, 11), date(2000, 12, 18), date(2000, 12, 25), date(2001, 1, 1)]
+# The Mondays of all weeks that the table holds up to the last published one.
+ALL_WEEKS = [day for day in date_list(date(1994, 12, 26), PERIOD.past_monday) if day.weekday() == 0]
 
 CUMULATIVE = P.Span(end=PERIOD.past_sunday, due=PLAN.due(FLOOR, PERIOD.past_sunday))
 # Counted to yesterday, but measured against the plan up to last Sunday.
@@ -98,8 +99,11 @@ def history_freeze(spark, folder):
 
 
 def history_wide(spark, folder):
-    wide = wide_history(history_freeze(spark, folder), "unit", "period_start", ["fact"], SHOWN_WEEKS)
-    return wide.select("unit", *[F.col(f"`{week}`").alias(f"week_{week}") for week in reversed(SHOWN_WEEKS)])
+    """Every stored week beside its unit, the weeks taken from the history."""
+    frozen = history_freeze(spark, folder)
+    weeks = stored_periods(frozen, "period_start")
+    wide = wide_history(frozen, "unit", "period_start", ["fact"], weeks)
+    return wide.select("unit", *[F.col(f"`{week}`").alias(f"week_{week}") for week in weeks])
 
 
 def reporting_period_days(spark, folder):
@@ -191,7 +195,7 @@ ORACLES = {
         FROM orders WHERE NOT coalesce(o_orderpriority IN ({_ALLOWED_SQL}), false)""",
     "history_freeze": f"WITH {_HISTORY_SQL} SELECT * FROM frozen",
     "history_wide": f"WITH {_HISTORY_SQL} SELECT unit, "
-    + ", ".join(f"max(fact) FILTER (WHERE period_start = DATE '{week}') AS \"week_{week}\"" for week in SHOWN_WEEKS)
+    + ", ".join(f"max(fact) FILTER (WHERE period_start = DATE '{week}') AS \"week_{week}\"" for week in ALL_WEEKS)
     + " FROM frozen GROUP BY unit",
     "reporting_period": f"""WITH d AS (SELECT CAST(o_orderdate AS DATE) AS as_of, count(*) AS cards FROM orders GROUP BY 1),
         p AS (SELECT *, CAST(date_trunc('week', as_of) AS DATE) AS monday,

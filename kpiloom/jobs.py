@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom import schemas
-from kpiloom.functions.dates import date_list, reporting_period
+from kpiloom.functions.dates import reporting_period
 from kpiloom.functions.text import Rules, department, repair_strings
+from kpiloom.operators.history import stored_periods
 from kpiloom.operators.lineage import cut_lineage
 from kpiloom.operators.rows import sorted_report
 from kpiloom.plans import calls as C
@@ -28,7 +29,7 @@ from kpiloom.plans import recency as V
 from kpiloom.plans import slots as S
 from kpiloom.plans import tickets as T
 from kpiloom.sinks.tables import append_history, is_publish_day, replace_table, stored_history, write_by_unit, write_csv
-from kpiloom.sources.chat import chat_messages, indented_chat_messages
+from kpiloom.sources.chat import exported_messages
 from kpiloom.sources.config import config_table
 from kpiloom.sources.files import staged
 from kpiloom.sources.reports import report_scan, tag_by_file, with_sequence
@@ -154,15 +155,16 @@ def progress_job(
         F.col("date_close").cast("date").alias("date_close"),
     )
     table = config_table(spark, weights, "unit STRING, weight DOUBLE")
-    due = plan.due(date(period.past_sunday.year, 1, 1), period.past_sunday)
+    year_start = date(period.past_sunday.year, 1, 1)
+    due = plan.due(year_start, period.past_sunday)
     until_yesterday = named.where(F.col("date_close") <= F.lit(period.yesterday))
     daily = cut_lineage(P.daily_counts(until_yesterday, ["unit", "department", "doctor_name"]))
-    yesterday = P.plan_progress(daily, table, plan, P.Span(end=period.yesterday, due=due))
+    yesterday = P.plan_progress(daily, table, plan, P.Span(start=year_start, end=period.yesterday, due=due))
     replace_table(yesterday, f"{out}/daily")
     if not is_publish_day(as_of):
         return
     start, end = period.past_monday, period.past_sunday
-    cumulative, week = P.Span(end=end, due=due), P.Span(start=start, end=end, due=plan.due(start, end))
+    cumulative, week = P.Span(start=year_start, end=end, due=due), P.Span(start=start, end=end, due=plan.due(start, end))
     combined = cut_lineage(P.plan_progress_combined(daily, table, plan, cumulative, week))
     weekly = combined.where(F.col("done_week").isNotNull()).select(
         "unit",
@@ -174,7 +176,7 @@ def progress_job(
         P.week_history(weekly, start, end), history_path, schemas.HISTORY, ["unit", "period_start"], as_of=as_of
     )
     history = stored_history(spark, history_path, schemas.HISTORY)
-    weeks = [day for day in date_list(date(end.year, 1, 1), start) if day.weekday() == 0]
+    weeks = stored_periods(history, "period_start")
     total = combined.select("unit", "annual_plan", "target", "done", "efficiency")
     replace_table(P.published_progress(total, history, weeks), f"{out}/weekly")
     scoped = P.in_scope(daily, list(weights))
@@ -216,9 +218,9 @@ def calls_job(
     replace_table(C.recent_totals(calls, as_of=as_of), f"{out}/totals")
 
 
-def tickets_job(spark: SparkSession, path: str, out: str, *, link_base: str, indented: bool = True) -> None:
-    """All tickets of a chat export, counts by status, open ones by group."""
-    messages = indented_chat_messages(spark, path) if indented else chat_messages(spark, path)
+def tickets_job(spark: SparkSession, path: str, out: str, *, link_base: str) -> None:
+    """All tickets of a chat export of any layout, counts by status, open ones by group."""
+    messages = exported_messages(spark, path)
     replace_table(T.tickets(messages, link_base=link_base), f"{out}/tickets")
     found = spark.read.parquet(f"{out}/tickets")
     replace_table(T.ticket_status_counts(found), f"{out}/by_status")

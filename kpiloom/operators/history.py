@@ -20,6 +20,12 @@ def freeze_history(new: DataFrame, history: DataFrame, keys: Sequence[str]) -> D
     return history.unionByName(new_periods(new, history, keys))
 
 
+def stored_periods(history: DataFrame, period: str) -> list:
+    """All periods of a stored history, earliest first: one per week, so the list is short."""
+    found = history.select(period).where(F.col(period).isNotNull()).distinct().orderBy(period)
+    return [row[0] for row in found.collect()]
+
+
 def wide_history(
     history: DataFrame, unit: str, period: str, values: Sequence[str], periods: Sequence
 ) -> DataFrame:

@@ -11,13 +11,15 @@ from kpiloom import fixed_values as fv
 from kpiloom.functions.dates import date_list
 from kpiloom.functions.text import Rules, first_match
 from kpiloom.operators.aggregates import counts_by, gap_filled, labelled_totals, with_total
-from kpiloom.operators.rows import computed_once
 
 
 def line_calls(calls: DataFrame, *, line: int, agents: Rules) -> DataFrame:
-    """Calls of one line, with the agent's label (null for an unknown one) and the date parsed."""
+    """Calls of one line, with the agent's label (null for an unknown one) and the date parsed.
+
+    The label is an ordinary column, so that reports that do not show it never compute it.
+    """
     of_line = calls.where(F.col("incoming_line") == line)
-    labelled = computed_once(of_line, "agent", first_match(F.col("first_answerer"), agents))
+    labelled = of_line.withColumn("agent", first_match(F.col("first_answerer"), agents))
     return labelled.withColumn("call_date", F.col("call_date").try_cast("date"))
 
 

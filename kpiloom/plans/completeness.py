@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom import fixed_values as fv
@@ -24,60 +24,77 @@ def _recorded() -> dict[str, Column]:
     }
 
 
-def _time_correct() -> Column:
-    limit = F.when(F.col("state_on_admission") == fv.STATE_SATISFACTORY, fv.EXAM_LIMIT_SATISFACTORY).otherwise(
+def _limit() -> Column:
+    return F.when(F.col("state_on_admission") == fv.STATE_SATISFACTORY, fv.EXAM_LIMIT_SATISFACTORY).otherwise(
         fv.EXAM_LIMIT_OTHER
     )
-    minutes = F.col("minutes_to_exam")
-    return holds((minutes < F.col("stay_minutes")) & (minutes <= limit))
 
 
-def flag_admissions(admissions: DataFrame, times: DataFrame, *, main_site: str) -> DataFrame:
-    """Every admission with its time-report rows, the site and the three checks.
+# No limit is longer, so longer stays need not be told apart; shorter than 0 is one class.
+_LONGEST = max(fv.EXAM_LIMIT_SATISFACTORY, fv.EXAM_LIMIT_OTHER)
 
-    Equal rows of the time report are joined once; ``copies`` is their number.
-    """
-    joined = null_safe_join(admissions, _counted_times(times), ["card_number"])
-    joined = joined.withColumn("copies", F.coalesce("copies", F.lit(1)))
-    return joined.where(differs(F.col("profile_unit"), fv.PROFILE_EXCLUDED)).withColumns(
-        {**_recorded(), "time_correct": _time_correct(), "site": site_suffix(F.col("admission_unit"), main_site)}
+
+def _minute(value: Column) -> Column:
+    """The whole minute of a value, from -1 for less than none to one above the longest limit."""
+    return F.greatest(F.lit(-1), F.least(F.floor(value), F.lit(_LONGEST + 1))).cast("int")
+
+
+def _stays(times: DataFrame) -> DataFrame:
+    """Rows, sum and number of stays per card and profile, and how many stays lie above each whole minute."""
+    stay = F.col("stay_minutes")
+    above = [F.count_if(stay.isNotNull() & (_minute(stay) > minute)) for minute in range(-1, _LONGEST + 1)]
+    return times.groupBy("card_number", "profile_unit").agg(
+        F.count(F.lit(1)).alias("copies"),
+        F.sum(stay).alias("stay_sum"),
+        F.count(stay).alias("stays"),
+        F.array(*above).alias("above"),
     )
 
 
-def _counted_times(times: DataFrame) -> DataFrame:
-    return times.groupBy("card_number", "profile_unit", "stay_minutes").agg(F.count(F.lit(1)).alias("copies"))
+def _in_same_minute(admissions: DataFrame, times: DataFrame) -> DataFrame:
+    """Stays longer than an examination's minutes within the same whole minute, where stays have parts of minutes.
+
+    Both are put in one order per card, profile and minute, and counted by a
+    running sum.  Whole minutes need none of it.
+    """
+    stay = F.col("stay_minutes")
+    parts = times.where((stay <= _LONGEST + 1) & ((stay != F.floor(stay)) | (stay < 0)))
+    keys = ["card_number", "profile_unit"]
+    longer = parts.groupBy(*keys, stay.cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    minutes = F.col("minutes_to_exam")
+    asked = admissions.where(minutes <= _LONGEST).select("card_number", minutes.cast("double").alias("value")).distinct()
+    profiles = longer.select(*keys).distinct()
+    probes = null_safe_join(profiles, asked, ["card_number"], how="inner").withColumn("n", F.lit(0).cast("long"))
+    both = longer.unionByName(probes).withColumn("minute", _minute(F.col("value")))
+    # At equal values the probe comes first: only longer stays count.
+    order = Window.partitionBy(*keys, "minute").orderBy(F.desc("value"), F.asc("n"))
+    counted = both.withColumn("within", F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return counted.where("n = 0").select(*keys, F.col("value").alias("_minutes"), "within")
 
 
-def _weighted(admissions: DataFrame, times: DataFrame) -> DataFrame:
-    """The joined admissions with equal rows counted instead of repeated.
+def flag_admissions(admissions: DataFrame, times: DataFrame, *, main_site: str) -> DataFrame:
+    """Every admission once per profile unit of its card in the time report, with the site and the checks.
 
-    Both sides are reduced to the columns the rates need before the join, so a
-    card number (or a missing one) on very many rows of both sides never
-    produces all its pairs: ``copies`` is their number.
+    A row stands for ``copies`` joined rows, of which ``on_time`` pass the
+    third check.  The time report is counted per card and profile before the
+    join, so a card number (or a missing one) on very many rows of both sides
+    never produces its pairs.  An admission without times stands for one row.
     """
-    left = (
-        admissions.select(
-            "card_number",
-            "doctor_name",
-            "admission_unit",
-            "state_on_admission",
-            "minutes_to_exam",
-            F.col("patient_name").isNotNull().alias("named"),
-            *[flag.alias(name) for name, flag in _recorded().items()],
-        )
-        .groupBy(
-            "card_number", "doctor_name", "admission_unit", "state_on_admission", "minutes_to_exam", "named",
-            "exam_done", "referral_done",
-        )
-        .agg(F.count(F.lit(1)).alias("left_copies"))
-    )
-    joined = null_safe_join(left, _counted_times(times), ["card_number"])
-    return joined.where(differs(F.col("profile_unit"), fv.PROFILE_EXCLUDED)).withColumns(
+    joined = null_safe_join(admissions, _stays(times), ["card_number"])
+    minutes = F.col("minutes_to_exam")
+    joined = joined.where(differs(F.col("profile_unit"), fv.PROFILE_EXCLUDED)).withColumn("_minutes", minutes.cast("double"))
+    within = _in_same_minute(admissions, times)
+    joined = null_safe_join(joined, within, ["card_number", "profile_unit", "_minutes"])
+    longer = F.get("above", _minute(minutes) + 1) + F.coalesce("within", F.lit(0))
+    on_time = F.when(holds(minutes <= _limit()), F.coalesce(longer, F.lit(0))).otherwise(0).cast("long")
+    return joined.withColumns(
         {
-            "time_correct": _time_correct(),
-            "copies": F.col("left_copies") * F.coalesce("copies", F.lit(1)),
+            **_recorded(),
+            "on_time": on_time,
+            "copies": F.coalesce("copies", F.lit(1)),
+            "site": site_suffix(F.col("admission_unit"), main_site),
         }
-    )
+    ).drop("above", "within", "_minutes")
 
 
 def _of_site(df: DataFrame, main_site: str, main: bool) -> DataFrame:
@@ -98,9 +115,10 @@ def completeness(
     Of the main site the unit is not shown, so a doctor may have several rows;
     of the other sites it is shown by its short label, null without one.
     """
-    rows = _of_site(_weighted(admissions, times), main_site, main)
-    patients = F.sum(F.when(F.col("named"), F.col("copies")).otherwise(0))
-    passed = {name: F.sum(F.when(F.col(name), F.col("copies")).otherwise(0)) for name in CHECKS}
+    rows = _of_site(flag_admissions(admissions, times, main_site=main_site), main_site, main)
+    patients = F.sum(F.when(F.col("patient_name").isNotNull(), F.col("copies")).otherwise(0))
+    passed = {name: F.sum(F.when(F.col(name), F.col("copies")).otherwise(0)) for name in _recorded()}
+    passed["time_correct"] = F.sum("on_time")
     by_doctor = (
         rows.where(present(["doctor_name", "admission_unit"]))
         .groupBy("doctor_name", "admission_unit")
@@ -121,27 +139,26 @@ def _labelled(df: DataFrame, labels: Mapping[str, str]) -> DataFrame:
 def violations(flagged: DataFrame) -> DataFrame:
     """Admissions failing any check, with the checks in words.
 
-    A row stands for ``copies`` equal rows, so a card number on very many rows
-    of both sources does not produce all its pairs.  Written one folder per
-    ``admission_unit`` and ordered by doctor by the sink.
+    Equal rows are one row with their number in ``copies``.  Written one
+    folder per ``admission_unit`` and ordered by doctor by the sink.
     """
-    return flagged.where(any_of([~F.col(name) for name in CHECKS])).select(
-        "admission_unit",
-        "card_number",
-        "patient_name",
-        "admit_date",
-        "doctor_name",
-        "diagnosis",
-        "profile_unit",
-        "site",
-        *[yes_no(F.col(name)).alias(name) for name in CHECKS],
-        "copies",
+    parts = F.array(
+        F.struct(F.lit(True).alias("time_correct"), F.col("on_time").alias("copies")),
+        F.struct(F.lit(False).alias("time_correct"), (F.col("copies") - F.col("on_time")).alias("copies")),
     )
+    told_apart = flagged.withColumn("part", F.explode(parts)).where("part.copies > 0")
+    told_apart = told_apart.withColumns({"time_correct": F.col("part.time_correct"), "copies": F.col("part.copies")})
+    shown = [
+        "admission_unit", "card_number", "patient_name", "admit_date", "doctor_name", "diagnosis", "profile_unit", "site",
+    ]
+    listed = told_apart.where(any_of([~F.col(name) for name in CHECKS]))
+    return listed.groupBy(*shown, *[yes_no(F.col(name)).alias(name) for name in CHECKS]).agg(F.sum("copies").alias("copies"))
 
 
 def mean_stay(admissions: DataFrame, times: DataFrame, *, main_site: str, main: bool = True) -> DataFrame:
     """Mean stay in whole minutes per unit, rows without a stay left out of the mean."""
-    rows = _of_site(_weighted(admissions, times), main_site, main).where(present(["admission_unit"]))
-    stay = F.col("stay_minutes")
-    mean = F.try_divide(F.sum(stay * F.col("copies")), F.sum(F.when(stay.isNotNull(), F.col("copies"))))
-    return rows.groupBy("admission_unit").agg(half_even(mean).cast("long").alias("mean_stay"))
+    joined = null_safe_join(admissions.select("card_number", "admission_unit"), _stays(times), ["card_number"])
+    rows = _of_site(joined.where(differs(F.col("profile_unit"), fv.PROFILE_EXCLUDED)), main_site, main)
+    mean = F.try_divide(F.sum("stay_sum"), F.sum("stays"))
+    by_unit = rows.where(present(["admission_unit"])).groupBy("admission_unit")
+    return by_unit.agg(half_even(mean).cast("long").alias("mean_stay"))

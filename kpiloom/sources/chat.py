@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,9 @@ from kpiloom import fixed_values as fv
 from kpiloom.schemas import CHAT_EXPORT, CHAT_MESSAGE
 from kpiloom.sources.lines import placed_lines, without_ends
 
+# Lines at the start of an export among which its layout must show.
+HEAD_LINES = 500
+
 
 def chat_messages(spark: SparkSession, path: str, *, intro: int = fv.TICKET_INTRO_RECORDS) -> DataFrame:
     """Messages after the introductory records of each document: id, author, text (variant).
@@ -38,3 +43,36 @@ def indented_chat_messages(
     body = F.substring_index("value", margin + "}", 1)
     message = F.from_json(F.concat(F.lit("{"), body, F.lit("}")), CHAT_MESSAGE)
     return messages.select(message.alias("message")).select("message.*")
+
+
+def message_indent(spark: SparkSession, path: str) -> int | None:
+    """Spaces before each message of an export with one block per message, or None for another layout.
+
+    Only the first lines are looked at, and of each only its start and end.
+    """
+    start, end = F.substring("value", 1, 100), F.substring("value", -100, 100)
+    head = spark.read.text(path).select(start.alias("start"), end.alias("end")).limit(HEAD_LINES).collect()
+    for line, following in zip(head, head[1:]):
+        if re.search(r'"messages"\s*:\s*\[$', line["end"].rstrip()) and re.fullmatch(r" +\{", following["start"].rstrip()):
+            return len(following["start"].rstrip()) - 1
+    return None
+
+
+def exported_messages(spark: SparkSession, path: str, *, intro: int = fv.TICKET_INTRO_RECORDS) -> DataFrame:
+    """Messages of an export, whatever its layout.
+
+    An indented export is read in parallel; its blocks must include the
+    messages, else the layout was misread and an error is raised.  Every other
+    layout, and a folder of several documents, goes through `chat_messages`.
+    """
+    indent = message_indent(spark, path) if _is_one_file(spark, path) else None
+    if indent is None:
+        return chat_messages(spark, path, intro=intro)
+    margin = "\n" + " " * indent + "{\n"
+    if len(spark.read.option("lineSep", margin).text(path).select(F.lit(1)).limit(2).collect()) < 2:
+        raise ValueError(f"no message found in {path} with an indent of {indent}")
+    return indented_chat_messages(spark, path, indent=indent, intro=intro)
+
+
+def _is_one_file(spark: SparkSession, path: str) -> bool:
+    return len(spark.read.format("binaryFile").load(path).select("path").limit(2).collect()) == 1

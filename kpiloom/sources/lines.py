@@ -52,3 +52,10 @@ def without_ends(lines: DataFrame, *, top: Collection[int] = (), footer: int = 0
         tail = places.withColumn("line", number).where(F.col("line") <= footer).select("source_file", "place")
         body = body.join(tail, ["source_file", "place"], "left_anti")
     return body
+
+
+def only_line(lines: DataFrame, number: int) -> DataFrame:
+    """The line with this number (from 0) of each file."""
+    order = Window.partitionBy("source_file").orderBy("block", "place")
+    numbered = lines.withColumn("line", F.row_number().over(order))
+    return numbered.where(F.col("line") <= number + 1).where(F.col("line") == number + 1).drop("line")

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Collection, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kpiloom.sources.config import config_table
-from kpiloom.sources.lines import placed_lines, without_ends
+from kpiloom.sources.lines import only_line, placed_lines, without_ends
+
+# The field that holds a record which does not parse.
+BROKEN = "_broken"
 
 
 def report_scan(
@@ -21,20 +27,73 @@ def report_scan(
     columns: Sequence[str] | None = None,
     name_part: str = "",
     separator: str = ",",
+    headings: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Body rows of every report file, with the file's path and the line's place in it.
 
     ``skip_rows`` are line numbers from 0; the first line left is the header and
-    is dropped as well, as are the last ``skip_footer`` lines.  A field must not
-    contain a line break.
+    is dropped as well, as are the last ``skip_footer`` lines.
+
+    With ``headings`` (schema name to heading) columns are taken by the names in
+    each file's header line, whatever their order; a file without a wanted one
+    is refused.  Without it they are taken by position.  A record that does not
+    parse, such as one with a line break inside a field, is refused too.
     """
     header = next(number for number in range(len(skip_rows) + 1) if number not in skip_rows)
     lines = placed_lines(spark, paths, name_part=name_part)
     body = without_ends(lines, top={header, *skip_rows}, footer=skip_footer)
-    parsed = F.from_csv("value", schema, {"sep": separator})
-    rows = body.select("source_file", "block", "place", parsed.alias("row"))
-    wanted = [f"row.{name}" for name in columns] if columns else ["row.*"]
-    return rows.select("source_file", "block", "place", *wanted)
+    options = {"sep": separator, "columnNameOfCorruptRecord": BROKEN}
+    if headings is None:
+        parsed = F.from_csv("value", f"{schema}, {BROKEN} STRING", options)
+        rows = body.select("source_file", "block", "place", parsed.alias("row"))
+    else:
+        rows = _by_heading(lines, body, header, schema, headings, options)
+    _refuse_broken(rows)
+    wanted = columns or [field.name for field in T.StructType.fromDDL(schema).fields]
+    return rows.select("source_file", "block", "place", *[f"row.{name}" for name in wanted])
+
+
+def _refuse_broken(rows: DataFrame) -> None:
+    """Raises on the first record that does not parse."""
+    broken = rows.where(F.col(f"row.{BROKEN}").isNotNull()).select("source_file", F.substring(f"row.{BROKEN}", 1, 200).alias("line"))
+    first = broken.head()
+    if first is not None:
+        raise ValueError(f"{first['source_file']} has a record that does not parse: {first['line']}")
+
+
+def _by_heading(
+    lines: DataFrame, body: DataFrame, header: int, schema: str, headings: Mapping[str, str], options: Mapping[str, str]
+) -> DataFrame:
+    """Rows parsed by the header of their file; files with the same header are read together."""
+    layouts: dict[str, list[str]] = {}
+    for row in only_line(lines, header).collect():  # one line per file
+        layouts.setdefault(row["value"], []).append(row["source_file"])
+    fields = T.StructType.fromDDL(schema).fields
+    parts = []
+    for line, files in layouts.items():
+        names = [name.strip() for name in next(csv.reader([line.lstrip("\ufeff")], delimiter=options["sep"]))]
+        missing = sorted({headings.get(f.name, f.name) for f in fields} - set(names))
+        if missing:
+            raise ValueError(f"{files[0]} has no column {', '.join(missing)}")
+        types = {headings.get(f.name, f.name): f.dataType for f in fields}
+        seen: set[str] = set()
+        layout = T.StructType()
+        for k, name in enumerate(names):
+            first = name in types and name not in seen
+            layout.add(f"c{k}", types[name] if first else T.StringType())
+            seen.add(name)
+        places = {f.name: names.index(headings.get(f.name, f.name)) for f in fields}
+        layout.add(BROKEN, T.StringType())
+        ddl = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in layout.fields)
+        row = F.from_csv("value", ddl, dict(options))
+        chosen = [F.col(f"row.c{k}").alias(name) for name, k in places.items()] + [F.col(f"row.{BROKEN}").alias(BROKEN)]
+        of_layout = body if len(layouts) == 1 else body.where(F.col("source_file").isin(files))
+        parsed = of_layout.select("source_file", "block", "place", row.alias("row"))
+        parts.append(parsed.select("source_file", "block", "place", F.struct(*chosen).alias("row")))
+    if not parts:
+        empty = F.from_csv("value", f"{schema}, {BROKEN} STRING", dict(options)).alias("row")
+        return body.select("source_file", "block", "place", empty)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def with_sequence(report: DataFrame) -> DataFrame:

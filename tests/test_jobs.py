@@ -137,10 +137,10 @@ def test_tickets_job(spark, tmp_path):
     intro = [{"id": n, "author": "a", "text": "-"} for n in range(3)]
     path = tmp_path / "chat.json"
     export = {"messages": intro + [{"id": 9, "author": "a", "text": "Заявка №4 #ОСП_1"}]}
-    for indent in (1, None):
+    for indent in (1, 2, 4, None):
         path.write_text(json.dumps(export, indent=indent), encoding="utf-8")
         out = str(tmp_path / f"out{indent}")
-        jobs.tickets_job(spark, str(path), out, link_base="u/", indented=indent is not None)
+        jobs.tickets_job(spark, str(path), out, link_base="u/")
         assert as_set(spark.read.parquet(f"{out}/open_by_group")) == {("ОСП_1", 1)}
 
 

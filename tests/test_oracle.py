@@ -11,7 +11,8 @@ from __spark_entry__ import entry, oracle_sql, queries
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 TABLES = [name[: -len(".parquet")] for name in sorted(os.listdir(FOLDER))]
-NAMES = sorted(queries())
+# Queries that have SQL; the text queries without it have tests of their own.
+NAMES = sorted(set(oracle_sql()) & set(queries()))
 
 
 def as_duck(table):
@@ -35,7 +36,9 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    text = {name for name in queries() if name == "pipeline" or name.startswith("op") and name[2].isdigit()}
+    assert set(oracle_sql()) <= set(queries())
+    assert set(queries()) - set(oracle_sql()) <= text
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -1,5 +1,6 @@
 """Reports on small invented hospital rows with worked results."""
 
+import random
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -115,11 +116,14 @@ def test_violations_and_clean_rows_are_all_rows(frame):
         ("2", "Да", "Нет", "Нет"), ("3", "Нет", "Да", "Нет"), ("4", "Да", "Да", "Нет"), (None, "Да", "Да", "Нет"),
         ("7", "Да", "Да", "Нет"),
     }
-    clean = flagged.where("exam_done AND referral_done AND time_correct").count()
-    assert clean + listed.count() == flagged.count()
+    clean = flagged.where("exam_done AND referral_done").agg(F.sum("on_time")).first()[0]
+    copies = [df.agg(F.sum("copies")).first()[0] for df in (listed, flagged)]
+    assert clean + copies[0] == copies[1]
+    hidden = listed.drop("copies")
+    assert hidden.distinct().count() == hidden.count()
     assert as_set(listed.where("card_number IS NULL").select("time_correct", "copies")) == {("Нет", 1)}
     twice = completeness.flag_admissions(admissions, times.unionByName(times), main_site="М")
-    assert twice.count() == flagged.count()
+    assert twice.count() == flagged.count() and flagged.count() <= times.count() + admissions.count()
     assert as_set(twice.groupBy("card_number").agg(F.sum("copies"))) == {
         ("1", 2), ("2", 2), ("3", 2), ("4", 2), (None, 4), ("7", 1),
     }
@@ -147,6 +151,32 @@ def test_rates_count_copies_like_a_plain_join(frame):
     }
 
 
+def test_parts_of_minutes_count_like_a_plain_join(frame):
+    """Random stays and minutes with parts of minutes, hot and missing cards."""
+    rng = random.Random(3)
+    values = [None, -1.5, 0.0, 0.25, 29.5, 30.0, 30.5, 59.9, 60.0, 60.5, 61.0, 90.0]
+    cards = [None, None, "1", "2", "3"]
+    admissions = [
+        (1, rng.choice(cards), "P", "Приемное общее", rng.choice("AB"), "01.01", "10:00", "dx", rng.choice(["Удовлет", "Тяжелое"]),
+         None, rng.choice(values), "x", None, None) for _ in range(120)
+    ]
+    times = [(rng.choice(["1", "2", None]), rng.choice(["Терапия", None, "А и Реан"]), None, None, rng.choice(values)) for _ in range(150)]
+    expected = {}
+    for a in admissions:
+        found = [t for t in times if t[0] == a[1]] or [(None, None, None, None, None)]
+        for t in found:
+            if t[1] != "А и Реан":
+                limit = 60 if a[8] == "Удовлет" else 30
+                good = a[10] is not None and t[4] is not None and a[10] < t[4] and a[10] <= limit
+                n, ok = expected.get(a[4], (0, 0))
+                expected[a[4]] = (n + 1, ok + good)
+    flagged = completeness.flag_admissions(
+        frame(schemas.ADMISSIONS, *admissions), frame(schemas.ADMISSION_TIMES, *times), main_site="М"
+    )
+    found = flagged.groupBy("doctor_name").agg(F.sum("copies"), F.sum("on_time")).collect()
+    assert {row[0]: (row[1], row[2]) for row in found} == expected
+
+
 # --- closures ----------------------------------------------------------------
 
 def test_weekday_closures(frame):

@@ -91,18 +91,18 @@ def test_history_and_progress_read_only_needed_columns(spark):
 
 
 def test_hot_card_never_makes_its_pairs(spark):
-    """A third of both sides without a card number: 400 million pairs, counted but not produced."""
+    """A third of both sides without a card number, all stays different: 400 million pairs, counted but not produced."""
     n = 60_000
     hot = F.col("id") % 3 == 0
     card = F.when(~hot, F.col("id").cast("string"))
     admissions = spark.range(n).select(
         card.alias("card_number"), F.lit("P").alias("patient_name"), F.lit("Unit").alias("admission_unit"),
         (F.col("id") % 5).cast("string").alias("doctor_name"), F.lit("Удовлет").alias("state_on_admission"),
-        F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz").alias("exam_time"), (F.col("id") % 40).cast("double").alias("minutes_to_exam"),
+        F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz").alias("exam_time"), (F.col("id") / 1500).alias("minutes_to_exam"),
         F.lit("x").alias("lab_ref"), F.lit(None).cast("string").alias("ecg_ref"), F.lit(None).cast("string").alias("instr_ref"),
     )
     times = spark.range(n).select(
-        card.alias("card_number"), F.lit("Терапия").alias("profile_unit"), (F.col("id") % 50).cast("double").alias("stay_minutes")
+        card.alias("card_number"), F.lit("Терапия").alias("profile_unit"), (F.col("id") / 1200).alias("stay_minutes")
     )
     rates = completeness.completeness(admissions, times, main_site="М")
     expected = Counter()
@@ -110,6 +110,10 @@ def test_hot_card_never_makes_its_pairs(spark):
         of_doctor = [i for i in range(n) if i % 5 == key]
         expected[str(key)] = sum(1 for i in of_doctor if i % 3) + sum(1 for i in of_doctor if i % 3 == 0) * (n // 3)
     assert {row["doctor_name"]: row["patients"] for row in rates.collect()} == expected
+    flagged = completeness.flag_admissions(admissions, times, main_site="М")
+    assert flagged.count() == n
+    assert completeness.violations(flagged).count() <= 2 * n
+    assert completeness.mean_stay(admissions, times, main_site="М").count() == 1
 
 
 def test_hot_resource(spark):

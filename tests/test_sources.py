@@ -61,6 +61,30 @@ def test_report_shorter_than_its_preamble(spark, tmp_path):
     assert body(reports.report_scan(spark, path, LAYOUT, skip_rows=[0, 1, 2], skip_footer=2)) == []
 
 
+HEADINGS = {"n": "Номер", "name": "Имя", "amount": "Сумма"}
+
+
+def test_report_columns_by_heading(spark, tmp_path):
+    write(tmp_path / "a.csv", ["t", "Номер,Имя,Сумма", "1,a,1.5"])
+    write(tmp_path / "b.csv", ["t", "Сумма,Лишнее,Имя,Номер", "2.5,x,b,2", "3.5,y,c,3"])
+    scanned = reports.report_scan(spark, str(tmp_path), LAYOUT, skip_rows=[0], headings=HEADINGS)
+    assert body(scanned) == [(1, "a", 1.5), (2, "b", 2.5), (3, "c", 3.5)]
+
+
+def test_report_without_a_wanted_heading_is_refused(spark, tmp_path):
+    path = write(tmp_path / "a.csv", ["Номер,Имя", "1,a"])
+    with pytest.raises(ValueError, match="Сумма"):
+        reports.report_scan(spark, path, LAYOUT, headings=HEADINGS)
+
+
+@pytest.mark.parametrize("lines", [['1,"two', 'lines",1.5'], ["1,a"], ["1,a,1.5,more"], ["x,a,1.5"]])
+@pytest.mark.parametrize("headings", [None, HEADINGS])
+def test_records_that_do_not_parse_are_refused(spark, tmp_path, lines, headings):
+    path = write(tmp_path / "a.csv", ["Номер,Имя,Сумма", "1,a,1.5", *lines])
+    with pytest.raises(ValueError, match="does not parse"):
+        reports.report_scan(spark, path, LAYOUT, headings=headings)
+
+
 def test_many_reports_tagged_by_file(spark, tmp_path):
     write(tmp_path / "рег 1.csv", ["h", "1,a,1", "1,b,2"])
     write(tmp_path / "two.csv", ["h", "2,c,3"])
@@ -96,6 +120,14 @@ def test_chat_export(spark, tmp_path, read):
     }
 
 
+@pytest.mark.parametrize("indent", [1, 2, 3, 4, None])
+def test_any_layout_of_an_export_gives_the_same_messages(spark, tmp_path, indent):
+    messages = [{"id": n, "author": "a", "text": "Заявка №1\n {"} for n in range(10)]
+    path = tmp_path / "chat.json"
+    path.write_text(json.dumps({"name": "x", "messages": messages}, ensure_ascii=False, indent=indent), encoding="utf-8")
+    assert sorted(row["id"] for row in chat.exported_messages(spark, str(path)).collect()) == list(range(3, 10))
+
+
 def test_indented_export_is_read_in_parallel(spark, tmp_path):
     messages = [{"id": n, "author": "a", "text": ["Заявка №", {"type": "bold", "text": f"{n} " + "слово " * (n % 50)}]} for n in range(2000)]
     path = tmp_path / "chat.json"
