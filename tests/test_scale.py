@@ -100,6 +100,7 @@ def test_hot_card_never_makes_its_pairs(spark):
         (F.col("id") % 5).cast("string").alias("doctor_name"), F.lit("Удовлет").alias("state_on_admission"),
         F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz").alias("exam_time"), (F.col("id") / 1500).alias("minutes_to_exam"),
         F.lit("x").alias("lab_ref"), F.lit(None).cast("string").alias("ecg_ref"), F.lit(None).cast("string").alias("instr_ref"),
+        F.lit("01.01").alias("admit_date"), F.lit("dx").alias("diagnosis"),
     )
     times = spark.range(n).select(
         card.alias("card_number"), F.lit("Терапия").alias("profile_unit"), (F.col("id") / 1200).alias("stay_minutes")
