@@ -145,6 +145,42 @@ def _scanned(docs: DataFrame, windows: list, first: bool, last: bool) -> DataFra
     return docs.mapInArrow(scan, schema if last else schema + ", text string")
 
 
+def _dealt(items: DataFrame, size: int, letters: int) -> tuple[DataFrame, int]:
+    """The windows, and how many automata they are dealt to."""
+    windows = item_windows(items, size)
+    total = windows.agg(F.sum(F.length("window") + F.lit(2))).first()[0] or 0
+    passes = 1 if total <= letters else -(-2 * total // letters)
+    if passes > 1:
+        windows = staged(windows.withColumn("pass", F.pmod(F.xxhash64("window"), F.lit(passes))), "windows")
+    return windows, passes
+
+
+def decontaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW, letters: int = AUTOMATON_LETTERS) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, all columns kept.
+
+    With one automaton a row is decided where it is, without a shuffle.
+    """
+    windows, passes = _dealt(items, size, letters)
+    if passes > 1:
+        clean = contamination(docs, items, size, letters).where("NOT contaminated")
+        return docs.join(clean.select(F.col("doc_id").alias("clean_id")), F.col("doc_id") == F.col("clean_id"), "left_semi")
+    held = docs.sparkSession.sparkContext.broadcast(tuple(w["window"] for w in windows.select("window").collect()))
+    column = docs.columns.index("text")
+
+    def clean_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = _automaton(held.value)
+        for batch in batches:
+            data, offsets = utf8(batch.column(column))
+            keep = []
+            for a, b in zip(offsets[:-1], offsets[1:]):
+                words = words_of(data[a:b].tobytes())
+                hit, _ = find_hits(words, automaton)
+                keep.append(not len(hit) or 20 * len(hit) < len(words))
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(clean_rows, docs.schema)
+
+
 def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, letters: int = AUTOMATON_LETTERS) -> DataFrame:
     """Words of ``docs(doc_id, text)`` inside windows of ``items(item_id, text)``.
 
@@ -157,11 +193,7 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, letters
     Windows beyond ``letters`` are dealt to several automata, each of which
     gets a pass of its own over the texts, so that none grows with the items.
     """
-    windows = item_windows(items, size)
-    total = windows.agg(F.sum(F.length("window") + F.lit(2))).first()[0] or 0
-    passes = 1 if total <= letters else -(-2 * total // letters)
-    if passes > 1:
-        windows = staged(windows.withColumn("pass", F.pmod(F.xxhash64("window"), F.lit(passes))), "windows")
+    windows, passes = _dealt(items, size, letters)
     found = docs.select("doc_id", "text")
     for k in range(passes):
         part = windows if passes == 1 else windows.where(F.col("pass") == k)
