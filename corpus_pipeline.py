@@ -11,44 +11,49 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import fold, prepared, shared_folder, table
+from kpiloom.llm.common import fold, prepared, shared_folder, staged, table
 from kpiloom.llm.config_packing import packed
-from kpiloom.llm.decontamination import contamination
+from kpiloom.llm.decontamination import decontaminated
 from kpiloom.llm.exact_dedup import exact_groups
 from kpiloom.llm.near_dedup import near_groups
 from kpiloom.llm.queries import byte_tokenizer
-from kpiloom.llm.toxicity import toxicity
+from kpiloom.llm.toxicity import fit, without_toxic
 from kpiloom.session import make_adaptive
 
 
-def _kept(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """The documents whose ids are in ``decided``, with their own columns."""
-    return docs.join(decided.select(F.col("doc_id").alias("kept_id")), F.col("doc_id") == F.col("kept_id"), "left_semi")
+# Ids of dropped documents that may be broadcast; beyond it the documents are shuffled by id.
+BROADCAST_ROWS = 500_000
+
+
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The documents whose ids are not in ``dropped``, with their own columns."""
+    ids = staged(dropped.select(F.col("doc_id").alias("dropped_id")).distinct(), "dropped")
+    if ids.count() <= BROADCAST_ROWS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, F.col("doc_id") == F.col("dropped_id"), "left_anti")
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic; the model learns from the labels outside the held-out fold."""
     labels = table(prepared(make_adaptive(spark)), sf_dir, "labels")
-    scores = toxicity(docs, labels, fold(F.col("doc_id"), 5) != 0)
-    return _kept(docs, scores.where("predicted = 0"))
+    return without_toxic(docs, fit(docs, labels, fold(F.col("doc_id"), 5) != 0))
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of equal texts."""
     prepared(make_adaptive(spark))
-    return _kept(docs, exact_groups(docs).where("kept"))
+    return _without(docs, exact_groups(docs).where("NOT kept"))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each component of similar texts."""
     prepared(make_adaptive(spark))
-    return _kept(docs, near_groups(docs).where("kept"))
+    return _without(docs, near_groups(docs).where("NOT kept"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by benchmark items."""
-    items = table(prepared(make_adaptive(spark)), sf_dir, "benchmark")
-    return _kept(docs, contamination(docs, items).where("NOT contaminated"))
+    return decontaminated(docs, table(prepared(make_adaptive(spark)), sf_dir, "benchmark"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
