@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A Python worker holds one batch at a time; both limits keep it small.
-BATCH_ROWS = 1000
-BATCH_BYTES = 16 * 2**20
+BATCH_ROWS = 500
+BATCH_BYTES = 8 * 2**20
 
 
 def prepared(spark: SparkSession) -> SparkSession:

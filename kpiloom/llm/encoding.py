@@ -8,8 +8,9 @@ which both libraries split words alike; the rest go to the tokenizers library.
 from __future__ import annotations
 
 import base64
+import json
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 
@@ -22,11 +23,17 @@ class TextEncoder:
     """Ids without added special tokens; special strings in a text are handled as the library does by default."""
 
     def __init__(self, tokenizer_path: str, ranks_path: str | None, pattern: str | None):
+        self.tokenizer_path = tokenizer_path
+        with open(tokenizer_path, encoding="utf-8") as described:
+            self.special = [token["content"] for token in json.load(described)["added_tokens"]]
+        self.fast = self._merger(ranks_path, pattern) if ranks_path and pattern else None
+
+    @cached_property
+    def tokenizer(self):
+        """The library's tokenizer, loaded for the first text that needs it."""
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.fast = self._merger(ranks_path, pattern) if ranks_path and pattern else None
+        return Tokenizer.from_file(self.tokenizer_path)
 
     @staticmethod
     def _merger(ranks_path: str, pattern: str):

@@ -35,7 +35,7 @@ LEAST_TEXTS, LEAST_SHARE, LEAST_ODDS = 3, 0.002, 20.0
 PENALTY, STEPS = 0.0005, 400
 BEAM = 24
 PIECE = 64
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 # The letters of the language model, and what signs may stand for.
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿœ"
