@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from kpiloom.bindings.inputs import table
 from kpiloom.functions.dates import date_list, period_columns, reporting_period, workdays
 from kpiloom.functions.numbers import gap_score
-from kpiloom.operators.history import freeze_history, stored_periods, wide_history
+from kpiloom.operators.history import stored_periods, wide_history
 from kpiloom.plans import progress as P
 from kpiloom.sources.config import config_table
 
@@ -85,16 +85,10 @@ def out_of_scope_rows(spark, folder):
     return P.out_of_scope(cards(spark, folder), ALLOWED)
 
 
-def history_tables(spark, folder):
-    """What was stored when only the finished orders were known, and today's figures."""
-    known = cards(spark, folder)
-    stored = P.weekly_facts(known.where(F.col("state") == "F"), STORED_UNTIL)
-    return stored, P.weekly_facts(known, PERIOD.past_sunday)
-
-
 def history_freeze(spark, folder):
-    stored, new = history_tables(spark, folder)
-    frozen = freeze_history(new, stored, ["unit", "period_start"])
+    """Weeks as stored when only the finished orders were known, and today's figures of all others."""
+    was_stored = (F.col("state") == "F") & (F.col("date_close") <= F.lit(STORED_UNTIL))
+    frozen = P.weekly_facts_as_stored(cards(spark, folder), PERIOD.past_sunday, was_stored)
     return frozen.select("unit", "period_start", "period_end", "fact")
 
 

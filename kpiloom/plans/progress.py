@@ -200,3 +200,28 @@ def weekly_facts(cards: DataFrame, weeks_until: date, keys: Iterable[str] = ("un
         .agg(F.count("card_number").alias("fact"))
         .withColumn("period_end", F.date_add("period_start", 6))
     )
+
+
+def weekly_facts_as_stored(
+    cards: DataFrame, weeks_until: date, stored: Column, keys: Iterable[str] = ("unit",)
+) -> DataFrame:
+    """`weekly_facts`, where a week that had cards when it was stored keeps the count of that time.
+
+    ``stored`` marks the cards the stored weeks were counted from.  The same as
+    `freeze_history` of both counts, in one pass over the cards; where the
+    stored weeks are a table of their own, that is the one to use.
+    """
+    keys = list(keys)
+    monday = F.date_sub("date_close", F.weekday("date_close"))
+    counted = (
+        cards.where(F.col("date_close") <= F.lit(weeks_until))
+        .where(present(keys))
+        .groupBy(*keys, monday.alias("period_start"))
+        .agg(
+            F.count_if(stored).alias("_rows"),
+            F.count(F.when(stored, F.col("card_number"))).alias("_then"),
+            F.count("card_number").alias("_now"),
+        )
+    )
+    fact = F.when(F.col("_rows") > 0, F.col("_then")).otherwise(F.col("_now"))
+    return counted.select(*keys, "period_start", fact.alias("fact"), F.date_add("period_start", 6).alias("period_end"))

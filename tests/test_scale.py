@@ -37,7 +37,7 @@ def test_no_python_and_no_cross_product(spark, name):
         assert node not in plan
 
 
-@pytest.mark.parametrize("name", ["violation_list", "completeness_by_doctor", "recency_bands", "history_freeze"])
+@pytest.mark.parametrize("name", ["violation_list", "completeness_by_doctor", "recency_bands"])
 def test_null_safe_joins_stay_equi_joins_without_broadcast(spark, name):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -240,6 +240,23 @@ def test_history_keeps_every_stored_cell(spark):
     assert frozen == {**new, **stored}
 
 
+def test_stored_weeks_in_one_pass(spark):
+    rng = random.Random(12)
+    cards = spark.createDataFrame(
+        [
+            (rng.choice(["u", "v", None]), date(2024, 1, 1) + timedelta(days=rng.randrange(60)), rng.choice([None, "c"]), rng.choice([True, False, None]))
+            for _ in range(400)
+        ],
+        "unit STRING, date_close DATE, card_number STRING, known BOOLEAN",
+    )
+    until = date(2024, 2, 20)
+    was_stored = F.col("known") & (F.col("date_close") <= F.lit(date(2024, 1, 20)))
+    one_pass = progress.weekly_facts_as_stored(cards, until, was_stored)
+    both = freeze_history(progress.weekly_facts(cards, until), progress.weekly_facts(cards.where(was_stored), until), ["unit", "period_start"])
+    assert Counter(map(tuple, one_pass.select(both.columns).collect())) == Counter(map(tuple, both.collect()))
+    assert formatted(queries()["history_freeze"](spark, FOLDER)).count("Scan parquet") <= 2  # the node and its details
+
+
 def test_workdays_add_up(spark):
     rng = random.Random(13)
     days_off = [date(2024, 1, 1) + timedelta(days=rng.randrange(700)) for _ in range(40)]
