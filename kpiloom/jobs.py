@@ -2,7 +2,8 @@
 
 A job takes its sources, the date it reports on and an output folder, and
 writes one table per report.  Names, organisation numbers, lines and labels are
-arguments.
+arguments.  A report file is given by path, or as the `Newest` one of a folder.
+Frames that several reports read are stored once and deleted after the run.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from kpiloom import schemas
 from kpiloom.functions.dates import reporting_period
 from kpiloom.functions.text import Rules, department, repair_strings
 from kpiloom.operators.history import stored_periods
-from kpiloom.operators.lineage import cut_lineage
+from kpiloom.operators.lineage import cut_lineage, stages_removed
 from kpiloom.operators.rows import sorted_report
 from kpiloom.plans import calls as C
 from kpiloom.plans import closures as K
@@ -31,14 +32,15 @@ from kpiloom.plans import tickets as T
 from kpiloom.sinks.tables import append_history, is_publish_day, replace_table, stored_history, write_by_unit, write_csv
 from kpiloom.sources.chat import exported_messages
 from kpiloom.sources.config import config_table
-from kpiloom.sources.files import staged
+from kpiloom.sources.files import Newest, staged
 from kpiloom.sources.reports import report_scan, tag_by_file, with_sequence
 
 
+@stages_removed()
 def admission_job(
     spark: SparkSession,
-    clinical_path: str,
-    times_path: str,
+    clinical_path: str | Newest,
+    times_path: str | Newest,
     out: str,
     *,
     org_id: int,
@@ -61,9 +63,10 @@ def admission_job(
     write_by_unit(A.violations(flagged), f"{out}/violations", "admission_unit", order=["doctor_name"])
 
 
+@stages_removed()
 def closures_job(
     spark: SparkSession,
-    path: str,
+    path: str | Newest,
     out: str,
     *,
     org_id: int,
@@ -77,17 +80,18 @@ def closures_job(
     period = reporting_period(as_of)
     report = report_scan(spark, path, schemas.CHECKUP_REPORT, skip_rows=skip_rows)
     plan = config_table(spark, weekly_plan, "unit STRING, plan BIGINT")
-    table = K.weekday_closures(
-        report, plan, org_id=org_id, main_site=main_site, first=period.first, last=period.last
+    table = cut_lineage(
+        K.weekday_closures(report, plan, org_id=org_id, main_site=main_site, first=period.first, last=period.last)
     )
     write_csv(table, f"{out}/closures")
     write_csv(K.closure_rates(table, total_label), f"{out}/closure_rates")
 
 
+@stages_removed()
 def prescriptions_job(
     spark: SparkSession,
-    prescription_path: str,
-    booking_path: str,
+    prescription_path: str | Newest,
+    booking_path: str | Newest,
     stage: str,
     out: str,
     *,
@@ -120,16 +124,18 @@ def prescriptions_job(
             )
         )
 
+    # Each of these three is read by several reports.
     issued = R.first_prescriptions(staged(spark, f"{stage}/prescriptions", scan_prescriptions, as_of=now))
     kept, noshow = R.clean_bookings(staged(spark, f"{stage}/bookings", scan_bookings, as_of=now), as_of=as_of)
-    issued = issued.drop("seq", "source_file")
+    issued, kept = cut_lineage(issued.drop("seq", "source_file")), cut_lineage(kept)
     write_by_unit(R.missing_booking(issued, kept, as_of=as_of), f"{out}/missing_booking", "subdivision")
     write_csv(R.noshow_fulfilled(noshow, issued), f"{out}/noshow_fulfilled")
-    by_department = R.compliance(issued, kept, as_of=as_of)
+    by_department = cut_lineage(R.compliance(issued, kept, as_of=as_of))
     write_csv(by_department, f"{out}/compliance")
     write_csv(R.compliance_rollup(by_department, total_label), f"{out}/compliance_rollup")
 
 
+@stages_removed()
 def progress_job(
     cards: DataFrame,
     history_path: str,
@@ -187,6 +193,25 @@ def progress_job(
     replace_table(sorted_report(outside, "unit", "doctor_name"), f"{out}/outside")
 
 
+def cards_job(
+    tables: X.Tables,
+    history_path: str,
+    out: str,
+    *,
+    since: date,
+    reason: str,
+    card_types: Sequence[str],
+    weights: Mapping[str, float],
+    plan: P.Plan,
+    as_of: date,
+    repair: bool = False,
+) -> None:
+    """`progress_job` from the base tables: check-up cards of a reason and kinds, closed since a date."""
+    cards = X.cards_view(tables, since=since, until=as_of, reason=reason, card_types=card_types)
+    progress_job(cards, history_path, out, weights=weights, plan=plan, as_of=as_of, repair=repair)
+
+
+@stages_removed()
 def schedule_job(tables: X.Tables, out: str, *, now: datetime, repair: bool = False) -> None:
     """Schedule gaps, waits for doctors and scanners and open minutes, from the base tables."""
     cells = X.schedule_cells(tables, as_of=now.date())
@@ -206,11 +231,13 @@ def schedule_job(tables: X.Tables, out: str, *, now: datetime, repair: bool = Fa
     write_csv(X.only_shown(minutes, tables), f"{out}/open_minutes")
 
 
+@stages_removed()
 def calls_job(
-    spark: SparkSession, path: str, out: str, *, line: int, agents: Rules, as_of: date, total_label: str, missed_label: str
+    spark: SparkSession, path: str | Newest, out: str, *, line: int, agents: Rules, as_of: date, total_label: str, missed_label: str
 ) -> None:
     """Counts by status and agent, the board of the last days and its two totals."""
-    calls = C.line_calls(report_scan(spark, path, schemas.CALLS), line=line, agents=agents)
+    scanned = report_scan(spark, path, schemas.CALLS).drop("source_file", "block", "place")
+    calls = cut_lineage(C.line_calls(scanned, line=line, agents=agents))
     replace_table(C.calls_by_status(calls), f"{out}/by_status")
     replace_table(C.calls_by_agent(calls), f"{out}/by_agent")
     board = C.call_board(calls, as_of=as_of, total_label=total_label, missed_label=missed_label)
@@ -218,7 +245,8 @@ def calls_job(
     replace_table(C.recent_totals(calls, as_of=as_of), f"{out}/totals")
 
 
-def tickets_job(spark: SparkSession, path: str, out: str, *, link_base: str) -> None:
+@stages_removed()
+def tickets_job(spark: SparkSession, path: str | Newest, out: str, *, link_base: str) -> None:
     """All tickets of a chat export of any layout, counts by status, open ones by group."""
     messages = exported_messages(spark, path)
     replace_table(T.tickets(messages, link_base=link_base), f"{out}/tickets")
@@ -227,9 +255,10 @@ def tickets_job(spark: SparkSession, path: str, out: str, *, link_base: str) ->
     replace_table(T.open_by_group(found), f"{out}/open_by_group")
 
 
+@stages_removed()
 def recency_job(
     spark: SparkSession,
-    patients_path: str,
+    patients_path: str | Newest,
     visits: DataFrame,
     out: str,
     *,
@@ -244,3 +273,18 @@ def recency_job(
     patients = report_scan(spark, patients_path, schemas.FOLLOWUP_PATIENTS, skip_rows=skip_rows)
     found = V.recency(patients, visits, org_id=org_id, as_of=as_of)
     write_by_unit(found, out, "subdivision", order=["tap_date"])
+
+
+def visits_job(
+    patients_path: str | Newest,
+    tables: X.Tables,
+    out: str,
+    *,
+    since: date,
+    org_id: int,
+    as_of: date,
+    skip_rows: Sequence[int] = (0,),
+) -> None:
+    """`recency_job` from the base tables: the latest closed visit of each patient since a date."""
+    visits = X.patient_visits(tables, since=since, latest_only=True)
+    recency_job(visits.sparkSession, patients_path, visits, out, org_id=org_id, as_of=as_of, skip_rows=skip_rows)

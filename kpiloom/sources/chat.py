@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kpiloom import fixed_values as fv
 from kpiloom.schemas import CHAT_EXPORT, CHAT_MESSAGE
+from kpiloom.sources.files import Newest, source_paths
 from kpiloom.sources.lines import placed_lines, without_ends
 
 # Lines at the start of an export among which its layout must show.
@@ -58,13 +59,14 @@ def message_indent(spark: SparkSession, path: str) -> int | None:
     return None
 
 
-def exported_messages(spark: SparkSession, path: str, *, intro: int = fv.TICKET_INTRO_RECORDS) -> DataFrame:
-    """Messages of an export, whatever its layout.
+def exported_messages(spark: SparkSession, path: str | Newest, *, intro: int = fv.TICKET_INTRO_RECORDS) -> DataFrame:
+    """Messages of an export, or of the newest one of a folder, whatever its layout.
 
     An indented export is read in parallel; its blocks must include the
     messages, else the layout was misread and an error is raised.  Every other
     layout, and a folder of several documents, goes through `chat_messages`.
     """
+    path = source_paths(spark, path)
     indent = message_indent(spark, path) if _is_one_file(spark, path) else None
     if indent is None:
         return chat_messages(spark, path, intro=intro)

@@ -2,42 +2,55 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 
 
+@dataclass(frozen=True)
+class Split:
+    """Ranges of a column that a table is read in, each over a connection of its own.
+
+    The bounds only place the splits: rows outside them are read too.
+    """
+
+    column: str
+    lower: object
+    upper: object
+    partitions: int = 200
+
+    def options(self) -> dict[str, str]:
+        return {
+            "partitionColumn": self.column,
+            "lowerBound": str(self.lower),
+            "upperBound": str(self.upper),
+            "numPartitions": str(self.partitions),
+        }
+
+
 def connection_options(config: dict) -> dict[str, str]:
     """Reader options from a connection config: url, user, password and optional driver."""
     wanted = ("url", "user", "password", "driver")
     return {key: str(config[key]) for key in wanted if config.get(key) is not None}
 
 
-def partition_options(column: str | None, lower, upper, partitions: int) -> dict[str, str]:
-    """Options that split a table read into ``partitions`` ranges of ``column``.
-
-    The bounds only place the splits: rows outside them are read too.
-    """
-    if column is None:
-        return {}
-    return {
-        "partitionColumn": column,
-        "lowerBound": str(lower),
-        "upperBound": str(upper),
-        "numPartitions": str(partitions),
-    }
-
-
 def database_table(
-    spark: SparkSession,
-    config: dict,
-    table: str,
-    *,
-    partition_column: str | None = None,
-    lower=None,
-    upper=None,
-    partitions: int = 200,
-    fetch_size: int = 10_000,
+    spark: SparkSession, config: dict, table: str, *, split: Split | None, fetch_size: int = 10_000
 ) -> DataFrame:
-    """One base table; Spark pushes column choice and plain filters into the database."""
+    """One base table; Spark pushes column choice and plain filters into the database.
+
+    ``split`` has no default: only a short table may be read over one
+    connection, and the caller says so with None.
+    """
     reader = spark.read.format("jdbc").options(**connection_options(config))
-    reader = reader.options(**partition_options(partition_column, lower, upper, partitions))
+    if split is not None:
+        reader = reader.options(**split.options())
     return reader.option("fetchsize", str(fetch_size)).option("dbtable", table).load()
+
+
+def database_tables(
+    spark: SparkSession, config: dict, tables: Mapping[str, tuple[str, Split | None]]
+) -> dict[str, DataFrame]:
+    """Base tables by the names the extracts know them by: name to database table and split."""
+    return {name: database_table(spark, config, table, split=split) for name, (table, split) in tables.items()}

@@ -6,7 +6,9 @@ are selected, so no content is read.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
@@ -37,6 +39,38 @@ def newest_file(files: DataFrame) -> str | None:
     return newest.first()["path"]
 
 
+@dataclass(frozen=True)
+class Newest:
+    """The newest file of a folder whose name contains ``name_part``, to be given to a reader in place of a path.
+
+    With ``as_of`` (a time in the session's zone) a file older than ``hours``
+    is stale; one under ``min_bytes`` is an empty export.
+    """
+
+    folder: str
+    name_part: str = ""
+    as_of: datetime | None = None
+    hours: int = 12
+    min_bytes: int = 0
+
+
+def source_paths(spark: SparkSession, source: str | Sequence[str] | Newest) -> str | Sequence[str]:
+    """Paths as they are, or the path of the newest file, refused when it is missing, stale or too small."""
+    if not isinstance(source, Newest):
+        return source
+    path = newest_file(listed_files(spark, source.folder, source.name_part))
+    if path is None:
+        raise ValueError(f"{source.folder} has no file with {source.name_part!r} in its name")
+    if source.as_of is None:
+        good = listed_files(spark, source.folder, source.name_part).where(F.col("length") >= source.min_bytes)
+    else:
+        limits = {"as_of": source.as_of, "hours": source.hours, "min_bytes": source.min_bytes}
+        good = fresh_files(spark, source.folder, source.name_part, **limits)
+    if good.where(F.col("path") == path).isEmpty():
+        raise ValueError(f"{path} is older than {source.hours} hours or smaller than {source.min_bytes} bytes")
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)  # signs of a pattern stand for themselves
+
+
 def staged(
     spark: SparkSession, path: str, build: Callable[[], DataFrame], *, as_of: datetime, hours: int = 12
 ) -> DataFrame:

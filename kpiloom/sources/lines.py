@@ -17,8 +17,8 @@ def placed_lines(
 
     Files are read as splittable text; inside a file, records are ordered by the
     start of their block and by their place in the task that reads it.  They are
-    written to the checkpoint folder, because a reader looks at them twice and
-    both times must see the same places.
+    stored once, because a reader looks at them twice and both times must see
+    the same places.
     """
     reader = spark.read.option("pathGlobFilter", f"*{name_part}*")
     if line_end is not None:

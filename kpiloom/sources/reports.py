@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kpiloom.sources.config import config_table
+from kpiloom.sources.files import Newest, source_paths
 from kpiloom.sources.lines import only_line, placed_lines, without_ends
 
 # The field that holds a record which does not parse.
@@ -19,7 +20,7 @@ BROKEN = "_broken"
 
 def report_scan(
     spark: SparkSession,
-    paths: str | Sequence[str],
+    paths: str | Sequence[str] | Newest,
     schema: str,
     *,
     skip_rows: Collection[int] = (),
@@ -29,7 +30,7 @@ def report_scan(
     separator: str = ",",
     headings: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Body rows of every report file, with the file's path and the line's place in it.
+    """Body rows of every report file, or of the newest one, with the file's path and the line's place in it.
 
     ``skip_rows`` are line numbers from 0; the first line left is the header and
     is dropped as well, as are the last ``skip_footer`` lines.
@@ -40,7 +41,7 @@ def report_scan(
     parse, such as one with a line break inside a field, is refused too.
     """
     header = next(number for number in range(len(skip_rows) + 1) if number not in skip_rows)
-    lines = placed_lines(spark, paths, name_part=name_part)
+    lines = placed_lines(spark, source_paths(spark, paths), name_part=name_part)
     body = without_ends(lines, top={header, *skip_rows}, footer=skip_footer)
     options = {"sep": separator, "columnNameOfCorruptRecord": BROKEN}
     if headings is None:

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,6 +15,7 @@ def spark():
         "kpiloom-tests",
         "local[8]",
         **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "4g"},
+        **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="kpiloom-tests-")},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

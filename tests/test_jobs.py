@@ -4,8 +4,12 @@ import json
 import os
 from datetime import date, datetime
 
+import pytest
+
 from kpiloom import jobs, schemas
+from kpiloom.operators.lineage import cut_lineage, shared_folder, stages_removed
 from kpiloom.plans.progress import Plan
+from kpiloom.sources.files import Newest
 from test_reports import schedule_tables
 
 
@@ -144,6 +148,67 @@ def test_tickets_job(spark, tmp_path):
         assert as_set(spark.read.parquet(f"{out}/open_by_group")) == {("ОСП_1", 1)}
 
 
+def stored_stages(spark):
+    folder = os.path.join(shared_folder(spark), "kpiloom-stages")
+    return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+
+def test_a_run_leaves_no_stages(spark, tmp_path):
+    before = stored_stages(spark)
+    test_calls_job(spark, tmp_path)
+    assert stored_stages(spark) == before
+    with pytest.raises(ZeroDivisionError), stages_removed():
+        assert cut_lineage(spark.range(3)).count() == 3
+        assert len(stored_stages(spark) - before) == 1
+        1 / 0
+    assert stored_stages(spark) == before
+
+
+def test_calls_job_counts_only_the_newest_export(spark, tmp_path):
+    folder = tmp_path / "landed"
+    for day, second in (("09", 1), ("10", 2)):
+        write(folder / f"calls {day}.csv", ["h", f"1,SIP/ext1,успешный,in,2024-01-{day},10:00"])
+        os.utime(folder / f"calls {day}.csv", (second, second))
+    out = str(tmp_path / "out")
+    args = {"line": 1, "agents": (("ext1", "A"),), "as_of": date(2024, 1, 10), "total_label": "ALL", "missed_label": "MISSED"}
+    jobs.calls_job(spark, Newest(str(folder), "calls"), out, **args)
+    assert as_set(spark.read.parquet(f"{out}/by_status")) == {("успешный", 1)}
+    stale = Newest(str(folder), "calls", as_of=datetime(2024, 1, 10), hours=12)
+    with pytest.raises(ValueError, match="older than 12 hours"):
+        jobs.calls_job(spark, stale, out, **args)
+
+
+def test_jobs_from_base_tables(spark, frame, tmp_path):
+    moment = datetime(2024, 1, 3, 10)
+    tables = {
+        **schedule_tables(frame),
+        "resources": frame("resource_id BIGINT, doctor_id INT, department_id INT", (1, 1, 1)),
+        "cards": frame(
+            "date_open TIMESTAMP_NTZ, date_close TIMESTAMP_NTZ, is_closed INT, close_reason_guid STRING, card_type_guid STRING, "
+            "resource_id BIGINT, card_number STRING",
+            (moment, moment, 1, "r", "k", 1, "1"), (moment, moment, 0, "r", "k", 1, "2"), (moment, moment, 1, "x", "k", 1, "3"),
+        ),
+        "patients": frame(
+            "patient_id BIGINT, card_number STRING, last_name STRING, first_name STRING, middle_name STRING, birth_date DATE",
+            (1, "m", "a", "И", "П", date(1950, 5, 5)),
+        ),
+        "visits": frame(
+            "patient_id BIGINT, visited_at TIMESTAMP_NTZ, is_closed INT, tap_number STRING, resource_id BIGINT",
+            (1, datetime(2024, 1, 1, 9), 1, "1", 1), (1, datetime(2024, 2, 20, 9), 0, "2", 1),
+        ),
+    }
+    out = str(tmp_path / "cards")
+    jobs.cards_job(
+        tables, str(tmp_path / "history"), out, since=date(2024, 1, 1), reason="R", card_types=["K"], weights={"sub": 1.0},
+        plan=Plan(annual=100, year_days=10, total_label="ALL"), as_of=date(2024, 1, 17),
+    )
+    assert as_set(spark.read.parquet(f"{out}/daily").select("unit", "done")) == {("sub", 1), ("ALL", 1)}
+    path = write(tmp_path / "in.csv", ["Отчет", "шапка", "77,ОСП 2 отд,A,И,П,1950,74,"])
+    out = str(tmp_path / "visits")
+    jobs.visits_job(path, tables, out, since=date(2023, 1, 1), org_id=77, as_of=date(2024, 3, 1))
+    assert as_set(read_csv(spark, out).select("last_name", "tap_date", "band")) == {("A", "2024-01-01", "red")}
+
+
 def test_recency_job(spark, frame, tmp_path):
     path = write(tmp_path / "in.csv", ["Отчет", "шапка", "77,ОСП 2 отд,A,И,П,1950,74,", "77,ОСП 2 отд,B,И,П,1950,74,"])
     visits = frame(schemas.VISITS, ("1", date(2024, 1, 1), "m", "A", "И", "П", 1950, "d", "s"))

@@ -164,6 +164,24 @@ def test_choosing_files(spark, tmp_path):
     assert files.newest_file(files.fresh_files(spark, folder, as_of=now + timedelta(days=9))) is None
 
 
+def test_only_the_newest_report_is_read(spark, tmp_path):
+    now = datetime(2024, 1, 10, 12)
+    for name, hours, rows in (("report 1.csv", 30, ["1,old,1"]), ("report [2].csv", 3, ["2,new,2"]), ("other.csv", 0, ["3,other,3"])):
+        write(tmp_path / name, ["n,name,amount", *rows])
+        stamp(tmp_path / name, now - timedelta(hours=hours))
+    folder = str(tmp_path)
+    assert body(reports.report_scan(spark, files.Newest(folder, "report"), LAYOUT)) == [(2, "new", 2.0)]
+    fresh = files.Newest(folder, "report", as_of=now, hours=4, min_bytes=10)
+    assert body(reports.report_scan(spark, fresh, LAYOUT)) == [(2, "new", 2.0)]
+    for refused in (
+        files.Newest(folder, "report", as_of=now + timedelta(hours=2), hours=4),
+        files.Newest(folder, "report", min_bytes=10_000),
+        files.Newest(folder, "absent"),
+    ):
+        with pytest.raises(ValueError):
+            reports.report_scan(spark, refused, LAYOUT)
+
+
 def test_age_limit_is_inclusive(spark, tmp_path):
     now = datetime(2024, 1, 10, 12)
     path = tmp_path / "a.csv"
@@ -206,8 +224,7 @@ def test_config_table(spark):
 def test_database_options():
     settings = {"url": "jdbc:x", "user": "u", "password": "p", "unused": 1}
     assert database.connection_options(settings) == {"url": "jdbc:x", "user": "u", "password": "p"}
-    assert database.partition_options(None, 0, 1, 4) == {}
-    assert database.partition_options("id", 0, 100, 4) == {
+    assert database.Split("id", 0, 100, 4).options() == {
         "partitionColumn": "id", "lowerBound": "0", "upperBound": "100", "numPartitions": "4",
     }
 
