@@ -21,7 +21,7 @@ BATCH_BYTES = 8 * 2**20
 def prepared(spark: SparkSession) -> SparkSession:
     """The session with Arrow batches bounded in rows and bytes, and workers that find this package.
 
-    Where executors do not share the package's folder, it is shipped with the job.
+    Where executors do not share the package's folder, ship it with ``--py-files``.
     """
     environment = spark.sparkContext.environment
     paths = [path for path in environment.get("PYTHONPATH", "").split(os.pathsep) if path]

@@ -15,8 +15,10 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kpiloom.llm.common import staged, texts, utf8
 
@@ -105,16 +107,21 @@ def original_spans(text: bytes, hit: np.ndarray) -> list[dict]:
 
 
 def _scanned(docs: DataFrame, windows: list, first: bool, last: bool) -> DataFrame:
-    """One pass over the texts; later passes add to what earlier ones found and need the texts again."""
+    """One pass over the texts; later passes add to what earlier ones found and need the texts again.
+
+    ``docs`` has ``doc_id`` and ``text``, or ``doc_id`` and the whole ``row``, which the last pass gives back.
+    """
     held = docs.sparkSession.sparkContext.broadcast((tuple(w["window"] for w in windows), [w["item_ids"] for w in windows]))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = _SCANNED.format(id=id_type)
+    carried = [name for name in ("text", "row") if name in docs.columns and (name == "row" or not last)]
+    schema = T.StructType([*T.StructType.fromDDL(_SCANNED.format(id=id_type)), *(docs.schema[name] for name in carried)])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         strings, item_ids = held.value
         automaton = _automaton(strings)
         for batch in batches:
-            data, offsets = utf8(batch.column("text"))
+            text_column = batch.column("text") if "text" in batch.schema.names else pc.struct_field(batch.column("row"), "text")
+            data, offsets = utf8(text_column)
             earlier = None if first else (batch.column("words").to_pylist(), batch.column("items").to_pylist())
             sizes, hits, items, spans = [], [], [], []
             for i in range(batch.num_rows):
@@ -138,11 +145,23 @@ def _scanned(docs: DataFrame, windows: list, first: bool, last: bool) -> DataFra
                 pa.array(spans, span),
             ]
             names = ["doc_id", "n_words", "words", "items", "spans"]
-            if not last:
-                columns, names = [*columns, batch.column("text")], [*names, "text"]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            columns += [batch.column(name) for name in carried]
+            yield pa.RecordBatch.from_arrays(columns, [*names, *carried])
+
+    return docs.mapInArrow(scan, schema)
+
+
+def _all_scanned(docs: DataFrame, windows: DataFrame, passes: int) -> DataFrame:
+    """What all passes over the texts find."""
+    for k in range(passes):
+        part = windows if passes == 1 else windows.where(F.col("pass") == k)
+        docs = _scanned(docs, part.select("window", "item_ids").collect(), k == 0, k + 1 == passes)
+        if k + 1 < passes:
+            docs = staged(docs, "scanned")
+    return docs
+
 
-    return docs.mapInArrow(scan, schema if last else schema + ", text string")
+_CONTAMINATED = "size(words) > 0 AND 20 * size(words) >= n_words"
 
 
 def _dealt(items: DataFrame, size: int, letters: int) -> tuple[DataFrame, int]:
@@ -158,12 +177,13 @@ def _dealt(items: DataFrame, size: int, letters: int) -> tuple[DataFrame, int]:
 def decontaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW, letters: int = AUTOMATON_LETTERS) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, all columns kept.
 
-    With one automaton a row is decided where it is, without a shuffle.
+    A row is decided where it is, without a shuffle, and whatever its id:
+    rows without one, or with the id of another row, count like all others.
     """
     windows, passes = _dealt(items, size, letters)
     if passes > 1:
-        clean = contamination(docs, items, size, letters).where("NOT contaminated")
-        return docs.join(clean.select(F.col("doc_id").alias("clean_id")), F.col("doc_id") == F.col("clean_id"), "left_semi")
+        whole = docs.select("doc_id", F.struct("*").alias("row"))
+        return _all_scanned(whole, windows, passes).where(f"NOT ({_CONTAMINATED})").select("row.*")
     held = docs.sparkSession.sparkContext.broadcast(tuple(w["window"] for w in windows.select("window").collect()))
     column = docs.columns.index("text")
 
@@ -194,12 +214,7 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, letters
     gets a pass of its own over the texts, so that none grows with the items.
     """
     windows, passes = _dealt(items, size, letters)
-    found = docs.select("doc_id", "text")
-    for k in range(passes):
-        part = windows if passes == 1 else windows.where(F.col("pass") == k)
-        found = _scanned(found, part.select("window", "item_ids").collect(), k == 0, k + 1 == passes)
-        if k + 1 < passes:
-            found = staged(found, "scanned")
+    found = _all_scanned(docs.select("doc_id", "text"), windows, passes)
     joined = F.array_join("items", ",")
     return found.select(
         "doc_id",
@@ -207,7 +222,7 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, letters
         F.size("words").cast("long").alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         F.sha2(joined.cast("binary"), 256).alias("items_sha256"),
-        ((F.size("words") > 0) & (20 * F.size("words") >= F.col("n_words"))).alias("contaminated"),
+        F.expr(_CONTAMINATED).alias("contaminated"),
         "spans",
     )
 

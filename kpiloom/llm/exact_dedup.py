@@ -135,6 +135,7 @@ def exact_groups(docs: DataFrame, prime: int = PRIME, broadcast_rows: int = BROA
     by one space; null counts as empty, and all empty texts are one group.
     The row with the smallest id stays.  ``doc_id`` identifies a row; rows
     repeated with the same id and text count in ``group_size`` and share
+    ``kept``.  A row without an id counts in ``group_size`` and has a null
     ``kept``.  Other columns are ignored; an empty table gives an empty one.
     """
     prints = staged(fingerprints(docs, prime), "fingerprints")

@@ -292,8 +292,9 @@ def near_groups(
     at least ``share / of``.  ``component_id`` is the smallest id reachable
     over links, the own one included.  Null texts and texts without words have
     no shingles and are linked with nothing.  ``doc_id`` identifies a row; rows
-    repeated with one id share its result.  Other columns are ignored; an
-    empty table gives an empty one.
+    repeated with one id share its result.  A row without an id links nothing;
+    it gets the component of the texts with its set of shingles, if any, and a
+    null ``kept``.  Other columns are ignored; an empty table gives an empty one.
     """
     rows_of = staged(sketched(docs, shingle, bands, rows), "sketches")
     some = rows_of.where("n_shingles > 0")

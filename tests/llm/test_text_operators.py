@@ -504,3 +504,31 @@ def test_empty_tables_and_repeated_rows(spark, docs, name):
     else:
         one_each = found.where("piece = 0") if name == "packing" else found
         assert Counter(r["doc_id"] for r in one_each.collect()) == {i: 2 for i in range(len(ODD))}
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_rows_without_an_id(spark, docs, name):
+    frame = docs("a b c d e f g", "same", None).unionAll(docs("a b c d e f g", "x y", "same", "").withColumn("doc_id", F.lit(None).cast("long")))
+    found = OPERATORS[name](spark, frame).collect()
+    if name == "matrices":
+        assert Counter(d for r in found for d in r["doc_ids"]) == {0: 1, 1: 1, 2: 1, None: 4}
+    else:
+        assert Counter(r["doc_id"] for r in found) == {0: 1, 1: 1, 2: 1, None: 4}
+    if name in ("near", "exact"):
+        assert {r["doc_id"]: r["kept"] for r in found} == {0: True, 1: True, 2: True, None: None}
+    if name == "exact":
+        assert {r["doc_id"]: r["group_size"] for r in found if r["doc_id"] is not None} == {0: 2, 1: 2, 2: 2}
+
+
+@pytest.mark.parametrize("letters", [10**6, 40])
+def test_decontaminated_decides_each_row_by_its_text(spark, docs, letters):
+    passage = " ".join(f"p{k}" for k in range(20))
+    items = spark.createDataFrame([(1, passage), (2, "short item"), (3, " ".join(f"q{k}" for k in range(15)))], "item_id long, text string")
+    texts = [passage, "nothing here", None, "", "a short item", passage + " and " + "more " * 500, "q1 q2 q3"]
+    rows = docs(*texts)
+    frame = rows.unionAll(rows.withColumn("doc_id", F.lit(None).cast("long"))).unionAll(docs("nothing here", passage, first=0))
+    frame = frame.withColumn("row", F.lit("clash")).withColumn("words", F.lit(1))
+    kept = decontamination.decontaminated(frame, items, letters=letters)
+    assert kept.columns == frame.columns
+    clean = ["nothing here", None, "", passage + " and " + "more " * 500, "q1 q2 q3"]
+    assert Counter(r["text"] for r in kept.collect()) == {**{t: 2 for t in clean}, "nothing here": 3}
