@@ -55,7 +55,6 @@ for _letter, _k in _INDEX.items():
     _CODE[ord(_letter)] = _k
 _SIGN = re.compile("[" + re.escape("".join(DISGUISES)) + r"]|(.)\1\1")
 _LETTER = re.compile(r"[^\W\d_]")
-_REPEATED = re.compile(r"(.)\1\1")
 _LAST_SIGNS = re.compile(r"[^\w\s]{2,}$|[.,;:!?)\]}\"']$")
 _FIRST_SIGNS = re.compile(r"^(?:[^\w\s]{2,}|[(\[{\"'])")
 _SPACED = re.compile(r"(?<!\S)\S(?:[ .\-_]{1,3}\S){2,}(?!\S)")
@@ -203,7 +202,7 @@ class Scorer:
 
     def of_token(self, token: str) -> tuple[str, ...]:
         core = token.rstrip(".,")
-        if core.isalpha() and core[: BEGINNINGS[0]] not in self.starts and not _REPEATED.search(core):
+        if core.isalpha() and core[: BEGINNINGS[0]] not in self.starts and not _SIGN.search(core):
             found: tuple[str, ...] = ()
         else:
             found = tuple(f for f in _of_token(token, self.model.costs) if f in self.model.weights)

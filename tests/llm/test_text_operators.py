@@ -466,6 +466,41 @@ def test_disguised_words_count_like_plain_ones(spark, docs):
     assert [found[k]["predicted"] for k in range(len(tests))] == [1, 1, 1, 1, 1, 0, 0, 0]
 
 
+# Costs under which each word of these texts is the cheapest reading of its disguises.
+_READ = ["the stupid moron and asshole dumbass idiot", "a stupid fucking dumbass of an asshole", "idiot moron stupid letter"]
+
+
+def read_costs():
+    total = Counter()
+    for text in _READ:
+        code = [0, 0, *(toxicity._INDEX.get(c, 0) for c in text), 0]
+        total.update((a * toxicity._SIZE + b) * toxicity._SIZE + c for a, b, c in zip(code, code[1:], code[2:]))
+    return toxicity.language_costs(np.array([*total]), np.array([*total.values()]))
+
+
+def scorer_of(costs):
+    words = {w for text in _READ for w in text.split()}
+    features = sorted(toxicity._of_words(sorted(words)))
+    return toxicity.Scorer(toxicity.ToxicityModel(costs, {f: 1.0 for f in features}))
+
+
+def scored_features(scorer, text):
+    scorer.score(text)
+    return {f for token in text.lower().split() for f in scorer.known[token]}
+
+
+@pytest.mark.parametrize(
+    "word", ["\u0455tupid", "\u0455tup\u0456d", "m\u043er\u043en", "\u0430sshole", "\u03b9diot", "stupid", "5tupid", "stuuupid", "house", "\u0436\u0436"]
+)
+def test_scorer_finds_the_features_that_fit_counts(word):
+    costs = read_costs()
+    scorer = scorer_of(costs)
+    expected = {f for f in toxicity.features_of(word, costs) if f in scorer.model.weights}
+    assert scored_features(scorer, word) == expected
+    plain = word.translate(str.maketrans("\u0455\u0456\u043e\u0430\u03b9", "sioai"))
+    assert (plain + " " in expected) == (plain in " ".join(_READ).split())
+
+
 def test_toxicity_without_labels(spark, docs):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     found = by_id(toxicity.toxicity(docs(*ODD), labels, F.lit(True)))
