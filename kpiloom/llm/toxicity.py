@@ -2,7 +2,7 @@
 
 A character language model holds trigram costs, counted over all texts.  A
 word that looks disguised (signs or digits among letters, letters repeated,
-letters spaced out) becomes a lattice: each character offers the letters it
+separators inside, letters spaced out) becomes a lattice: each character offers the letters it
 may stand for, repeated letters and separators may also stand for nothing.
 The Viterbi path is the cheapest reading under the language model.
 
@@ -53,12 +53,18 @@ _INDEX = {letter: k + 1 for k, letter in enumerate(LETTERS)}
 _CODE = np.zeros(0x250, np.int64)
 for _letter, _k in _INDEX.items():
     _CODE[ord(_letter)] = _k
-_SIGN = re.compile("[" + re.escape("".join(DISGUISES)) + r"]|(.)\1\1")
+_ANY_SIGN = re.escape("".join(DISGUISES))
+_SIGN = re.compile(f"[{_ANY_SIGN}]")
+_DOUBLED = re.compile(r"([^\W\d_])\1")
+_SAME = re.compile(r"(.)\1+")
+_INNER = re.compile(rf"[\w{_ANY_SIGN}][{re.escape(SEPARATORS)}]+[\w{_ANY_SIGN}]")
 _LETTER = re.compile(r"[^\W\d_]")
-_LAST_SIGNS = re.compile(r"[^\w\s]{2,}$|[.,;:!?)\]}\"']$")
-_FIRST_SIGNS = re.compile(r"^(?:[^\w\s]{2,}|[(\[{\"'])")
-_SPACED = re.compile(r"(?<!\S)\S(?:[ .\-_]{1,3}\S){2,}(?!\S)")
+# Signs only, two different ones: '@$$'.
+_SIGNS_ONLY = re.compile(rf"(?!(.)\1*$)(?:(?!\d)[{_ANY_SIGN}]){{2,}}")
+_MODEL_LETTERS = re.compile(f"[{LETTERS}]+")
 _PUNCTUATED = re.compile(r"\w(?:[.\-_~*']\w){2,}")
+_OPENING, _CLOSING = "([{\"'“«¿¡", ".,;:!?)]}\"'”»…"
+_SPACED = re.compile(r"(?<!\S)\S(?:[ .\-_]{1,3}\S){2,}(?!\S)")
 _WORD = re.compile(r"[^\W\d_]+")
 _COSTS = {"same": 0.0, "disguise": 0.4, "sign": 1.0, "repeat": 0.2, "separator": 0.1, "gap": 1.0}
 
@@ -158,11 +164,38 @@ def _of_words(words: list[str]) -> set[str]:
     return found
 
 
+def _cores(token: str) -> set[str]:
+    """What may be the disguised word of a token.
+
+    Signs around a word are punctuation or stand for letters, so runs of them
+    are left out, or only usual punctuation, or only signs that never stand
+    for a letter.
+    """
+    n, first, last = len(token), 0, 0
+    while first < n and not (token[first].isalnum() or token[first] == "_"):
+        first += 1
+    while last < n - first and not (token[n - 1 - last].isalnum() or token[n - 1 - last] == "_"):
+        last += 1
+    cores = {token}
+    if first or last:
+        a = first if first > 1 or token[0] in _OPENING else 0
+        b = last if last > 1 or token[-1] in _CLOSING else 0
+        c = next((k for k in range(first) if token[k] in DISGUISES), first)
+        d = next((k for k in range(last) if token[n - 1 - k] in DISGUISES), last)
+        cores = {token[a : n - b], token.lstrip(_OPENING).rstrip(_CLOSING), token[c : n - d]}
+    return {
+        core
+        for core in cores
+        if (_LETTER.search(core) and (_SIGN.search(core) or _DOUBLED.search(core) or _INNER.search(core)))
+        or _PUNCTUATED.fullmatch(core)
+        or _SIGNS_ONLY.fullmatch(core)
+    }
+
+
 def _of_token(token: str, costs: list[float]) -> set[str]:
     """Features of one white-space token in lower case, read plainly and restored."""
     found = _of_words(_WORD.findall(token))
-    core = _LAST_SIGNS.sub("", _FIRST_SIGNS.sub("", token))
-    if (_SIGN.search(core) and _LETTER.search(core)) or _PUNCTUATED.fullmatch(core):
+    for core in _cores(token):
         found |= _of_words(_WORD.findall(restored(core, costs)))
     return found
 
@@ -172,12 +205,23 @@ def _spaced_out(text: str, costs: list[float]) -> Iterator[str]:
         yield from _of_words(_WORD.findall(restored(match.group(), costs)))
 
 
-def features_of(text: str, costs: list[float]) -> set[str]:
-    """All features of a text: words with a space behind them, and beginnings of longer words."""
+def features_of(text: str, costs: list[float], known: dict[str, set[str]] | None = None) -> set[str]:
+    """All features of a text: words with a space behind them, and beginnings of longer words.
+
+    ``known`` remembers a bounded number of tokens from text to text.
+    """
     lower = text.lower()
     found = set()
+    known = {} if known is None else known
     for token in set(lower.split()):
-        found |= _of_token(token, costs)
+        of = known.get(token)
+        if of is None:
+            of = _of_token(token, costs)
+            if len(known) >= REMEMBERED // 4:
+                known.clear()
+            if len(token) <= PIECE:
+                known[token] = of
+        found |= of
     found.update(_spaced_out(lower, costs))
     return found
 
@@ -199,10 +243,22 @@ class Scorer:
         self.model = model
         self.known: dict[str, tuple[str, ...]] = {}
         self.starts = {f.rstrip()[: BEGINNINGS[0]] for f in model.weights}
+        self.single = {_SAME.sub(r"\1", f.rstrip()) for f in model.weights}
+        self.longest = max(map(len, self.single), default=0)
+
+    def _may_read(self, core: str) -> bool:
+        """Whether a word of the model's letters can be read as a known feature when doubled letters may be single."""
+        single = _SAME.sub(r"\1", core)
+        return any(single[:k] in self.single for k in range(1, min(self.longest, len(single)) + 1))
 
     def of_token(self, token: str) -> tuple[str, ...]:
         core = token.rstrip(".,")
-        if core.isalpha() and core[: BEGINNINGS[0]] not in self.starts and not _SIGN.search(core):
+        if (
+            core.isalpha()
+            and core[: BEGINNINGS[0]] not in self.starts
+            and not _SIGN.search(core)
+            and not (_DOUBLED.search(core) and (not _MODEL_LETTERS.fullmatch(core) or self._may_read(core)))
+        ):
             found: tuple[str, ...] = ()
         else:
             found = tuple(f for f in _of_token(token, self.model.costs) if f in self.model.weights)
@@ -278,10 +334,10 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column) -> ToxicityModel:
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: list[Counter] = [Counter(), Counter()]
-        seen = [0, 0]
+        seen, known = [0, 0], {}
         for batch in batches:
             for text, toxic in zip(texts(batch.column(0)), batch.column(1).to_pylist()):
-                total[toxic].update(features_of(text, held.value))
+                total[toxic].update(features_of(text, held.value, known))
                 seen[toxic] += 1
         for toxic in (0, 1):
             total[toxic][""] = seen[toxic]
@@ -305,9 +361,10 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column) -> ToxicityModel:
     numbers = spark.sparkContext.broadcast(number)
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, set[str]] = {}
         for batch in batches:
             found = [
-                sorted(numbers.value[f] for f in features_of(text, held.value) if f in numbers.value)
+                sorted(numbers.value[f] for f in features_of(text, held.value, known) if f in numbers.value)
                 for text in texts(batch.column(0))
             ]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["toxic", "found"])

@@ -501,6 +501,50 @@ def test_scorer_finds_the_features_that_fit_counts(word):
     assert (plain + " " in expected) == (plain in " ".join(_READ).split())
 
 
+@pytest.mark.parametrize(
+    "token, word",
+    [
+        ("dumba$$", "dumbass"),
+        ("dumba$$!", "dumbass"),
+        ('"dumba$$",', "dumbass"),
+        ("@$$hole", "asshole"),
+        ("(@$$hole)", "asshole"),
+        ("stuupid", "stupid"),
+        ("stupidd.", "stupid"),
+        ("stu-pid", "stupid"),
+        ("id.iot", "idiot"),
+        ("mor'on...", "moron"),
+        ("!diot", "idiot"),
+        ("f***ing", None),
+        ("letter!!", "letter"),
+        ("house?!", None),
+        ("10.5", None),
+    ],
+)
+def test_signs_around_and_inside_a_word_reach_the_lattice(token, word):
+    costs = read_costs()
+    found = toxicity.features_of(token, costs)
+    assert word is None or word + " " in found
+    scorer = scorer_of(costs)
+    assert scored_features(scorer, token) == {f for f in found if f in scorer.model.weights}
+
+
+def test_signs_at_the_end_of_a_word_are_read():
+    costs = read_costs()
+    (core,) = {c for c in toxicity._cores("f***") if c != "f"}
+    assert core == "f***" and toxicity.restored(core, costs).strip() != "f"
+    assert toxicity._cores("@$$") == {"@$$"} and not toxicity._cores("!!!") and not toxicity._cores("1990")
+
+
+@given(st.text(alphabet="abilstup$@!*.-_'1ж\u0455 ", max_size=12))
+def test_scorer_and_fit_read_the_same(text):
+    costs = read_costs()
+    scorer = scorer_of(costs)
+    found = {f for f in toxicity.features_of(text, costs) if f in scorer.model.weights}
+    spaced = set(toxicity._spaced_out(text.lower(), costs)) & found
+    assert scored_features(scorer, text) | spaced == found
+
+
 def test_toxicity_without_labels(spark, docs):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     found = by_id(toxicity.toxicity(docs(*ODD), labels, F.lit(True)))
