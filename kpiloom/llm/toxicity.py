@@ -33,9 +33,8 @@ FEATURES = 4000
 BEGINNINGS = (4, 5, 6)
 LEAST_TEXTS, LEAST_SHARE, LEAST_ODDS = 3, 0.002, 20.0
 PENALTY, STEPS = 0.0005, 400
-BEAM = 24
-PIECE = 64
-REMEMBERED = 100_000
+# Tokens remembered, and the longest that are.
+REMEMBERED, REMEMBERED_LENGTH = 100_000, 64
 
 # The letters of the language model, and what signs may stand for.
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿœ"
@@ -110,50 +109,60 @@ def language_costs(codes: np.ndarray, counts: np.ndarray) -> list[float]:
     return (-np.log(0.7 * p_three + 0.2 * p_two[None] + 0.1 * p_one)).ravel().tolist()
 
 
-def _readings(observed: str, k: int) -> list[tuple[str, float]]:
+def _readings(sign: str, repeated: bool) -> list[tuple[str, float]]:
     """What a character may stand for, with the channel's costs; the empty string is nothing."""
-    sign = observed[k]
     if sign in _INDEX:
         found = [(sign, _COSTS["same"])]
-        if k and observed[k - 1] == sign:
-            found.append(("", _COSTS["repeat"]))
-        return found
+        return [*found, ("", _COSTS["repeat"])] if repeated else found
     if sign in SEPARATORS:
-        if k and observed[k - 1] == sign:
-            return [(" ", 0.0)]
-        return [("", _COSTS["separator"]), (" ", _COSTS["gap"])]
+        return [(" ", 0.0)] if repeated else [("", _COSTS["separator"]), (" ", _COSTS["gap"])]
     if sign in DISGUISES:
         found = [(letter, _COSTS["disguise"]) for letter in DISGUISES[sign]]
-        return [*found, ("", _COSTS["sign"])] if k and observed[k - 1] == sign else found
+        return [*found, ("", _COSTS["sign"])] if repeated else found
     return [(" ", 0.0)]
 
 
-def restored(observed: str, costs: list[float]) -> str:
-    """The cheapest reading of a disguised piece, in lower case."""
-    return " ".join(_viterbi(observed[k : k + PIECE], costs) for k in range(0, len(observed), PIECE))
+def _letters(node: tuple | None) -> str:
+    found = []
+    while node:
+        node, letter = node
+        found.append(letter)
+    return "".join(reversed(found))
 
 
-def _viterbi(observed: str, costs: list[float]) -> str:
-    paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for k in range(len(observed)):
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for letter, channel in _readings(observed, k):
+def restored(observed: str, costs: list[float]) -> str:
+    """The cheapest reading of a whole disguised run, in lower case.
+
+    A state is the last two letters, a path its cost and a chain of letters
+    back to where all paths agreed last; no state is left out.  Time and
+    memory grow with the length of the run.
+    """
+    agreed, before = [], ""
+    paths: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
+    for sign in observed:
+        repeated, before = sign == before, sign
+        if len(paths) == 1 and sign in _INDEX and not repeated:
+            agreed.append(sign)
+            paths = {next(iter(paths)) % _SIZE * _SIZE + _INDEX[sign]: (0.0, None)}
+            continue
+        after: dict[int, tuple[float, tuple | None]] = {}
+        for letter, channel in _readings(sign, repeated):
             code = _INDEX.get(letter, 0)
-            for (a, b), (cost, read) in paths.items():
-                if not letter:
-                    state, total, text = (a, b), cost + channel, read
-                elif not code and not b:
-                    state, total, text = (a, b), cost + channel, read
+            for state, (cost, node) in paths.items():
+                if letter and (code or state % _SIZE):
+                    total, node = cost + channel + costs[state * _SIZE + code], (node, letter)
+                    state = state % _SIZE * _SIZE + code
                 else:
-                    state, total, text = (b, code), cost + channel + costs[(a * _SIZE + b) * _SIZE + code], read + letter
-                if state not in after or (total, text) < after[state]:
-                    after[state] = (total, text)
-        if len(after) > BEAM:
-            after = dict(sorted(after.items(), key=lambda item: item[1])[:BEAM])
+                    total = cost + channel
+                if state not in after or total < after[state][0]:
+                    after[state] = total, node
+        if len(after) == 1:
+            ((state, (_, node)),) = after.items()
+            agreed.append(_letters(node))
+            after = {state: (0.0, None)}
         paths = after
-    return min(
-        (cost + (costs[(a * _SIZE + b) * _SIZE] if b else 0.0), read) for (a, b), (cost, read) in paths.items()
-    )[1]
+    ends = ((cost + (costs[state * _SIZE] if state % _SIZE else 0.0), node) for state, (cost, node) in paths.items())
+    return "".join(agreed) + _letters(min(ends, key=lambda end: end[0])[1])
 
 
 def _of_words(words: list[str]) -> set[str]:
@@ -219,7 +228,7 @@ def features_of(text: str, costs: list[float], known: dict[str, set[str]] | None
             of = _of_token(token, costs)
             if len(known) >= REMEMBERED // 4:
                 known.clear()
-            if len(token) <= PIECE:
+            if len(token) <= REMEMBERED_LENGTH:
                 known[token] = of
         found |= of
     found.update(_spaced_out(lower, costs))
@@ -264,7 +273,7 @@ class Scorer:
             found = tuple(f for f in _of_token(token, self.model.costs) if f in self.model.weights)
         if len(self.known) >= REMEMBERED:
             self.known.clear()
-        if len(token) <= PIECE:
+        if len(token) <= REMEMBERED_LENGTH:
             self.known[token] = found
         return found
 

@@ -1,6 +1,7 @@
 """The text operators against brute force, round trips, the libraries, and odd tables."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -536,6 +537,39 @@ def test_signs_at_the_end_of_a_word_are_read():
     assert toxicity._cores("@$$") == {"@$$"} and not toxicity._cores("!!!") and not toxicity._cores("1990")
 
 
+@pytest.mark.parametrize("before", range(18, 34))
+def test_words_of_long_runs_are_read_wherever_they_are(before):
+    costs = read_costs()
+    spaced = " ".join("thehouseis"[k % 10] for k in range(before)) + " - s t u p i d - " + " ".join("letter" * 9)
+    assert "stupid" in toxicity.restored(spaced, costs)
+    token = "the." * (before // 2) + "5tup1d." + "a.stone." * 20
+    assert "stupid" in toxicity.restored(token, costs)
+
+
+def cheapest(observed, costs):
+    """Cost and text of all readings, one by one."""
+    size = toxicity._SIZE
+    signs = [toxicity._readings(c, k > 0 and observed[k - 1] == c) for k, c in enumerate(observed)]
+    for reading in itertools.product(*signs):
+        a = b = 0
+        cost = sum(channel for _, channel in reading)
+        for letter, _ in reading:
+            code = toxicity._INDEX.get(letter, 0)
+            if letter and (code or b):
+                cost += costs[(a * size + b) * size + code]
+                a, b = b, code
+        cost += costs[(a * size + b) * size] if b else 0.0
+        yield cost, "".join(letter for letter, _ in reading)
+
+
+@pytest.mark.parametrize("observed", ["*#%&1d", "st*#%1", "1!|6*&", "&&*#!1", "a**1!%", "s-t*-#1"])
+def test_no_state_of_the_lattice_is_left_out(observed):
+    costs = read_costs()
+    readings = sorted(cheapest(observed, costs))
+    best = {"".join(read.split()) for cost, read in readings if cost < readings[0][0] + 1e-9}
+    assert "".join(toxicity.restored(observed, costs).split()) in best
+
+
 @given(st.text(alphabet="abilstup$@!*.-_'1ж\u0455 ", max_size=12))
 def test_scorer_and_fit_read_the_same(text):
     costs = read_costs()
