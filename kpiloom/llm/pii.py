@@ -44,10 +44,14 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]+")
 
+_DOT_WORDS = "dot|punkt|point|punto"
 _BRACKET_AT = re.compile(r"\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*", re.I)
-_BRACKET_DOT = re.compile(r"\s*[\[({<]\s*(?:dot|punkt|point|punto|\.)\s*[\])}>]\s*", re.I)
-_PLAIN_AT = re.compile(r"(?<=[A-Za-z0-9_%+-])\s+at\s+(?=[A-Za-z0-9-]+(?:\s+dot\s+|\s*\.)[A-Za-z0-9])", re.I)
-_PLAIN_DOT = re.compile(r"(?<=[A-Za-z0-9])\s+(?:dot|punkt|point|punto)\s+(?=[A-Za-z0-9])", re.I)
+_BRACKET_DOT = re.compile(r"\s*[\[({<]\s*(?:" + _DOT_WORDS + r"|\.)\s*[\])}>]\s*", re.I)
+# 'at this point in time' is no address: behind 'point' comes a top-level domain that is no common word.
+_COMMON = "am|an|as|at|be|by|do|go|he|if|in|is|it|me|my|no|of|on|or|so|to|up|us|we"
+_DOTTED = rf"(?:\s+(?:dot|punkt|punto)\s+|\s+point\s+(?=(?:[a-z0-9-]+\s+point\s+)*(?:com|org|net|info|edu|gov|biz|(?!(?:{_COMMON})\b)[a-z]{{2}})(?![\w-]))|\s*\.)"
+_PLAIN_AT = re.compile(rf"(?<=[A-Za-z0-9_%+-])\s+at\s+(?=(?:[A-Za-z0-9-]+{_DOTTED})+[A-Za-z][A-Za-z0-9-])", re.I)
+_PLAIN_DOT = re.compile(rf"(?<=[A-Za-z0-9])\s+(?:{_DOT_WORDS})\s+(?=[A-Za-z0-9])", re.I)
 _WORDS = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _DIGIT_RUN = re.compile(rf"(?<!\w)(?:plus[ -]+)?(?:(?:{_WORDS}|[0-9]+)[ .,-]{{1,2}}){{3,}}(?:{_WORDS}|[0-9]+)(?!\w)", re.I)
 _DIGIT_WORD = re.compile(rf"(?<!\w)(?:plus|{_WORDS})(?!\w)", re.I)
@@ -159,12 +163,11 @@ def _spelled_digits(run: Rewriting) -> None:
 def normalised(text: str) -> Rewriting | None:
     """The text with its disguises rewritten, or None if it has none."""
     look = _has_look_alikes(text)
-    lower = text.lower()
     bracket = any(sign in text for sign in "[({<") and (_BRACKET_AT.search(text) or _BRACKET_DOT.search(text))
-    dots = " dot " in lower and _PLAIN_DOT.search(text)
+    plain = _PLAIN_AT.search(text) or _PLAIN_DOT.search(text)
     digits = _DIGIT_HINT.search(text)
     hidden = not text.isascii() and _INVISIBLE.search(text)
-    if not (look or bracket or dots or digits or hidden):
+    if not (look or bracket or plain or digits or hidden):
         return None
     run = Rewriting(text)
     if hidden:
@@ -174,8 +177,7 @@ def normalised(text: str) -> Rewriting | None:
     run.replace(_BRACKET_AT, lambda m: "@")
     run.replace(_BRACKET_DOT, lambda m: ".")
     run.replace(_PLAIN_AT, lambda m: "@")
-    if dots or "@" in run.text:
-        run.replace(_PLAIN_DOT, lambda m: ".")
+    run.replace(_PLAIN_DOT, lambda m: ".")
     _spelled_digits(run)
     return run if run.text != text else None
 

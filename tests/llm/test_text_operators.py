@@ -386,6 +386,33 @@ def test_disguises_are_found_at_their_place(text, kind, disguised):
         assert extra[0][1] == disguised
 
 
+@pytest.mark.parametrize(
+    "disguised",
+    [
+        "john at example.com",
+        "john AT example.com",
+        "max@beispiel punkt de",
+        "max at beispiel punkt de",
+        "luc at exemple point fr",
+        "luc at mail point exemple point fr",
+        "ana at ejemplo punto es",
+        "ann@mail\tdot\torg",
+        "ann at mail\ndot org",
+        "ann [at] mail.org",
+        "ann@mail (punto) org",
+    ],
+)
+def test_each_disguise_is_found_alone(disguised):
+    text = f"Write: {disguised}, now"
+    base, spans = pii.find_spans(text)
+    assert not base and [(pii.KINDS[k], text[a:b]) for a, k, b in spans] == [("email", disguised)]
+
+
+@pytest.mark.parametrize("text", ["We look at this point in time", "it rose at 3.5 percent", "he met at noon. Then", "a dot b at c"])
+def test_at_in_prose_is_no_address(text):
+    assert pii.find_spans(text) == ([], [])
+
+
 def test_personal_data_of_odd_texts(docs):
     found = by_id(pii.personal_data(docs(*ODD, "a@b.co a@b.co", "seven one")))
     assert found[0]["base_sha256"] == hashlib.sha256(b"").hexdigest() and found[0]["spans"] == ""
