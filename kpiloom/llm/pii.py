@@ -55,7 +55,10 @@ _PLAIN_DOT = re.compile(rf"(?<=[A-Za-z0-9])\s+(?:{_DOT_WORDS})\s+(?=[A-Za-z0-9])
 _WORDS = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _DIGIT_RUN = re.compile(rf"(?<!\w)(?:plus[ -]+)?(?:(?:{_WORDS}|[0-9]+)[ .,-]{{1,2}}){{3,}}(?:{_WORDS}|[0-9]+)(?!\w)", re.I)
 _DIGIT_WORD = re.compile(rf"(?<!\w)(?:plus|{_WORDS})(?!\w)", re.I)
-_DIGIT_HINT = re.compile(rf"(?<!\w)(?:{_WORDS})[ .,-]{{1,2}}(?:{_WORDS}|[0-9])", re.I)
+_DIGIT_HINT = re.compile(
+    rf"(?<!\w)(?:{_WORDS})[ .,-]{{1,2}}(?:{_WORDS}|[0-9])|[0-9][ .,-]{{1,2}}(?:{_WORDS})(?!\w)", re.I
+)
+_SPELLED = re.compile(rf"(?<!\w)(?:{_WORDS})(?:[ ,-]{{1,2}}(?:{_WORDS}))*(?!\w)", re.I)
 _INVISIBLE = re.compile("[­​-‏⁠﻿]")
 
 
@@ -160,15 +163,30 @@ def _spelled_digits(run: Rewriting) -> None:
         run.replace(_DIGIT_RUN, lambda m: write(m) if _DIGIT_WORD.search(m.group()) else m.group())
 
 
-def normalised(text: str) -> Rewriting | None:
-    """The text with its disguises rewritten, or None if it has none."""
+def _spelled_parts(run: Rewriting) -> Rewriting | None:
+    """The text with neighbouring digit words as numbers and the dots between numbers kept, if a run has both."""
+    parts = (match.group() for match in _DIGIT_RUN.finditer(run.text))
+    if not any("." in part and _SPELLED.search(part) for part in parts):
+        return None
+    kept = Rewriting(run.text)
+    kept.starts, kept.ends = run.starts, run.ends
+    digit = re.compile(_WORDS, re.I)
+    kept.replace(_SPELLED, lambda m: "".join(DIGIT_WORDS[word.lower()] for word in digit.findall(m.group())))
+    return kept
+
+
+def normalised(text: str) -> list[tuple[Rewriting, range]]:
+    """The text with its disguises rewritten, and the numbers of the kinds to find there; nothing if it has none.
+
+    A second rewriting keeps the dots between spelled numbers, for IP addresses.
+    """
     look = _has_look_alikes(text)
     bracket = any(sign in text for sign in "[({<") and (_BRACKET_AT.search(text) or _BRACKET_DOT.search(text))
     plain = _PLAIN_AT.search(text) or _PLAIN_DOT.search(text)
     digits = _DIGIT_HINT.search(text)
     hidden = not text.isascii() and _INVISIBLE.search(text)
     if not (look or bracket or plain or digits or hidden):
-        return None
+        return []
     run = Rewriting(text)
     if hidden:
         run.replace(_INVISIBLE, lambda m: "")
@@ -178,21 +196,21 @@ def normalised(text: str) -> Rewriting | None:
     run.replace(_BRACKET_DOT, lambda m: ".")
     run.replace(_PLAIN_AT, lambda m: "@")
     run.replace(_PLAIN_DOT, lambda m: ".")
+    parts = _spelled_parts(run)
     _spelled_digits(run)
-    return run if run.text != text else None
+    found = ((run, range(len(KINDS))), (parts, range(1, 2)))
+    return [(rewritten, kinds) for rewritten, kinds in found if rewritten and rewritten.text != text]
 
 
 def find_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans, and all spans with those that only the rewritten text shows."""
     base = identifiers(text)
-    run = normalised(text)
-    if run is None:
-        return base, base
     found = list(base)
-    for start, kind, end in identifiers(run.text):
-        a, b = min(run.starts[start:end]), max(run.ends[start:end])
-        if not any(k == kind and a < other_end and other < b for other, k, other_end in found):
-            found.append((a, kind, b))
+    for run, kinds in normalised(text):
+        for start, kind, end in identifiers(run.text):
+            a, b = min(run.starts[start:end]), max(run.ends[start:end])
+            if kind in kinds and not any(k == kind and a < other_end and other < b for other, k, other_end in found):
+                found.append((a, kind, b))
     return base, sorted(found)
 
 

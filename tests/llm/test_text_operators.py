@@ -408,6 +408,28 @@ def test_each_disguise_is_found_alone(disguised):
     assert not base and [(pii.KINDS[k], text[a:b]) for a, k, b in spans] == [("email", disguised)]
 
 
+@pytest.mark.parametrize(
+    "disguised",
+    [
+        "one nine two dot one six eight dot zero dot one",
+        "192.168.zero.one",
+        "192.168.0.one",
+        "zehn.0.0.1 or 10.zero.0.1",
+        "one-nine-two.one, six, eight.zero.one",
+        "192 punkt 168 punkt null punkt eins",
+    ],
+)
+def test_spelled_addresses_keep_their_dots(disguised):
+    text = f"Port 80, {disguised} is up"
+    base, spans = pii.find_spans(text)
+    found = [(pii.KINDS[k], text[a:b]) for a, k, b in spans]
+    assert not base and found == [("ip", disguised.split(" or ")[-1])]
+
+
+def test_spelled_cards_with_dots_stay_found():
+    assert "card" in [pii.KINDS[k] for _, k, _ in pii.find_spans("four.one.one.one.1111.1111.1111")[1]]
+
+
 @pytest.mark.parametrize("text", ["We look at this point in time", "it rose at 3.5 percent", "he met at noon. Then", "a dot b at c"])
 def test_at_in_prose_is_no_address(text):
     assert pii.find_spans(text) == ([], [])
