@@ -1,7 +1,7 @@
 """Licence scans by sentence rules.
 
 A text is cut into sentences, line by line and over the lines of a paragraph;
-sentences are normalised and mapped to the identifiers of known licence
+sentences, or their parts between ; or :, are normalised and mapped to the identifiers of known licence
 sentences.  The sequence of identifiers is then matched against ordered rules:
 a rule names sentences that must follow each other in this order, longer rules
 first, and uses up the sentences it matches.
@@ -20,41 +20,47 @@ from kpiloom.llm.common import texts
 # Known licence sentences, as patterns over normalised sentences
 # (lower case, signs as one space; dots only inside numbers), and their identifiers.
 _UNDER = r"(?:.* )?(?:licen[sc]ed|released|distributed|available|provided|published|covered|redistributed)(?: \w+){0,4} under(?: the)?(?: terms of)?(?: the| a)?"
+# A reference may go on, but not with another version, or with a further condition of Creative Commons.
+_ON = r"(?:(?! (?:v|version )?[0-9]) .*)?"
+_SA, _NC, _ND = r"(?:sa|share ?alike)", r"(?:nc|non ?commercial)", r"(?:nd|no ?deriv\w*)"
+_CC = r" (?:cc|creative commons) (?:by|attribution)"
+_CC_ON = rf"(?: [0-9.]+)?(?: international)?(?: licen[sc]e)?(?:(?! (?:{_SA}|{_NC}|{_ND})(?: |$)) .*)?"
 SENTENCES = (
     ("MIT-GRANT", r"(?:.* )?permission is hereby granted free of charge to any person obtaining a copy of this software(?: .*)?"),
-    ("MIT-NOTICE", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
-    ("AS-IS-SOFTWARE", r"the software is provided as is without warranty of any kind(?: .*)?"),
-    ("ISC-GRANT", r"(?:.* )?permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted(?: .*)?"),
+    ("MIT-NOTICE", r"(?:.* )?the above copyright notice and this permission notice(?: including the next paragraph)? shall be included in all copies or substantial portions of the software"),
+    ("AS-IS-SOFTWARE", r"(?:.* )?the software is provided as is without warranty of any kind(?: .*)?"),
+    ("ISC-AS-IS", r"(?:.* )?the software is provided as is and .* disclaims? all warranties(?: .*)?"),
+    ("ISC-GRANT", r"(?:.* )?permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted(?: .*)?"),
     ("BSD-REDIST", r"(?:.* )?redistribution and use in source and binary forms with or without modification are permitted(?: .*)?"),
     ("BSD-SOURCE", r"(?:.* )?redistributions of source code must retain the above copyright notice(?: .*)?"),
     ("BSD-BINARY", r"(?:.* )?redistributions in binary form must reproduce the above copyright notice(?: .*)?"),
     ("BSD-NAME", r"(?:.* )?neither the name .* may be used to endorse or promote products(?: .*)?"),
-    ("BSD-AS-IS", r"this software is provided by .* as is and any express or implied warranties(?: .*)?"),
-    ("APACHE-2-FILE", r"you may not use this file except in compliance with the license"),
-    ("APACHE-2-AS-IS", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis(?: .*)?"),
+    ("BSD-AS-IS", r"(?:.* )?this software is provided by .* as is and any express or implied warranties(?: .*)?"),
+    ("APACHE-2-FILE", r"(?:.* )?you may not use this file except in compliance with the license"),
+    ("APACHE-2-AS-IS", r"(?:.* )?unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis(?: .*)?"),
     ("GPL-FREE", r"(?:.* )?is free software you can redistribute it and or modify it under the terms of the gnu general public license(?: .*)?"),
     ("LGPL-FREE", r"(?:.* )?is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license(?: .*)?"),
     ("AGPL-FREE", r"(?:.* )?is free software you can redistribute it and or modify it under the terms of the gnu affero general public license(?: .*)?"),
     ("GNU-HOPE", r"(?:.* )?is distributed in the hope that it will be useful but without any warranty(?: .*)?"),
-    ("MPL-2-FORM", r"this source code form is subject to the terms of the mozilla public license v(?:ersion)? ?2\.0"),
-    ("UNLICENSE", r"this is free and unencumbered software released into the public domain"),
-    ("REF-MIT", _UNDER + r" (?:mit|expat) licen[sc]e"),
-    ("REF-APACHE-2", _UNDER + r" apache licen[sc]e(?: v(?:ersion)? ?)?2(?:\.0)?"),
-    ("REF-GPL-2", _UNDER + r" (?:gnu )?(?:general public licen[sc]e|gpl) ?v?(?:ersion)? ?2(?:\.0)?"),
-    ("REF-GPL-3", _UNDER + r" (?:gnu )?(?:general public licen[sc]e|gpl) ?v?(?:ersion)? ?3(?:\.0)?"),
-    ("REF-LGPL", _UNDER + r" (?:gnu )?(?:lesser general public licen[sc]e|lgpl) ?v?(?:ersion)? ?[0-9.]*"),
-    ("REF-AGPL-3", _UNDER + r" (?:gnu )?(?:affero general public licen[sc]e|agpl) ?v?(?:ersion)? ?3?(?:\.0)?"),
-    ("REF-BSD-2", _UNDER + r" (?:bsd 2 clause|2 clause bsd|simplified bsd)(?: licen[sc]e)?"),
-    ("REF-BSD-3", _UNDER + r" (?:bsd 3 clause|3 clause bsd|new bsd|modified bsd)(?: licen[sc]e)?"),
-    ("REF-MPL-2", _UNDER + r" mozilla public licen[sc]e(?: v(?:ersion)? ?)?2\.0"),
-    ("REF-ISC", _UNDER + r" isc licen[sc]e"),
-    ("REF-CC0", _UNDER + r" (?:cc0|creative commons zero)(?: 1\.0)?(?: universal)?(?: licen[sc]e)?"),
-    ("REF-CC-BY", _UNDER + r" (?:cc|creative commons) (?:by|attribution)(?: [0-9.]+)?(?: international)?(?: licen[sc]e)?"),
-    ("REF-CC-BY-SA", _UNDER + r" (?:cc|creative commons) (?:by|attribution) (?:sa|sharealike|share alike)(?: [0-9.]+)?(?: international)?(?: licen[sc]e)?"),
-    ("REF-CC-BY-NC", _UNDER + r" (?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial|non commercial)(?: [0-9.]+)?(?: international)?(?: licen[sc]e)?"),
-    ("REF-CC-BY-ND", _UNDER + r" (?:cc|creative commons) (?:by|attribution) (?:nd|noderivatives|noderivs)(?: [0-9.]+)?(?: international)?(?: licen[sc]e)?"),
-    ("REF-CC-BY-NC-SA", _UNDER + r" (?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial) (?:sa|sharealike)(?: [0-9.]+)?(?: international)?(?: licen[sc]e)?"),
-    ("REF-CC-BY-NC-ND", _UNDER + r" (?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial) (?:nd|noderivatives|noderivs)(?: [0-9.]+)?(?: international)?(?: licen[sc]e)?"),
+    ("MPL-2-FORM", r"(?:.* )?this source code form is subject to the terms of the mozilla public license v(?:ersion)? ?2\.0(?: .*)?"),
+    ("UNLICENSE", r"(?:.* )?this is free and unencumbered software released into the public domain"),
+    ("REF-MIT", _UNDER + r" (?:mit|expat) licen[sc]e" + _ON),
+    ("REF-APACHE-2", _UNDER + r" apache(?: licen[sc]e)?(?: v(?:ersion)?)? ?2(?:\.0)?" + _ON),
+    ("REF-GPL-2", _UNDER + r" (?:gnu )?(?:general public licen[sc]e|gpl) ?v?(?:ersion)? ?2(?:\.0)?" + _ON),
+    ("REF-GPL-3", _UNDER + r" (?:gnu )?(?:general public licen[sc]e|gpl) ?v?(?:ersion)? ?3(?:\.0)?" + _ON),
+    ("REF-LGPL", _UNDER + r" (?:gnu )?(?:lesser general public licen[sc]e|lgpl) ?v?(?:ersion)? ?[0-9.]*" + _ON),
+    ("REF-AGPL-3", _UNDER + r" (?:gnu )?(?:affero general public licen[sc]e|agpl) ?v?(?:ersion)? ?3?(?:\.0)?" + _ON),
+    ("REF-BSD-2", _UNDER + r" (?:bsd 2 clause|2 clause bsd|simplified bsd)(?: licen[sc]e)?" + _ON),
+    ("REF-BSD-3", _UNDER + r" (?:bsd 3 clause|3 clause bsd|new bsd|modified bsd)(?: licen[sc]e)?" + _ON),
+    ("REF-MPL-2", _UNDER + r" mozilla public licen[sc]e(?: v(?:ersion)?)? ?2\.0" + _ON),
+    ("REF-ISC", _UNDER + r" isc licen[sc]e" + _ON),
+    ("REF-CC0", _UNDER + r" (?:cc0|creative commons zero)(?: 1\.0)?(?: universal)?(?: licen[sc]e)?" + _ON),
+    ("REF-CC-BY", _UNDER + _CC + _CC_ON),
+    ("REF-CC-BY-SA", _UNDER + _CC + " " + _SA + _CC_ON),
+    ("REF-CC-BY-NC", _UNDER + _CC + " " + _NC + _CC_ON),
+    ("REF-CC-BY-ND", _UNDER + _CC + " " + _ND + _CC_ON),
+    ("REF-CC-BY-NC-SA", _UNDER + _CC + " " + _NC + " " + _SA + _CC_ON),
+    ("REF-CC-BY-NC-ND", _UNDER + _CC + " " + _NC + " " + _ND + _CC_ON),
     ("ALL-RIGHTS", r"(?:.* )?all rights reserved"),
 )
 # Licences as ordered sentences.
@@ -63,6 +69,7 @@ RULES = (
     ("BSD-2-Clause", ("BSD-REDIST", "BSD-SOURCE", "BSD-BINARY", "BSD-AS-IS")),
     ("MIT", ("MIT-GRANT", "MIT-NOTICE", "AS-IS-SOFTWARE")),
     ("Apache-2.0", ("REF-APACHE-2", "APACHE-2-FILE", "APACHE-2-AS-IS")),
+    ("ISC", ("ISC-GRANT", "ISC-AS-IS")),
     ("ISC", ("ISC-GRANT", "AS-IS-SOFTWARE")),
     ("GPL", ("GPL-FREE", "GNU-HOPE")),
     ("LGPL", ("LGPL-FREE", "GNU-HOPE")),
@@ -91,7 +98,10 @@ RULES = (
 _HINTS = ("licen", "permission", "redistribut", "warrant", "public domain", "is free software", "all rights reserved", "neither the name", "as is")
 _KNOWN = [(name, re.compile(pattern)) for name, pattern in SENTENCES]
 _SPDX = re.compile(r"spdx-license-identifier:[ \t]*([a-z0-9.+-]+)", re.I)
-_SENTENCE_END = re.compile(r"(?<=[.!?;])\s+|:\s*\n|(?<=:)\s+")
+_SENTENCE_END = re.compile(r"(?<=[.!?])(?<!\b[vV]\.)\s+")
+_PART_END = re.compile(r"(?<=[;:])\s+")
+# The words of a known sentence go over so many parts at most.
+PARTS = 3
 _NOT_WORD = re.compile(r"[^\w.]+|\.(?![0-9])|(?<![0-9])\.")
 _PARAGRAPH = re.compile(r"\n[^\S\n]*\n")
 _COMMENT = re.compile(r"(?m)^[ \t]*(?:/?\*+/?|//+|#+|--|;+|%+)[ \t]?")
@@ -111,22 +121,39 @@ def sentence_id(sentence: str) -> str | None:
     return next((name for name, pattern in _KNOWN if pattern.fullmatch(plain)), None)
 
 
+def ids_of_line(line: str) -> list[str]:
+    """Identifiers of the known sentences of a line, each over the fewest parts of a sentence between ; or : that hold it."""
+    found = []
+    for sentence in _SENTENCE_END.split(line):
+        lower = sentence.lower()
+        if not any(hint in lower for hint in _HINTS):
+            continue
+        parts = _PART_END.split(sentence)
+        names: dict[int, str] = {}
+        used: set[int] = set()
+        for n in range(1, min(PARTS, len(parts)) + 1):
+            for k in range(len(parts) - n + 1):
+                if used.isdisjoint(range(k, k + n)) and (name := sentence_id(" ".join(parts[k : k + n]))):
+                    names[k] = name
+                    used.update(range(k, k + n))
+        found += [names[k] for k in sorted(names)]
+    return found
+
+
 def sentence_ids(text: str) -> list[str]:
     """Identifiers of the known sentences of a text, in order, each sentence once."""
     if not any(hint in text.lower() for hint in _HINTS):
         return []
     found: dict[tuple[int, str], None] = {}
     at = 0
-    for paragraph in [*_PARAGRAPH.split(text)]:
-        lower = paragraph.lower()
+    for clean in _PARAGRAPH.split(_COMMENT.sub("", text)):
+        lower = clean.lower()
         if any(hint in lower for hint in _HINTS):
-            clean = _COMMENT.sub("", paragraph)
-            joined = [sentence_id(s) for s in _SENTENCE_END.split(clean.replace("\n", " "))]
-            by_line = [sentence_id(s) for line in clean.split("\n") for s in _SENTENCE_END.split(line)]
-            names = [name for name in joined if name]
-            names += [name for name in by_line if name and name not in names]
+            names = ids_of_line(clean.replace("\n", " "))
+            by_line = [name for line in clean.split("\n") for name in ids_of_line(line)]
+            names += [name for name in by_line if name not in names]
             found.update({(at + k, name): None for k, name in enumerate(names)})
-        at += len(paragraph) + 2
+        at += len(clean) + 2
     return [name for _, name in sorted(found)]
 
 

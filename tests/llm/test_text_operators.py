@@ -468,6 +468,54 @@ def test_licences_by_sentence_rules(docs, text, expected):
     assert row["licenses"] == expected
 
 
+_MIT_GRANT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated\ndocumentation files (the \"Software\"), to deal in the Software without restriction, subject to the following conditions:\n\n"
+_GNU = "This program is free software{sign} you can redistribute it and/or modify\nit under the terms of the GNU {name}General Public License as published by\nthe Free Software Foundation{either} either version {n} of the License, or\n(at your option) any later version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details.\n"
+_BSD = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer.\n{third}\nTHIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\"\nAND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, ARE DISCLAIMED.\n"
+_APACHE = "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an \"AS IS\" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\nSee the License.\n"
+NOTICES = {
+    "MIT": _MIT_GRANT + "The above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY.\n",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES\nWITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES.\n",
+    "BSD-2-Clause": _BSD.format(third=""),
+    "BSD-3-Clause": _BSD.format(third="3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.\n"),
+    "Apache-2.0": _APACHE,
+    "GPL": _GNU.format(sign=";", name="", either=";", n=2),
+    "LGPL": _GNU.format(sign=";", name="Lesser ", either=";", n=2.1),
+    "AGPL": _GNU.format(sign=":", name="Affero ", either=",", n=3),
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.\n",
+    "Unlicense": "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy.\n",
+}
+
+
+@pytest.mark.parametrize("comment", ["", " * ", "# "])
+@pytest.mark.parametrize("licence", sorted(NOTICES))
+def test_whole_notices_match_their_rule(licence, comment):
+    notice = "Copyright 2020 A. Person\n\n" + NOTICES[licence]
+    text = "\n".join((comment + line).rstrip() for line in notice.split("\n")) + "\nint main() { return 0; }\n"
+    assert licenses.scan(text)[1] == [licence]
+    full = max((rule for name, rule in licenses.RULES if name == licence), key=len)
+    assert set(full) <= set(licenses.sentence_ids(text)) or licence == "ISC"
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("Released under the MIT License, see LICENSE.", ["MIT"]),
+        ("This tool is licensed under the GPL version 2 or later.", ["GPL-2.0"]),
+        ("Licensed under the GNU General Public License v. 3 or any later version", ["GPL-3.0"]),
+        ("Licensed under the Apache License 2.0; see below", ["Apache-2.0"]),
+        ("Licensed under CC BY-NC-SA 4.0, see the page.", ["CC-BY-NC-SA"]),
+        ("Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License by us", ["CC-BY-SA"]),
+        ("Licensed under CC BY 4.0 by the authors", ["CC-BY"]),
+        ("Licensed under the AGPL version 1", []),
+        ("Licensed under the Apache License 1.1", []),
+        ("Licensed under the GPL 21", []),
+        ("Note: this is free software; ask us: licences follow", []),
+    ],
+)
+def test_references_may_go_on(text, expected):
+    assert licenses.scan(text)[1] == expected
+
+
 def test_rules_need_their_order():
     assert licenses.match_rules(["MIT-GRANT", "MIT-NOTICE", "AS-IS-SOFTWARE"]) == ["MIT"]
     assert licenses.match_rules(["AS-IS-SOFTWARE", "MIT-NOTICE", "MIT-GRANT"]) == []
