@@ -33,7 +33,7 @@ FEATURES = 4000
 BEGINNINGS = (4, 5, 6)
 LEAST_TEXTS, LEAST_SHARE, LEAST_ODDS = 3, 0.002, 20.0
 PENALTY, STEPS = 0.0005, 400
-# Tokens remembered, and the longest that are.
+# Tokens remembered by a generation, and the longest that are.
 REMEMBERED, REMEMBERED_LENGTH = 100_000, 64
 
 # The letters of the language model, and what signs may stand for.
@@ -60,10 +60,14 @@ _INNER = re.compile(rf"[\w{_ANY_SIGN}][{re.escape(SEPARATORS)}]+[\w{_ANY_SIGN}]"
 _LETTER = re.compile(r"[^\W\d_]")
 # Signs only, two different ones: '@$$'.
 _SIGNS_ONLY = re.compile(rf"(?!(.)\1*$)(?:(?!\d)[{_ANY_SIGN}]){{2,}}")
-_MODEL_LETTERS = re.compile(f"[{LETTERS}]+")
 _PUNCTUATED = re.compile(r"\w(?:[.\-_~*']\w){2,}")
 _OPENING, _CLOSING = "([{\"'“«¿¡", ".,;:!?)]}\"'”»…"
-_SPACED = re.compile(r"(?<!\S)\S(?:[ .\-_]{1,3}\S){2,}(?!\S)")
+# Single characters with separators between them: at most three spaces in a row, any number of the other ones.
+# A character is one or the other and nothing is given back, so the time of a search grows with the text.
+_BETWEEN = r"(?: {1,3}+(?:[.\-_]++ {0,3}+)*+|(?:[.\-_]++ {0,3}+)++)"
+_SPACED = re.compile(rf"(?<!\S)[^\s.\-_](?:{_BETWEEN}[^\s.\-_]){{2,}}+")
+_SINGLE = re.compile(r"[^\s.\-_]")
+_BEFORE_SPACE = re.compile(r"[^\s.\-_](?=\s)")
 _WORD = re.compile(r"[^\W\d_]+")
 _COSTS = {"same": 0.0, "disguise": 0.4, "sign": 1.0, "repeat": 0.2, "separator": 0.1, "gap": 1.0}
 
@@ -209,9 +213,24 @@ def _of_token(token: str, costs: list[float]) -> set[str]:
     return found
 
 
-def _spaced_out(text: str, costs: list[float]) -> Iterator[str]:
+def spaced_runs(text: str) -> Iterator[str]:
+    """Spaced out letters: three or more single characters with separators between them, white space around.
+
+    Where a chain goes on into a longer word, the run ends with its last
+    character that white space follows.
+    """
     for match in _SPACED.finditer(text):
-        yield from _of_words(_WORD.findall(restored(match.group(), costs)))
+        run, end = match.group(), match.end()
+        if end < len(text) and not text[end].isspace():
+            run = run[: max((last.end() for last in _BEFORE_SPACE.finditer(run)), default=0)]
+            if len(_SINGLE.findall(run)) < 3:
+                continue
+        yield run
+
+
+def _spaced_out(text: str, costs: list[float]) -> Iterator[str]:
+    for run in spaced_runs(text):
+        yield from _of_words(_WORD.findall(restored(run, costs)))
 
 
 def features_of(text: str, costs: list[float], known: dict[str, set[str]] | None = None) -> set[str]:
@@ -235,6 +254,33 @@ def features_of(text: str, costs: list[float], known: dict[str, set[str]] | None
     return found
 
 
+def _alike() -> dict[int, str]:
+    """Of each letter and sign the first letter that a chain of shared readings leads to; separators become nothing."""
+    parent: dict[str, str] = {}
+
+    def top(sign: str) -> str:
+        while parent.setdefault(sign, sign) != sign:
+            sign = parent[sign]
+        return sign
+
+    for sign, letters in DISGUISES.items():
+        for letter in letters:
+            one, other = sorted((top(sign), top(letter)), key=lambda s: (s not in _INDEX, s))
+            parent[other] = one
+    return {**{ord(sign): top(sign) for sign in list(parent)}, **{ord(sign): "" for sign in SEPARATORS}}
+
+
+_ALIKE = _alike()
+
+
+def outline(word: str) -> str:
+    """What all readings of a word have in common: signs and letters that stand for each other are one, repeats and separators none.
+
+    The outline of every word of a reading occurs in the outline of what is read.
+    """
+    return _SAME.sub(r"\1", word.translate(_ALIKE))
+
+
 @dataclass
 class ToxicityModel:
     """``costs`` of the language model, feature ``weights`` and ``bias``."""
@@ -246,38 +292,43 @@ class ToxicityModel:
 
 
 class Scorer:
-    """Scores texts, remembering a bounded number of tokens."""
+    """Finds the features of texts that have a weight, remembering a bounded number of tokens.
+
+    A token is decoded only if its outline holds that of a feature; no other
+    can be read as one.
+    """
 
     def __init__(self, model: ToxicityModel):
         self.model = model
+        # Two generations of tokens: the older one is dropped when the younger one is full.
         self.known: dict[str, tuple[str, ...]] = {}
+        self.older: dict[str, tuple[str, ...]] = {}
         self.starts = {f.rstrip()[: BEGINNINGS[0]] for f in model.weights}
-        self.single = {_SAME.sub(r"\1", f.rstrip()) for f in model.weights}
-        self.longest = max(map(len, self.single), default=0)
-
-    def _may_read(self, core: str) -> bool:
-        """Whether a word of the model's letters can be read as a known feature when doubled letters may be single."""
-        single = _SAME.sub(r"\1", core)
-        return any(single[:k] in self.single for k in range(1, min(self.longest, len(single)) + 1))
+        outlines = sorted({outline(f.rstrip()) for f in model.weights}, key=lambda o: (len(o), o))
+        self.outlines: list[str] = []
+        for found in outlines:  # one that holds another is found with it
+            if not any(shorter in found for shorter in self.outlines):
+                self.outlines.append(found)
 
     def of_token(self, token: str) -> tuple[str, ...]:
-        core = token.rstrip(".,")
-        if (
-            core.isalpha()
-            and core[: BEGINNINGS[0]] not in self.starts
-            and not _SIGN.search(core)
-            and not (_DOUBLED.search(core) and (not _MODEL_LETTERS.fullmatch(core) or self._may_read(core)))
-        ):
-            found: tuple[str, ...] = ()
-        else:
-            found = tuple(f for f in _of_token(token, self.model.costs) if f in self.model.weights)
+        found = self.older.get(token)
+        if found is None:
+            core = token.rstrip(".,")
+            if core.isalpha() and core[: BEGINNINGS[0]] not in self.starts and not (_DOUBLED.search(core) or _SIGN.search(core)):
+                found = ()
+            else:
+                shape = outline(token)
+                if any(one in shape for one in self.outlines):
+                    found = tuple(f for f in _of_token(token, self.model.costs) if f in self.model.weights)
+                else:
+                    found = ()
         if len(self.known) >= REMEMBERED:
-            self.known.clear()
+            self.older, self.known = self.known, {}
         if len(token) <= REMEMBERED_LENGTH:
             self.known[token] = found
         return found
 
-    def score(self, text: str) -> float:
+    def features(self, text: str) -> set[str]:
         lower = text.lower()
         known, weights = self.known, self.model.weights
         found: set[str] = set()
@@ -285,10 +336,14 @@ class Scorer:
             of = known.get(token)
             if of is None:
                 of = self.of_token(token)
+                known = self.known
             if of:
                 found.update(of)
         found.update(f for f in _spaced_out(lower, self.model.costs) if f in weights)
-        total = self.model.bias + math.fsum(weights[f] for f in found)
+        return found
+
+    def score(self, text: str) -> float:
+        total = self.model.bias + math.fsum(self.model.weights[f] for f in self.features(text))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, total))))
 
 
@@ -329,6 +384,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column) -> ToxicityModel:
     """Language model from all texts, weights from a sample of ``labels(doc_id, toxic)`` whose ids are ``usable``.
 
     Without labels of both kinds no feature has a weight and all scores are low.
+    The sample is bounded by `SAMPLE_TOXIC` and `SAMPLE_CLEAN`, the model by
+    `FEATURES`, the features in the most toxic texts.
     """
     spark = docs.sparkSession
     counts = trigram_counts(docs).toArrow()
@@ -356,8 +413,11 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column) -> ToxicityModel:
 
     per_task = sample.mapInArrow(features, "feature string, clean long, toxic long")
     all_counts = per_task.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    telling = all_counts.where(F.col("toxic") >= LEAST_TEXTS).orderBy(
-        ((F.col("toxic") + 0.0) / (F.col("clean") + 1.0) * F.col("toxic")).desc(), "feature"
+    # The row "" counts the texts; it comes first, whatever the others are.
+    telling = all_counts.where((F.col("feature") == "") | (F.col("toxic") >= LEAST_TEXTS)).orderBy(
+        (F.col("feature") == "").desc(),
+        ((F.col("toxic") + 0.0) / (F.col("clean") + 1.0) * F.col("toxic")).desc(),
+        "feature",
     )
     rows = {r["feature"]: (r["clean"], r["toxic"]) for r in telling.limit(20 * FEATURES).collect()}
     clean, toxic = rows.pop("", (0, 0))
@@ -367,15 +427,12 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column) -> ToxicityModel:
     if not good or not clean:
         return ToxicityModel(costs)
     number = {f: k for k, f in enumerate(good)}
-    numbers = spark.sparkContext.broadcast(number)
+    chosen_features = spark.sparkContext.broadcast(ToxicityModel(costs, dict.fromkeys(good, 1.0)))
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, set[str]] = {}
+        scorer = Scorer(chosen_features.value)
         for batch in batches:
-            found = [
-                sorted(numbers.value[f] for f in features_of(text, held.value, known) if f in numbers.value)
-                for text in texts(batch.column(0))
-            ]
+            found = [sorted(number[f] for f in scorer.features(text)) for text in texts(batch.column(0))]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["toxic", "found"])
 
     bags = sample.mapInArrow(present, "toxic int, found array<int>").collect()
