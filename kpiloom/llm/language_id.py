@@ -172,7 +172,7 @@ def fit(docs: DataFrame, usable: Column, sample_rows: int = SAMPLE_ROWS) -> Lang
                 ["at", "lang", "ids", "shares"],
             )
 
-    sample = some.join(chosen, "doc_id").select("at", "lang", "text")
+    sample = some.select("doc_id", "lang", "text").join(chosen, "doc_id").select("at", "lang", "text")
     rows = sample.mapInArrow(bags, "at long, lang string, ids array<int>, shares array<float>").toArrow()
     rows = rows.sort_by([("at", "ascending"), ("lang", "ascending")])
     return train(
