@@ -14,6 +14,7 @@ from kpiloom.llm.language_id import language_id
 from kpiloom.llm.licenses import license_scan
 from kpiloom.llm.near_dedup import near_groups
 from kpiloom.llm.pii import personal_data
+from kpiloom.llm.ranked_search import ranked_search
 from kpiloom.llm.token_counts import token_counts
 from kpiloom.llm.token_output import packed_matrices
 from kpiloom.llm.toxicity import toxicity
@@ -85,6 +86,11 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(_documents(spark, folder))
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return ranked_search(_documents(spark, folder), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -98,6 +104,7 @@ QUERIES = {
         op8_config_packing,
         op9_personal_data,
         op10_exact_dedup,
+        op11_ranked_search,
     )
 }
 
@@ -147,4 +154,37 @@ ORACLES = {
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    "op11_ranked_search": r"""
+        WITH texts AS (
+            SELECT row_number() OVER () AS doc, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '') AS terms FROM documents
+        ), sizes AS (
+            SELECT doc, doc_id, CAST(len(terms) AS BIGINT) AS n FROM texts WHERE len(terms) > 0
+        ), totals AS (
+            SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes
+        ), asked AS (
+            SELECT item_id, term, count(*) AS times FROM (
+                SELECT item_id, unnest(list_filter(string_split_regex(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '')) AS term
+                FROM (SELECT DISTINCT item_id, text FROM benchmark)
+            ) GROUP BY item_id, term
+        ), postings AS (
+            SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(terms) AS term FROM texts)
+            WHERE term IN (SELECT term FROM asked) GROUP BY doc, term
+        ), weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+            FROM postings, totals GROUP BY term, docs
+        ), scores AS (
+            SELECT item_id, doc, doc_id, CAST(sum(times * w * ((1000000000 * tf) //
+                   (1000 * tf + 8 * (100 - 75 + ((75 * n * t.docs) // t.terms))))) AS BIGINT) AS score
+            FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN sizes USING (doc), totals t
+            GROUP BY item_id, doc, doc_id
+        )
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, doc) AS INTEGER) AS rank,
+               doc_id, score
+        FROM scores WHERE score > 0
+        QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, doc) <= 10
+    """,
 }
