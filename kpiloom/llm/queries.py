@@ -12,6 +12,7 @@ from kpiloom.llm.decontamination import contamination
 from kpiloom.llm.exact_dedup import exact_groups
 from kpiloom.llm.language_id import language_id
 from kpiloom.llm.licenses import license_scan
+from kpiloom.llm.mixing import mix
 from kpiloom.llm.near_dedup import near_groups
 from kpiloom.llm.pii import personal_data
 from kpiloom.llm.ranked_search import ranked_search
@@ -91,6 +92,11 @@ def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return ranked_search(_documents(spark, folder), table(spark, folder, "benchmark"))
 
 
+def op12_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Words a mix by source weights takes of every document."""
+    return mix(_documents(spark, folder)).taken()
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -105,6 +111,7 @@ QUERIES = {
         op9_personal_data,
         op10_exact_dedup,
         op11_ranked_search,
+        op12_source_mixing,
     )
 }
 
