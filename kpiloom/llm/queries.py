@@ -19,6 +19,7 @@ from kpiloom.llm.ranked_search import ranked_search
 from kpiloom.llm.token_counts import token_counts
 from kpiloom.llm.token_output import packed_matrices
 from kpiloom.llm.toxicity import toxicity
+from kpiloom.llm.whitening import whitened
 
 
 def byte_tokenizer() -> tuple[str, str, str]:
@@ -97,6 +98,11 @@ def op12_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(_documents(spark, folder)).taken()
 
 
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Whitened components of every whole embedding."""
+    return whitened(table(prepared(spark), folder, "embeddings"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -112,6 +118,7 @@ QUERIES = {
         op10_exact_dedup,
         op11_ranked_search,
         op12_source_mixing,
+        op13_embedding_whitening,
     )
 }
 
