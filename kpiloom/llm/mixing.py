@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.llm.common import mixed, staged
+from kpiloom.operators.running import before
 
 SHARE, MOST = 1.5, 2
 WEIGHTS = (5, 2, 1)
@@ -31,7 +32,7 @@ BLOCK_WORDS, SHARD_BLOCKS = 512, 1024
 # Shards, or groups of shards, that one multinomial deals to at most.
 FAN = 1024
 # Documents of one running sum of sizes, on average.
-BUCKET_DOCUMENTS = 50_000
+BUCKET_DOCUMENTS = 1000
 SEED = 20_240_229
 ROUNDS = 4
 # Draws or copies that one step expands.
@@ -55,11 +56,11 @@ def _ranked(sources: DataFrame) -> DataFrame:
     ordered = staged(ordered, "mix-sources")
     part, within = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit(2**33 - 1))
     counts = sorted((row["part"], row["n"]) for row in ordered.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect())
-    before, total = [], 0
+    ahead, total = [], 0
     for number, n in counts:
-        before.append((number, total))
+        ahead.append((number, total))
         total += n
-    starts = sources.sparkSession.createDataFrame(before, "_part long, _before long")
+    starts = sources.sparkSession.createDataFrame(ahead, "_part long, _before long")
     placed = ordered.withColumn("_part", part).join(F.broadcast(starts), "_part")
     return placed.withColumn("place", F.col("_before") + within).drop("_part", "_before", "_id")
 
@@ -208,9 +209,7 @@ def _drawn(dealt: DataFrame) -> DataFrame:
 def _placed(docs: DataFrame) -> DataFrame:
     """``doc_id, digest, source, size, copies, start``: where the words of each different row begin in its source.
 
-    Rows of a source are ordered by hash and id.  Sizes are summed per bucket
-    of hashes, then over the buckets before, so that a source on a third of
-    all rows is no single running sum.
+    Rows of a source are ordered by hash and id.
     """
     digest = F.xxhash64(F.coalesce("text", F.lit("")))
     rows = docs.select("doc_id", "source", digest.alias("digest"), n_words(F.col("text")).alias("size"))
@@ -218,13 +217,8 @@ def _placed(docs: DataFrame) -> DataFrame:
     buckets = max(1, -(-rows.count() // BUCKET_DOCUMENTS))
     bucket = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "digest"), F.lit(buckets))
     rows = rows.withColumn("bucket", bucket).withColumn("words", F.col("size") * F.col("copies"))
-    sums = rows.groupBy("source", "bucket").agg(F.sum("words").alias("words"))
-    ahead = F.sum("words").over(Window.partitionBy("source").orderBy("bucket")) - F.col("words")
-    sums = sums.select(F.col("source").alias("of"), F.col("bucket").alias("in"), ahead.alias("before"))
-    inside = Window.partitionBy("source", "bucket").orderBy("doc_id", "digest")
-    rows = rows.withColumn("within", F.sum("words").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("words"))
-    found = rows.join(sums, F.col("source").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("in")))
-    return found.select("doc_id", "digest", "source", "size", "copies", (F.col("before") + F.col("within")).alias("start"))
+    found = before(rows, ["source"], "bucket", ["doc_id", "digest", "size"], "words", buckets, "start")
+    return found.select("doc_id", "digest", "source", "size", "copies", "start")
 
 
 @dataclass(frozen=True)
@@ -292,7 +286,9 @@ def mix(docs: DataFrame, *, share: float = SHARE, most: float = MOST, weights: t
     wanted = staged(targets(sizes, share, most, weights), "mix-targets")
     sources = staged(_with_draws(wanted), "mix-draws")
     draws = sources.agg(F.sum("draws")).first()[0] or 0
-    drawn = _drawn(_dealt(sources, max(1, round(draws / shard_blocks)), fan))
+    dealt = _dealt(sources, max(1, round(draws / shard_blocks)), fan)
+    # Stored, as Spark would take them for as few as the sources and broadcast them.
+    drawn = staged(_drawn(dealt.repartition("place", "shard")), "mix-drawn")
     known = wanted.withColumnRenamed("source", "of")
     rows = placed.join(known, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     # One row per copy, its words behind those of the copy before; long lists of copies are made in steps.
