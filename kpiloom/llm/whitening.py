@@ -29,6 +29,8 @@ GUARD = 16
 DEGREE = 12
 # Largest residual of a wanted pair, relative to the largest eigenvalue.
 TOLERANCE = 1e-12
+# A residual above it certifies nothing.
+CERTIFIED = 1e-8
 # Rounds of filter, QR and Rayleigh-Ritz at most; without progress they end earlier.
 ROUNDS = 60
 SCALE, SHIFT = 64, 1_000_000
@@ -168,10 +170,10 @@ def chebyshev(apply, block: np.ndarray, low: float, cut: float, top: float, degr
 def spectrum(held: Vectors, components: int = COMPONENTS, *, guard: int = GUARD, degree: int = DEGREE, tolerance: float = TOLERANCE) -> Spectrum:
     """The leading eigenpairs of V by Chebyshev-filtered subspace iteration.
 
-    The unwanted spectrum lies between 0, or what the trace leaves for the
-    smallest eigenvalues, and the last Ritz value of the block.  Iteration ends
-    when all wanted residuals are within the tolerance, or have stopped
-    falling at the accuracy of the sums; they are returned either way.
+    The unwanted spectrum lies between 0 and the last Ritz value of the block.
+    Iteration ends when all wanted residuals are within the tolerance, or have
+    stopped falling at the accuracy of the sums.  What is not certified by then
+    is refused with an error.
     """
     passes = 0
 
@@ -199,11 +201,12 @@ def spectrum(held: Vectors, components: int = COMPONENTS, *, guard: int = GUARD,
         stalled = stalled + 1 if best is not None and worst > best[0] / 2 else 0
         if best is None or worst < best[0]:
             best = worst, found
-        if worst <= tolerance or width == held.dims or (stalled >= 3 and worst < 1e-9):
+        if worst <= tolerance or width == held.dims or (stalled >= 3 and worst <= CERTIFIED):
             break
-        # What the trace leaves is shared by the other eigenvalues; none is below 0.
-        cut = values[-1]
+        cut = values[-1]  # no eigenvalue is below 0
         block = np.linalg.qr(chebyshev(apply, block, 0.0, cut, top, degree) if cut > LEAST * top else image)[0]
+    if best[0] > CERTIFIED:
+        raise ArithmeticError(f"eigenvectors are not certified: a residual of {best[0]:.1e} is left after {passes} passes")
     return best[1]
 
 
@@ -260,8 +263,10 @@ def whitened(rows: DataFrame, components: int = COMPONENTS, *, id_column: str =
         count = projection.shape[1]
         for batch in batches:
             good, data = _kept(batch.column(1))
+            if not len(data):
+                continue
             away = n * data - sums
-            if len(away) and float(np.abs(away).max()) ** 2 * len(sums) >= 2.0**63:
+            if float(np.abs(away).max()) ** 2 * len(sums) >= 2.0**63:
                 deviation = [sum(int(v) ** 2 for v in row) for row in away]  # an error beyond 64 bits
             else:
                 deviation = np.einsum("ij,ij->i", away, away)

@@ -15,7 +15,7 @@ def test_names_and_order():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "toxicity", "exact_dedup", "near_dedup", "decontamination", "packing",
     ]
-    assert sum(name.startswith("op") and name[2].isdigit() for name in queries()) == 10
+    assert sum(name.startswith("op") and name[2].isdigit() for name in queries()) == 13
     assert "pipeline" in queries() and "op10_exact_dedup" in oracle_sql()
 
 

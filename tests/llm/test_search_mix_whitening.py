@@ -1,0 +1,329 @@
+"""Ranked search, source mixing and whitening against plain Python, and odd tables."""
+
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from kpiloom.llm import mixing, ranked_search, whitening
+from kpiloom.llm.common import prepared
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+ODD = [None, "", " \n\t ", "a", "Ünï ☃   x", "x" * 50_000, "word " * 20_000, "!?!", "\x00\x1f", "same", "same"]
+
+
+@pytest.fixture(scope="module", autouse=True)
+def ready(spark):
+    prepared(spark)
+
+
+def terms(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return TERM.findall(lower)
+
+
+def brute_search(docs, items, best=10):
+    bags = [(doc_id, Counter(terms(text))) for doc_id, text in docs]
+    bags = [(doc_id, bag, sum(bag.values())) for doc_id, bag in bags if bag]
+    n_docs, n_terms = len(bags), sum(n for *_, n in bags)
+    df = Counter(term for _, bag, _ in bags for term in bag)
+    asked = defaultdict(Counter)
+    for item_id, text in set(items):
+        asked[item_id].update(terms(text))
+    rows = []
+    for item_id, wanted in asked.items():
+        found = []
+        for doc_id, bag, n in bags:
+            m = 25 + 75 * n * n_docs // n_terms
+            score = sum(
+                times * math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[term] + 1))) * (10**9 * bag[term] // (1000 * bag[term] + 8 * m))
+                for term, times in wanted.items()
+                if term in bag
+            )
+            if score > 0:
+                found.append((-score, doc_id is None, doc_id or 0, doc_id))
+        found.sort(key=lambda row: row[:3])
+        rows += [(item_id, rank, doc_id, -score) for rank, (score, _, _, doc_id) in enumerate(found[:best], 1)]
+    return Counter(rows)
+
+
+def searched(spark, docs, items, **options):
+    docs = spark.createDataFrame([(i, t, "clash", "clash", 0) for i, t in docs], "doc_id long, text string, item_id string, term string, score int")
+    items = spark.createDataFrame([(i, t, "clash") for i, t in items], "item_id string, text string, bundle string")
+    return Counter(map(tuple, ranked_search.ranked_search(docs, items, **options).collect()))
+
+
+@pytest.mark.parametrize(
+    "limits",
+    [
+        {},
+        {"BLOCK_DOCUMENTS": 7},
+        {"BLOCK_POSTINGS": 20, "BUNDLE_ITEMS": 2},
+        {"VOCABULARY_BYTES": 0, "BLOCK_DOCUMENTS": 30},
+        {"OWNER_SHARES": (), "BLOCK_DOCUMENTS": 12},
+        {"OWNER_SHARES": (0.05, 0.1, 0.2, 0.3, 0.5), "BLOCK_DOCUMENTS": 25},
+    ],
+    ids=str,
+)
+def test_search_equals_brute_force(spark, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(ranked_search, name, value)
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(60)] + ["The", "É1", "ÀB", "x-y"]
+    weights = [1 / (k + 1) for k in range(60)] + [9, 1, 1, 1]
+    texts = [" ".join(rng.choices(words, weights, k=rng.randrange(1, 40))) for _ in range(180)]
+    docs = [(k, t) for k, t in enumerate(texts)] + [(3, texts[3]), (5, "w1 w2"), (None, texts[9]), (None, None), (1000, "")]
+    docs += [(2000 + k, texts[0]) for k in range(30)]  # ties beyond the best ten
+    items = [(f"i{k}", " ".join(rng.choices(words, weights, k=rng.randrange(1, 12)))) for k in range(9)]
+    items += [("copy", texts[0]), ("copy", texts[0]), ("two", "w1 w30"), ("two", "w40 the"), (None, "w50"), ("none", None), ("zero", "absent")]
+    assert searched(spark, docs, items) == brute_search(docs, items)
+
+
+def test_search_of_odd_and_empty_tables(spark):
+    docs = list(enumerate(ODD))
+    items = [("a", "word same ünï"), ("b", "x" * 50_000), ("c", "!"), ("d", None)]
+    assert searched(spark, docs, items) == brute_search(docs, items)
+    assert not searched(spark, [], items) and not searched(spark, docs, []) and not searched(spark, [], [])
+    assert not searched(spark, [(1, None), (2, " ")], items)
+
+
+def test_slices_cut_texts_between_terms(monkeypatch):
+    text = " ".join(f"Term{k}é" for k in range(500)).encode()
+    whole = [word for part in ranked_search.terms_of(text) for word in part]
+    monkeypatch.setattr(ranked_search, "SLICE", 11)
+    assert [word for part in ranked_search.terms_of(text) for word in part] == whole == re.findall(rb"[^ ]+", text.lower())
+
+
+def test_dropped_accumulators_are_never_among_the_best(spark):
+    """One very common term, many documents: what is dropped early would only have come back behind the best."""
+    rng = random.Random(8)
+    docs = [(k, "rare" * (k % 50 == 0) + " common " * rng.randrange(1, 9) + f" other{k % 7}") for k in range(900)]
+    items = [("one", "rare common other1"), ("two", "common"), ("three", "other2 other3 common common")]
+    assert searched(spark, docs, items) == brute_search(docs, items)
+
+
+# Mixing
+
+
+def frame_of(spark, rows):
+    return spark.createDataFrame([(*row, "clash", 1) for row in rows], "doc_id long, source string, text string, place string, size int")
+
+
+def brute_targets(sizes, share=1.5, most=2, weights=(5, 2, 1)):
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(order)}
+    budget, target, free = share * sum(sizes.values()), {}, set(order)
+    while True:
+        level = (budget - sum(target.values())) / (sum(weight[s] for s in free) or 1)
+        full = {s for s in free if level * weight[s] >= most * sizes[s]}
+        if not full:
+            return {**target, **{s: level * weight[s] for s in free}}
+        target.update({s: float(most * sizes[s]) for s in full})
+        free -= full
+
+
+def rows_of_sources(seed, n=150):
+    rng = random.Random(seed)
+    sources = [None, "a", "b", "c", "tiny", "é", "Z"]
+    rows = [
+        (k, rng.choices(sources, [3, 40, 9, 5, 0.2, 4, 3])[0], " ".join(f"w{rng.randrange(99)}" for _ in range(rng.choice([0, 1, 5, 40, 700]))))
+        for k in range(n)
+    ]
+    return [*rows, (n, "a", None), (n + 1, "tiny", "one"), rows[0], rows[0], (None, "b", "x y z"), (n + 2, "empty", "  "), (7, "c", "other text")]
+
+
+def words_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def test_targets_are_met_and_no_document_is_taken_too_often(spark):
+    rows = rows_of_sources(1)
+    found = mixing.mix(frame_of(spark, rows), shard_blocks=2).taken().collect()
+    sizes = Counter()
+    for _, source, text in rows:
+        sizes[source] += len(words_of(text))
+    targets = brute_targets(sizes)
+    by_size = defaultdict(list)
+    for doc_id, source, text in rows:
+        by_size[(doc_id, len(words_of(text)))].append(source)
+    assert len(found) == len(rows)
+    taken, used = Counter(), Counter()
+    for row in found:
+        assert 0 <= row["taken"] <= 2 * row["size"]
+        (source,) = set(by_size[(row["doc_id"], row["size"])])
+        used[(row["doc_id"], row["size"])] += 1
+        assert row["source_size"] == sizes[source] and row["target"] == pytest.approx(targets[source])
+        taken[source] += row["taken"]
+    assert used == Counter({key: len(of) for key, of in by_size.items()})
+    assert all(0 <= targets[s] - taken[s] < 1.001 for s in sizes)
+
+
+def test_mix_depends_on_the_rows_only(spark, monkeypatch):
+    df = frame_of(spark, rows_of_sources(2))
+    def taken(df, **options):
+        return Counter(map(tuple, mixing.mix(df, shard_blocks=2, **options).taken().collect()))
+
+    once = taken(df)
+    assert once == taken(df.repartition(5)) == taken(df.orderBy(F.desc("text")).coalesce(1))
+    monkeypatch.setattr(mixing, "EXPANDED", 2)
+    assert once == taken(df)
+
+
+def test_shards_hold_the_words_of_their_draws(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 16)
+    rows = rows_of_sources(3, 60)
+    df = frame_of(spark, rows)
+    plan = mixing.mix(df, shard_blocks=5, fan=3)
+    shards = plan.shards(df).collect()
+    start = {(r["place"], r["start"]): r for r in plan.documents.where("size > 0").collect()}
+    text_of = {(i, len(words_of(t)), s): words_of(t) for i, s, t in rows}
+    stream = defaultdict(list)
+    for place, at in sorted(start):
+        row = start[place, at]
+        assert len(stream[row["source"]]) == at
+        stream[row["source"]] += text_of[row["doc_id"], row["size"], row["source"]]
+    uses = defaultdict(Counter)
+    numbers = defaultdict(list)
+    for row in shards:
+        words = row["text"].split(" ")
+        source = stream[row["source"]]
+        blocks = [source[k : k + 16] for k in range(0, len(source), 16)]
+        (block,) = {k for k, b in enumerate(blocks) if b[: len(words)] == words} & {drawn_block(row, plan)}
+        uses[row["source"]][block] += 1
+        numbers[row["source"]].append(row["draw"])
+    for source, drawn in numbers.items():
+        assert sorted(drawn) == list(range(len(drawn)))  # every draw once
+        n = -(-len(stream[source]) // 16)
+        assert all(len(drawn) // n <= uses[source][k] <= -(-len(drawn) // n) for k in range(n))
+    by_shard = defaultdict(list)
+    for row in shards:
+        by_shard[row["shard"]].append(row["slot"])
+    assert len(by_shard) > 3 and all(sorted(slots) == list(range(len(slots))) for slots in by_shard.values())
+    mixed_words = Counter(word for row in shards for word in row["text"].split(" "))
+    assert sum(mixed_words.values()) == sum(r["taken"] for r in plan.taken().collect())
+
+
+def drawn_block(row, plan):
+    if not hasattr(drawn_block, "known") or drawn_block.of is not plan:
+        names = {r["place"]: r["source"] for r in plan.documents.select("place", "source").distinct().collect()}
+        drawn_block.known = {(names[r["place"]], r["draw"]): r["block"] for r in plan.draws.collect()}
+        drawn_block.of = plan
+    return drawn_block.known[row["source"], row["draw"]]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 16, 17, 1000, 4097])
+def test_permutations_are_bijections_that_can_be_undone(size):
+    index = np.arange(size)
+    seen = set()
+    for key in (0, 1, 12345):
+        found = mixing.permuted(index, np.int64(size), np.int64(key))
+        assert sorted(found.tolist()) == index.tolist()
+        assert (mixing.permuted(found, np.int64(size), np.int64(key), back=True) == index).all()
+        seen.add(tuple(found.tolist()))
+    assert len(seen) == 3 or size < 17
+
+
+def test_draws_fill_a_target_to_the_word():
+    rng = random.Random(6)
+    for _ in range(400):
+        block, total = rng.randrange(1, 9), rng.randrange(1, 60)
+        target, key = rng.randrange(2 * total + 1), rng.randrange(99)
+        draws, unused = mixing.draws_needed(total, target, key, block)
+        blocks = -(-total // block)
+        order = mixing.permuted(np.arange(draws) % blocks, np.int64(blocks), np.int64(key)) if draws else []
+        lengths = [min(block, total - k * block) for k in order]
+        assert sum(lengths) - unused == target and (not draws or 0 <= unused < lengths[-1])
+
+
+def test_counts_per_shard_are_a_multinomial(spark):
+    """Mean and spread of a source's counts per shard, dealt in one step and in several."""
+    one = "place long, source_size long, blocks long, draws long, unused long"
+    source = spark.createDataFrame([(0, 51_200, 100, 60_000, 0), (1, 0, 0, 0, 0)], one)
+    for fan in (1024, 7):
+        rows = mixing._dealt(source, 300, fan).orderBy("shard").collect()
+        counts = [r["n"] for r in rows]
+        assert sum(counts) == 60_000 and {r["shard"] for r in rows} == set(range(300))
+        assert [r["first"] for r in rows] == np.concatenate(([0], np.cumsum(counts)[:-1])).tolist()
+        assert 150 < np.var(counts) < 260  # 200 * (1 - 1/300)
+
+
+def test_mix_of_empty_tables_and_texts(spark):
+    assert mixing.mix(frame_of(spark, [])).taken().collect() == []
+    rows = [(1, "a", None), (2, None, " "), (3, "a", "")]
+    found = mixing.mix(frame_of(spark, rows)).taken().collect()
+    assert sorted((r["doc_id"], r["taken"], r["size"]) for r in found) == [(1, 0, 0), (2, 0, 0), (3, 0, 0)]
+    df = frame_of(spark, [(k, "a" if k % 2 else None, t) for k, t in enumerate(ODD)])
+    found = mixing.mix(df).taken().collect()
+    assert len(found) == len(ODD) and sum(r["taken"] for r in found) == pytest.approx(1.5 * sum(r["size"] for r in found), abs=2)
+
+
+# Whitening
+
+
+def vectors_frame(spark, rows):
+    return spark.createDataFrame([(i, v, "clash", 0.5) for i, v in rows], "vec_id long, embedding array<float>, component string, n double")
+
+
+def brute_whitened(rows, components):
+    good = [(i, v) for i, v in rows if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    x = np.array([[math.floor(64 * float(np.float32(c))) + 1_000_000 for c in v] for _, v in good], dtype=object)
+    n, sums = len(x), x.sum(axis=0)
+    deviation = [sum(int(d) ** 2 for d in n * row - sums) for row in x]
+    away = (x * n - sums).astype(float) / n
+    values, vectors = np.linalg.eigh(away.T @ away / n)
+    return [i for i, _ in good], n, deviation, away, values[::-1], vectors[:, ::-1]
+
+
+@pytest.mark.parametrize("dims, components", [(64, 32), (20, 32), (90, 10)])
+def test_components_equal_a_full_decomposition(spark, dims, components):
+    rng = np.random.default_rng(dims)
+    spread = np.linspace(3, 0.5, dims)
+    data = (rng.standard_normal((700, dims)) * spread) @ np.linalg.qr(rng.standard_normal((dims, dims)))[0]
+    rows = [(k, [float(c) for c in v]) for k, v in enumerate(data)]
+    rows += [(900, None), (901, [None] * dims), (902, [float("nan")] * dims), (903, [math.inf] + [0.0] * (dims - 1)), rows[0], (None, rows[1][1])]
+    ids, n, deviation, away, values, vectors = brute_whitened(rows, components)
+    found = whitening.whitened(vectors_frame(spark, rows).repartition(3), components).toPandas()
+    count = min(dims, components)
+    assert len(found) == n * count and set(found["n"]) == {n}
+    assert set(found["deviation"]) == set(deviation)
+    assert found["identity_error"].max() < 1e-9
+    for k in range(count):
+        mine = found[found["component"] == k + 1]
+        assert mine["explained"].iloc[0] == pytest.approx(values[k] / values.sum(), rel=1e-10)
+        expected = away @ vectors[:, k] / math.sqrt(values[k])
+        got = mine.set_index("deviation")["whitened"].to_dict()
+        expected = dict(zip(deviation, expected))
+        sign = np.sign(sum(got[d] * expected[d] for d in got))
+        assert all(abs(sign * got[d] - expected[d]) < 1e-8 for d in got)
+
+
+def test_filter_needs_the_polynomial_and_damps_the_unwanted(spark):
+    values = np.concatenate([[90, 70], np.linspace(50, 1, 48)])
+    basis = np.linalg.qr(np.random.default_rng(1).standard_normal((50, 50)))[0]
+    matrix = (basis * values) @ basis.T
+    block = np.random.default_rng(2).standard_normal((50, 3))
+    filtered = basis.T @ whitening.chebyshev(lambda q: matrix @ q, block, 0.0, 50.0, 90.0, 10)
+    start = basis.T @ block
+    grown = np.abs(filtered / start)[:, 0]
+    x = (values - 25) / 25
+    expected = np.abs(np.where(x > 1, np.cosh(10 * np.arccosh(np.maximum(x, 1))), np.cos(10 * np.arccos(np.clip(x, -1, 1)))))
+    assert np.allclose(grown, expected / np.cosh(10 * np.arccosh((90 - 25) / 25)), rtol=1e-6)
+
+
+def test_whitening_of_few_and_equal_vectors(spark):
+    def found(rows):
+        return whitening.whitened(vectors_frame(spark, rows)).collect()
+
+    assert found([]) == [] and found([(1, None)]) == [] and found([(1, [1.0, 2.0])]) == []
+    assert found([(k, [1.0, 2.0]) for k in range(5)]) == [] and found([(1, []), (2, [])]) == []
+    rows = found([(1, [0.0, 1.0, 0.0]), (2, [2.0, 1.0, 0.0]), (3, None)])
+    assert [(r["vec_id"], r["component"], r["n"], r["deviation"], r["explained"]) for r in sorted(rows)] == [
+        (1, 1, 2, 128**2, 1.0), (2, 1, 2, 128**2, 1.0),
+    ]
+    assert sorted(abs(r["whitened"]) for r in rows) == pytest.approx([1.0, 1.0])
+    with pytest.raises(Exception, match="different lengths"):
+        found([(1, [1.0]), (2, [1.0, 2.0])])
