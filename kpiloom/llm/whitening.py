@@ -255,7 +255,7 @@ def whitened(rows: DataFrame, components: int = COMPONENTS, *, id_column: str =
         return spark.createDataFrame([], schema)
     projection = found.components[:, some] / np.sqrt(found.values[some])
     error = float(np.abs(products(held, projection, of_projections=True) - np.eye(projection.shape[1])).max())
-    explained = found.values[some] / found.trace
+    explained = np.minimum(found.values[some] / found.trace, 1.0)
     sent = spark.sparkContext.broadcast((held.n, held.sums, projection, explained, error))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
