@@ -35,6 +35,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, folder: str) -> bool:
+    """Deletes a stored folder; whether there was one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def stages_removed() -> Iterator[None]:
     """Deletes what `cut_lineage` wrote inside, also after an error; usable as a decorator of a job."""
@@ -45,5 +51,4 @@ def stages_removed() -> Iterator[None]:
     finally:
         _of_run.reset(token)
         for spark, name in written:
-            path = spark._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            removed(spark, name)
