@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
+from collections.abc import Mapping
+from functools import reduce
 from pathlib import Path
 
 import numpy as np
@@ -13,6 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kpiloom.operators.lineage import cut_lineage
+
 # A Python worker holds one batch at a time; both limits keep it small.
 BATCH_ROWS = 500
 BATCH_BYTES = 8 * 2**20
@@ -55,22 +58,36 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """The frame written as Parquet to the shared folder and read back.
+    """The frame, ``name`` for the reader, written as Parquet to the shared folder and read back.
 
     It survives lost executors, and tasks that are run again read the same
-    rows.  Stages stay until `clear_stages`, as frames that read them may be
-    evaluated later.
+    rows.  Stages written inside `stages_removed` are deleted at its end; others
+    stay, as frames that read them may be evaluated later.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/kpiloom-stages/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    shared_folder(df.sparkSession)
+    return cut_lineage(df)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have, in any case."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
-def clear_stages(spark: SparkSession) -> None:
-    """Deletes all stages of the shared folder; call it when no frame reads them any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark).rstrip('/')}/kpiloom-stages")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def rows_without(docs: DataFrame, dropped: DataFrame, keys: Mapping[str, Column], broadcast_rows: int) -> DataFrame:
+    """The rows of ``docs`` whose keys are not in ``dropped``, null like any value, with their own columns only.
+
+    ``keys`` gives for each column of ``dropped`` the expression on ``docs``.
+    Up to ``broadcast_rows`` rows are broadcast; beyond it ``docs`` are shuffled.
+    """
+    names = {name: free_name(docs, f"dropped_{name}") for name in keys}
+    gone = staged(dropped.select(*[F.col(name).alias(new) for name, new in names.items()]).distinct(), "dropped")
+    if gone.count() <= broadcast_rows:
+        gone = F.broadcast(gone)
+    same = reduce(lambda done, more: done & more, [value.eqNullSafe(F.col(names[name])) for name, value in keys.items()])
+    return docs.join(gone, same, "left_anti")
 
 
 def fold(doc_id: Column, folds: int) -> Column:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import staged, utf8
+from kpiloom.llm.common import free_name, rows_without, staged, utf8
 
 CHUNK = 1 << 16
 PRIME = (1 << 31) - 1
@@ -91,41 +91,43 @@ def fingerprints(docs: DataFrame, prime: int = PRIME) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(work, schema)
 
 
-def _chunks(docs: DataFrame) -> DataFrame:
-    """``keep, doc_id, chunk_no, chunk`` of the normalised texts of ``docs(keep, doc_id, text)``."""
+def _chunks(docs: DataFrame, prime: int) -> DataFrame:
+    """``keep, doc_id, print, chunk_no, chunk`` of the normalised texts of ``docs(keep, doc_id, print, text)`` that have that fingerprint."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8(batch.column(2))
-            for i in range(batch.num_rows):
+            data, offsets = utf8(batch.column(3))
+            for i, own in enumerate(batch.column(2).to_pylist()):
                 row = one_spaced(data[offsets[i] : offsets[i + 1]])
+                if fingerprint(row, prime) != own:
+                    continue
                 parts = [row[k : k + CHUNK].tobytes() for k in range(0, len(row), CHUNK)]
-                ids = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["keep", "doc_id"])
-                same = ids.take(pa.array([i] * len(parts), pa.int64()))
+                names = ["keep", "doc_id", "print"]
+                same = pa.RecordBatch.from_arrays(batch.columns[:3], names).take(pa.array([i] * len(parts), pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [*same.columns, pa.array(range(len(parts)), pa.int64()), pa.array(parts, pa.binary())],
-                    ["keep", "doc_id", "chunk_no", "chunk"],
+                    [*names, "chunk_no", "chunk"],
                 )
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(cut, f"keep {id_type}, doc_id {id_type}, chunk_no long, chunk binary")
+    return docs.mapInArrow(cut, f"keep {id_type}, doc_id {id_type}, print long, chunk_no long, chunk binary")
 
 
-def different_copies(docs: DataFrame, prints: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Ids of texts that differ from the first text of their fingerprint.
+def different_copies(docs: DataFrame, prints: DataFrame, broadcast_rows: int = BROADCAST_ROWS, prime: int = PRIME) -> DataFrame:
+    """``doc_id, print`` of texts that differ from the first text of their fingerprint.
 
     Only texts of groups of two and more are compared, each chunk with the
     same chunk of the first text.  A hot group is split by the join.
     """
     groups = prints.groupBy("print", "n_bytes").agg(F.min("doc_id").alias("keep"), F.count("*").alias("n"))
-    ids = prints.join(groups.where("n > 1"), ["print", "n_bytes"]).select("doc_id", "keep").distinct()
+    ids = prints.join(groups.where("n > 1"), ["print", "n_bytes"]).select("doc_id", "keep", "print").distinct()
     ids = staged(ids, "copies")
     if ids.count() <= broadcast_rows:
         ids = F.broadcast(ids)
-    copies = docs.select("doc_id", "text").join(ids, "doc_id").select("keep", "doc_id", "text")
-    first = _chunks(copies.where("doc_id = keep")).select("keep", "chunk_no", F.col("chunk").alias("first_chunk"))
-    rest = _chunks(copies.where("doc_id <> keep"))
-    return rest.join(first, ["keep", "chunk_no"]).where("chunk <> first_chunk").select("doc_id").distinct()
+    copies = docs.select("doc_id", "text").join(ids, "doc_id").select("keep", "doc_id", "print", "text")
+    first = _chunks(copies.where("doc_id = keep"), prime).select("keep", "print", "chunk_no", F.col("chunk").alias("first_chunk"))
+    rest = _chunks(copies.where("doc_id <> keep"), prime)
+    return rest.join(first, ["keep", "print", "chunk_no"]).where("chunk <> first_chunk").select("doc_id", "print").distinct()
 
 
 def exact_groups(docs: DataFrame, prime: int = PRIME, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -133,14 +135,14 @@ def exact_groups(docs: DataFrame, prime: int = PRIME, broadcast_rows: int = BROA
 
     Texts are equal when identical after each run of white space is replaced
     by one space; null counts as empty, and all empty texts are one group.
-    The row with the smallest id stays.  ``doc_id`` identifies a row; rows
-    repeated with the same id and text count in ``group_size`` and share
-    ``kept``.  A row without an id counts in ``group_size`` and has a null
+    The row with the smallest id stays.  Rows repeated with the same id and
+    text count in ``group_size`` and share ``kept``; rows of one id with
+    different texts belong to the groups of their texts.  A row without an id counts in ``group_size`` and has a null
     ``kept``.  Other columns are ignored; an empty table gives an empty one.
     """
     prints = staged(fingerprints(docs, prime), "fingerprints")
-    different = different_copies(docs, prints, broadcast_rows).withColumn("differs", F.lit(True))
-    marked = prints.join(different, "doc_id", "left").withColumn(
+    different = different_copies(docs, prints, broadcast_rows, prime).withColumn("differs", F.lit(True))
+    marked = prints.join(different, ["doc_id", "print"], "left").withColumn(
         "own", F.when(F.col("differs"), F.col("text_sha256")).otherwise("")
     )
     marked = staged(marked.drop("differs"), "compared")
@@ -149,3 +151,34 @@ def exact_groups(docs: DataFrame, prime: int = PRIME, broadcast_rows: int = BROA
     return marked.join(groups, key).select(
         "doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), "text_sha256"
     )
+
+
+def first_of_equal(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """One row of each group of equal texts, all columns kept: the one with the smallest id.
+
+    Rows are decided by id and text, so that of rows repeated with one id and
+    text one stays, and rows of one id with different texts are decided apart.
+    A row without an id stays only if no row with an id has its text, and then
+    one of them.  Null and empty texts are one group.  An empty table stays
+    empty, and no column of ``docs`` clashes.  A text costs its hash where it
+    is; only texts of repeated rows are shuffled, and all texts when more
+    than ``broadcast_rows`` rows go.
+    """
+    groups = exact_groups(docs, broadcast_rows=broadcast_rows)
+    decided = groups.select(
+        "doc_id", F.xxhash64("text_sha256").alias("print"), F.coalesce("kept", F.col("keep_id").isNull()).alias("kept")
+    )
+    decided = decided.groupBy("doc_id", "print").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    decided = staged(decided.where("NOT kept OR n > 1"), "decided")
+    plain = F.regexp_replace(F.coalesce(docs["text"], F.lit("")), "[\\x20\\x09-\\x0D]+", " ")
+    name = free_name(docs, "print")
+    printed = docs.withColumn(name, F.xxhash64(F.sha2(plain.cast("binary"), 256)))
+    keys = {"doc_id": printed["doc_id"], "print": F.col(name)}
+    repeated = decided.where("kept")
+    once = rows_without(printed, decided, keys, broadcast_rows)
+    if not repeated.isEmpty():
+        theirs = {key: free_name(printed, f"repeated_{key}") for key in keys}
+        pairs = repeated.select(*[F.col(key).alias(new) for key, new in theirs.items()])
+        same = keys["doc_id"].eqNullSafe(F.col(theirs["doc_id"])) & (keys["print"] == F.col(theirs["print"]))
+        once = once.unionAll(printed.join(pairs, same, "left_semi").dropDuplicates(["doc_id", name]))
+    return once.select(*[once[column] for column in docs.columns])

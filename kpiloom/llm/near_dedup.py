@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import mixed, staged, utf8
+from kpiloom.llm.common import mixed, rows_without, staged, utf8
 
 SHINGLE = 5
 # A pair of similarity 0.75 shares no band with a chance of (1 - 0.75 ** 4) ** 32, under one in 100,000.
@@ -330,3 +330,15 @@ def near_groups(
     placed_rows = some.select("doc_id", *same_set).join(of_class, same_set).select("doc_id", "n_shingles", "component_id")
     empty = rows_of.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return placed_rows.unionAll(empty).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+def first_of_similar(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows of the smallest id of each component of similar texts, all columns kept.
+
+    Rows of one id are one document and stay or go together; a row without an
+    id, and one without words, is linked with nothing and stays.  An empty
+    table stays empty, and no column of ``docs`` clashes.  Texts are shuffled
+    only when more than ``broadcast_rows`` ids go.
+    """
+    dropped = near_groups(docs, broadcast_rows=broadcast_rows).where("NOT kept").select("doc_id")
+    return rows_without(docs, dropped, {"doc_id": docs["doc_id"]}, broadcast_rows)

@@ -459,7 +459,11 @@ def scored(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic, all columns kept; decided where the row is, without a shuffle."""
+    """The rows of ``docs`` that are not predicted toxic, all columns kept; decided where the row is, without a shuffle.
+
+    Each row is decided by its text alone: repeated rows and rows without an id
+    stay or go by it, null and empty texts stay, an empty table stays empty.
+    """
     held = docs.sparkSession.sparkContext.broadcast(model)
     text = docs.columns.index("text")
 
