@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kpiloom.sources.config import config_table
-from kpiloom.sources.files import Newest, source_paths
-from kpiloom.sources.lines import only_line, placed_lines, without_ends
+from kpiloom.sources.files import Newest, NewestPerUnit, source_paths, unit_of
+from kpiloom.sources.lines import only_line, without_ends
+from kpiloom.sources.records import numbered_records
 
 # The field that holds a record which does not parse.
 BROKEN = "_broken"
@@ -20,7 +21,7 @@ BROKEN = "_broken"
 
 def report_scan(
     spark: SparkSession,
-    paths: str | Sequence[str] | Newest,
+    paths: str | Sequence[str] | Newest | NewestPerUnit,
     schema: str,
     *,
     skip_rows: Collection[int] = (),
@@ -30,20 +31,21 @@ def report_scan(
     separator: str = ",",
     headings: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Body rows of every report file, or of the newest one, with the file's path and the line's place in it.
+    """Body rows of every report file, of the newest one, or of the newest one per unit, with the file's path and the line's place in it.
 
     ``skip_rows`` are line numbers from 0; the first line left is the header and
-    is dropped as well, as are the last ``skip_footer`` lines.
+    is dropped as well, as are the last ``skip_footer`` lines.  A quoted field
+    may hold line breaks; all its lines count as one.
 
     With ``headings`` (schema name to heading) columns are taken by the names in
     each file's header line, whatever their order; a file without a wanted one
     is refused.  Without it they are taken by position.  A record that does not
-    parse, such as one with a line break inside a field, is refused too.
+    parse is refused too.
     """
     header = next(number for number in range(len(skip_rows) + 1) if number not in skip_rows)
-    lines = placed_lines(spark, source_paths(spark, paths), name_part=name_part)
+    lines = numbered_records(spark, source_paths(spark, paths), name_part=name_part, separator=separator)
     body = without_ends(lines, top={header, *skip_rows}, footer=skip_footer)
-    options = {"sep": separator, "columnNameOfCorruptRecord": BROKEN}
+    options = {"sep": separator, "escape": '"', "columnNameOfCorruptRecord": BROKEN}
     if headings is None:
         parsed = F.from_csv("value", f"{schema}, {BROKEN} STRING", options)
         rows = body.select("source_file", "block", "place", parsed.alias("row"))
@@ -109,6 +111,12 @@ def tag_by_file(report: DataFrame, units: Mapping[str, str], column: str = "depa
     return report.withColumn("_file", F.url_decode(name)).join(table, "_file", "left").drop("_file")
 
 
+def tag_by_unit(report: DataFrame, source: NewestPerUnit, labels: Mapping[str, str], column: str = "department") -> DataFrame:
+    """The label of the unit a report file belongs to by its path; null for a unit without one."""
+    table = config_table(report.sparkSession, labels, f"_unit STRING, {column} STRING")
+    return report.withColumn("_unit", unit_of(F.col("source_file"), source)).join(table, "_unit", "left").drop("_unit")
+
+
 def csv_scan(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A plain CSV file with a header."""
     return spark.read.schema(schema).option("header", True).csv(path)

@@ -77,7 +77,7 @@ def test_report_without_a_wanted_heading_is_refused(spark, tmp_path):
         reports.report_scan(spark, path, LAYOUT, headings=HEADINGS)
 
 
-@pytest.mark.parametrize("lines", [['1,"two', 'lines",1.5'], ["1,a"], ["1,a,1.5,more"], ["x,a,1.5"]])
+@pytest.mark.parametrize("lines", [["1,a"], ["1,a,1.5,more"], ["x,a,1.5"]])
 @pytest.mark.parametrize("headings", [None, HEADINGS])
 def test_records_that_do_not_parse_are_refused(spark, tmp_path, lines, headings):
     path = write(tmp_path / "a.csv", ["Номер,Имя,Сумма", "1,a,1.5", *lines])
@@ -232,3 +232,69 @@ def test_database_options():
 @pytest.mark.parametrize("layout", [value for name, value in vars(schemas).items() if name.isupper()])
 def test_layouts_are_valid(spark, layout):
     assert spark.createDataFrame([], layout).columns
+
+
+def test_newest_file_of_every_unit(spark, tmp_path):
+    now = datetime(2024, 1, 10, 12)
+    for unit, names in {"рег 1": ("old", "new"), "50% +x": ("old", "new"), "two": ("new",)}.items():
+        for name in names:
+            path = tmp_path / unit / f"{name} export.csv"
+            path.parent.mkdir(exist_ok=True)
+            write(path, ["n,name,amount", f"{len(unit)},{name},1.5"])
+            stamp(path, now - timedelta(hours=1 if name == "new" else 30))
+    write(tmp_path / "two" / "note.txt", ["x"])
+    write(tmp_path / "loose export.csv", ["n,name,amount", "0,loose,0"])
+    source = files.NewestPerUnit(str(tmp_path), r"^([^/]+)/[^/]+$", "export", as_of=now, hours=4)
+    assert set(files.paths_per_unit(spark, source)) == {"рег 1", "50% +x", "two"}
+    scanned = reports.report_scan(spark, source, LAYOUT)
+    assert sorted(body(scanned)) == [(3, "new", 1.5), (5, "new", 1.5), (6, "new", 1.5)]
+    tagged = reports.tag_by_unit(scanned, source, {"рег 1": "Unit 1", "50% +x": "Unit 2"})
+    assert {(r["n"], r["department"]) for r in tagged.collect()} == {(5, "Unit 1"), (6, "Unit 2"), (3, None)}
+    # Units come from the name as well.
+    by_name = files.NewestPerUnit(str(tmp_path), r"(old|new) export", "export")
+    assert set(files.paths_per_unit(spark, by_name)) == {"old", "new"}
+
+
+def test_all_stale_and_missing_units_are_named(spark, tmp_path):
+    now = datetime(2024, 1, 10, 12)
+    for unit, hours in {"a": 1, "b": 5, "c": 9, "d": 1}.items():
+        path = tmp_path / f"{unit}_export.csv"
+        write(path, ["n,name,amount", "1,x,1"] if unit != "d" else ["n"])
+        stamp(path, now - timedelta(hours=hours))
+    source = files.NewestPerUnit(
+        str(tmp_path), r"^([^_]+)_", units=frozenset("abcdx"), as_of=now, hours=4, min_bytes=10
+    )
+    with pytest.raises(ValueError, match="for: b, c, d, x$"):
+        reports.report_scan(spark, source, LAYOUT)
+    fine = files.NewestPerUnit(str(tmp_path), r"^([^_]+)_", units=frozenset("a"), as_of=now, hours=4)
+    assert body(reports.report_scan(spark, fine, LAYOUT)) == [(1, "x", 1.0)]
+    with pytest.raises(ValueError, match="all units"):
+        files.paths_per_unit(spark, files.NewestPerUnit(str(tmp_path), r"^([^_]+)_", "absent"))
+
+
+def test_stage_follows_its_files_not_their_age(spark, tmp_path):
+    source, stage, built = tmp_path / "in", str(tmp_path / "stage"), []
+    source.mkdir()
+    write(source / "a.csv", ["1", "2"])
+    write(source / "b.csv", ["3"])
+
+    def build():
+        built.append(1)
+        return spark.read.text(str(source))
+
+    def rows():
+        return sorted(r["value"] for r in files.staged_by_content(spark, stage, build, str(source)).collect())
+
+    assert rows() == ["1", "2", "3"] and rows() == ["1", "2", "3"] and len(built) == 1
+    write(source / "a.csv", ["5", "6"])  # the same length at another time
+    stamp(source / "a.csv", datetime(2024, 1, 1))
+    assert rows() == ["3", "5", "6"] and len(built) == 2
+    stamp(source / "a.csv", datetime(2020, 1, 1))
+    assert rows() == ["3", "5", "6"] and len(built) == 3  # an older file has replaced it
+    (source / "b.csv").unlink()
+    assert rows() == ["5", "6"] and rows() == ["5", "6"] and len(built) == 4
+    assert len([name for name in os.listdir(stage) if not name.startswith(".")]) == 1
+    # A stage that was not written to the end does not count.
+    (folder,) = os.listdir(stage)
+    os.remove(os.path.join(stage, folder, "_SUCCESS"))
+    assert rows() == ["5", "6"] and len(built) == 5
