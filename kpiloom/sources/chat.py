@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kpiloom import fixed_values as fv
 from kpiloom.schemas import CHAT_EXPORT, CHAT_MESSAGE
+from kpiloom.sources.elements import array_elements
 from kpiloom.sources.files import Newest, source_paths
 from kpiloom.sources.lines import placed_lines, without_ends
 
@@ -19,8 +20,8 @@ HEAD_LINES = 500
 def chat_messages(spark: SparkSession, path: str, *, intro: int = fv.TICKET_INTRO_RECORDS) -> DataFrame:
     """Messages after the introductory records of each document: id, author, text (variant).
 
-    A document of any layout is parsed by one task; fields outside the schema
-    are skipped while parsing.  For large exports see `indented_chat_messages`.
+    A document is parsed by one task; fields outside the schema are skipped
+    while parsing.  For large exports see `split_chat_messages`.
     """
     documents = spark.read.schema(CHAT_EXPORT).option("multiLine", True).json(path)
     messages = documents.select(F.posexplode("messages").alias("pos", "message"))
@@ -46,6 +47,12 @@ def indented_chat_messages(
     return messages.select(message.alias("message")).select("message.*")
 
 
+def split_chat_messages(spark: SparkSession, path: str, *, intro: int = fv.TICKET_INTRO_RECORDS) -> DataFrame:
+    """The same for documents of any layout, such as one long line, each read in parallel."""
+    messages = array_elements(spark, path, "messages").where(F.col("number") >= intro)
+    return messages.select(F.from_json("value", CHAT_MESSAGE).alias("message")).select("message.*")
+
+
 def message_indent(spark: SparkSession, path: str) -> int | None:
     """Spaces before each message of an export with one block per message, or None for another layout.
 
@@ -53,7 +60,10 @@ def message_indent(spark: SparkSession, path: str) -> int | None:
     """
     start, end = F.substring("value", 1, 100), F.substring("value", -100, 100)
     head = spark.read.text(path).select(start.alias("start"), end.alias("end")).limit(HEAD_LINES).collect()
+    margin = re.match(r" *", head[1]["start"]).group() if len(head) > 1 else ""  # of the document's own fields
     for line, following in zip(head, head[1:]):
+        if not re.match(margin + r'"messages"', line["start"]):
+            continue
         if re.search(r'"messages"\s*:\s*\[$', line["end"].rstrip()) and re.fullmatch(r" +\{", following["start"].rstrip()):
             return len(following["start"].rstrip()) - 1
     return None
@@ -62,14 +72,14 @@ def message_indent(spark: SparkSession, path: str) -> int | None:
 def exported_messages(spark: SparkSession, path: str | Newest, *, intro: int = fv.TICKET_INTRO_RECORDS) -> DataFrame:
     """Messages of an export, or of the newest one of a folder, whatever its layout.
 
-    An indented export is read in parallel; its blocks must include the
-    messages, else the layout was misread and an error is raised.  Every other
-    layout, and a folder of several documents, goes through `chat_messages`.
+    Every document is read in parallel.  An export with one indented block per
+    message is split at those; its blocks must include the messages, else the
+    layout was misread and an error is raised.
     """
     path = source_paths(spark, path)
     indent = message_indent(spark, path) if _is_one_file(spark, path) else None
     if indent is None:
-        return chat_messages(spark, path, intro=intro)
+        return split_chat_messages(spark, path, intro=intro)
     margin = "\n" + " " * indent + "{\n"
     if len(spark.read.option("lineSep", margin).text(path).select(F.lit(1)).limit(2).collect()) < 2:
         raise ValueError(f"no message found in {path} with an indent of {indent}")
