@@ -29,7 +29,15 @@ from kpiloom.plans import progress as P
 from kpiloom.plans import recency as V
 from kpiloom.plans import slots as S
 from kpiloom.plans import tickets as T
-from kpiloom.sinks.tables import append_history, is_publish_day, replace_table, stored_history, write_by_unit, write_csv
+from kpiloom.sinks.tables import (
+    append_history,
+    is_publish_day,
+    published_table,
+    replace_table,
+    stored_history,
+    write_by_unit,
+    write_csv,
+)
 from kpiloom.sources.chat import exported_messages
 from kpiloom.sources.config import config_table
 from kpiloom.sources.files import Newest, staged
@@ -250,7 +258,7 @@ def tickets_job(spark: SparkSession, path: str | Newest, out: str, *, link_base:
     """All tickets of a chat export of any layout, counts by status, open ones by group."""
     messages = exported_messages(spark, path)
     replace_table(T.tickets(messages, link_base=link_base), f"{out}/tickets")
-    found = spark.read.parquet(f"{out}/tickets")
+    found = published_table(spark, f"{out}/tickets")
     replace_table(T.ticket_status_counts(found), f"{out}/by_status")
     replace_table(T.open_by_group(found), f"{out}/open_by_group")
 

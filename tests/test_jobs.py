@@ -9,6 +9,7 @@ import pytest
 from kpiloom import jobs, schemas
 from kpiloom.operators.lineage import cut_lineage, shared_folder, stages_removed
 from kpiloom.plans.progress import Plan
+from kpiloom.sinks.tables import published_table
 from kpiloom.sources.files import Newest
 from test_reports import schedule_tables
 
@@ -102,18 +103,18 @@ def test_progress_job(spark, frame, tmp_path):
 
     first = (date(2024, 1, 9), "ОСП 1 каб"), (date(2024, 1, 3), "ОСП 2"), (date(2024, 1, 9), "Другое")
     run(date(2024, 1, 17), *first)  # a Wednesday: only the daily table
-    assert as_set(spark.read.parquet(f"{out}/daily").select("unit", "done")) == {("ОСП 1", 1), ("ОСП 2", 1), ("ALL", 2)}
+    assert as_set(published_table(spark, f"{out}/daily").select("unit", "done")) == {("ОСП 1", 1), ("ОСП 2", 1), ("ALL", 2)}
     assert not os.path.exists(f"{out}/weekly") and not os.path.exists(history)
     run(date(2024, 1, 18), *first)
     # A week later a card of the first week was added: its stored figures stay.
     run(date(2024, 1, 25), *first, (date(2024, 1, 10), "ОСП 1 каб"), (date(2024, 1, 16), "ОСП 2"))
-    weekly = spark.read.parquet(f"{out}/weekly")
+    weekly = published_table(spark, f"{out}/weekly")
     assert weekly.columns.index("2024-01-15_fact") < weekly.columns.index("2024-01-08_fact")
     assert as_set(weekly.select("unit", "done", "`2024-01-15_fact`", "`2024-01-08_fact`")) == {
         ("ОСП 1", 2, None, 1), ("ОСП 2", 2, 1, None), ("ALL", 4, 1, 1),
     }
-    assert as_set(spark.read.parquet(f"{out}/outside").select("unit", "card_number")) == {("Другое", "2")}
-    assert as_set(spark.read.parquet(f"{out}/departments")) == {("ОСП 1 каб", 2, 0), ("ОСП 2", 2, 1)}
+    assert as_set(published_table(spark, f"{out}/outside").select("unit", "card_number")) == {("Другое", "2")}
+    assert as_set(published_table(spark, f"{out}/departments")) == {("ОСП 1 каб", 2, 0), ("ОСП 2", 2, 1)}
 
 
 def test_schedule_job(spark, frame, tmp_path):
@@ -131,8 +132,8 @@ def test_calls_job(spark, tmp_path):
     jobs.calls_job(
         spark, path, out, line=1, agents=(("ext1", "A"),), as_of=date(2024, 1, 10), total_label="ALL", missed_label="MISSED"
     )
-    assert as_set(spark.read.parquet(f"{out}/by_status")) == {("успешный", 1), ("пропущенный", 1)}
-    assert as_set(spark.read.parquet(f"{out}/board").select("agent", "`2024-01-09`", "`2024-01-10`")) == {
+    assert as_set(published_table(spark, f"{out}/by_status")) == {("успешный", 1), ("пропущенный", 1)}
+    assert as_set(published_table(spark, f"{out}/board").select("agent", "`2024-01-09`", "`2024-01-10`")) == {
         ("A", 0, 1), ("ALL", 0, 1), ("MISSED", 1, 0),
     }
 
@@ -145,7 +146,7 @@ def test_tickets_job(spark, tmp_path):
         path.write_text(json.dumps(export, indent=indent), encoding="utf-8")
         out = str(tmp_path / f"out{indent}")
         jobs.tickets_job(spark, str(path), out, link_base="u/")
-        assert as_set(spark.read.parquet(f"{out}/open_by_group")) == {("ОСП_1", 1)}
+        assert as_set(published_table(spark, f"{out}/open_by_group")) == {("ОСП_1", 1)}
 
 
 def stored_stages(spark):
@@ -172,7 +173,7 @@ def test_calls_job_counts_only_the_newest_export(spark, tmp_path):
     out = str(tmp_path / "out")
     args = {"line": 1, "agents": (("ext1", "A"),), "as_of": date(2024, 1, 10), "total_label": "ALL", "missed_label": "MISSED"}
     jobs.calls_job(spark, Newest(str(folder), "calls"), out, **args)
-    assert as_set(spark.read.parquet(f"{out}/by_status")) == {("успешный", 1)}
+    assert as_set(published_table(spark, f"{out}/by_status")) == {("успешный", 1)}
     stale = Newest(str(folder), "calls", as_of=datetime(2024, 1, 10), hours=12)
     with pytest.raises(ValueError, match="older than 12 hours"):
         jobs.calls_job(spark, stale, out, **args)
@@ -202,7 +203,7 @@ def test_jobs_from_base_tables(spark, frame, tmp_path):
         tables, str(tmp_path / "history"), out, since=date(2024, 1, 1), reason="R", card_types=["K"], weights={"sub": 1.0},
         plan=Plan(annual=100, year_days=10, total_label="ALL"), as_of=date(2024, 1, 17),
     )
-    assert as_set(spark.read.parquet(f"{out}/daily").select("unit", "done")) == {("sub", 1), ("ALL", 1)}
+    assert as_set(published_table(spark, f"{out}/daily").select("unit", "done")) == {("sub", 1), ("ALL", 1)}
     path = write(tmp_path / "in.csv", ["Отчет", "шапка", "77,ОСП 2 отд,A,И,П,1950,74,"])
     out = str(tmp_path / "visits")
     jobs.visits_job(path, tables, out, since=date(2023, 1, 1), org_id=77, as_of=date(2024, 3, 1))

@@ -1,6 +1,8 @@
 """Writers in temporary folders."""
 
+import csv
 import os
+import random
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -22,7 +24,7 @@ def test_csv_and_parquet_are_replaced(spark, frame, tmp_path):
         tables.write_csv(df, str(tmp_path / "c"))
         tables.replace_table(df, str(tmp_path / "p"))
     assert as_set(spark.read.option("header", True).csv(str(tmp_path / "c"))) == {("new", "1")}
-    assert as_set(spark.read.parquet(str(tmp_path / "p"))) == {("new", 1)}
+    assert as_set(tables.published_table(spark, str(tmp_path / "p"))) == {("new", 1)}
 
 
 def test_one_folder_per_unit(spark, frame, tmp_path):
@@ -37,6 +39,33 @@ def test_one_folder_per_unit(spark, frame, tmp_path):
     assert [row["n"] for row in back.where(F.col("unit") == long + "A").collect()] == [2, 1, 4]
 
 
+def test_a_large_unit_is_in_order_over_its_files(spark, tmp_path):
+    rng = random.Random(1)
+    rows = [(f"u{min(9, k % 30)}", rng.choice([None, *"abcdefgh"]), rng.randrange(10**6), k) for k in range(20_000)]
+    rows += [("u9", "hot", 1, 10**6 + k) for k in range(20_000)]
+    path = str(tmp_path / "units")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.createDataFrame(rows, "unit STRING, doctor STRING, value INT, n INT")
+        tables.write_by_unit(df.repartition(6), path, "unit", order=["doctor", "value"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    back = 0
+    for unit in {row[0] for row in rows}:
+        names = sorted(name for name in os.listdir(f"{path}/unit={unit}") if name.endswith(".csv"))
+        found = []
+        for name in names:
+            with open(f"{path}/unit={unit}/{name}", newline="") as file:
+                found += list(csv.reader(file))[1:]
+        keys = [(doctor == "", doctor, int(value)) for doctor, value, _ in found]
+        assert keys == sorted(keys)
+        back += len(found)
+        if unit == "u9":
+            sizes = [sum(1 for _ in open(f"{path}/unit=u9/{name}")) for name in names]
+            assert len(names) > 3 and max(sizes) < 0.5 * sum(sizes)  # the hot doctor is in several files
+    assert back == len(rows)
+
+
 def test_only_written_partitions_are_replaced(spark, frame, tmp_path):
     path = str(tmp_path / "days")
     tables.replace_partitions(frame("day STRING, n INT", ("a", 1), ("b", 2)), path, "day")
