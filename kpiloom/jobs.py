@@ -61,13 +61,12 @@ def admission_job(
     """Completeness by doctor, violations per unit and mean stay, for the main and the other sites."""
     clinical = report_scan(spark, clinical_path, schemas.ADMISSIONS, skip_rows=clinical_skip).where(F.col("org_id") == org_id)
     times = report_scan(spark, times_path, schemas.ADMISSION_TIMES, skip_rows=times_skip, skip_footer=times_footer)
-    # Five reports read the two frames: they are parsed once.
+    # Five reports read the two frames, three of them the joined one: each is made once.
     clinical, times = (cut_lineage(df.drop("source_file", "block", "place")) for df in (clinical, times))
+    flagged = cut_lineage(A.flag_admissions(clinical, times, main_site=main_site))
     for name, main in (("main", True), ("other_sites", False)):
-        rates = A.completeness(clinical, times, main_site=main_site, main=main, unit_labels=unit_labels)
-        write_csv(rates, f"{out}/completeness_{name}")
+        write_csv(A.rates(flagged, main_site=main_site, main=main, unit_labels=unit_labels), f"{out}/completeness_{name}")
         write_csv(A.mean_stay(clinical, times, main_site=main_site, main=main), f"{out}/mean_stay_{name}")
-    flagged = A.flag_admissions(clinical, times, main_site=main_site)
     write_by_unit(A.violations(flagged), f"{out}/violations", "admission_unit", order=["doctor_name"])
 
 

@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kpiloom import fixed_values as fv
 from kpiloom.functions.numbers import half_even, percent
 from kpiloom.functions.text import site_suffix, yes_no
 from kpiloom.operators.joins import null_safe_join
 from kpiloom.operators.rows import any_of, differs, holds, present
+from kpiloom.operators.running import before
 from kpiloom.sources.config import config_table
 
+# Ranges of a minute that running sums over parts of minutes go by.
+PARTS_OF_MINUTE = 1024
+
 CHECKS = ("exam_done", "referral_done", "time_correct")
 
 
@@ -40,22 +45,36 @@ def _minute(value: Column) -> Column:
 
 
 def _stays(times: DataFrame) -> DataFrame:
-    """Rows, sum and number of stays per card and profile, and how many stays lie above each whole minute."""
+    """Rows, sum and number of stays per card and profile, and how many stays lie in each whole minute.
+
+    Rows are counted per minute first: of a card on very many rows no more than
+    a row per minute and task is shuffled, and what is collected has at most as
+    many entries as there are minutes.
+    """
     stay = F.col("stay_minutes")
-    above = [F.count_if(stay.isNotNull() & (_minute(stay) > minute)) for minute in range(-1, _LONGEST + 1)]
-    return times.groupBy("card_number", "profile_unit").agg(
-        F.count(F.lit(1)).alias("copies"),
-        F.sum(stay).alias("stay_sum"),
-        F.count(stay).alias("stays"),
-        F.array(*above).alias("above"),
+    keys = ["card_number", "profile_unit"]
+    by_minute = times.groupBy(*keys, _minute(stay).alias("minute")).agg(
+        F.count(F.lit(1)).alias("copies"), F.sum(stay).alias("stay_sum"), F.count(stay).alias("stays")
     )
+    entry = F.when(F.col("stays") > 0, F.struct("minute", F.col("stays").alias("n")))
+    return by_minute.groupBy(*keys).agg(
+        F.sum("copies").alias("copies"), F.sum("stay_sum").alias("stay_sum"), F.sum("stays").alias("stays"),
+        F.collect_list(entry).alias("by_minute"),
+    )
+
+
+def _whole(df: DataFrame, name: str) -> bool:
+    """Whether the type of a column holds whole numbers only."""
+    kind = df.schema[name].dataType
+    return isinstance(kind, T.IntegralType) or (isinstance(kind, T.DecimalType) and kind.scale == 0)
 
 
 def _in_same_minute(admissions: DataFrame, times: DataFrame) -> DataFrame:
     """Stays longer than an examination's minutes within the same whole minute, where stays have parts of minutes.
 
-    Both are put in one order per card, profile and minute, and counted by a
-    running sum.  Whole minutes need none of it.
+    Both are put in one order per card, profile and minute, and counted by
+    running sums over parts of the minute, so that a card on very many rows is
+    no single running sum.
     """
     stay = F.col("stay_minutes")
     parts = times.where((stay <= _LONGEST + 1) & ((stay != F.floor(stay)) | (stay < 0)))
@@ -66,9 +85,10 @@ def _in_same_minute(admissions: DataFrame, times: DataFrame) -> DataFrame:
     profiles = longer.select(*keys).distinct()
     probes = null_safe_join(profiles, asked, ["card_number"], how="inner").withColumn("n", F.lit(0).cast("long"))
     both = longer.unionByName(probes).withColumn("minute", _minute(F.col("value")))
-    # At equal values the probe comes first: only longer stays count.
-    order = Window.partitionBy(*keys, "minute").orderBy(F.desc("value"), F.asc("n"))
-    counted = both.withColumn("within", F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    # The longest first, so that the rows before a probe are the longer stays; at equal values the probe comes first.
+    part = F.floor((F.col("minute") + 1 - F.col("value")) * PARTS_OF_MINUTE)
+    both = both.withColumn("part", F.least(F.lit(PARTS_OF_MINUTE - 1), F.greatest(F.lit(0), part)))
+    counted = before(both, [*keys, "minute"], "part", [F.desc("value"), F.asc("n")], "n", PARTS_OF_MINUTE, "within")
     return counted.where("n = 0").select(*keys, F.col("value").alias("_minutes"), "within")
 
 
@@ -83,9 +103,11 @@ def flag_admissions(admissions: DataFrame, times: DataFrame, *, main_site: str)
     joined = null_safe_join(admissions, _stays(times), ["card_number"])
     minutes = F.col("minutes_to_exam")
     joined = joined.where(differs(F.col("profile_unit"), fv.PROFILE_EXCLUDED)).withColumn("_minutes", minutes.cast("double"))
-    within = _in_same_minute(admissions, times)
-    joined = null_safe_join(joined, within, ["card_number", "profile_unit", "_minutes"])
-    longer = F.get("above", _minute(minutes) + 1) + F.coalesce("within", F.lit(0))
+    in_minutes = F.filter("by_minute", lambda entry: entry["minute"] > _minute(minutes))
+    longer = F.aggregate(in_minutes, F.lit(0).cast("long"), lambda total, entry: total + entry["n"])
+    if not (_whole(times, "stay_minutes") and _whole(admissions, "minutes_to_exam")):
+        joined = null_safe_join(joined, _in_same_minute(admissions, times), ["card_number", "profile_unit", "_minutes"])
+        longer = longer + F.coalesce("within", F.lit(0))
     on_time = F.when(holds(minutes <= _limit()), F.coalesce(longer, F.lit(0))).otherwise(0).cast("long")
     return joined.withColumns(
         {
@@ -94,7 +116,7 @@ def flag_admissions(admissions: DataFrame, times: DataFrame, *, main_site: str)
             "copies": F.coalesce("copies", F.lit(1)),
             "site": site_suffix(F.col("admission_unit"), main_site),
         }
-    ).drop("above", "within", "_minutes")
+    ).drop("by_minute", "within", "_minutes")
 
 
 def _of_site(df: DataFrame, main_site: str, main: bool) -> DataFrame:
@@ -110,12 +132,20 @@ def completeness(
     main: bool = True,
     unit_labels: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Patients and rates of the three checks per doctor and unit.
+    """Patients and rates of the three checks per doctor and unit, see `rates`."""
+    flagged = flag_admissions(admissions, times, main_site=main_site)
+    return rates(flagged, main_site=main_site, main=main, unit_labels=unit_labels)
+
+
+def rates(
+    flagged: DataFrame, *, main_site: str, main: bool = True, unit_labels: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Patients and rates of the three checks per doctor and unit, of admissions with their checks.
 
     Of the main site the unit is not shown, so a doctor may have several rows;
     of the other sites it is shown by its short label, null without one.
     """
-    rows = _of_site(flag_admissions(admissions, times, main_site=main_site), main_site, main)
+    rows = _of_site(flagged, main_site, main)
     patients = F.sum(F.when(F.col("patient_name").isNotNull(), F.col("copies")).otherwise(0))
     passed = {name: F.sum(F.when(F.col(name), F.col("copies")).otherwise(0)) for name in _recorded()}
     passed["time_correct"] = F.sum("on_time")
@@ -124,11 +154,11 @@ def completeness(
         .groupBy("doctor_name", "admission_unit")
         .agg(patients.alias("patients"), *[total.alias(name) for name, total in passed.items()])
     )
-    rates = [percent(F.col(name), F.col("patients")).cast("long").alias(f"{name}_pct") for name in CHECKS]
+    shares = [percent(F.col(name), F.col("patients")).cast("long").alias(f"{name}_pct") for name in CHECKS]
     if main:
-        return by_doctor.select("doctor_name", "patients", *rates)
+        return by_doctor.select("doctor_name", "patients", *shares)
     labelled = _labelled(by_doctor, unit_labels or {})
-    return labelled.select("doctor_name", "unit_label", "patients", *rates)
+    return labelled.select("doctor_name", "unit_label", "patients", *shares)
 
 
 def _labelled(df: DataFrame, labels: Mapping[str, str]) -> DataFrame:

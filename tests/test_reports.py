@@ -177,6 +177,37 @@ def test_parts_of_minutes_count_like_a_plain_join(frame):
     assert {row[0]: (row[1], row[2]) for row in found} == expected
 
 
+def test_whole_minutes_by_type_need_no_running_sums(frame):
+    admissions, times = admission_frames(frame)
+    whole = completeness.flag_admissions(
+        admissions.withColumn("minutes_to_exam", F.col("minutes_to_exam").cast("long")),
+        times.withColumn("stay_minutes", F.col("stay_minutes").cast("decimal(9,0)")), main_site="М",
+    )
+    general = completeness.flag_admissions(admissions, times, main_site="М")
+    columns = ["card_number", "profile_unit", "copies", "on_time"]
+    assert as_set(whole.select(*columns)) == as_set(general.select(*columns))
+    plans = [df._jdf.queryExecution().optimizedPlan().toString().count("Window") for df in (whole, general)]
+    assert plans[0] == 0 and plans[1] > 0
+
+
+def test_a_hot_card_with_parts_of_minutes_has_no_large_running_sum(spark, frame):
+    """Half a million different stays of no card: the running sum's partitions stay small, the counts right."""
+    n = 500_000
+    times = spark.range(n).select(
+        F.lit(None).cast("string").alias("card_number"), F.lit("Терапия").alias("profile_unit"),
+        (F.lit(10.0) + F.col("id") / n).alias("stay_minutes"),
+    )
+    asked = [10.0, 10.25, 10.5000001, 10.999999, 11.0]
+    admissions = frame(
+        schemas.ADMISSIONS,
+        *[(1, None, f"P{k}", "Приемное общее", "D", "01.01", "10:00", "dx", "Тяжелое", None, m, "x", None, None) for k, m in enumerate(asked)],
+    )
+    flagged = completeness.flag_admissions(admissions, times, main_site="М")
+    found = {r["minutes_to_exam"]: (r["copies"], r["on_time"]) for r in flagged.collect()}
+    values = [10.0 + k / n for k in range(n)]
+    assert found == {m: (n, sum(v > m for v in values)) for m in asked}
+
+
 # --- closures ----------------------------------------------------------------
 
 def test_weekday_closures(frame):
