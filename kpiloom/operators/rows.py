@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kpiloom.operators.joins import null_safe_join
+
 
 def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """A column whose expression runs once per row, also when later filters use it.
@@ -45,6 +47,18 @@ def first_rows(
     return source.withColumn("_place", place).where("_place = 1").drop("_place")
 
 
+def skip_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    """Rows but for the first ``n`` of each key in ``order``, which names a row of a key.
+
+    The first rows are found with a limit in each task, and only they are
+    compared with all rows, so that a key of any length is no single task.
+    Rows without a key are a key of their own.
+    """
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    head = df.select(*keys, *order).withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
+    return null_safe_join(df, head, [*keys, *order], "left_anti")
+
+
 def any_of(conditions: Sequence[Column]) -> Column:
     return reduce(lambda left, right: left | right, conditions)
 

@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kpiloom.operators.lineage import cut_lineage
+
 # Buckets whose totals one window sums.
 WIDTH = 4096
 
@@ -52,3 +54,23 @@ def before(
     same = reduce(lambda done, pair: done & pair, [F.col(key).eqNullSafe(F.col(other)) for key, other in theirs.items()])
     joined = df.withColumn(name, within).join(sums, same, "left")
     return joined.withColumn(name, F.col(name) + F.coalesce(ahead, F.lit(0))).drop(ahead, *theirs.values())
+
+
+def positions(df: DataFrame, order: Sequence[Column], name: str, *, first: int = 1) -> DataFrame:
+    """``df`` with each row's place in an order of all rows, from ``first``.
+
+    Rows are sorted by ranges and stored; a row's place is its place in its
+    range and the number of rows in the ranges before, so that no task sees all
+    rows.  Rows equal in ``order`` come in any order.
+    """
+    numbered = cut_lineage(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()))
+    # The upper bits of the id are the range, the lower ones the place in it.
+    part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit(2**33 - 1))
+    counts = sorted((row[0], row[1]) for row in numbered.groupBy(part.alias("part")).count().collect())  # one row per range
+    ahead, total = [], first
+    for number, n in counts:
+        ahead.append((number, total))
+        total += n
+    starts = df.sparkSession.createDataFrame(ahead, "_part LONG, _ahead LONG")
+    joined = numbered.withColumn("_part", part).join(F.broadcast(starts), "_part")
+    return joined.withColumn(name, F.col("_ahead") + place).drop("_part", "_ahead", "_id")
