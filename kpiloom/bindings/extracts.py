@@ -6,8 +6,11 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from kpiloom.bindings.inputs import table
+from kpiloom.bindings.inputs import stage_folder, table
 from kpiloom.functions.numbers import access_flags
+from kpiloom.operators.incremental import refreshed_latest
+from kpiloom.operators.joins import rows_without
+from kpiloom.operators.lineage import cut_lineage
 from kpiloom.plans import extracts as X
 from kpiloom.plans import recency as V
 
@@ -83,6 +86,9 @@ def star_schedule(spark, folder):
     return X.schedule_view(tables, as_of=FLOOR)
 
 
+STORED_BEFORE = date(1999, 1, 1)
+
+
 def _visit_tables(spark, folder):
     """Orders as visits, customers as patients and as the places visited."""
     customer = table(spark, folder, "customer")
@@ -155,7 +161,23 @@ def recency_bands(spark, folder):
     return V.recency(patients, visits, org_id=77, as_of=AS_OF)
 
 
+def latest_visits_refreshed(spark, folder):
+    """Latest visits stored before the last years, when open visits still counted, brought up to date by what changed."""
+    stage_folder(spark)
+    tables = _visit_tables(spark, folder)
+    now = X.patient_visits(tables, since=FLOOR)
+    with_open = X.patient_visits({**tables, "visits": tables["visits"].withColumn("is_closed", F.lit(1))}, since=FLOOR)
+    then = with_open.where(F.col("tap_date") < F.lit(STORED_BEFORE))
+    columns = [*V.PERSON, "tap_number", "tap_date"]
+    then, now = (df.select(*columns).withColumn("birth_year", F.col("birth_year").try_cast("int")) for df in (then, now))
+    return refreshed_latest(
+        cut_lineage(V.latest_visits(then)), now, now.where(F.col("tap_date") >= F.lit(STORED_BEFORE)),
+        rows_without(then, now, ["tap_number"]), person=V.PERSON, key="tap_number", latest=V.latest_visits,
+    ).select(*columns)
+
+
 QUERIES = {
+    "latest_visits_refreshed": latest_visits_refreshed,
     "star_schedule": star_schedule,
     "star_visits": star_visits,
     "star_cards": star_cards,
@@ -175,6 +197,10 @@ _VISITS_SQL = f"""visits AS (
     WHERE o_orderdate >= TIMESTAMP '{FLOOR} 00:00:00' AND o_orderstatus <> 'P')"""
 
 ORACLES = {
+    "latest_visits_refreshed": f"""WITH {_VISITS_SQL}
+        SELECT last_name, first_name, middle_name, CAST(birth_year AS INTEGER) AS birth_year, tap_number, tap_date
+        FROM visits QUALIFY row_number() OVER (
+            PARTITION BY last_name, first_name, middle_name, birth_year ORDER BY tap_date DESC, tap_number DESC) = 1""",
     "star_schedule": f"""SELECT l_partkey AS resource_id, l_shipdate AS begin_time, l_shipdate + INTERVAL 15 MINUTE AS end_time,
         rt.r_name AS resource_type, {_DOCTOR_SQL} AS doctor_full_name, 'eq ' || eq.n_name AS equipment_name,
         et.r_name AS equipment_type, rm.n_name AS cabinet_number, bt.r_name AS cell_type, {_CODE_SQL} AS access_code,

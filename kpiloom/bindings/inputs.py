@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +23,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(_LAYOUTS[path]).parquet(path)
 
 
+def stage_folder(spark: SparkSession) -> None:
+    """Gives a local session without ``spark.checkpoint.dir`` a folder for stored frames; a cluster names its own."""
+    context = spark.sparkContext
+    unset = spark.conf.get("spark.checkpoint.dir", None) is None and context.getCheckpointDir() is None
+    if unset and context.master.startswith("local["):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="kpiloom-"))
+
+
 def steps(value: Column, limits: Sequence[tuple], last=None) -> Column:
     """The option of the first limit above ``value``, else ``last``; an option may be None."""
     chain = None

@@ -6,10 +6,12 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from kpiloom.bindings.inputs import table
-from kpiloom.functions.dates import date_list, period_columns, reporting_period, workdays
+from kpiloom.bindings.inputs import stage_folder, table
+from kpiloom.functions.dates import date_list, days_heading, period_columns, reporting_period, workdays
 from kpiloom.functions.numbers import gap_score
 from kpiloom.operators.history import stored_periods, wide_history
+from kpiloom.operators.incremental import refreshed_days, row_digests
+from kpiloom.operators.lineage import cut_lineage
 from kpiloom.plans import progress as P
 from kpiloom.sources.config import config_table
 
@@ -93,8 +95,9 @@ def history_freeze(spark, folder):
 
 
 def history_wide(spark, folder):
-    """Every stored week beside its unit, the weeks taken from the history."""
-    frozen = history_freeze(spark, folder)
+    """Every stored week beside its unit, the weeks taken from the history, which is stored and then read twice."""
+    stage_folder(spark)
+    frozen = cut_lineage(history_freeze(spark, folder))
     weeks = stored_periods(frozen, "period_start")
     wide = wide_history(frozen, "unit", "period_start", ["fact"], weeks)
     return wide.select("unit", *[F.col(f"`{week}`").alias(f"week_{week}") for week in weeks])
@@ -107,7 +110,31 @@ def reporting_period_days(spark, folder):
     return days.withColumns(columns).withColumn("workdays", workdays(F.col("year_start"), day, HOLIDAYS))
 
 
+def daily_counts_refreshed(spark, folder):
+    """Counts stored when only the finished orders were known, brought up to date: unchanged days are as stored."""
+    stage_folder(spark)
+    now = cards(spark, folder).select("unit", "date_close", "card_number")
+
+    def count(part):
+        return part.groupBy("date_close", "unit").agg(F.count("card_number").alias("cards"))
+
+    then = cards(spark, folder).where("state = 'F'").select(*now.columns)
+    none = spark.createDataFrame([], "day DATE, digest STRING, unit STRING, cards BIGINT")
+    stored = cut_lineage(refreshed_days(then, "date_close", row_digests(then, "date_close"), none, count))
+    found = refreshed_days(now, "date_close", row_digests(now, "date_close"), stored, count)
+    return found.where("cards IS NOT NULL").drop("digest")
+
+
+def week_headings(spark, folder):
+    """Headings of the weekly columns, with the cards of the week."""
+    weeks = P.weekly_facts(cards(spark, folder), PERIOD.past_sunday, keys=[])
+    heading = days_heading(F.col("period_start"), F.col("period_end"))
+    return weeks.select("period_start", heading.alias("heading"), "fact")
+
+
 QUERIES = {
+    "daily_counts_refreshed": daily_counts_refreshed,
+    "week_headings": week_headings,
     "plan_progress_ytd": plan_progress_ytd,
     "plan_progress_yesterday": plan_progress_yesterday,
     "plan_progress_week": plan_progress_week,
@@ -174,6 +201,11 @@ def _cumulative_sql(keys: str) -> str:
 
 
 ORACLES = {
+    "daily_counts_refreshed": """SELECT CAST(o_orderdate AS DATE) AS day, o_orderpriority AS unit, count(o_orderkey) AS cards
+        FROM orders GROUP BY 1, 2""",
+    "week_headings": f"""SELECT CAST(date_trunc('week', o_orderdate) AS DATE) AS period_start,
+        strftime(date_trunc('week', o_orderdate), '%d.%m') || '-' || strftime(CAST(date_trunc('week', o_orderdate) AS DATE) + 6, '%d.%m')
+        AS heading, count(o_orderkey) AS fact FROM orders WHERE {_UNTIL_SUNDAY} GROUP BY 1, 2""",
     "plan_progress_ytd": f"WITH {_YTD_SQL} SELECT * FROM ytd",
     "plan_progress_yesterday": f"WITH {_progress_sql(_UNTIL_YESTERDAY, FLOOR, PERIOD.past_sunday, 'p')} SELECT * FROM p",
     "plan_progress_week": f"WITH {_WEEK_SQL} SELECT unit, target, done, efficiency FROM week",

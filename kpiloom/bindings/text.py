@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kpiloom.bindings.inputs import labels, labels_sql, table
+from kpiloom.bindings.inputs import labels, labels_sql, stage_folder, table
 from kpiloom.functions import text as X
 from kpiloom.operators.joins import tagged_union
 from kpiloom.operators.rows import sorted_report
+from kpiloom.operators.running import positions
 
 UNITS = (
     "Поликлиника ОСП №3 каб. ", "ОСП 2 отделение ", "ЦАОП зал ", "п-ка Ленинградская ", "Централизованное отделение ", None, "Лаборатория ",
@@ -76,7 +77,23 @@ def sorted_suppliers(spark, folder):
     return sorted_report(table(spark, folder, "supplier"), "s_nationkey", "s_name")
 
 
+def supplier_positions(spark, folder):
+    """Every supplier's place in the sorted report."""
+    stage_folder(spark)
+    suppliers = table(spark, folder, "supplier").select("s_nationkey", "s_name", "s_suppkey")
+    order = [F.asc_nulls_last(name) for name in suppliers.columns]
+    return positions(suppliers, order, "place")
+
+
+def narrow_names(spark, folder):
+    """Priorities and their orders, one word per line."""
+    unit = X.stacked(F.col("o_orderpriority")).alias("unit")
+    return table(spark, folder, "orders").groupBy(unit).agg(F.count(F.lit(1)).alias("orders"))
+
+
 QUERIES = {
+    "sorted_report_positions": supplier_positions,
+    "stacked_names": narrow_names,
     "unit_normalize": unit_normalize,
     "site_from_unit": site_from_unit,
     "legacy_unit_map": legacy_unit_map,
@@ -92,6 +109,9 @@ def _derived(options, name):
 
 
 ORACLES = {
+    "sorted_report_positions": """SELECT s_nationkey, s_name, s_suppkey,
+        row_number() OVER (ORDER BY s_nationkey NULLS LAST, s_name NULLS LAST, s_suppkey NULLS LAST) AS place FROM supplier""",
+    "stacked_names": "SELECT replace(o_orderpriority, ' ', chr(10)) AS unit, count(*) AS orders FROM orders GROUP BY 1",
     "unit_normalize": f"""SELECT *, CASE WHEN regexp_matches(unit, 'ОСП №?[0-9]') THEN regexp_extract(unit, 'ОСП №?[0-9]', 0)
         WHEN unit LIKE '%ЦАОП%' THEN 'ЦАОП' WHEN unit LIKE '%Ленинградская%' OR unit LIKE '%Централизованное отделение%' THEN 'Ленинградская 9'
         WHEN unit IS NULL THEN 'Не указано' ELSE unit END AS department FROM {_derived(UNITS, "unit")}""",

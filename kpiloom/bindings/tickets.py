@@ -7,7 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kpiloom import fixed_values as fv
 from kpiloom.bindings.inputs import steps, steps_sql, table
+from kpiloom.operators.rows import skip_first
 from kpiloom.plans import tickets as T
 
 LINK = "https://chat.example/c/1/"
@@ -54,7 +56,14 @@ def ticket_open_by_group(spark, folder):
     return T.open_by_group(found(spark, folder))
 
 
+def conversation_after_intro(spark, folder):
+    """Turns of each conversation after its introductory ones."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return skip_first(turns, ["conv_id"], ["turn"], fv.TICKET_INTRO_RECORDS)
+
+
 QUERIES = {
+    "conversation_after_intro": conversation_after_intro,
     "ticket_fields": found,
     "ticket_status_counts": ticket_status_counts,
     "ticket_open_by_group": ticket_open_by_group,
@@ -87,6 +96,8 @@ _TICKETS_SQL = f"""m AS (SELECT doc_id, source, {_TEXT_SQL} AS t FROM documents
     FROM m WHERE regexp_matches(t, 'Заявка №[0-9]+'))"""
 
 ORACLES = {
+    "conversation_after_intro": f"""SELECT conv_id, turn, role, text FROM conversations
+        QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) > {fv.TICKET_INTRO_RECORDS}""",
     "ticket_fields": f"WITH {_TICKETS_SQL} SELECT * FROM tickets",
     "ticket_status_counts": f"WITH {_TICKETS_SQL} SELECT status, count(number) AS tickets FROM tickets GROUP BY status",
     "ticket_open_by_group": f"""WITH {_TICKETS_SQL} SELECT "group", count(number) AS open_tickets FROM tickets

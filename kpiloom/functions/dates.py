@@ -146,6 +146,11 @@ def day_month(day: Column) -> Column:
     return F.date_format(day, "dd.MM")
 
 
+def days_heading(start: Column, end: Column) -> Column:
+    """`week_heading` of two columns."""
+    return F.concat(day_month(start), F.lit("-"), day_month(end))
+
+
 def week_heading(start: date, end: date) -> str:
     """Heading of a published week column."""
     return f"{start:%d.%m}-{end:%d.%m}"

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from kpiloom import schemas
 from kpiloom.functions.dates import reporting_period
-from kpiloom.functions.text import Rules, department, repair_strings
+from kpiloom.functions.text import Rules, department, repair_strings, stacked
 from kpiloom.operators.history import stored_periods
+from kpiloom.operators.incremental import refreshed_days, refreshed_latest, row_digests
 from kpiloom.operators.lineage import cut_lineage, stages_removed
 from kpiloom.operators.rows import sorted_report
 from kpiloom.plans import calls as C
@@ -38,10 +39,11 @@ from kpiloom.sinks.tables import (
     write_by_unit,
     write_csv,
 )
+from kpiloom.sinks.versions import manifests, publish, published
 from kpiloom.sources.chat import exported_messages
 from kpiloom.sources.config import config_table
-from kpiloom.sources.files import Newest, staged
-from kpiloom.sources.reports import report_scan, tag_by_file, with_sequence
+from kpiloom.sources.files import Newest, NewestPerUnit, source_paths, staged_by_content
+from kpiloom.sources.reports import report_scan, tag_by_file, tag_by_unit, with_sequence
 
 
 @stages_removed()
@@ -57,17 +59,28 @@ def admission_job(
     clinical_skip: Collection[int] = (0, 2),
     times_skip: Collection[int] = (*range(11), 12),
     times_footer: int = 1,
+    clinical_headings: Mapping[str, str] | None = None,
+    times_headings: Mapping[str, str] | None = None,
+    narrow: Collection[str] = (),
 ) -> None:
-    """Completeness by doctor, violations per unit and mean stay, for the main and the other sites."""
-    clinical = report_scan(spark, clinical_path, schemas.ADMISSIONS, skip_rows=clinical_skip).where(F.col("org_id") == org_id)
-    times = report_scan(spark, times_path, schemas.ADMISSION_TIMES, skip_rows=times_skip, skip_footer=times_footer)
+    """Completeness by doctor, violations per unit and mean stay, for the main and the other sites.
+
+    Columns of the violations named in ``narrow`` are written one word per line.
+    """
+    clinical = report_scan(spark, clinical_path, schemas.ADMISSIONS, skip_rows=clinical_skip, headings=clinical_headings)
+    clinical = clinical.where(F.col("org_id") == org_id)
+    times = report_scan(
+        spark, times_path, schemas.ADMISSION_TIMES, skip_rows=times_skip, skip_footer=times_footer, headings=times_headings
+    )
     # Five reports read the two frames, three of them the joined one: each is made once.
     clinical, times = (cut_lineage(df.drop("source_file", "block", "place")) for df in (clinical, times))
     flagged = cut_lineage(A.flag_admissions(clinical, times, main_site=main_site))
     for name, main in (("main", True), ("other_sites", False)):
         write_csv(A.rates(flagged, main_site=main_site, main=main, unit_labels=unit_labels), f"{out}/completeness_{name}")
         write_csv(A.mean_stay(clinical, times, main_site=main_site, main=main), f"{out}/mean_stay_{name}")
-    write_by_unit(A.violations(flagged), f"{out}/violations", "admission_unit", order=["doctor_name"])
+    listed = A.violations(flagged)
+    listed = listed.withColumns({name: stacked(F.col(name)) for name in narrow})
+    write_by_unit(listed, f"{out}/violations", "admission_unit", order=["doctor_name"])
 
 
 @stages_removed()
@@ -82,10 +95,11 @@ def closures_job(
     as_of: date,
     total_label: str,
     skip_rows: Collection[int] = (0,),
+    headings: Mapping[str, str] | None = None,
 ) -> None:
     """Closures per weekday and percent of the plan for the reporting period."""
     period = reporting_period(as_of)
-    report = report_scan(spark, path, schemas.CHECKUP_REPORT, skip_rows=skip_rows)
+    report = report_scan(spark, path, schemas.CHECKUP_REPORT, skip_rows=skip_rows, headings=headings)
     plan = config_table(spark, weekly_plan, "unit STRING, plan BIGINT")
     table = cut_lineage(
         K.weekday_closures(report, plan, org_id=org_id, main_site=main_site, first=period.first, last=period.last)
@@ -97,43 +111,52 @@ def closures_job(
 @stages_removed()
 def prescriptions_job(
     spark: SparkSession,
-    prescription_path: str | Newest,
+    prescription_path: str | Newest | NewestPerUnit,
     booking_path: str | Newest,
     stage: str,
     out: str,
     *,
-    units_by_file: Mapping[str, str],
+    departments: Mapping[str, str],
     as_of: date,
-    now: datetime,
     total_label: str,
     prescription_skip: Collection[int] = tuple(range(1, 12)),
     prescription_footer: int = 18,
     booking_skip: Collection[int] = (1, 2),
     booking_footer: int = 4,
+    prescription_headings: Mapping[str, str] | None = None,
+    booking_headings: Mapping[str, str] | None = None,
 ) -> None:
-    """Prescriptions against bookings; the stage tables are reused for twelve hours.
+    """Prescriptions against bookings; the stage tables are reused until a file of theirs changes.
 
-    The department of a prescription is the unit its file belongs to.
+    The department of a prescription is that of its file: ``departments`` has
+    it by file name, or by unit if the newest file of each unit is asked for.
     """
     columns = schemas.PRESCRIPTIONS.removeprefix("department STRING, ").removesuffix(", seq BIGINT")
 
+    prescription_files, booking_files = source_paths(spark, prescription_path), source_paths(spark, booking_path)
+
     def scan_prescriptions() -> DataFrame:
         scanned = report_scan(
-            spark, prescription_path, columns, skip_rows=prescription_skip, skip_footer=prescription_footer, name_part=".csv"
+            spark, prescription_files, columns, skip_rows=prescription_skip, skip_footer=prescription_footer, name_part=".csv",
+            headings=prescription_headings,
         )
-        return with_sequence(tag_by_file(scanned, units_by_file))
+        if isinstance(prescription_path, NewestPerUnit):
+            return with_sequence(tag_by_unit(scanned, prescription_path, departments))
+        return with_sequence(tag_by_file(scanned, departments))
 
     def scan_bookings() -> DataFrame:
         return with_sequence(
             report_scan(
-                spark, booking_path, schemas.BOOKINGS.removesuffix(", seq BIGINT"), skip_rows=booking_skip,
-                skip_footer=booking_footer, name_part=".csv",
+                spark, booking_files, schemas.BOOKINGS.removesuffix(", seq BIGINT"), skip_rows=booking_skip,
+                skip_footer=booking_footer, name_part=".csv", headings=booking_headings,
             )
         )
 
     # Each of these three is read by several reports.
-    issued = R.first_prescriptions(staged(spark, f"{stage}/prescriptions", scan_prescriptions, as_of=now))
-    kept, noshow = R.clean_bookings(staged(spark, f"{stage}/bookings", scan_bookings, as_of=now), as_of=as_of)
+    prescriptions = staged_by_content(spark, f"{stage}/prescriptions", scan_prescriptions, prescription_files, name_part=".csv")
+    bookings = staged_by_content(spark, f"{stage}/bookings", scan_bookings, booking_files, name_part=".csv")
+    issued = R.first_prescriptions(prescriptions)
+    kept, noshow = R.clean_bookings(bookings, as_of=as_of)
     issued, kept = cut_lineage(issued.drop("seq", "source_file")), cut_lineage(kept)
     write_by_unit(R.missing_booking(issued, kept, as_of=as_of), f"{out}/missing_booking", "subdivision")
     write_csv(R.noshow_fulfilled(noshow, issued), f"{out}/noshow_fulfilled")
@@ -142,6 +165,42 @@ def prescriptions_job(
     write_csv(R.compliance_rollup(by_department, total_label), f"{out}/compliance_rollup")
 
 
+DAILY_KEYS = ["unit", "department", "doctor_name"]
+
+
+def kept_daily_counts(cards: DataFrame, path: str, digests: DataFrame | None = None) -> DataFrame:
+    """`plans.progress.daily_counts` of all days, kept at ``path``: days whose digest is the stored one are not read again."""
+    stored = published(cards.sparkSession, path, schemas.DAILY_COUNTS)
+    if digests is None:
+        digests = row_digests(cards, "date_close")
+    counts = refreshed_days(cards, "date_close", digests, stored, lambda part: P.daily_counts(part, DAILY_KEYS))
+    publish(counts, path)
+    found = published(cards.sparkSession, path, schemas.DAILY_COUNTS).where("rows IS NOT NULL")
+    return found.drop("digest").withColumnRenamed("day", "date_close")
+
+
+def kept_latest_visits(visits: DataFrame, path: str, added: DataFrame | None = None, gone: DataFrame | None = None) -> DataFrame:
+    """The latest visit per person, kept at ``path``.
+
+    ``added`` are the visits that are new or corrected since the last run,
+    ``gone`` the numbers of deleted and corrected ones.  All ``visits`` are read
+    in the first run, or if neither is given, and else only for persons whose
+    stored visit is gone.
+    """
+    spark = visits.sparkSession
+    columns = [name for name in (*V.PERSON, "mkab_number", "tap_number", "tap_date", "visited_at") if name in visits.columns]
+    visits = visits.select(*columns).withColumn("birth_year", F.col("birth_year").try_cast("int"))
+    if manifests(spark, path) and added is not None and gone is not None:
+        latest = refreshed_latest(
+            published(spark, path), visits, added.withColumn("birth_year", F.col("birth_year").try_cast("int")), gone,
+            person=V.PERSON, key="tap_number", latest=V.latest_visits,
+        )
+    else:
+        latest = V.latest_visits(visits)
+    publish(latest.select(*columns), path)
+    return published(spark, path)
+
+
 @stages_removed()
 def progress_job(
     cards: DataFrame,
@@ -152,10 +211,16 @@ def progress_job(
     plan: P.Plan,
     as_of: date,
     repair: bool = False,
+    counts_path: str | None = None,
+    digests: DataFrame | None = None,
+    week_headings: bool = False,
 ) -> None:
     """Plan monitoring over the check-up cards view.
 
-    All figures come from one pass over the cards.  The daily table is replaced on every run; the weekly ones, the list of cards
+    All figures come from one pass over the cards, or, with ``counts_path``, from
+    the daily counts stored there, of which only days that changed are counted
+    again.  ``digests`` (see `incremental.file_digests`) tells which without
+    reading the cards; by default their rows do.  The daily table is replaced on every run; the weekly ones, the list of cards
     outside the units and the history are written on the publishing day only.
     """
     spark = cards.sparkSession
@@ -170,8 +235,10 @@ def progress_job(
     table = config_table(spark, weights, "unit STRING, weight DOUBLE")
     year_start = date(period.past_sunday.year, 1, 1)
     due = plan.due(year_start, period.past_sunday)
-    until_yesterday = named.where(F.col("date_close") <= F.lit(period.yesterday))
-    daily = cut_lineage(P.daily_counts(until_yesterday, ["unit", "department", "doctor_name"]))
+    if counts_path is None:
+        daily = cut_lineage(P.daily_counts(named.where(F.col("date_close") <= F.lit(period.yesterday)), DAILY_KEYS))
+    else:
+        daily = kept_daily_counts(named, counts_path, digests).where(F.col("date_close") <= F.lit(period.yesterday))
     yesterday = P.plan_progress(daily, table, plan, P.Span(start=year_start, end=period.yesterday, due=due))
     replace_table(yesterday, f"{out}/daily")
     if not is_publish_day(as_of):
@@ -191,7 +258,8 @@ def progress_job(
     history = stored_history(spark, history_path, schemas.HISTORY)
     weeks = stored_periods(history, "period_start")
     total = combined.select("unit", "annual_plan", "target", "done", "efficiency")
-    replace_table(P.published_progress(total, history, weeks), f"{out}/weekly")
+    weekly = P.published_progress(total, history, weeks)
+    replace_table(P.with_week_headings(weekly, weeks) if week_headings else weekly, f"{out}/weekly")
     scoped = P.in_scope(daily, list(weights))
     for name, keys in (("departments", ["department"]), ("doctors", ["department", "doctor_name"])):
         counts = P.cumulative_vs_period(scoped, keys, cutoff=end, start=start, end=end)
@@ -240,10 +308,11 @@ def schedule_job(tables: X.Tables, out: str, *, now: datetime, repair: bool = Fa
 
 @stages_removed()
 def calls_job(
-    spark: SparkSession, path: str | Newest, out: str, *, line: int, agents: Rules, as_of: date, total_label: str, missed_label: str
+    spark: SparkSession, path: str | Newest, out: str, *, line: int, agents: Rules, as_of: date, total_label: str, missed_label: str,
+    headings: Mapping[str, str] | None = None,
 ) -> None:
     """Counts by status and agent, the board of the last days and its two totals."""
-    scanned = report_scan(spark, path, schemas.CALLS).drop("source_file", "block", "place")
+    scanned = report_scan(spark, path, schemas.CALLS, headings=headings).drop("source_file", "block", "place")
     calls = cut_lineage(C.line_calls(scanned, line=line, agents=agents))
     replace_table(C.calls_by_status(calls), f"{out}/by_status")
     replace_table(C.calls_by_agent(calls), f"{out}/by_agent")
@@ -272,12 +341,14 @@ def recency_job(
     org_id: int,
     as_of: date,
     skip_rows: Sequence[int] = (0,),
+    headings: Mapping[str, str] | None = None,
 ) -> None:
     """Followed-up patients with their latest visit, one folder per subdivision, oldest visit first.
 
-    ``visits`` is the visits view or `extracts.patient_visits`, of which the latest ones suffice.
+    ``visits`` is the visits view or `extracts.patient_visits`, of which the
+    latest ones suffice, such as those of `kept_latest_visits`.
     """
-    patients = report_scan(spark, patients_path, schemas.FOLLOWUP_PATIENTS, skip_rows=skip_rows)
+    patients = report_scan(spark, patients_path, schemas.FOLLOWUP_PATIENTS, skip_rows=skip_rows, headings=headings)
     found = V.recency(patients, visits, org_id=org_id, as_of=as_of)
     write_by_unit(found, out, "subdivision", order=["tap_date"])
 

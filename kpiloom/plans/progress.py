@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.functions.dates import workdays_between
+from kpiloom.functions.dates import week_heading, workdays_between
 from kpiloom.functions.numbers import percent
 from kpiloom.operators.aggregates import with_total
 from kpiloom.operators.history import wide_history
@@ -180,6 +180,17 @@ def published_progress(cumulative: DataFrame, history: DataFrame, weeks: Sequenc
     return cumulative.join(wide, "unit", "left")
 
 
+def with_week_headings(published: DataFrame, weeks: Sequence[date]) -> DataFrame:
+    """`published_progress` with its weekly columns headed by the days of the week; a heading used by a later week gets the year."""
+    names: dict[str, str] = {}
+    for week in sorted(weeks, reverse=True):
+        heading = week_heading(week, week + timedelta(days=6))
+        if any(name.startswith(heading + " ") for name in names.values()):
+            heading = f"{heading} {week.year}"
+        names.update({f"{week}_{value}": f"{heading} {value}" for value in ("target", "fact", "efficiency")})
+    return published.withColumnsRenamed(names)
+
+
 def cumulative_vs_period(
     cards: DataFrame, keys: Sequence[str], *, cutoff: date, start: date, end: date
 ) -> DataFrame:

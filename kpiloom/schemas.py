@@ -42,6 +42,9 @@ CALLS = (
 )
 CHAT_MESSAGE = "id BIGINT, author STRING, text VARIANT"
 CHAT_EXPORT = f"messages ARRAY<STRUCT<{CHAT_MESSAGE}>>"
+DAILY_COUNTS = (
+    "day DATE, digest STRING, unit STRING, department STRING, doctor_name STRING, cards BIGINT, rows BIGINT"
+)
 HISTORY = (
     "unit STRING, period_start DATE, period_end DATE, target BIGINT, fact BIGINT, efficiency DOUBLE"
 )

@@ -84,8 +84,7 @@ def test_prescriptions_job(spark, tmp_path):
     for _ in range(2):  # the second run reads the stage tables
         jobs.prescriptions_job(
             spark, str(tmp_path / "rx"), str(tmp_path / "bk"), stage, out,
-            units_by_file={"one.csv": "ОСП 1 терапия", "two.csv": "ЦАОП"}, as_of=date(2024, 1, 10), now=datetime(2024, 1, 10, 9),
-            total_label="ALL",
+            departments={"one.csv": "ОСП 1 терапия", "two.csv": "ЦАОП"}, as_of=date(2024, 1, 10), total_label="ALL",
         )
     assert as_set(read_csv(spark, out, "compliance")) == {("ОСП 1 терапия", "2", "1", "50")}
     assert as_set(read_csv(spark, out, "compliance_rollup")) == {("ОСП 1", "2", "1", "50"), ("ALL", "2", "1", "50")}
