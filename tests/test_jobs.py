@@ -2,7 +2,8 @@
 
 import json
 import os
-from datetime import date, datetime
+import random
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 
@@ -10,7 +11,7 @@ from kpiloom import jobs, schemas
 from kpiloom.operators.lineage import cut_lineage, shared_folder, stages_removed
 from kpiloom.plans.progress import Plan
 from kpiloom.sinks.tables import published_table
-from kpiloom.sources.files import Newest
+from kpiloom.sources.files import Newest, NewestPerUnit
 from test_reports import schedule_tables
 
 
@@ -216,3 +217,93 @@ def test_recency_job(spark, frame, tmp_path):
     jobs.recency_job(spark, path, visits, out, org_id=77, as_of=date(2024, 3, 1))
     found = read_csv(spark, out).select("last_name", "mkab_number", "band", "subdivision")
     assert as_set(found) == {("A", "m", "red", "ОСП 2"), ("B", None, None, "ОСП 2")}
+
+
+def test_prescriptions_of_the_newest_file_per_unit(spark, tmp_path):
+    head, foot = ["серия,дата"] + ["x"] * 11, ["f"] * 18
+
+    def rx(name, day):
+        return f"s-{name},{day},D,i,{name} б в,c,a,drug,1"
+
+    def export(unit, name, hours, *names):
+        path = tmp_path / "rx" / unit / f"{name}.csv"
+        write(path, head + [rx(person, "09.01.2024") for person in names] + foot)
+        moment = datetime(2024, 1, 10, 9, tzinfo=timezone.utc).timestamp() - 3600 * hours
+        os.utime(path, (moment, moment))
+
+    # An export of yesterday lies beside today's one in two units; it must not count.
+    export("a", "2024-01-09", 25, "Алла", "Старая")
+    export("a", "2024-01-10", 1, "Алла", "Борис")
+    export("b", "2024-01-09", 25, "Вера", "Глеб")
+    export("b", "2024-01-10", 2, "Вера")
+    export("c", "2024-01-10", 3, "Дина")
+    write(tmp_path / "bk" / "b.csv", ["h", "x", "x", 'ОСП 1,1,"№1 Алла Б В, 1990",2024-01-09T09:00:00,Явка'] + ["f"] * 4)
+    out, stage = str(tmp_path / "out"), str(tmp_path / "stage")
+    names = {"a": "ОСП 1 терапия", "b": "ЦАОП", "c": "ОСП 2"}
+    newest = NewestPerUnit(str(tmp_path / "rx"), r"^([^/]+)/", units=frozenset(names), as_of=datetime(2024, 1, 10, 9), hours=4)
+
+    def run(source=newest):
+        jobs.prescriptions_job(
+            spark, source, str(tmp_path / "bk"), stage, out, departments=names, as_of=date(2024, 1, 10), total_label="ALL"
+        )
+        return as_set(read_csv(spark, out, "compliance"))
+
+    assert run() == {("ОСП 1 терапия", "2", "1", "50"), ("ЦАОП", "1", "0", "0"), ("ОСП 2", "1", "0", "0")}
+    assert run() == run()  # from the stage
+    export("b", "2024-01-10 b", 1, "Вера", "Глеб", "Егор")  # a newer file of one unit rebuilds the stage
+    assert run() == {("ОСП 1 терапия", "2", "1", "50"), ("ЦАОП", "3", "0", "0"), ("ОСП 2", "1", "0", "0")}
+    export("c", "2024-01-10", 9, "Дина")
+    with pytest.raises(ValueError, match="for: c$"):
+        run()
+
+
+def test_progress_with_kept_counts_equals_a_full_run(spark, frame, tmp_path):
+    rng, plan = random.Random(4), Plan(annual=1000, year_days=250, total_label="ALL")
+    units = ["ОСП 1 каб", "ОСП 2", "Другое", None]
+    rows = [(None, date(2024, 1, 1) + timedelta(days=rng.randrange(30)), str(k), rng.choice(units), rng.choice("ДЕ")) for k in range(150)]
+    args = {"weights": {"ОСП 1": 0.6, "ОСП 2": 0.4}, "plan": plan}
+    for as_of in (date(2024, 1, 18), date(2024, 1, 25), date(2024, 2, 1)):
+        cards = frame(schemas.CHECKUP_CARDS, *rows)
+        found = {}
+        for name, kept in (("full", None), ("kept", str(tmp_path / "counts"))):
+            out = str(tmp_path / name / str(as_of))
+            jobs.progress_job(cards, str(tmp_path / f"{name}-history"), out, as_of=as_of, counts_path=kept, week_headings=True, **args)
+            found[name] = {t: as_set(published_table(spark, f"{out}/{t}")) for t in ("daily", "weekly", "departments", "doctors", "outside")}
+        assert found["full"] == found["kept"] and found["full"]["weekly"]
+        # Late and corrected cards of earlier weeks, and deleted ones.
+        rows = rng.sample(rows, 140) + [(None, date(2024, 1, rng.randrange(1, 31)), f"late{as_of}{k}", "ОСП 2", "Д") for k in range(6)]
+    columns = published_table(spark, f"{tmp_path}/kept/2024-02-01/weekly").columns
+    assert "22.01-28.01 fact" in columns and columns.index("22.01-28.01 fact") < columns.index("15.01-21.01 fact")
+
+
+def test_kept_latest_visits_serve_the_recency_job(spark, frame, tmp_path):
+    def visit(number, day, name="Анна"):
+        return number, day, f"M{name}", name.upper(), "И", "О", 1990, "d", "s"
+
+    path = str(tmp_path / "latest")
+    old, new, other = visit("1", date(2024, 1, 1)), visit("2", date(2024, 1, 5)), visit("3", date(2024, 1, 2), "Вера")
+
+    def kept(rows, added=None, gone=None):
+        changes = (None if added is None else frame(schemas.VISITS, *added), None if gone is None else frame("tap_number STRING", *gone))
+        return {(r["last_name"], r["tap_number"]) for r in jobs.kept_latest_visits(frame(schemas.VISITS, *rows), path, *changes).collect()}
+
+    assert kept([old, new]) == {("АННА", "2")}
+    assert kept([old, new, other], [other], []) == {("АННА", "2"), ("ВЕРА", "3")}
+    assert kept([old, other], [], [("2",)]) == {("АННА", "1"), ("ВЕРА", "3")}
+    moved = visit("3", date(2024, 1, 9))
+    assert kept([old, moved], [moved], [("3",)]) == {("АННА", "3")}
+
+
+def test_admission_columns_by_heading_and_one_word_per_line(spark, tmp_path):
+    names = [field.split()[0] for field in schemas.ADMISSIONS.split(", ")]
+    row = dict(zip(names, "77,2,P2,Приемное ОСП 2,Иван Петров,01.01,10:00,dx,Тяжелое,,50,,,".split(",")))
+    order = sorted(names, reverse=True)
+    clinical = write(tmp_path / "list.csv", ["Отчет", ",".join(f"H {n}" for n in order), "подшапка", ",".join(row[n] for n in order)])
+    times = write(tmp_path / "times.csv", ["x"] * 11 + ["шапка", "подшапка", "2,,,80,120", "Итого,,,80,120"])
+    out = str(tmp_path / "out")
+    jobs.admission_job(
+        spark, clinical, times, out, org_id=77, main_site="М", unit_labels={}, clinical_headings={n: f"H {n}" for n in names},
+        narrow=["doctor_name"],
+    )
+    rows = spark.read.option("header", True).option("multiLine", True).csv(f"{out}/violations").collect()
+    assert [(r["card_number"], r["doctor_name"], r["exam_done"]) for r in rows] == [("2", "Иван\nПетров", "Нет")]
