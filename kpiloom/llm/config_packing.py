@@ -37,6 +37,8 @@ STEP = 0.34
 STEEPNESS = 3.0
 # Times the program is solved and rounded to full sequences; the rest is packed best-fit decreasing.
 SOLVES = 2
+# Shares of the solution that are rounded down; the first without anything held back is solved again.
+SHARES = (1, 0.95, 0.8, 0.5)
 _RANK_BITS = 44
 
 
@@ -138,25 +140,47 @@ def best_fit_decreasing(histogram: Counter, capacity: int) -> Counter:
     return closed
 
 
+def _rounded(use: dict[tuple, float], left: Counter, least: int, share: float) -> tuple[Counter, Counter]:
+    """Whole uses of configurations of at least ``least`` tokens, at most ``share`` of each fraction, and the lengths that remain."""
+    plan, left = Counter(), Counter(left)
+    for config, fraction in sorted(use.items(), key=lambda item: -item[1]):
+        if sum(n * c for n, c in config) >= least:
+            times = min(int(share * fraction), *(left[n] // c for n, c in config))
+            if times > 0:
+                plan[config] += times
+                for n, c in config:
+                    left[n] -= times * c
+    return plan, Counter({n: c for n, c in left.items() if c > 0})
+
+
 def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple, int]]:
-    """Configurations, each with how often it is used; together they hold exactly the histogram."""
+    """Configurations, each with how often it is used; together they hold exactly the histogram.
+
+    The solution is rounded several ways: what is held back of it makes a
+    larger rest, which packs with less waste.  The way with the fewest sequences
+    counts.  There are at most as many configurations as the program's rounds
+    find, `SOLVES` x `ROUNDS` x `CONFIGS_PER_ROUND`, and those of the rest.
+    """
     left = Counter({n: c for n, c in histogram.items() if c > 0})
-    plan: Counter = Counter()
+    whole: Counter = Counter()
     if capacity in left:
-        plan[((capacity, 1),)] = left.pop(capacity)
-    for _ in range(SOLVES):
-        if not left:
-            break
-        for config, share in sorted(solve(left, capacity).items(), key=lambda item: -item[1]):
-            if sum(n * c for n, c in config) == capacity:
-                times = min(int(share), *(left[n] // c for n, c in config))
-                if times > 0:
-                    plan[config] += times
-                    for n, c in config:
-                        left[n] -= times * c
-        left = Counter({n: c for n, c in left.items() if c > 0})
-    plan.update(best_fit_decreasing(left, capacity))
-    return sorted(plan.items())
+        whole[((capacity, 1),)] = left.pop(capacity)
+    if not left:
+        return sorted(whole.items())
+    use = solve(left, capacity)
+    plans = []
+    # Configurations without waste only, or all that the solution uses.
+    for share, least in [(share, least) for least in (capacity, 0) for share in SHARES]:
+        plan, rest = _rounded(use, left, least, share)
+        for _ in range(SOLVES - 1):
+            if rest and share == 1:
+                more, rest = _rounded(solve(rest, capacity), rest, least, 1)
+                plan.update(more)
+        plan.update(best_fit_decreasing(rest, capacity))
+        plans.append(plan)
+    best = min(plans, key=lambda plan: sum(plan.values()))
+    best.update(whole)
+    return sorted(best.items())
 
 
 class Places:
