@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -45,8 +46,9 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]+")
 
 _DOT_WORDS = "dot|punkt|point|punto"
-_BRACKET_AT = re.compile(r"\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*", re.I)
-_BRACKET_DOT = re.compile(r"\s*[\[({<]\s*(?:" + _DOT_WORDS + r"|\.)\s*[\])}>]\s*", re.I)
+# White space before a bracket goes with it, see `Rewriting.replace`.
+_BRACKET_AT = re.compile(r"[\[({<]\s*(?:at|@)\s*[\])}>]\s*", re.I)
+_BRACKET_DOT = re.compile(r"[\[({<]\s*(?:" + _DOT_WORDS + r"|\.)\s*[\])}>]\s*", re.I)
 # 'at this point in time' is no address: behind 'point' comes a top-level domain that is no common word.
 _COMMON = "am|an|as|at|be|by|do|go|he|if|in|is|it|me|my|no|of|on|or|so|to|up|us|we"
 _DOTTED = rf"(?:\s+(?:dot|punkt|punto)\s+|\s+point\s+(?=(?:[a-z0-9-]+\s+point\s+)*(?:com|org|net|info|edu|gov|biz|(?!(?:{_COMMON})\b)[a-z]{{2}})(?![\w-]))|\s*\.)"
@@ -113,27 +115,62 @@ def identifiers(text: str) -> list[tuple[int, int, int]]:
 
 
 class Rewriting:
-    """A text with the source range of each character."""
+    """A text with the source range of each character.
+
+    Kept are segments only: where one begins, where that is in the source, and,
+    if it was written for a match, where the match ends there; the characters
+    of the other segments are those of the source, one by one.
+    """
 
     def __init__(self, text: str):
         self.text = text
-        self.starts = list(range(len(text)))
-        self.ends = list(range(1, len(text) + 1))
+        self.at, self.starts, self.ends = [0], [0], [-1]
+
+    def source(self, start: int, end: int) -> tuple[int, int]:
+        """The source range of a range of the text."""
+        first, last = bisect_right(self.at, start) - 1, bisect_right(self.at, end - 1) - 1
+        a = self.starts[first] + (start - self.at[first] if self.ends[first] < 0 else 0)
+        return a, self.ends[last] if self.ends[last] >= 0 else self.starts[last] + end - self.at[last]
+
+    def replace(self, pattern: re.Pattern, write: Callable[[re.Match], str], *, space_before: bool = False) -> None:
+        """Rewrites all matches, with the white space before them if asked to; what is written stands for its whole match."""
+        parts, at, starts, ends = [], [], [], []
+        done = length = 0
+
+        def copy(stop: int) -> None:
+            nonlocal done, length
+            k = bisect_right(self.at, done) - 1
+            while done < stop:
+                until = min(stop, self.at[k + 1]) if k + 1 < len(self.at) else stop
+                at.append(length)
+                starts.append(self.starts[k] + (done - self.at[k] if self.ends[k] < 0 else 0))
+                ends.append(self.ends[k])
+                length += until - done
+                done, k = until, k + 1
 
-    def replace(self, pattern: re.Pattern, write: Callable[[re.Match], str]) -> None:
-        """Rewrites all matches; each character written stands for its whole match."""
-        parts, starts, ends, at = [], [], [], 0
         for match in pattern.finditer(self.text):
             a, b = match.span()
+            while space_before and a > done and self.text[a - 1].isspace():
+                a -= 1
+            parts.append(self.text[done:a])
+            copy(a)
             new = write(match)
-            parts += [self.text[at:a], new]
-            starts += self.starts[at:a] + [self.starts[a]] * len(new)
-            ends += self.ends[at:a] + [self.ends[b - 1]] * len(new)
-            at = b
-        if at:
-            self.text = "".join([*parts, self.text[at:]])
-            self.starts = starts + self.starts[at:]
-            self.ends = ends + self.ends[at:]
+            if new:
+                start, end = self.source(a, b)
+                at.append(length)
+                starts.append(start)
+                ends.append(end)
+                length += len(new)
+            parts.append(new)
+            done = b
+        if parts:
+            parts.append(self.text[done:])
+            copy(len(self.text))
+            self.text, self.at, self.starts, self.ends = "".join(parts), at or [0], starts or [0], ends or [-1]
+
+    def translate(self, signs: dict[int, str]) -> None:
+        """Rewrites single characters by single ones, which stay where they are."""
+        self.text = self.text.translate(signs)
 
 
 def _look_alike(sign: str) -> str:
@@ -169,7 +206,7 @@ def _spelled_parts(run: Rewriting) -> Rewriting | None:
     if not any("." in part and _SPELLED.search(part) for part in parts):
         return None
     kept = Rewriting(run.text)
-    kept.starts, kept.ends = run.starts, run.ends
+    kept.at, kept.starts, kept.ends = run.at, run.starts, run.ends
     digit = re.compile(_WORDS, re.I)
     kept.replace(_SPELLED, lambda m: "".join(DIGIT_WORDS[word.lower()] for word in digit.findall(m.group())))
     return kept
@@ -191,9 +228,9 @@ def normalised(text: str) -> list[tuple[Rewriting, range]]:
     if hidden:
         run.replace(_INVISIBLE, lambda m: "")
     if look:
-        run.replace(re.compile("[^\x00-\x7f]"), lambda m: _look_alike(m.group()))
-    run.replace(_BRACKET_AT, lambda m: "@")
-    run.replace(_BRACKET_DOT, lambda m: ".")
+        run.translate({ord(sign): _look_alike(sign) for sign in set(run.text) if sign > "\x7f"})
+    run.replace(_BRACKET_AT, lambda m: "@", space_before=True)
+    run.replace(_BRACKET_DOT, lambda m: ".", space_before=True)
     run.replace(_PLAIN_AT, lambda m: "@")
     run.replace(_PLAIN_DOT, lambda m: ".")
     parts = _spelled_parts(run)
@@ -205,13 +242,18 @@ def normalised(text: str) -> list[tuple[Rewriting, range]]:
 def find_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans, and all spans with those that only the rewritten text shows."""
     base = identifiers(text)
-    found = list(base)
+    # Per kind the spans in order, none over another, so that only neighbours can be in the way.
+    taken: list[list[tuple[int, int]]] = [[(start, end) for start, k, end in base if k == kind] for kind in range(len(KINDS))]
     for run, kinds in normalised(text):
         for start, kind, end in identifiers(run.text):
-            a, b = min(run.starts[start:end]), max(run.ends[start:end])
-            if kind in kinds and not any(k == kind and a < other_end and other < b for other, k, other_end in found):
-                found.append((a, kind, b))
-    return base, sorted(found)
+            if kind not in kinds:
+                continue
+            a, b = run.source(start, end)
+            spans = taken[kind]
+            k = bisect_left(spans, (a, a))
+            if not (k and a < spans[k - 1][1]) and not (k < len(spans) and spans[k][0] < b):
+                spans.insert(k, (a, b))
+    return base, sorted((start, kind, end) for kind, spans in enumerate(taken) for start, end in spans)
 
 
 def spans_text(spans: list[tuple[int, int, int]]) -> str:
@@ -220,12 +262,15 @@ def spans_text(spans: list[tuple[int, int, int]]) -> str:
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans`` of every row of ``docs(doc_id, text)``.
+    """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_email_all …`` of every row of ``docs(doc_id, text)``.
 
     Counts and digest are of the identifiers in the text as it stands;
-    ``spans`` also has those found behind disguises.  Offsets are code points,
+    ``spans`` also has those found behind disguises, and ``n_*_all`` counts them.  Offsets are code points,
     ends exclusive.  A null text is empty: no spans, and the digest of the
-    empty string.  Repeated rows give repeated rows; other columns are
+    empty string.  A very long text costs its own size a few times and an entry
+    per disguise.  Out of scope are at and dot in other languages than those of
+    the patterns, and letters or the digits of an IP address spaced out singly.
+    Repeated rows give repeated rows; other columns are
     ignored; an empty table gives an empty one.
     """
 
@@ -240,10 +285,12 @@ def personal_data(docs: DataFrame) -> DataFrame:
                     *(pa.array(c, pa.int64()) for c in counts),
                     pa.array(digests, pa.string()),
                     pa.array([spans_text(spans) for _, spans in found], pa.string()),
+                    *(pa.array([sum(span[1] == kind for span in spans) for _, spans in found], pa.int64()) for kind in range(len(KINDS))),
                 ],
-                ["doc_id", *(f"n_{kind}" for kind in KINDS), "base_sha256", "spans"],
+                ["doc_id", *(f"n_{kind}" for kind in KINDS), "base_sha256", "spans", *(f"n_{kind}_all" for kind in KINDS)],
             )
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     counts = ", ".join(f"n_{kind} long" for kind in KINDS)
-    return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {id_type}, {counts}, base_sha256 string, spans string")
+    every = ", ".join(f"n_{kind}_all long" for kind in KINDS)
+    return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {id_type}, {counts}, base_sha256 string, spans string, {every}")
