@@ -29,7 +29,7 @@ AUTOMATON_LETTERS = 2_000_000
 _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
 )
-_SCANNED = "doc_id {id}, n_words long, words array<long>, items array<string>, spans array<struct<start:long,end:long>>"
+_SCANNED = "doc_id {id}, n_words long, words array<long>, windows array<long>, spans array<struct<start:long,end:long>>"
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -45,7 +45,7 @@ def windows_of(words: list[bytes], size: int = WINDOW) -> list[bytes]:
 
 
 def item_windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
-    """``window, item_ids`` of ``items(item_id, text)``, one row per different window."""
+    """``item_id, window`` of ``items(item_id, text)``, repeated windows of an item once."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -59,7 +59,7 @@ def item_windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
             )
 
     cut_up = items.select("item_id", "text").where("item_id IS NOT NULL").mapInArrow(cut, "item_id string, window string")
-    return cut_up.groupBy("window").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
+    return cut_up.distinct()
 
 
 def build_automaton(windows: list[str]) -> ahocorasick.Automaton:
@@ -111,40 +111,40 @@ def _scanned(docs: DataFrame, windows: list, first: bool, last: bool) -> DataFra
 
     ``docs`` has ``doc_id`` and ``text``, or ``doc_id`` and the whole ``row``, which the last pass gives back.
     """
-    held = docs.sparkSession.sparkContext.broadcast((tuple(w["window"] for w in windows), [w["item_ids"] for w in windows]))
+    held = docs.sparkSession.sparkContext.broadcast((tuple(w["window"] for w in windows), [w["number"] for w in windows]))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     carried = [name for name in ("text", "row") if name in docs.columns and (name == "row" or not last)]
     schema = T.StructType([*T.StructType.fromDDL(_SCANNED.format(id=id_type)), *(docs.schema[name] for name in carried)])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        strings, item_ids = held.value
+        strings, numbers = held.value
         automaton = _automaton(strings)
         for batch in batches:
             text_column = batch.column("text") if "text" in batch.schema.names else pc.struct_field(batch.column("row"), "text")
             data, offsets = utf8(text_column)
-            earlier = None if first else (batch.column("words").to_pylist(), batch.column("items").to_pylist())
-            sizes, hits, items, spans = [], [], [], []
+            earlier = None if first else (batch.column("words").to_pylist(), batch.column("windows").to_pylist())
+            sizes, hits, numbered, spans = [], [], [], []
             for i in range(batch.num_rows):
                 text = data[offsets[i] : offsets[i + 1]].tobytes()
                 words = words_of(text)
                 hit, found = find_hits(words, automaton)
-                of_items = {item for number in found for item in item_ids[number]}
+                known = {numbers[k] for k in found}
                 if earlier:
                     hit = np.union1d(hit, np.array(earlier[0][i], np.int64))
-                    of_items.update(earlier[1][i])
+                    known.update(earlier[1][i])
                 sizes.append(len(words))
                 hits.append(hit.tolist())
-                items.append(sorted(of_items))
+                numbered.append(sorted(known))
                 spans.append(original_spans(text, hit) if len(hit) else [])
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             columns = [
                 batch.column("doc_id"),
                 pa.array(sizes, pa.int64()),
                 pa.array(hits, pa.list_(pa.int64())),
-                pa.array(items, pa.list_(pa.string())),
+                pa.array(numbered, pa.list_(pa.int64())),
                 pa.array(spans, span),
             ]
-            names = ["doc_id", "n_words", "words", "items", "spans"]
+            names = ["doc_id", "n_words", "words", "windows", "spans"]
             columns += [batch.column(name) for name in carried]
             yield pa.RecordBatch.from_arrays(columns, [*names, *carried])
 
@@ -155,7 +155,7 @@ def _all_scanned(docs: DataFrame, windows: DataFrame, passes: int) -> DataFrame:
     """What all passes over the texts find."""
     for k in range(passes):
         part = windows if passes == 1 else windows.where(F.col("pass") == k)
-        docs = _scanned(docs, part.select("window", "item_ids").collect(), k == 0, k + 1 == passes)
+        docs = _scanned(docs, part.select("window", "number").collect(), k == 0, k + 1 == passes)
         if k + 1 < passes:
             docs = staged(docs, "scanned")
     return docs
@@ -164,14 +164,12 @@ def _all_scanned(docs: DataFrame, windows: DataFrame, passes: int) -> DataFrame:
 _CONTAMINATED = "size(words) > 0 AND 20 * size(words) >= n_words"
 
 
-def _dealt(items: DataFrame, size: int, letters: int) -> tuple[DataFrame, int]:
-    """The windows, and how many automata they are dealt to."""
-    windows = item_windows(items, size)
+def _dealt(cut_up: DataFrame, letters: int) -> tuple[DataFrame, int]:
+    """The different windows with a number and the automaton they are dealt to, and how many automata there are."""
+    windows = staged(cut_up.select("window").distinct().withColumn("number", F.monotonically_increasing_id()), "windows")
     total = windows.agg(F.sum(F.length("window") + F.lit(2))).first()[0] or 0
     passes = 1 if total <= letters else -(-2 * total // letters)
-    if passes > 1:
-        windows = staged(windows.withColumn("pass", F.pmod(F.xxhash64("window"), F.lit(passes))), "windows")
-    return windows, passes
+    return windows.withColumn("pass", F.pmod(F.xxhash64("window"), F.lit(passes))), passes
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW, letters: int = AUTOMATON_LETTERS) -> DataFrame:
@@ -180,7 +178,7 @@ def decontaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW, letter
     A row is decided where it is, without a shuffle, and whatever its id:
     rows without one, or with the id of another row, count like all others.
     """
-    windows, passes = _dealt(items, size, letters)
+    windows, passes = _dealt(item_windows(items, size), letters)
     if passes > 1:
         whole = docs.select("doc_id", F.struct("*").alias("row"))
         return _all_scanned(whole, windows, passes).where(f"NOT ({_CONTAMINATED})").select("row.*")
@@ -212,19 +210,30 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, letters
 
     Windows beyond ``letters`` are dealt to several automata, each of which
     gets a pass of its own over the texts, so that none grows with the items.
+    The automata know windows by number only.  Item ids are looked up after the
+    scan, once for each different set of windows, so that a window of very many
+    items is neither broadcast with them nor looked up for every text it is in.
     """
-    windows, passes = _dealt(items, size, letters)
+    cut_up = staged(item_windows(items, size), "item-windows")
+    windows, passes = _dealt(cut_up, letters)
     found = _all_scanned(docs.select("doc_id", "text"), windows, passes)
-    joined = F.array_join("items", ",")
-    return found.select(
-        "doc_id",
-        "n_words",
-        F.size("words").cast("long").alias("n_hit"),
-        F.size("items").cast("long").alias("n_items"),
-        F.sha2(joined.cast("binary"), 256).alias("items_sha256"),
-        F.expr(_CONTAMINATED).alias("contaminated"),
-        "spans",
+    found = staged(
+        found.select("doc_id", "n_words", F.size("words").cast("long").alias("n_hit"), "windows",
+                     F.expr(_CONTAMINATED).alias("contaminated"), "spans"), "scanned"
+    )
+    sets = found.where("size(windows) > 0").select("windows").distinct().withColumnRenamed("windows", "of")
+    asked = cut_up.join(windows.select("window", "number"), "window").select("number", "item_id")
+    per_set = sets.select("of", F.explode("of").alias("number")).join(asked, "number").groupBy("of")
+    per_set = per_set.agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    per_set = per_set.select("of", F.size("items").cast("long").alias("n_items"), F.array_join("items", ",").alias("ids"))
+    per_set = per_set.withColumn("items_sha256", F.sha2(F.col("ids").cast("binary"), 256)).drop("ids")
+    # Texts without a window, nearly all, take no part in the join.
+    none = found.where("size(windows) = 0").select(
+        "*", F.lit(0).cast("long").alias("n_items"), F.lit(items_digest([])).alias("items_sha256")
     )
+    some = found.join(per_set, F.col("windows") == F.col("of")).drop("of")
+    columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"]
+    return none.select(*columns).unionAll(some.select(*columns))
 
 
 def items_digest(item_ids: list[str]) -> str:

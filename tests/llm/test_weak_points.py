@@ -1,0 +1,103 @@
+"""Packing plans against optima, personal data in long texts, windows of very many items."""
+
+import functools
+import hashlib
+import random
+import resource
+import time
+from collections import Counter
+
+import pytest
+
+from kpiloom.llm import config_packing, decontamination, pii
+from kpiloom.llm.common import prepared
+
+
+@functools.lru_cache(maxsize=None)
+def fewest(lengths, capacity):
+    """The exact optimum: the largest item shares a sequence with some subset of the others."""
+    if not lengths:
+        return 0
+    best = len(lengths)
+    first, rest = lengths[0], lengths[1:]
+    for bits in range(1 << len(rest)):
+        chosen = [rest[k] for k in range(len(rest)) if bits >> k & 1]
+        if first + sum(chosen) <= capacity:
+            best = min(best, 1 + fewest(tuple(rest[k] for k in range(len(rest)) if not bits >> k & 1), capacity))
+    return best
+
+
+def test_plans_of_small_histograms_are_optimal():
+    rng = random.Random(2)
+    for _ in range(40):
+        lengths = tuple(sorted((rng.randint(1, 20) for _ in range(8)), reverse=True))
+        plan = config_packing.plan_packing(Counter(lengths), 20)
+        held = Counter()
+        for config, times in plan:
+            for n, c in config:
+                held[n] += c * times
+        assert held == Counter(lengths)
+        assert sum(times for _, times in plan) == fewest(lengths, 20)
+
+
+@pytest.mark.parametrize(
+    "histogram, by_best_fit, by_plan",
+    [
+        ({1000: 3000, 700: 3000, 600: 3000, 348: 3000, 450: 2000}, 4600, 4445),
+        ({length: 20_000 // 301 + 1 for length in range(500, 801)}, None, 0.97),
+    ],
+)
+def test_the_program_saves_sequences_where_best_fit_wastes(histogram, by_best_fit, by_plan):
+    fitted = sum(config_packing.best_fit_decreasing(Counter(histogram), 2048).values())
+    planned = sum(times for _, times in config_packing.plan_packing(histogram))
+    assert planned <= (by_plan if by_plan > 1 else by_plan * fitted) and (by_best_fit is None or fitted == by_best_fit)
+
+
+def test_very_long_and_dense_texts():
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    plain = "word and more text " * 550_000 + "joe [at] x.com"
+    assert pii.find_spans(plain) == ([], [(len(plain) - 14, 0, len(plain))])
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 300 * 1024
+    dense = " ".join(f"me{k}@x.com john{k} [at] y.org" for k in range(50_000))
+    start = time.perf_counter()
+    base, every = pii.find_spans(dense)
+    assert len(base) == 50_000 and len(every) == 100_000 and time.perf_counter() - start < 20
+    for signs in (" " * 100_000, "[ " * 50_000, "a [at] " * 30_000, "x at y " * 30_000, "one two " * 30_000, "1 . " * 50_000):
+        start = time.perf_counter()
+        pii.find_spans(signs)
+        assert time.perf_counter() - start < 5, signs[:8]
+
+
+def test_rewriting_keeps_places_over_several_steps():
+    import re
+
+    run = pii.Rewriting("ab [x] cd  (y) ef")
+    run.replace(re.compile(r"\[x\]\s*"), lambda m: "@", space_before=True)
+    assert run.text == "ab@cd  (y) ef" and run.source(2, 3) == (2, 7) and run.source(0, 4) == (0, 8)
+    run.replace(re.compile(r"\(y\)"), lambda m: "", space_before=True)
+    assert run.text == "ab@cd ef" and run.source(5, 8) == (14, 17) and run.source(3, 6) == (7, 15)
+    run.replace(re.compile("@cd"), lambda m: "12")
+    assert run.text == "ab12 ef" and run.source(2, 3) == (2, 9) and run.source(3, 5) == (2, 15)
+
+
+def test_counts_of_all_spans(spark):
+    prepared(spark)
+    rows = [(1, "joe [at] x.com and a@b.com"), (2, None)]
+    found = {r["doc_id"]: r for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (found[1]["n_email"], found[1]["n_email_all"], found[2]["n_email_all"], found[1]["n_ip_all"]) == (1, 2, 0, 0)
+
+
+@pytest.mark.parametrize("letters", [10**6, 300])
+def test_a_window_of_very_many_items(spark, letters):
+    """One passage in twenty thousand items and two hundred texts: ids are looked up once per set of windows."""
+    prepared(spark)
+    passage = " ".join(f"p{k}" for k in range(13))
+    items = [(k, passage) for k in range(20_000)] + [(-1, " ".join(f"q{k}" for k in range(13))), (None, passage)]
+    docs = [(k, f"text {k} {passage}") for k in range(200)] + [(200, "q0"), (201, " ".join(f"q{k}" for k in range(13)) + " " + passage)]
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    found = {r["doc_id"]: r for r in decontamination.contamination(spark.createDataFrame(docs, "doc_id long, text string"), frame, letters=letters).collect()}
+    ids = [str(k) for k in range(20_000)]
+    digest = hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
+    assert all((found[k]["n_items"], found[k]["items_sha256"], found[k]["n_hit"]) == (20_000, digest, 13) for k in range(200))
+    assert found[200]["n_items"] == 0 and found[200]["items_sha256"] == hashlib.sha256(b"").hexdigest()
+    assert found[201]["n_items"] == 20_001 and found[201]["items_sha256"] == decontamination.items_digest([*ids, "-1"])
