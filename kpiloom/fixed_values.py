@@ -15,10 +15,10 @@ WEEKDAYS = (
 )
 
 # Site codes inside unit names.
-SITE_AT_END = r"^.*ОСП \d$"
-SITE_AT_START = r"^ОСП \d.*$"
+SITE_AT_END = r"ОСП \d$"
+SITE_AT_START = r"^ОСП \d"
 SITE_CODE = r"ОСП \d"
-SITE_ANYWHERE = r"^.*ОСП №?\d.*$"
+SITE_ANYWHERE = r"ОСП №?\d"
 SITE_CODE_NUMBERED = r"ОСП №?\d"
 
 # Unit names that belong to a site without carrying its code: (word, site).
