@@ -1,10 +1,12 @@
 """Licence scans by sentence rules.
 
-A text is cut into sentences, line by line and over the lines of a paragraph;
-sentences, or their parts between ; or :, are normalised and mapped to the identifiers of known licence
-sentences.  The sequence of identifiers is then matched against ordered rules:
-a rule names sentences that must follow each other in this order, longer rules
-first, and uses up the sentences it matches.
+A text is cut into paragraphs and these into sentences over their lines, which
+are normalised and searched for known licence sentences.  A known sentence has
+a kind, such as ``MIT-GRANT``, or a kind and a licence with its version, such as
+``REF:GPL-3.0-or-later`` for a reference.  The sequence of identifiers is then
+matched against ordered rules: a rule names kinds that must follow each other
+in this order, few sentences apart, longer rules first, and uses up the
+sentences it matches.
 """
 
 from __future__ import annotations
@@ -17,178 +19,236 @@ from pyspark.sql import DataFrame
 
 from kpiloom.llm.common import texts
 
+# Some words between two parts of a known sentence.
+_SOME = r"(?: [\w.]+){1,40}?"
 # Known licence sentences, as patterns over normalised sentences
-# (lower case, signs as one space; dots only inside numbers), and their identifiers.
-_UNDER = r"(?:.* )?(?:licen[sc]ed|released|distributed|available|provided|published|covered|redistributed)(?: \w+){0,4} under(?: the)?(?: terms of)?(?: the| a)?"
-# A reference may go on, but not with another version, or with a further condition of Creative Commons.
-_ON = r"(?:(?! (?:v|version )?[0-9]) .*)?"
-_SA, _NC, _ND = r"(?:sa|share ?alike)", r"(?:nc|non ?commercial)", r"(?:nd|no ?deriv\w*)"
-_CC = r" (?:cc|creative commons) (?:by|attribution)"
-_CC_ON = rf"(?: [0-9.]+)?(?: international)?(?: licen[sc]e)?(?:(?! (?:{_SA}|{_NC}|{_ND})(?: |$)) .*)?"
+# (lower case, signs as one space; dots only inside numbers), and their kinds.
 SENTENCES = (
-    ("MIT-GRANT", r"(?:.* )?permission is hereby granted free of charge to any person obtaining a copy of this software(?: .*)?"),
-    ("MIT-NOTICE", r"(?:.* )?the above copyright notice and this permission notice(?: including the next paragraph)? shall be included in all copies or substantial portions of the software"),
-    ("AS-IS-SOFTWARE", r"(?:.* )?the software is provided as is without warranty of any kind(?: .*)?"),
-    ("ISC-AS-IS", r"(?:.* )?the software is provided as is and .* disclaims? all warranties(?: .*)?"),
-    ("ISC-GRANT", r"(?:.* )?permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted(?: .*)?"),
-    ("BSD-REDIST", r"(?:.* )?redistribution and use in source and binary forms with or without modification are permitted(?: .*)?"),
-    ("BSD-SOURCE", r"(?:.* )?redistributions of source code must retain the above copyright notice(?: .*)?"),
-    ("BSD-BINARY", r"(?:.* )?redistributions in binary form must reproduce the above copyright notice(?: .*)?"),
-    ("BSD-NAME", r"(?:.* )?neither the name .* may be used to endorse or promote products(?: .*)?"),
-    ("BSD-AS-IS", r"(?:.* )?this software is provided by .* as is and any express or implied warranties(?: .*)?"),
-    ("APACHE-2-FILE", r"(?:.* )?you may not use this file except in compliance with the license"),
-    ("APACHE-2-AS-IS", r"(?:.* )?unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis(?: .*)?"),
-    ("GPL-FREE", r"(?:.* )?is free software you can redistribute it and or modify it under the terms of the gnu general public license(?: .*)?"),
-    ("LGPL-FREE", r"(?:.* )?is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license(?: .*)?"),
-    ("AGPL-FREE", r"(?:.* )?is free software you can redistribute it and or modify it under the terms of the gnu affero general public license(?: .*)?"),
-    ("GNU-HOPE", r"(?:.* )?is distributed in the hope that it will be useful but without any warranty(?: .*)?"),
-    ("MPL-2-FORM", r"(?:.* )?this source code form is subject to the terms of the mozilla public license v(?:ersion)? ?2\.0(?: .*)?"),
-    ("UNLICENSE", r"(?:.* )?this is free and unencumbered software released into the public domain"),
-    ("REF-MIT", _UNDER + r" (?:mit|expat) licen[sc]e" + _ON),
-    ("REF-APACHE-2", _UNDER + r" apache(?: licen[sc]e)?(?: v(?:ersion)?)? ?2(?:\.0)?" + _ON),
-    ("REF-GPL-2", _UNDER + r" (?:gnu )?(?:general public licen[sc]e|gpl) ?v?(?:ersion)? ?2(?:\.0)?" + _ON),
-    ("REF-GPL-3", _UNDER + r" (?:gnu )?(?:general public licen[sc]e|gpl) ?v?(?:ersion)? ?3(?:\.0)?" + _ON),
-    ("REF-LGPL", _UNDER + r" (?:gnu )?(?:lesser general public licen[sc]e|lgpl) ?v?(?:ersion)? ?[0-9.]*" + _ON),
-    ("REF-AGPL-3", _UNDER + r" (?:gnu )?(?:affero general public licen[sc]e|agpl) ?v?(?:ersion)? ?3?(?:\.0)?" + _ON),
-    ("REF-BSD-2", _UNDER + r" (?:bsd 2 clause|2 clause bsd|simplified bsd)(?: licen[sc]e)?" + _ON),
-    ("REF-BSD-3", _UNDER + r" (?:bsd 3 clause|3 clause bsd|new bsd|modified bsd)(?: licen[sc]e)?" + _ON),
-    ("REF-MPL-2", _UNDER + r" mozilla public licen[sc]e(?: v(?:ersion)?)? ?2\.0" + _ON),
-    ("REF-ISC", _UNDER + r" isc licen[sc]e" + _ON),
-    ("REF-CC0", _UNDER + r" (?:cc0|creative commons zero)(?: 1\.0)?(?: universal)?(?: licen[sc]e)?" + _ON),
-    ("REF-CC-BY", _UNDER + _CC + _CC_ON),
-    ("REF-CC-BY-SA", _UNDER + _CC + " " + _SA + _CC_ON),
-    ("REF-CC-BY-NC", _UNDER + _CC + " " + _NC + _CC_ON),
-    ("REF-CC-BY-ND", _UNDER + _CC + " " + _ND + _CC_ON),
-    ("REF-CC-BY-NC-SA", _UNDER + _CC + " " + _NC + " " + _SA + _CC_ON),
-    ("REF-CC-BY-NC-ND", _UNDER + _CC + " " + _NC + " " + _ND + _CC_ON),
-    ("ALL-RIGHTS", r"(?:.* )?all rights reserved"),
+    ("MIT-GRANT", r"permission is hereby granted free of charge to any person obtaining a copy of this software"),
+    ("MIT-NOTICE", r"the above copyright notice and this permission notice(?: including the next paragraph)? shall be included in all copies or substantial portions of the software"),
+    ("AS-IS-SOFTWARE", r"the software is provided as is without warranty of any kind"),
+    ("ISC-AS-IS", rf"the software is provided as is and{_SOME} disclaims? all warranties"),
+    ("ISC-GRANT", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice"),
+    ("0BSD-GRANT", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted(?! provided)"),
+    ("BSD-REDIST", r"redistribution and use in source and binary forms with or without modification are permitted"),
+    ("BSD-SOURCE", r"redistributions of source code must retain the above copyright notice"),
+    ("BSD-BINARY", r"redistributions in binary form must reproduce the above copyright notice"),
+    ("BSD-NAME", rf"neither the name{_SOME} may be used to endorse or promote products"),
+    ("BSD-AS-IS", rf"this software is provided by{_SOME} as is and any express or implied warranties"),
+    ("APACHE-2-FILE", r"you may not use this file except in compliance with the license"),
+    ("APACHE-2-AS-IS", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
+    ("GNU-HOPE", r"is distributed in the hope that it will be useful but without any warranty"),
+    ("UNLICENSE", r"this is free and unencumbered software released into the public domain"),
+    ("ZLIB-AS-IS", r"this software is provided as is without any express or implied warranty"),
+    ("ZLIB-ORIGIN", r"the origin of this software must not be misrepresented"),
+    ("ZLIB-ALTERED", r"altered source versions must be plainly marked as such"),
+    ("ZLIB-NOTICE", r"this notice may not be removed or altered from any source distribution"),
+    ("BSL-GRANT", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("ALL-RIGHTS", r"all rights reserved"),
 )
-# Licences as ordered sentences.
+# Sentences that go on with a licence by name, and their kinds.
+_LICENSED = r"(?:licen[sc]ed|released|distributed|available|provided|published|covered|redistributed|offered|governed)"
+LEADS = (
+    ("REF", rf"{_LICENSED}(?: [\w.]+){{0,4}} under(?: the)?(?: terms of)?(?: either(?: of)?)?(?: the| a)?"),
+    ("FREE", r"is free software you can redistribute it and or modify it under the terms of(?: the)?"),
+    ("FORM", r"this source code form is subject to the terms of the"),
+)
+# Words before a reference that deny it.
+DENIED = r"(?:not|never|no longer|isn t|aren t|wasn t|weren t|nor|cannot be)(?: (?:be|been|being|yet|currently|itself|longer|to|is|are|necessarily|also|freely))*"
+_LIC = r" licen[sc]e"
+# Licences by name, their patterns, and the versions they are known in (none: no version is read).
+NAMES = (
+    ("MIT", rf"(?:mit|expat){_LIC}", ()),
+    ("Apache", rf"(?:apache(?: software)?{_LIC}|apache(?= v?[0-9]| version))", ("2.0",)),
+    ("LGPL", rf"(?:gnu )?(?:(?:lesser|library) (?:general public{_LIC}|gpl)|lgpl(?=v[0-9])|lgpl\b)", ("2.0", "2.1", "3.0")),
+    ("AGPL", rf"(?:gnu )?(?:affero (?:general public{_LIC}|gpl)|agpl(?=v[0-9])|agpl\b)", ("3.0",)),
+    ("GPL", rf"(?:gnu )?(?:general public{_LIC}|gpl(?=v[0-9])|gpl\b)", ("1.0", "2.0", "3.0")),
+    ("0BSD", rf"(?:0bsd|bsd zero clause|zero clause bsd)(?:{_LIC})?", ()),
+    ("BSD-2-Clause", rf"(?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd)(?:{_LIC})?", ()),
+    ("BSD-3-Clause", rf"(?:bsd 3 clause|3 clause bsd|three clause bsd|new bsd|modified bsd)(?:{_LIC})?", ()),
+    ("MPL", rf"(?:mozilla public{_LIC}|mpl(?=v[0-9])|mpl\b)", ("1.0", "1.1", "2.0")),
+    ("EPL", rf"(?:eclipse public{_LIC}|epl(?=v[0-9])|epl\b)", ("1.0", "2.0")),
+    ("EUPL", rf"(?:european union public licen[sc]e|eupl(?=v[0-9])|eupl\b)", ("1.0", "1.1", "1.2")),
+    ("Artistic", rf"(?:perl )?artistic{_LIC}", ("1.0", "2.0")),
+    ("BSL", rf"boost software{_LIC}", ("1.0",)),
+    ("Zlib", rf"zlib(?: libpng)?{_LIC}", ()),
+    ("ISC", rf"isc{_LIC}", ()),
+    ("Unlicense", r"unlicense", ()),
+    ("CC0", r"(?:creative commons )?(?:cc0|(?:cc|creative commons) zero)(?:(?= 1\.0)| universal|\b)", ("1.0",)),
+    ("CC-BY", r"(?:cc|creative commons) (?:by|attribution)", ("1.0", "2.0", "2.5", "3.0", "4.0")),
+)
+# Further conditions of a Creative Commons licence, in the order of its name.
+CONDITIONS = (("NC", r"(?:nc|non ?commercial)"), ("ND", r"(?:nd|no ?deriv\w*)"), ("SA", r"(?:sa|share ?alike)"))
+# Licences as ordered kinds; without a licence it is the one that the first sentence names.
 RULES = (
     ("BSD-3-Clause", ("BSD-REDIST", "BSD-SOURCE", "BSD-BINARY", "BSD-NAME", "BSD-AS-IS")),
     ("BSD-2-Clause", ("BSD-REDIST", "BSD-SOURCE", "BSD-BINARY", "BSD-AS-IS")),
+    ("Zlib", ("ZLIB-AS-IS", "ZLIB-ORIGIN", "ZLIB-ALTERED", "ZLIB-NOTICE")),
     ("MIT", ("MIT-GRANT", "MIT-NOTICE", "AS-IS-SOFTWARE")),
-    ("Apache-2.0", ("REF-APACHE-2", "APACHE-2-FILE", "APACHE-2-AS-IS")),
+    (None, ("REF", "APACHE-2-FILE", "APACHE-2-AS-IS")),
+    ("BSL-1.0", ("BSL-GRANT", "AS-IS-SOFTWARE")),
     ("ISC", ("ISC-GRANT", "ISC-AS-IS")),
     ("ISC", ("ISC-GRANT", "AS-IS-SOFTWARE")),
-    ("GPL", ("GPL-FREE", "GNU-HOPE")),
-    ("LGPL", ("LGPL-FREE", "GNU-HOPE")),
-    ("AGPL", ("AGPL-FREE", "GNU-HOPE")),
-    ("MPL-2.0", ("MPL-2-FORM",)),
+    ("0BSD", ("0BSD-GRANT", "ISC-AS-IS")),
+    (None, ("FREE", "GNU-HOPE")),
+    (None, ("FREE",)),
+    (None, ("FORM",)),
+    (None, ("REF",)),
     ("Unlicense", ("UNLICENSE",)),
-    ("MIT", ("REF-MIT",)),
-    ("Apache-2.0", ("REF-APACHE-2",)),
-    ("GPL-2.0", ("REF-GPL-2",)),
-    ("GPL-3.0", ("REF-GPL-3",)),
-    ("LGPL", ("REF-LGPL",)),
-    ("AGPL-3.0", ("REF-AGPL-3",)),
-    ("BSD-2-Clause", ("REF-BSD-2",)),
-    ("BSD-3-Clause", ("REF-BSD-3",)),
-    ("MPL-2.0", ("REF-MPL-2",)),
-    ("ISC", ("REF-ISC",)),
-    ("CC0-1.0", ("REF-CC0",)),
-    ("CC-BY", ("REF-CC-BY",)),
-    ("CC-BY-SA", ("REF-CC-BY-SA",)),
-    ("CC-BY-NC", ("REF-CC-BY-NC",)),
-    ("CC-BY-ND", ("REF-CC-BY-ND",)),
-    ("CC-BY-NC-SA", ("REF-CC-BY-NC-SA",)),
-    ("CC-BY-NC-ND", ("REF-CC-BY-NC-ND",)),
 )
-# Every known sentence has one of these words.
-_HINTS = ("licen", "permission", "redistribut", "warrant", "public domain", "is free software", "all rights reserved", "neither the name", "as is")
-_KNOWN = [(name, re.compile(pattern)) for name, pattern in SENTENCES]
-_SPDX = re.compile(r"spdx-license-identifier:[ \t]*([a-z0-9.+-]+)", re.I)
+# Two sentences of one rule have at most so many sentences from one to the next.
+GAP = 10
+# Every known sentence has one of these.
+_HINTS = (
+    "licen", "permission", "redistribut", "warrant", "public domain", "is free software", "all rights reserved", "neither the name", "as is",
+    "misrepresented", "altered", "apache", "gpl", "bsd", "mpl", "epl", "eupl", "cc by", "cc-by", "cc0", "creative", "mozilla",
+)
+_KNOWN = [(kind, re.compile(rf"\b{pattern}\b")) for kind, pattern in SENTENCES]
+_LEADS = [(kind, re.compile(rf"(?P<denied>\b{DENIED} )?\b{pattern} ")) for kind, pattern in LEADS]
+_NAMES = [(name, re.compile(rf"\b{pattern}"), versions) for name, pattern, versions in NAMES]
+_CONDITIONS = [(name, re.compile(rf" {pattern}\b")) for name, pattern in CONDITIONS]
+# "version 2", "v2", "2.0", also after "as published by the ... foundation, either".
+_VERSION = re.compile(
+    rf"(?:{_LIC})?(?: international| universal)?(?: as published by the free software foundation)?(?: either)?"
+    r" ?(?:v|ver|version)? ?(?P<number>[0-9]{1,2}(?:\.[0-9]+){0,2})(?![\w.])"
+)
+_LATER = re.compile(
+    rf"(?: of (?:the|that){_LIC})?(?P<later> (?:or|and)(?: at your option)?(?: any| a)? (?:later|newer|higher|subsequent)"
+    r"| or as soon(?: \w+){1,12} subsequent versions)|(?P<only> only\b)"
+)
+_AND_MORE = re.compile(rf"(?:{_LIC})?(?: international)? (?:and or|and|or)(?: under)?(?: the| a)? ")
+_SPDX = re.compile(r"(?i:spdx-license-identifier:)[ \t(]*([A-Za-z0-9.+-]+(?:[ \t()]+(?:OR|AND|WITH)[ \t()]+[A-Za-z0-9.+-]+)*)")
+_SPDX_AND = re.compile(r"[ \t()]+(?:OR|AND)[ \t()]+")
 _SENTENCE_END = re.compile(r"(?<=[.!?])(?<!\b[vV]\.)\s+")
-_PART_END = re.compile(r"(?<=[;:])\s+")
-# The words of a known sentence go over so many parts at most.
-PARTS = 3
+_PLUS = re.compile(r"(?<=[0-9])\+(?!\w)")
 _NOT_WORD = re.compile(r"[^\w.]+|\.(?![0-9])|(?<![0-9])\.")
+_SPACES = re.compile(r"\s+")
 _PARAGRAPH = re.compile(r"\n[^\S\n]*\n")
 _COMMENT = re.compile(r"(?m)^[ \t]*(?:/?\*+/?|//+|#+|--|;+|%+)[ \t]?")
 
 
 def normalised_sentence(sentence: str) -> str:
-    """Lower case, signs as one space, dots only inside numbers."""
-    return _NOT_WORD.sub(" ", sentence.lower()).strip()
+    """Lower case, signs as one space, dots only inside numbers, + after a number as "or later"."""
+    return _SPACES.sub(" ", _NOT_WORD.sub(" ", _PLUS.sub(" or later", sentence.lower()))).strip()
+
 
+def licence_at(plain: str, at: int) -> tuple[str, int] | None:
+    """The licence named at a place of a normalised sentence, with its version, and where the name ends.
 
-def sentence_id(sentence: str) -> str | None:
-    """The identifier of a known licence sentence."""
+    A name in a version that is not known is none; a name without a version
+    is the licence without one.
+    """
+    for name, pattern, versions in _NAMES:
+        if not (found := pattern.match(plain, at)):
+            continue
+        end = found.end()
+        if name == "CC-BY":
+            asked = set()
+            while more := next(((c, m) for c, p in _CONDITIONS if (m := p.match(plain, end))), None):
+                asked.add(more[0])
+                end = more[1].end()
+            name = "-".join([name, *(condition for condition, _ in CONDITIONS if condition in asked)])
+        if versions and (version := _VERSION.match(plain, end)):
+            number = version["number"] if "." in version["number"] else version["number"] + ".0"
+            if number not in versions:
+                return None
+            name, end = f"{name}-{number}", version.end()
+            if later := _LATER.match(plain, end):
+                name, end = name + ("-or-later" if later["later"] else "-only"), later.end()
+        return name, end
+    return None
+
+
+def known_sentences(sentence: str) -> list[str]:
+    """Identifiers of the known sentences within a sentence, in order of their places; denied references are none."""
     lower = sentence.lower()
     if not any(hint in lower for hint in _HINTS):
-        return None
-    plain = re.sub(r"\s+", " ", normalised_sentence(sentence))
-    return next((name for name, pattern in _KNOWN if pattern.fullmatch(plain)), None)
+        return []
+    plain = normalised_sentence(sentence)
+    found = [(m.start(), kind) for kind, pattern in _KNOWN for m in pattern.finditer(plain)]
+    for kind, pattern in _LEADS:
+        for lead in pattern.finditer(plain):
+            at = lead.end()
+            while named := licence_at(plain, at):
+                if not lead["denied"]:
+                    found.append((at, f"{kind}:{named[0]}"))
+                more = _AND_MORE.match(plain, named[1])
+                if not more:
+                    break
+                at = more.end()
+    return [name for _, name in sorted(found)]
 
 
-def ids_of_line(line: str) -> list[str]:
-    """Identifiers of the known sentences of a line, each over the fewest parts of a sentence between ; or : that hold it."""
-    found = []
-    for sentence in _SENTENCE_END.split(line):
-        lower = sentence.lower()
-        if not any(hint in lower for hint in _HINTS):
-            continue
-        parts = _PART_END.split(sentence)
-        names: dict[int, str] = {}
-        used: set[int] = set()
-        for n in range(1, min(PARTS, len(parts)) + 1):
-            for k in range(len(parts) - n + 1):
-                if used.isdisjoint(range(k, k + n)) and (name := sentence_id(" ".join(parts[k : k + n]))):
-                    names[k] = name
-                    used.update(range(k, k + n))
-        found += [names[k] for k in sorted(names)]
+def placed_sentences(text: str) -> list[tuple[int, str]]:
+    """Number of the sentence in the text, and identifier, of every known sentence, in order."""
+    lower = text.lower()
+    if not any(hint in lower for hint in _HINTS):
+        return []
+    found, number = [], 0
+    for paragraph in _PARAGRAPH.split(_COMMENT.sub("", text)):
+        for sentence in _SENTENCE_END.split(paragraph.replace("\n", " ")):
+            found += [(number, name) for name in known_sentences(sentence)]
+            number += 1
     return found
 
 
 def sentence_ids(text: str) -> list[str]:
-    """Identifiers of the known sentences of a text, in order, each sentence once."""
-    if not any(hint in text.lower() for hint in _HINTS):
-        return []
-    found: dict[tuple[int, str], None] = {}
-    at = 0
-    for clean in _PARAGRAPH.split(_COMMENT.sub("", text)):
-        lower = clean.lower()
-        if any(hint in lower for hint in _HINTS):
-            names = ids_of_line(clean.replace("\n", " "))
-            by_line = [name for line in clean.split("\n") for name in ids_of_line(line)]
-            names += [name for name in by_line if name not in names]
-            found.update({(at + k, name): None for k, name in enumerate(names)})
-        at += len(clean) + 2
-    return [name for _, name in sorted(found)]
+    """Identifiers of the known sentences of a text, in order."""
+    return [name for _, name in placed_sentences(text)]
+
+
+def occurrences(kinds: list[tuple[int, str, int]], rule: tuple[str, ...], gap: int = GAP) -> list[list[int]]:
+    """Indices of the sentences of every occurrence of a rule in ``kinds`` (sentence number, kind, index).
+
+    An occurrence ends at the first sentence that ends one, each of its
+    sentences is the last possible one before the next, and the next
+    occurrence starts after it.  One pass over the sentences.
+    """
+    step = {kind: k for k, kind in enumerate(rule)}
+    found: list[list[int]] = []
+    open_: list[list[int]] = [[] for _ in rule]
+    last = [0] * len(rule)
+    for number, kind, index in kinds:
+        k = step.get(kind)
+        if k is None or k and not (open_[k - 1] and number - last[k - 1] <= gap):
+            continue
+        open_[k], last[k] = [*(open_[k - 1] if k else []), index], number
+        if k == len(rule) - 1:
+            found.append(open_[k])
+            open_ = [[] for _ in rule]
+    return found
 
 
-def match_rules(ids: list[str]) -> list[str]:
+def match_rules(placed: list[tuple[int, str]]) -> list[str]:
     """Licences of the rules that match, in the order of their first sentence."""
-    left = list(enumerate(ids))
+    left = [(number, name.partition(":")[0], index) for index, (number, name) in enumerate(placed)]
     found = []
     for licence, rule in RULES:
-        while True:
-            used, k = [], 0
-            for place, name in left:
-                if k < len(rule) and name == rule[k]:
-                    used.append(place)
-                    k += 1
-            if k < len(rule):
-                break
-            left = [item for item in left if item[0] not in used]
-            found.append((used[0], licence))
+        matched = occurrences(left, rule)
+        used = {index for one in matched for index in one}
+        left = [item for item in left if item[2] not in used]
+        found += [(one[0], licence or placed[one[0]][1].partition(":")[2]) for one in matched]
     return [licence for _, licence in sorted(found)]
 
 
 def scan(text: str) -> tuple[list[str], list[str], list[str]]:
     """Sentence identifiers, licences by rule, and identifiers declared by SPDX tags."""
-    ids = sentence_ids(text)
-    declared = sorted(set(_SPDX.findall(text))) if "SPDX" in text or "spdx" in text else []
-    return ids, sorted(set(match_rules(ids))), declared
+    placed = placed_sentences(text)
+    tags = _SPDX.findall(text) if "SPDX" in text or "spdx" in text else []
+    declared = sorted({one for tag in tags for one in _SPDX_AND.split(tag)})
+    return [name for _, name in placed], sorted(set(match_rules(placed))), declared
 
 
 def license_scan(docs: DataFrame) -> DataFrame:
     """``doc_id, sentences, licenses, declared, unmatched`` of every row of ``docs(doc_id, text)``.
 
     ``sentences`` are the known sentences in order, ``licenses`` the different
-    licences of matching rules, ``declared`` those of SPDX tags, and
-    ``unmatched`` whether known sentences are there but no rule matches.  A
-    null text is empty and has none.  Repeated rows give repeated rows; other
+    licences of matching rules, with the version, ``-only`` and ``-or-later``
+    that the text names, ``declared`` those of SPDX tags, and ``unmatched``
+    whether known sentences are there but no rule matches.  A reference that
+    is denied ("not licensed under") or names an unknown version is no known
+    sentence.  A null text is empty and has none; a text costs time and memory
+    in proportion to its length.  Repeated rows give repeated rows; other
     columns are ignored; an empty table gives an empty one.
     """
 
