@@ -326,7 +326,9 @@ def test_matrices_give_every_document_back(docs):
     parts = defaultdict(dict)
     for r in rows:
         ids = np.frombuffer(r["ids"], "<u4")
-        assert len(ids) == 2048 and r["positions"] == r["cu_seqlens"][:-1]
+        assert len(ids) == 2048 and not ids[r["cu_seqlens"][-1] :].any()
+        places = np.frombuffer(r["position_ids"], "<u2")
+        assert places.tolist() == [k for a, b in itertools.pairwise(r["cu_seqlens"]) for k in range(b - a)] + [0] * (2048 - r["cu_seqlens"][-1])
         for doc, piece, a, b in zip(r["doc_ids"], r["pieces"], r["cu_seqlens"], r["cu_seqlens"][1:]):
             parts[doc][piece] = ids[a:b].tolist()
     for i, text in enumerate(texts):

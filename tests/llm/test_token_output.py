@@ -1,0 +1,74 @@
+"""Packed matrices: sequences stay open over groups, position ids, files and their reader."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from kpiloom.llm import token_output
+from kpiloom.llm.common import prepared
+from kpiloom.llm.queries import byte_tokenizer
+
+
+def grouped(lengths, capacity, size, limit):
+    packer = token_output.Packer(capacity, limit)
+    done = []
+    for at in range(0, len(lengths), size):
+        part = lengths[at : at + size]
+        done += packer.add(part, part)
+        assert len(packer.members) <= limit
+    return done + packer.close()
+
+
+@pytest.mark.parametrize("limit", [0, 3, 1000])
+def test_groups_hold_every_piece_within_capacity(limit):
+    rng = random.Random(limit)
+    for _ in range(40):
+        lengths = [rng.randint(1, 60) for _ in range(rng.randrange(200))]
+        done = grouped(lengths, 60, rng.randint(1, 50), limit)
+        assert Counter(n for members in done for n in members) == Counter(lengths)
+        assert all(0 < sum(members) <= 60 for members in done)
+
+
+def test_open_sequences_save_room():
+    rng = random.Random(2)
+    lengths = [min(2048, int(rng.lognormvariate(5.5, 1.2)) + 1) for _ in range(8000)]
+    least = -(-sum(lengths) // 2048)
+    carried, closed = (len(grouped(lengths, 2048, 60, limit)) for limit in (4096, 0))
+    assert carried <= 1.01 * least and closed > 1.03 * least
+
+
+def test_alternating_groups_fill_each_other():
+    lengths = ([1500] * 50 + [548] * 50) * 20
+    assert len(grouped(lengths, 2048, 50, 4096)) == 1000
+
+
+def test_written_matrices_are_read_back(spark, tmp_path):
+    prepared(spark)
+    texts = [None, "", "some words " * 40, "long text " * 3000, "a", "a"]
+    rows = [(i, text) for i, text in enumerate(texts)]
+    packed = token_output.packed_matrices(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), byte_tokenizer())
+    token_output.write_matrices(packed, str(tmp_path / "packed"))
+    read = list(token_output.matrices(str(tmp_path / "packed"), rows=2))
+    kept = {bytes(row["ids"]): row for row in packed.collect()}
+    assert sum(len(block.ids) for block in read) == len(kept)
+    for block in read:
+        assert block.ids.shape == block.position_ids.shape and block.ids.shape[1] == 2048 and len(block.ids) <= 2
+        starts = set(block.cu_seqlens[:-1].tolist())
+        assert block.cu_seqlens[0] == 0 and block.cu_seqlens[-1] == block.ids.size
+        for r, (ids, places) in enumerate(zip(block.ids, block.position_ids)):
+            ends = kept[ids.tobytes()]["cu_seqlens"]
+            assert {r * 2048 + end for end in ends if end < 2048} <= starts
+            for a, b in zip(ends, ends[1:]):
+                assert places[a:b].tolist() == list(range(b - a))
+            assert not places[ends[-1] :].any()
+
+
+def test_no_rows_and_long_positions(spark):
+    empty = prepared(spark).createDataFrame([], "doc_id string, text string")
+    assert token_output.packed_matrices(empty, byte_tokenizer()).count() == 0
+    one = spark.createDataFrame([("x", "text " * 70_000)], "doc_id string, text string")
+    row = token_output.packed_matrices(one, byte_tokenizer(), capacity=100_000).first()
+    assert np.frombuffer(row["position_ids"], "<u4")[: row["cu_seqlens"][-1]].tolist() == list(range(row["cu_seqlens"][-1]))
+    assert row["cu_seqlens"][-1] > 1 << 16 and row["doc_ids"] == ["x"]
