@@ -3,7 +3,7 @@
 A text is normalised and cut into chunks.  The fingerprint of a chunk is a
 polynomial of its bytes at a fixed point; that of a text follows from those of
 its chunks, ``H(AB) = H(A) * base ** len(B) + H(B)``, so the chunks of a huge
-text are hashed independently.  Texts with equal fingerprints and lengths are
+text are rows of their own, hashed by many tasks and combined in a grouping.  Texts with equal fingerprints and lengths are
 then compared with the first text of their group, chunk by chunk; a text that
 differs falls into a group of its own texts.
 """
@@ -16,12 +16,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.llm.common import free_name, rows_without, staged, utf8
 
 CHUNK = 1 << 16
+# Longer normalised texts are hashed chunk by chunk, by many tasks.
+LONG = 16 * CHUNK
+# Chunks in one Arrow batch.
+BATCH_CHUNKS = 64
 PRIME = (1 << 31) - 1
 BASES = (1_390_208_809, 918_273_645)
 # Ids of copies that may be broadcast, 16 bytes each; beyond it the texts are shuffled by id.
@@ -70,27 +75,92 @@ def fingerprint(text: np.ndarray, prime: int = PRIME) -> int:
     return first << 31 | second
 
 
-def fingerprints(docs: DataFrame, prime: int = PRIME) -> DataFrame:
-    """``doc_id, print, n_bytes, text_sha256`` of the normalised text of every row."""
+def _hashed_or_cut(docs: DataFrame, prime: int, long_bytes: int) -> DataFrame:
+    """One row with its fingerprint of every text of at most ``long_bytes``; of longer ones a row of each chunk.
+
+    ``row`` numbers the rows of ``docs``.  Chunks have no fingerprint, and
+    those of a text all carry what else is known of it.
+    """
+    names = ["row", "doc_id", "print", "n_bytes", "text_sha256", "chunk_no", "chunk"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 40
         for batch in batches:
             data, offsets = utf8(batch.column(1))
-            rows = [one_spaced(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_arrays(
+            texts = [one_spaced(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
+            n_bytes = np.array([len(text) for text in texts], np.int64)
+            common = pa.RecordBatch.from_arrays(
                 [
+                    pa.array(range(number, number + len(texts)), pa.int64()),
                     batch.column(0),
-                    pa.array([fingerprint(row, prime) for row in rows], pa.int64()),
-                    pa.array([len(row) for row in rows], pa.int64()),
-                    pa.array([hashlib.sha256(row).hexdigest() for row in rows], pa.string()),
+                    pa.array([fingerprint(t, prime) if len(t) <= long_bytes else None for t in texts], pa.int64()),
+                    pa.array(n_bytes),
+                    pa.array([hashlib.sha256(text).hexdigest() for text in texts], pa.string()),
                 ],
-                ["doc_id", "print", "n_bytes", "text_sha256"],
+                names[:5],
             )
+            number += len(texts)
+            short = common.filter(pa.array(n_bytes <= long_bytes))
+            rest = [pa.nulls(len(short), pa.int64()), pa.nulls(len(short), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*short.columns, *rest], names)
+            for k in np.flatnonzero(n_bytes > long_bytes).tolist():
+                starts = range(0, len(texts[k]), CHUNK)
+                for at in range(0, len(starts), BATCH_CHUNKS):
+                    some = starts[at : at + BATCH_CHUNKS]
+                    head = common.take(pa.array([k] * len(some), pa.int64()))
+                    chunks = [texts[k][start : start + CHUNK].tobytes() for start in some]
+                    numbers = pa.array(range(at, at + len(some)), pa.int64())
+                    yield pa.RecordBatch.from_arrays([*head.columns, numbers, pa.array(chunks, pa.binary())], names)
 
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, print long, n_bytes long, text_sha256 string"
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"row long, doc_id {id_type}, print long, n_bytes long, text_sha256 string, chunk_no long, chunk binary"
     return docs.select("doc_id", "text").mapInArrow(work, schema)
 
 
+def _chunk_hashes(chunks: DataFrame, prime: int) -> DataFrame:
+    """``row, chunk_no`` and, for each base, hash and shift ``base ** length`` of every chunk."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [np.frombuffer(chunk, np.uint8) for chunk in batch.column(2).to_pylist()]
+            values = [
+                pa.array(value, pa.int64())
+                for base in BASES
+                for value in ([chunk_hash(part, base, prime) for part in parts], [pow(base, len(part), prime) for part in parts])
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *values], ["row", "chunk_no", "first", "by1", "second", "by2"])
+
+    schema = "row long, chunk_no long, first long, by1 long, second long, by2 long"
+    return chunks.select("row", "chunk_no", "chunk").mapInArrow(work, schema)
+
+
+def fingerprints(docs: DataFrame, prime: int = PRIME, long_bytes: int = LONG) -> DataFrame:
+    """``doc_id, print, n_bytes, text_sha256`` of the normalised text of every row.
+
+    Texts up to ``long_bytes`` are hashed where they are.  The chunks of longer
+    ones are dealt over all tasks, and their hashes, some bytes each, are
+    combined by text.  What is returned is stored, so it may be read again.
+    """
+    columns = ["doc_id", "print", "n_bytes", "text_sha256"]
+    stored = staged(_hashed_or_cut(docs, prime, long_bytes), "chunks")
+    cut = stored.where("chunk_no IS NOT NULL")
+    hashes = _chunk_hashes(cut.select("row", "chunk_no", "chunk").repartition("row", "chunk_no"), prime)
+    parts = F.sort_array(F.collect_list(F.struct("chunk_no", "first", "by1", "second", "by2")))
+    zero = F.struct(F.lit(0).cast("long").alias("first"), F.lit(0).cast("long").alias("second"))
+    total = F.aggregate(
+        parts,
+        zero,
+        lambda done, part: F.struct(
+            ((done["first"] * part["by1"] + part["first"]) % prime).alias("first"),
+            ((done["second"] * part["by2"] + part["second"]) % prime).alias("second"),
+        ),
+    )
+    both = F.shiftleft(F.col("total.first"), 31).bitwiseOR(F.col("total.second"))
+    long = hashes.groupBy("row").agg(total.alias("total")).select("row", both.alias("print"))
+    heads = cut.where("chunk_no = 0").drop("print").join(long, "row").select(columns)
+    return stored.where("chunk_no IS NULL").select(columns).unionAll(staged(heads, "fingerprints"))
+
+
 def _chunks(docs: DataFrame, prime: int) -> DataFrame:
     """``keep, doc_id, print, chunk_no, chunk`` of the normalised texts of ``docs(keep, doc_id, print, text)`` that have that fingerprint."""
 
@@ -130,7 +200,9 @@ def different_copies(docs: DataFrame, prints: DataFrame, broadcast_rows: int = B
     return rest.join(first, ["keep", "print", "chunk_no"]).where("chunk <> first_chunk").select("doc_id", "print").distinct()
 
 
-def exact_groups(docs: DataFrame, prime: int = PRIME, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def exact_groups(
+    docs: DataFrame, prime: int = PRIME, broadcast_rows: int = BROADCAST_ROWS, long_bytes: int = LONG
+) -> DataFrame:
     """``doc_id, keep_id, group_size, kept, text_sha256`` of every row of ``docs(doc_id, text)``.
 
     Texts are equal when identical after each run of white space is replaced
@@ -139,8 +211,10 @@ def exact_groups(docs: DataFrame, prime: int = PRIME, broadcast_rows: int = BROA
     text count in ``group_size`` and share ``kept``; rows of one id with
     different texts belong to the groups of their texts.  A row without an id counts in ``group_size`` and has a null
     ``kept``.  Other columns are ignored; an empty table gives an empty one.
+    A text longer than ``long_bytes`` is stored once more, in chunks that many
+    tasks hash; only its white space and SHA-256 are one task's work.
     """
-    prints = staged(fingerprints(docs, prime), "fingerprints")
+    prints = fingerprints(docs, prime, long_bytes)
     different = different_copies(docs, prints, broadcast_rows, prime).withColumn("differs", F.lit(True))
     marked = prints.join(different, ["doc_id", "print"], "left").withColumn(
         "own", F.when(F.col("differs"), F.col("text_sha256")).otherwise("")
