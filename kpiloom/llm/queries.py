@@ -125,6 +125,31 @@ QUERIES = {
 _SPACES = r"'[\x20\x09-\x0D]+'"
 
 ORACLES = {
+    "op2_near_dedup": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS gram
+            FROM words, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS t(i) WHERE len(w) > 0
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), shared AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+            FROM shingles a JOIN shingles b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+        ), links AS (
+            SELECT a, b FROM shared JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+            WHERE 100 * shared.n >= 75 * (x.n + y.n - shared.n)
+        ), reached AS (
+            SELECT doc_id, doc_id AS other FROM words
+            UNION
+            SELECT doc_id, b FROM reached JOIN links ON other = a
+        ), components AS (
+            SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM components LEFT JOIN sizes USING (doc_id)
+    """,
     "op10_exact_dedup": rf"""
         WITH plain AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), {_SPACES}, ' ', 'g') AS plain FROM documents
